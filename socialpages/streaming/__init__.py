@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+Every original report is a bounded batch job over whole files; none has a
+stream, watermark, window or state.  Nothing is built here -- adding
+stream operators would go beyond what the reports do.
+"""
