@@ -1,0 +1,125 @@
+"""Every report against the plain-Python model on seeded random CSV files
+full of awkward rows: short rows, trailing and middle empty fields, extra
+fields, untrimmed and non-int ids, quotes, repeated ids and edges."""
+
+import datetime as dt
+import random
+
+import pytest
+
+import model
+from conftest import ACCESS_HEADER, FRIENDS_HEADER, PAGES_HEADER, write_csv
+from socialpages import (
+    access_diversity,
+    connectedness_factor,
+    country_page_count,
+    disconnected_users,
+    nationality_hobby_rows,
+    popular_users,
+    read_access,
+    read_friends,
+    read_pages,
+    third_field_count,
+    top_accessed_pages,
+    unvisited_friends,
+)
+
+IDS = ["0", "1", "2", "3", "4", "5", "6", "7", " 4", "04", "+4", "4 ", "\t5", "x", ""]
+NAMES = ["Ann", "Bob", "Cy", " Dee ", "", "Name", "Eve\t"]
+NATS = ["Latvia", " Latvia", "Latvia\t", "Peru", "Chad", "", "latvia"]
+TIMES = ["2024-01-01 10:00:00", "2024-01-20 23:59:59", "2024-01-29 12:00:00", "2024-02-01 00:00:00",
+         " 2024-01-31 08:00:00 ", "01/02/2024 10:00", "", "garbage"]
+AS_OF = dt.datetime(2024, 2, 13, 12, 0, 0)
+
+
+def _line(rng, fields):
+    shape = rng.random()
+    if shape < 0.08:
+        fields = fields[: rng.randint(1, 3)]
+    elif shape < 0.14:
+        fields = fields + [rng.choice(["", "extra"])]
+    elif shape < 0.20:
+        fields = fields[:3] + ["", ""]
+    elif shape < 0.23:
+        fields = ['"' + fields[0], fields[1] + '"'] + fields[2:]
+    return ",".join(fields)
+
+
+def make_files(tmp_path, seed):
+    rng = random.Random(seed)
+    pages = [_line(rng, [rng.choice(IDS), rng.choice(NAMES), rng.choice(NATS), str(rng.randint(1, 300)),
+                         rng.choice(["Chess", " Golf", "Name tags", ""])]) for _ in range(40)]
+    friends = [_line(rng, [str(i), rng.choice(IDS), rng.choice(IDS), "2020-01-01", rng.choice(["Aunt", ""])])
+               for i in range(80)]
+    access = [_line(rng, [str(i), rng.choice(IDS), rng.choice(IDS), "Viewed", rng.choice(TIMES)])
+              for i in range(100)]
+    paths = (write_csv(tmp_path, "pages.csv", PAGES_HEADER, pages),
+             write_csv(tmp_path, "friends.csv", FRIENDS_HEADER, friends),
+             write_csv(tmp_path, "access_logs.csv", ACCESS_HEADER, access, newline="\n"))
+    return paths, (pages, friends, access)
+
+
+@pytest.fixture(params=[1, 2, 3, 4], ids=lambda s: f"seed{s}")
+def data(request, spark, tmp_path):
+    (pp, fp, ap), lines = make_files(tmp_path, request.param)
+    frames = (read_pages(spark, pp), read_friends(spark, fp), read_access(spark, ap))
+    return frames, lines
+
+
+def _rows(df, cols):
+    return sorted(tuple(r[c] for c in cols) for r in df.collect())
+
+
+def test_nationality_rows(data):
+    (P, Fr, A), (p, f, a) = data
+    assert _rows(nationality_hobby_rows(P, "Latvia"), ["name", "hobby"]) == model.nationality_rows(p, "Latvia")
+
+
+def test_top_pages(data):
+    (P, Fr, A), (p, f, a) = data
+    got = [tuple(r) for r in top_accessed_pages(P, A, 5).collect()]
+    assert got == model.top_pages(p, a, 5)
+
+
+def test_country_and_third_field(data):
+    (P, Fr, A), (p, f, a) = data
+    assert _rows(country_page_count(P), ["nationality", "n_pages"]) == model.country_count(p)
+    assert _rows(third_field_count(P, A), ["k", "n"]) == model.third_field(p, a)
+
+
+def test_connectedness(data):
+    (P, Fr, A), (p, f, a) = data
+    assert _rows(connectedness_factor(P, Fr), ["id", "who", "connectedness"]) == model.connectedness(p, f)
+
+
+def test_diversity(data):
+    (P, Fr, A), (p, f, a) = data
+    cols = ["person_id", "name", "total_accesses", "distinct_pages"]
+    assert _rows(access_diversity(P, A), cols) == model.diversity(p, a)
+
+
+def test_unvisited(data):
+    (P, Fr, A), (p, f, a) = data
+    assert _rows(unvisited_friends(P, Fr, A), ["person_id", "name", "n_unvisited"]) == model.unvisited(p, f, a)
+
+
+def test_disconnected(data):
+    (P, Fr, A), (p, f, a) = data
+    got = _rows(disconnected_users(P, A, as_of=AS_OF), ["person_id", "name"])
+    assert got == model.disconnected(p, a, AS_OF)
+
+
+def test_popular(data):
+    (P, Fr, A), (p, f, a) = data
+    assert _rows(popular_users(P, Fr), ["id", "name", "n"]) == model.popular(p, f)
+
+
+def test_same_result_for_one_and_many_partitions(data):
+    (P, Fr, A), _ = data
+    one = _rows(unvisited_friends(P.coalesce(1), Fr.coalesce(1), A.coalesce(1)), ["person_id", "name", "n_unvisited"])
+    many = _rows(unvisited_friends(P.repartition(7), Fr.repartition(5), A.repartition(9)),
+                 ["person_id", "name", "n_unvisited"])
+    assert one == many
+    one = _rows(popular_users(P.coalesce(1), Fr.coalesce(1)), ["id", "name", "n"])
+    many = _rows(popular_users(P.repartition(6), Fr.repartition(8)), ["id", "name", "n"])
+    assert one == many
