@@ -17,14 +17,37 @@ filters into the parquet scans.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 FRIEND_VARIANTS = {"part": "l_partkey", "supp": "l_suppkey"}
 
 
+def _view_name(path: str, name: str) -> str:
+    digest = hashlib.sha1(path.encode()).hexdigest()[:12]
+    return f"socialpages_{name}_{digest}"
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The parquet table, registered once per session as a temporary view.
+
+    Listing the files and reading the footer happens once; later reports
+    in the same session resolve the view by name.  ``refresh`` drops the
+    views when the files change.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    view = _view_name(path, name)
+    if not spark.catalog.tableExists(view):
+        spark.read.parquet(path).createOrReplaceTempView(view)
+    return spark.table(view)
+
+
+def refresh(spark: SparkSession, sf_dir: str) -> None:
+    """Forget the registered views of ``sf_dir`` (re-listed on next use)."""
+    for name in ("customer", "nation", "events", "lineitem", "orders"):
+        spark.catalog.dropTempView(_view_name(f"{sf_dir.rstrip('/')}/{name}.parquet", name))
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
