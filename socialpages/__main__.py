@@ -53,6 +53,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--as-of", type=dt.datetime.fromisoformat, default=None)
     parser.add_argument("--days", type=int, default=14)
     parser.add_argument("--mode", default="errorifexists")
+    parser.add_argument("--sorted", action="store_true", help="order lines by the report key")
     args = parser.parse_args(argv)
 
     missing = [name for name in NEEDS[args.report] if not getattr(args, name)]
@@ -80,7 +81,7 @@ def main(argv: list[str] | None = None) -> None:
         "popular": lambda: ops.popular_users(p, f),
         "rejects": lambda: ops.reject_counts(a, "what_page").unionByName(ops.reject_counts(p, "person_id")),
     }[args.report]()
-    write_tsv(result, args.out, args.mode)
+    write_tsv(result, args.out, args.mode, sort_by=[result.columns[0]] if args.sorted else None)
 
 
 if __name__ == "__main__":

@@ -11,25 +11,40 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from socialpages.functions.text import is_int_text, is_integral
+from socialpages.functions.text import is_int_text, is_integral, present
 
 
-def _accepted(df: DataFrame, column: str) -> Column:
+RULES = ("int", "present")
+
+
+def _accepted(df: DataFrame, column: str, rule: str) -> Column:
+    if rule not in RULES:
+        raise ValueError(f"rule must be one of {RULES}")
+    if rule == "present":
+        return F.coalesce(present(df, column), F.lit(False))
     if is_integral(df, column):
         return F.col(column).isNotNull()
     return is_int_text(F.col(column))
 
 
-def reject_counts(df: DataFrame, column: str) -> DataFrame:
-    """One row ``(n_rows, n_rejected)``: rows, and rows whose ``column`` is
-    not an int in ``Integer.parseInt``'s sense (NULL is a reject)."""
+def reject_counts(df: DataFrame, column: str, rule: str = "int") -> DataFrame:
+    """One row ``(n_rows, n_rejected)``: rows, and rows the rule refuses.
+
+    ``rule="int"``: ``column`` is not an int in ``Integer.parseInt``'s sense
+    (the top-pages report drops such ids; NULL is a reject).
+    ``rule="present"``: ``column`` is NULL or empty -- the field is missing
+    from a short row or the id is blank; the reports keyed by text ids drop
+    these rows.
+    """
     return df.agg(
         F.count(F.lit(1)).alias("n_rows"),
-        F.count_if(~_accepted(df, column)).alias("n_rejected"),
+        F.count_if(~_accepted(df, column, rule)).alias("n_rejected"),
     )
 
 
-def observe_rejects(df: DataFrame, column: str, name: str = "rejects") -> tuple[DataFrame, Observation]:
+def observe_rejects(
+    df: DataFrame, column: str, name: str = "rejects", rule: str = "int"
+) -> tuple[DataFrame, Observation]:
     """``df`` with an attached observation of the same two counts.
 
     Read ``observation.get`` after the first action on the returned frame.
@@ -38,6 +53,6 @@ def observe_rejects(df: DataFrame, column: str, name: str = "rejects") -> tuple[
     observed = df.observe(
         observation,
         F.count(F.lit(1)).alias("n_rows"),
-        F.count_if(~_accepted(df, column)).alias("n_rejected"),
+        F.count_if(~_accepted(df, column, rule)).alias("n_rejected"),
     )
     return observed, observation
