@@ -55,3 +55,43 @@ def test_average_is_a_scalar_subquery(spark):
     df.collect()
     # After execution the subquery reads the main query's friend-count shuffle.
     assert count_nodes(df, "ReusedExchange") >= 1
+
+
+def _exchange_inputs(text):
+    """The ``Input`` column lists of every shuffle Exchange in a formatted plan."""
+    inputs, current = [], None
+    for line in text.splitlines():
+        if line.startswith("(") and ") Exchange" in line:
+            current = line
+        elif current and line.startswith("Input"):
+            inputs.append(line)
+            current = None
+    return inputs
+
+
+def test_top_pages_never_shuffles_page_rows(spark):
+    from pyspark.sql import functions as F
+
+    from socialpages import top_accessed_pages
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        n = 3000
+        # one page id on a third of all page rows
+        pages = spark.range(n).select(
+            F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("person_id"),
+            F.concat(F.lit("name"), F.col("id").cast("string")).alias("name"),
+            F.lit("N").alias("nationality"),
+        )
+        access = spark.range(3 * n).select((F.col("id") % n).alias("what_page"))
+        df = top_accessed_pages(pages, access, 5)
+        shuffled = _exchange_inputs(plan_text(df))
+        assert shuffled and not any("name" in cols for cols in shuffled)
+        got = [tuple(r) for r in df.collect()]
+        assert got == [(3, 1, "name1", "N"), (3, 2, "name2", "N"), (3, 4, "name4", "N"),
+                       (3, 5, "name5", "N"), (3, 7, "name0", "N")]
+        hot = top_accessed_pages(pages, access.union(spark.range(50).select(F.lit(7).alias("what_page"))), 3)
+        assert [tuple(r) for r in hot.collect()] == [(53, 7, "name0", "N"), (53, 7, "name1002", "N"),
+                                                      (53, 7, "name1005", "N")]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
