@@ -52,31 +52,30 @@ def write_report_text(report: DataFrame, path: str, mode: str = "errorifexists")
     Per nationality: ``nationality TAB first member``, the other members one
     per line, then an empty line -- the text of one ``key TAB value`` record
     whose value is every member followed by a newline.  Members are sorted.
-    No group is ever gathered into one row: the lines are produced by a
-    join against a one-row-per-nationality aggregate and written by a
-    range-partitioned global sort, so one large nationality spans many
-    tasks and files.
+
+    No group is ever gathered into one row or one task: each row gets an id,
+    the head of a group is the row with the smallest (member, id) -- found
+    by a one-row-per-nationality aggregate that is joined back (AQE
+    broadcasts it when its measured size allows) -- and the lines are
+    written by a range-partitioned global sort on (nationality, section,
+    member, id), so even identical member lines of one huge nationality
+    spread over many tasks and files.
     """
-    nat, member = F.col("nationality"), F.col("member")
-    distinct_lines = report.groupBy("nationality", "member").count()
-    first = distinct_lines.groupBy("nationality").agg(
-        F.min(F.struct("member", "count")).alias("f")
-    )
+    rows = report.select("nationality", "member", F.monotonically_increasing_id().alias("_row"))
+    first = rows.groupBy("nationality").agg(F.min(F.struct("member", "_row")).alias("f"))
     head = first.select(
         "nationality", F.lit(0).alias("section"), F.col("f.member").alias("member"),
-        F.concat(nat, F.lit("\t"), F.col("f.member")).alias("line"),
-    )
-    dups = first.where(F.col("f.count") > 1).select(
-        "nationality", F.lit(1).alias("section"), F.col("f.member").alias("member"),
-        F.explode(F.array_repeat(F.col("f.member"), (F.col("f.count") - 1).cast("int"))).alias("line"),
+        F.col("f._row").alias("_row"),
+        F.concat(F.col("nationality"), F.lit("\t"), F.col("f.member")).alias("line"),
     )
-    rest = (
-        report.join(first, "nationality")
-        .where(member != F.col("f.member"))
-        .select("nationality", F.lit(1).alias("section"), "member", member.alias("line"))
+    body = (
+        rows.join(first, "nationality")
+        .where(F.col("_row") != F.col("f._row"))
+        .select("nationality", F.lit(1).alias("section"), "member", "_row", F.col("member").alias("line"))
     )
     tail = first.select(
-        "nationality", F.lit(2).alias("section"), F.lit("").alias("member"), F.lit("").alias("line")
+        "nationality", F.lit(2).alias("section"), F.lit("").alias("member"),
+        F.lit(0).cast("bigint").alias("_row"), F.lit("").alias("line"),
     )
-    lines = head.unionByName(dups).unionByName(rest).unionByName(tail)
-    lines.orderBy("nationality", "section", "member").select("line").write.mode(mode).text(path)
+    lines = head.unionByName(body).unionByName(tail)
+    lines.orderBy("nationality", "section", "member", "_row").select("line").write.mode(mode).text(path)

@@ -40,3 +40,15 @@ def test_report_text_layout(spark, tmp_path):
     out = str(tmp_path / "a")
     write_report_text(nationality_hobby_report(pages, "Latvia"), out)
     assert _read_lines(out) == ["Latvia\tAnn, Chess", "Ann, Chess", "Zed, Go", ""]
+
+
+def test_report_text_many_identical_members(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    report = spark.range(0, 200, 1, 8).select(
+        F.lit("Latvia").alias("nationality"),
+        F.when(F.col("id") < 150, F.lit("Ann, Chess")).otherwise(F.lit("Bob, Go")).alias("member"),
+    )
+    out = str(tmp_path / "dups")
+    write_report_text(report, out)
+    assert _read_lines(out) == ["Latvia\tAnn, Chess"] + ["Ann, Chess"] * 149 + ["Bob, Go"] * 50 + [""]
