@@ -18,6 +18,7 @@ filters into the parquet scans.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,32 +26,55 @@ from pyspark.sql import functions as F
 FRIEND_VARIANTS = {"part": "l_partkey", "supp": "l_suppkey"}
 
 
-def _view_name(path: str, name: str) -> str:
-    digest = hashlib.sha1(path.encode()).hexdigest()[:12]
+def _view_name(sf_dir: str, name: str) -> str:
+    digest = hashlib.sha1(sf_dir.rstrip("/").encode()).hexdigest()[:12]
     return f"socialpages_{name}_{digest}"
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The parquet table, registered once per session as a temporary view.
+def _registered(spark: SparkSession, view: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """``build()``, registered once per session as a temporary view.
 
-    Listing the files and reading the footer happens once; later reports
-    in the same session resolve the view by name.  ``refresh`` drops the
-    views when the files change.
+    File listing, footer reads and analysis happen once; later reports in
+    the same session resolve the view by name.  A temporary view is only a
+    named logical plan, so Catalyst still prunes and pushes down through it.
     """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    view = _view_name(path, name)
     if not spark.catalog.tableExists(view):
-        spark.read.parquet(path).createOrReplaceTempView(view)
+        build().createOrReplaceTempView(view)
     return spark.table(view)
 
 
+RELATIONS = ("pages", "access", *[f"friends_{v}" for v in FRIEND_VARIANTS])
+TABLES = ("customer", "nation", "events", "lineitem", "orders")
+
+
 def refresh(spark: SparkSession, sf_dir: str) -> None:
     """Forget the registered views of ``sf_dir`` (re-listed on next use)."""
-    for name in ("customer", "nation", "events", "lineitem", "orders"):
-        spark.catalog.dropTempView(_view_name(f"{sf_dir.rstrip('/')}/{name}.parquet", name))
+    for name in RELATIONS + TABLES:
+        spark.catalog.dropTempView(_view_name(sf_dir, name))
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    return _registered(spark, _view_name(sf_dir, name), lambda: spark.read.parquet(path))
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _registered(spark, _view_name(sf_dir, "pages"), lambda: _pages(spark, sf_dir))
+
+
+def access(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _registered(spark, _view_name(sf_dir, "access"), lambda: _access(spark, sf_dir))
+
+
+def friends(spark: SparkSession, sf_dir: str, variant: str = "part") -> DataFrame:
+    if variant not in FRIEND_VARIANTS:
+        raise ValueError(f"variant must be one of {sorted(FRIEND_VARIANTS)}")
+    return _registered(
+        spark, _view_name(sf_dir, f"friends_{variant}"), lambda: _friends(spark, sf_dir, variant)
+    )
+
+
+def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = _table(spark, sf_dir, "customer")
     nation = _table(spark, sf_dir, "nation")
     return customer.join(nation, customer.c_nationkey == nation.n_nationkey).select(
@@ -62,7 +86,7 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def access(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _access(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _table(spark, sf_dir, "events")
     # json_tuple (a one-row-per-input generator) parses each document once;
     # an inlined get_json_object would be parsed again by every filter
@@ -79,7 +103,7 @@ def access(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def friends(spark: SparkSession, sf_dir: str, variant: str = "part") -> DataFrame:
+def _friends(spark: SparkSession, sf_dir: str, variant: str) -> DataFrame:
     friend_col = FRIEND_VARIANTS[variant]
     lineitem = _table(spark, sf_dir, "lineitem")
     orders = _table(spark, sf_dir, "orders")
