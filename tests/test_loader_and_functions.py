@@ -69,3 +69,49 @@ def test_cutoff_on_wall_clock_timestamps(spark):
                                "t timestamp_ntz")
     cond = before_cutoff(F.col("t"), df.schema["t"].dataType, dt.datetime(2024, 2, 13, 12), 14)
     assert [r.t for r in df.where(cond).collect()] == [dt.datetime(2024, 1, 30, 11, 59, 59)]
+
+
+def test_backslash_hash_and_whitespace_lines(spark, tmp_path):
+    path = write_csv(tmp_path, "p.csv", PAGES_HEADER, [
+        "1,a\\,b,Latvia,1,x",   # no escaping: the backslash stays, the comma splits
+        "   ",                  # whitespace only: skipped like a blank line (one field; every guard drops it)
+        "#3,c,Chad,3,z",        # no comment character
+    ])
+    got = [(r.person_id, r.name, r.nationality) for r in read_pages(spark, path).orderBy("person_id").collect()]
+    assert got == [("#3", "c", "Chad"), ("1", "a\\", "b")]
+
+
+def test_random_lines_split_like_java(spark, tmp_path):
+    import random
+
+    import model
+
+    rng = random.Random(5)
+    atoms = ["", "", "a", "7", " ", "\t", '"', "x y", "Name", "-3"]
+    lines = []
+    for _ in range(600):
+        n = rng.randint(1, 7)
+        line = ",".join(rng.choice(atoms) for _ in range(n))
+        if line.strip(" \t") == "":
+            continue  # blank and whitespace-only lines are skipped by the reader
+        lines.append(line)
+    path = write_csv(tmp_path, "r.csv", PAGES_HEADER, lines)
+    rows = read_pages(spark, path).collect()  # one small file: one task, file order
+    assert len(rows) == len(lines)
+    for line, row in zip(lines, rows):
+        parts = model.jsplit(line)
+        # the reader sees six fields at most (five columns and one spill-over)
+        seen = max((i + 1 for i, v in enumerate(line.split(",")[:6]) if v != ""), default=0)
+        assert row._n_fields == seen and (len(parts) > 6 or seen == len(parts)), line
+        padded = parts + [""] * 5
+        assert [row.person_id, row.name, row.nationality, row.country_code, row.hobby] == padded[:5], line
+
+
+def test_checkpoint_dir_and_materialize(spark):
+    from socialpages.plans import ensure_checkpoint_dir, materialize, plan_text
+
+    folder = ensure_checkpoint_dir(spark)
+    assert folder and spark.sparkContext.getCheckpointDir() is not None
+    df = spark.range(10).selectExpr("id", "id * 2 AS twice")
+    m = materialize(df)
+    assert m.count() == 10 and "Range" not in plan_text(m, "simple")
