@@ -1,6 +1,6 @@
 """Run one report over the CSV files and write its text output.
 
-    spark-submit -m socialpages top_pages --pages pages.csv \
+    python -m socialpages top_pages --pages pages.csv \
         --access access_logs.csv --out /out/taskB
 
 Reports: nationality, top_pages, countries, third_field, connectedness,
