@@ -4,7 +4,10 @@
         --access access_logs.csv --out /out/taskB
 
 Reports: nationality, top_pages, countries, third_field, connectedness,
-diversity, unvisited, disconnected, popular, rejects.  Outputs are
+diversity, unvisited, disconnected, popular, rejects -- or ``all``, which
+writes every report into ``OUT/<report>`` from one read of each file
+(``--cache`` keeps the parsed relations in executor memory and disk; the
+cache keeps its lineage, so a lost executor's part is recomputed).  Outputs are
 tab-separated text directories in the original layouts: the nationality
 report as one ``key TAB member-lines`` record per nationality, the top
 pages as ``accesses TAB id,name,nationality``, the others as one line per
@@ -16,6 +19,8 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 
+from pyspark import StorageLevel
+
 from socialpages import operators as ops
 from socialpages.session import build_session
 from socialpages.sources import (
@@ -43,7 +48,7 @@ NEEDS = {
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="socialpages")
-    parser.add_argument("report", choices=sorted(NEEDS))
+    parser.add_argument("report", choices=sorted(NEEDS) + ["all"])
     parser.add_argument("--pages", nargs="+")
     parser.add_argument("--friends", nargs="+")
     parser.add_argument("--access", nargs="+")
@@ -54,22 +59,35 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--days", type=int, default=14)
     parser.add_argument("--mode", default="errorifexists")
     parser.add_argument("--sorted", action="store_true", help="order lines by the report key")
+    parser.add_argument("--cache", action="store_true", help="with all: persist the parsed inputs")
     args = parser.parse_args(argv)
 
-    missing = [name for name in NEEDS[args.report] if not getattr(args, name)]
+    reports = sorted(NEEDS) if args.report == "all" else [args.report]
+    needed = {name for report in reports for name in NEEDS[report]}
+    missing = sorted(name for name in needed if not getattr(args, name))
     if missing:
         parser.error(f"{args.report} needs --{' --'.join(missing)}")
 
     spark = build_session()
-    p = read_pages(spark, args.pages) if args.pages else None
-    f = read_friends(spark, args.friends) if args.friends else None
-    a = read_access(spark, args.access) if args.access else None
+    inputs = {
+        "pages": read_pages(spark, args.pages) if args.pages else None,
+        "friends": read_friends(spark, args.friends) if args.friends else None,
+        "access": read_access(spark, args.access) if args.access else None,
+    }
+    if args.cache and len(reports) > 1:
+        inputs = {k: (v.persist(StorageLevel.MEMORY_AND_DISK) if v is not None else None) for k, v in inputs.items()}
+    for report in reports:
+        out = f"{args.out.rstrip('/')}/{report}" if args.report == "all" else args.out
+        _write(report, inputs, args, out)
+
 
-    if args.report == "nationality":
-        write_report_text(ops.nationality_hobby_report(p, args.nationality), args.out, args.mode)
+def _write(report: str, inputs: dict, args: argparse.Namespace, out: str) -> None:
+    p, f, a = inputs["pages"], inputs["friends"], inputs["access"]
+    if report == "nationality":
+        write_report_text(ops.nationality_hobby_report(p, args.nationality), out, args.mode)
         return
-    if args.report == "top_pages":
-        write_value_text(ops.top_accessed_pages(p, a, args.k), args.out, args.mode)
+    if report == "top_pages":
+        write_value_text(ops.top_accessed_pages(p, a, args.k), out, args.mode)
         return
     result = {
         "countries": lambda: ops.country_page_count(p),
@@ -80,8 +98,8 @@ def main(argv: list[str] | None = None) -> None:
         "disconnected": lambda: ops.disconnected_users(p, a, args.as_of, args.days),
         "popular": lambda: ops.popular_users(p, f),
         "rejects": lambda: ops.reject_counts(a, "what_page").unionByName(ops.reject_counts(p, "person_id")),
-    }[args.report]()
-    write_tsv(result, args.out, args.mode, sort_by=[result.columns[0]] if args.sorted else None)
+    }[report]()
+    write_tsv(result, out, args.mode, sort_by=[result.columns[0]] if args.sorted else None)
 
 
 if __name__ == "__main__":

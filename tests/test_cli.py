@@ -31,3 +31,14 @@ def test_cli_reports(spark, tmp_path):
     assert len(_lines(tmp_path / "g")) == 20
     with pytest.raises(SystemExit):
         main(["popular", "--pages", pages, "--out", str(tmp_path / "h")])
+
+
+def test_cli_all_reports(spark, tmp_path):
+    d = SAMPLE_DIR
+    main(["all", "--pages", f"{d}/pages.csv", "--friends", f"{d}/friends.csv", "--access", f"{d}/access_logs.csv",
+          "--as-of", "2023-06-09T00:00:00", "--cache", "--out", str(tmp_path / "all")])
+    counts = {name: len(_lines(tmp_path / "all" / name)) for name in
+              ["nationality", "top_pages", "countries", "third_field", "connectedness", "diversity",
+               "unvisited", "disconnected", "popular", "rejects"]}
+    assert counts == {"nationality": 2, "top_pages": 10, "countries": 18, "third_field": 37, "connectedness": 21,
+                      "diversity": 19, "unvisited": 15, "disconnected": 20, "popular": 7, "rejects": 2}
