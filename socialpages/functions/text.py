@@ -8,9 +8,6 @@ empty field) apply to string columns only, typed columns pass through.
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -95,6 +92,3 @@ def with_min_fields(df: DataFrame, more_than: int) -> DataFrame:
         return df.where(F.col(N_FIELDS) > F.lit(more_than))
     return df
 
-
-def any_present(cols: list[Column]) -> Column:
-    return reduce(or_, cols)

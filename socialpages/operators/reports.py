@@ -10,11 +10,14 @@ Plan shape, shared by all reports:
   aggregation, so a hot page or person is combined inside each task
   before the shuffle and a hot key never ships its raw rows);
 * names are reduced to one row per id (``min``) before joining, so joins
-  never multiply rows;
+  never multiply rows, and every join input holds at most one row per
+  key -- a hot key cannot skew a join (the top-pages report, which must
+  keep repeated page rows, filters them with a broadcast of its k leading
+  ids instead of joining them);
 * join strategies are left to Catalyst and AQE: a side is broadcast only
-  when its measured size is under ``spark.sql.autoBroadcastJoinThreshold``,
-  otherwise the join is a sort-merge join whose skewed partitions AQE
-  splits;
+  when its size is under ``spark.sql.autoBroadcastJoinThreshold``
+  (statically from file sizes, or at run time from the measured shuffle
+  output), otherwise the join is a sort-merge join;
 * nothing is collected to the driver and no group is gathered into a
   single row: top-k keeps k rows per task, the global average is one
   partial row per task.
@@ -35,6 +38,7 @@ from pyspark.sql import functions as F
 from socialpages.functions.text import is_string, java_trim, present, strict_int, trimmed, with_min_fields
 from socialpages.functions.time import access_time, before_cutoff
 
+
 def _rows() -> Column:
     """Row count (``count(1)``)."""
     return F.count(F.lit(1))
