@@ -45,10 +45,11 @@ def _rows() -> Column:
 
 
 def _text(df: DataFrame, name: str, trim: bool) -> Column:
-    """The column as text, Java-trimmed when ``trim`` (typed values are
-    rendered as strings first)."""
-    c = F.col(name) if is_string(df, name) else F.col(name).cast("string")
-    return java_trim(c) if trim else c
+    """The column as text, Java-trimmed when ``trim``.  Typed values are
+    rendered as strings, which carry no surrounding whitespace to trim."""
+    if not is_string(df, name):
+        return F.col(name).cast("string")
+    return java_trim(F.col(name)) if trim else F.col(name)
 
 
 def _names_by_id(pages: DataFrame, min_fields: int, trim_id: bool, trim_name: bool,

@@ -95,3 +95,43 @@ def test_top_pages_never_shuffles_page_rows(spark):
                                                       (53, 7, "name1005", "N")]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.fixture
+def large_input_plans(spark):
+    """Plans as Spark picks them when every input except tiny `nation` is large
+    (at sf0.001 `nation` is 2.5 KB and every other table is larger)."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "3000")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        yield lambda name: plan_text(E.queries()[name](spark, SF), "simple")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def _shuffle_keys(text):
+    import re
+    return [re.sub(r"#\d+L?", "", m) for m in re.findall(r"Exchange hashpartitioning\(([^)]*), \d+\)", text)]
+
+
+def test_diversity_spreads_a_heavy_reader_over_pages_first(large_input_plans):
+    keys = _shuffle_keys(large_input_plans("access_diversity"))
+    # plan text is top-down: the per-reader shuffle sits above (runs after) the per-pair one
+    assert keys.index("by_who") < keys.index("by_who, page")
+
+
+def test_unvisited_distinct_pairs_then_anti_join_without_reshuffle(large_input_plans):
+    text = large_input_plans("unvisited_friends_part")
+    keys = _shuffle_keys(text)
+    assert keys.count("owner, friend") == 2          # distinct edges, distinct visits
+    assert "SortMergeJoin [owner, friend], [owner, friend], LeftAnti" in __import__("re").sub(r"#\d+L?", "", text)
+    # lineitem and orders for the friends join, the two distinct sets, the count per owner, the names
+    assert len(keys) == 6
+
+
+def test_connectedness_joins_two_aggregates(large_input_plans):
+    import re
+    text = re.sub(r"#\d+L?", "", large_input_plans("connectedness_part"))
+    assert "SortMergeJoin [id], [friend], FullOuter" in text
+    assert sorted(_shuffle_keys(text)) == ["friend", "id", "l_orderkey", "o_orderkey"]
