@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from socialpages.plans.lineage import materialize
+
 
 def _text(col) -> F.Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
@@ -59,9 +61,14 @@ def write_report_text(report: DataFrame, path: str, mode: str = "errorifexists")
     broadcasts it when its measured size allows) -- and the lines are
     written by a range-partitioned global sort on (nationality, section,
     member, id), so even identical member lines of one huge nationality
-    spread over many tasks and files.
+    spread over many tasks and files.  The ids are fixed by a reliable
+    checkpoint in ``spark.checkpoint.dir`` before they are used twice, so
+    an input whose row order is not reproducible (e.g. the output of a
+    shuffle) cannot make the two uses disagree.
     """
-    rows = report.select("nationality", "member", F.monotonically_increasing_id().alias("_row"))
+    rows = materialize(
+        report.select("nationality", "member", F.monotonically_increasing_id().alias("_row"))
+    )
     first = rows.groupBy("nationality").agg(F.min(F.struct("member", "_row")).alias("f"))
     head = first.select(
         "nationality", F.lit(0).alias("section"), F.col("f.member").alias("member"),

@@ -52,3 +52,15 @@ def test_report_text_many_identical_members(spark, tmp_path):
     out = str(tmp_path / "dups")
     write_report_text(report, out)
     assert _read_lines(out) == ["Latvia\tAnn, Chess"] + ["Ann, Chess"] * 149 + ["Bob, Go"] * 50 + [""]
+
+
+def test_report_text_from_shuffled_input(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    report = spark.range(0, 300, 1, 6).select(
+        F.lit("Peru").alias("nationality"), (F.col("id") % 7).cast("string").alias("member")
+    ).repartition(5)
+    out = str(tmp_path / "shuffled")
+    write_report_text(report, out)
+    body = [str(i % 7) for i in range(300)]
+    assert _read_lines(out) == ["Peru\t0"] + sorted(body)[1:] + [""]
