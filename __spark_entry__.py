@@ -20,6 +20,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
+from socialpages.constants import DEFAULT_DAYS, DEFAULT_TOP_K  # noqa: E402
 from socialpages.operators import (  # noqa: E402
     access_diversity,
     connectedness_factor,
@@ -38,12 +39,13 @@ from socialpages.sources import driver_tables as dv  # noqa: E402
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 # Report parameters on the benchmark tables (fixed values): nationality
-# NATION_7 for the nationality report, top 10 pages, and a 14-day window
-# ending 2024-02-13 12:00 (cutoff 2024-01-30 12:00) for disconnected users.
+# NATION_7 for the nationality report, the default top 10 pages, and the
+# default 14-day window ending 2024-02-13 12:00 (cutoff 2024-01-30 12:00)
+# for disconnected users.
 NATIONALITY = "NATION_7"
-TOP_K = 10
+TOP_K = DEFAULT_TOP_K
 AS_OF = dt.datetime(2024, 2, 13, 12, 0, 0)
-DAYS = 14
+DAYS = DEFAULT_DAYS
 
 
 def entry(spark: SparkSession) -> DataFrame:

@@ -22,6 +22,7 @@ import datetime as dt
 from pyspark import StorageLevel
 
 from socialpages import operators as ops
+from socialpages.constants import DEFAULT_DAYS, DEFAULT_NATIONALITY, DEFAULT_TOP_K
 from socialpages.session import build_session
 from socialpages.sources import (
     read_access,
@@ -53,10 +54,10 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--friends", nargs="+")
     parser.add_argument("--access", nargs="+")
     parser.add_argument("--out", required=True)
-    parser.add_argument("--nationality", default="Latvia")
-    parser.add_argument("--k", type=int, default=10)
+    parser.add_argument("--nationality", default=DEFAULT_NATIONALITY)
+    parser.add_argument("--k", type=int, default=DEFAULT_TOP_K)
     parser.add_argument("--as-of", type=dt.datetime.fromisoformat, default=None)
-    parser.add_argument("--days", type=int, default=14)
+    parser.add_argument("--days", type=int, default=DEFAULT_DAYS)
     parser.add_argument("--mode", default="errorifexists")
     parser.add_argument("--sorted", action="store_true", help="order lines by the report key")
     parser.add_argument("--cache", action="store_true", help="with all: persist the parsed inputs")

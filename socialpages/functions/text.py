@@ -12,15 +12,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from socialpages.constants import JAVA_TRIM_MAX_CODE_POINT, STRICT_INT_PATTERN
 from socialpages.schemas import N_FIELDS
 
-# Fixed value: Java's String.trim() removes every leading and trailing
-# character whose code point is at most U+0020 (space and all controls).
-JAVA_TRIM_CHARS = "".join(chr(code) for code in range(0x00, 0x21))
-
-# Fixed value: the digits Integer.parseInt accepts -- optional sign, then
-# ASCII digits, nothing else (no spaces, no '_', no decimal point).
-STRICT_INT_PATTERN = r"^[+-]?[0-9]+$"
+# Every character String.trim() strips: U+0000 up to the fixed maximum.
+JAVA_TRIM_CHARS = "".join(chr(code) for code in range(0, JAVA_TRIM_MAX_CODE_POINT + 1))
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 

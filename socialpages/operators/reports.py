@@ -35,6 +35,13 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from socialpages.constants import (
+    DEFAULT_DAYS,
+    DEFAULT_NATIONALITY,
+    DEFAULT_TOP_K,
+    MEMBER_SEPARATOR,
+    UNKNOWN_NAME,
+)
 from socialpages.functions.text import is_string, java_trim, present, strict_int, trimmed, with_min_fields
 from socialpages.functions.time import access_time, before_cutoff
 
@@ -83,7 +90,7 @@ def _nationality_members(pages: DataFrame, nationality: str) -> DataFrame:
     )
 
 
-def nationality_hobby_rows(pages: DataFrame, nationality: str = "Latvia") -> DataFrame:
+def nationality_hobby_rows(pages: DataFrame, nationality: str = DEFAULT_NATIONALITY) -> DataFrame:
     """Names and hobbies of the people of one nationality: ``(name, hobby)``.
 
     Rows need a fifth field; nationality, name and hobby are trimmed; the
@@ -92,7 +99,7 @@ def nationality_hobby_rows(pages: DataFrame, nationality: str = "Latvia") -> Dat
     return _nationality_members(pages, nationality)
 
 
-def nationality_hobby_report(pages: DataFrame, nationality: str = "Latvia") -> DataFrame:
+def nationality_hobby_report(pages: DataFrame, nationality: str = DEFAULT_NATIONALITY) -> DataFrame:
     """The report form: ``(nationality, member)``, member = ``name, hobby``.
 
     One row per member line of the original report (whose single output
@@ -103,7 +110,7 @@ def nationality_hobby_report(pages: DataFrame, nationality: str = "Latvia") -> D
     m = _nationality_members(pages, nationality)
     return m.select(
         F.lit(nationality).alias("nationality"),
-        F.concat(F.col("name"), F.lit(", "), F.col("hobby")).alias("member"),
+        F.concat(F.col("name"), F.lit(MEMBER_SEPARATOR), F.col("hobby")).alias("member"),
     )
 
 
@@ -114,7 +121,7 @@ def nationality_hobby_report(pages: DataFrame, nationality: str = "Latvia") -> D
 BROADCAST_MAX_K = 100_000
 
 
-def top_accessed_pages(pages: DataFrame, access: DataFrame, k: int = 10) -> DataFrame:
+def top_accessed_pages(pages: DataFrame, access: DataFrame, k: int = DEFAULT_TOP_K) -> DataFrame:
     """The ``k`` most accessed pages: ``(accesses, person_id, name, nationality)``.
 
     Accesses of every type count.  Page ids on both sides are parsed as
@@ -274,7 +281,7 @@ def unvisited_friends(pages: DataFrame, friends: DataFrame, access: DataFrame) -
     names = _names_by_id(pages, 1, trim_id=False, trim_name=False)
     return unvisited.join(names, unvisited.owner == names.id, "left").select(
         F.col("owner").alias("person_id"),
-        F.coalesce(F.col("name"), F.lit("Unknown")).alias("name"),
+        F.coalesce(F.col("name"), F.lit(UNKNOWN_NAME)).alias("name"),
         "n_unvisited",
     )
 
@@ -285,7 +292,7 @@ def disconnected_users(
     pages: DataFrame,
     access: DataFrame,
     as_of: dt.datetime | str | None = None,
-    days: int = 14,
+    days: int = DEFAULT_DAYS,
 ) -> DataFrame:
     """Pages whose owner has not accessed anything since ``as_of - days``:
     ``(person_id, name)``.

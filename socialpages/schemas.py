@@ -8,6 +8,15 @@ driver's parquet tables provide the same column names with their own types.
 
 from pyspark.sql import types as T
 
+# Header names and text formats of the files are fixed values.
+from socialpages.constants import (
+    ACCESS_HEADER,
+    ACCESS_TIME_FORMAT,
+    FRIENDS_HEADER,
+    FRIENDSHIP_DATE_FORMAT,
+    PAGES_HEADER,
+)
+
 PAGES_COLUMNS = ["person_id", "name", "nationality", "country_code", "hobby"]
 FRIENDS_COLUMNS = ["friend_rel", "person_id", "my_friend", "date_of_friendship", "desc"]
 ACCESS_COLUMNS = ["access_id", "by_who", "what_page", "type_of_access", "access_time"]
@@ -16,15 +25,11 @@ ACCESS_COLUMNS = ["access_id", "by_who", "what_page", "type_of_access", "access_
 # row.  Only rows loaded from text carry it; typed rows are always complete.
 N_FIELDS = "_n_fields"
 
-# Header-line names of the sample files, in file order (fixed values).
-PAGES_HEADER = ["PersonID", "Name", "Nationality", "Country Code", "Hobby"]
-FRIENDS_HEADER = ["FriendRel", "PersonID", "MyFriend", "DateOfFriendship", "Desc"]
-ACCESS_HEADER = ["AccessID", "ByWho", "WhatPage", "TypeOfAccess", "AccessTime"]
-
-# Timestamp text format of ``AccessTime`` and date format of
-# ``DateOfFriendship`` in the sample files (fixed values).
-ACCESS_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
-FRIENDSHIP_DATE_FORMAT = "yyyy-MM-dd"
+__all__ = [
+    "ACCESS_COLUMNS", "ACCESS_HEADER", "ACCESS_SCHEMA", "ACCESS_TIME_FORMAT", "FRIENDS_COLUMNS",
+    "FRIENDS_HEADER", "FRIENDS_SCHEMA", "FRIENDSHIP_DATE_FORMAT", "N_FIELDS", "PAGES_COLUMNS",
+    "PAGES_HEADER", "PAGES_SCHEMA", "text_schema",
+]
 
 
 def text_schema(columns: list[str]) -> T.StructType:

@@ -24,6 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from socialpages.constants import FIELD_SEPARATOR
 from socialpages.functions.text import present_expr
 from socialpages.schemas import (
     ACCESS_COLUMNS,
@@ -41,7 +42,7 @@ def _read(spark: SparkSession, paths, schema, columns: list[str], header: bool)
         spark.read.schema(schema)
         .option("header", header)
         .option("enforceSchema", True)
-        .option("sep", ",")
+        .option("sep", FIELD_SEPARATOR)
         .option("quote", "")
         .option("escape", "")
         .option("mode", "PERMISSIVE")
