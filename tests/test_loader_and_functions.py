@@ -115,3 +115,17 @@ def test_checkpoint_dir_and_materialize(spark):
     df = spark.range(10).selectExpr("id", "id * 2 AS twice")
     m = materialize(df)
     assert m.count() == 10 and "Range" not in plan_text(m, "simple")
+
+
+def test_strict_int_on_random_text(spark):
+    import random
+
+    import model
+
+    rng = random.Random(9)
+    atoms = ["0", "1", "7", "9", "+", "-", " ", "\t", "a", ".", "_", "2147483647", "2147483648", "-2147483648"]
+    values = ["".join(rng.choice(atoms) for _ in range(rng.randint(0, 4))) for _ in range(3000)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, s string")
+    got = {r.i: r.v for r in df.select("i", strict_int(df, "s").alias("v")).collect()}
+    for i, v in enumerate(values):
+        assert got[i] == model.parse_int(v), repr(v)
