@@ -28,18 +28,20 @@ N_FIELDS = "_n_fields"
 __all__ = [
     "ACCESS_COLUMNS", "ACCESS_HEADER", "ACCESS_SCHEMA", "ACCESS_TIME_FORMAT", "FRIENDS_COLUMNS",
     "FRIENDS_HEADER", "FRIENDS_SCHEMA", "FRIENDSHIP_DATE_FORMAT", "N_FIELDS", "PAGES_COLUMNS",
-    "PAGES_HEADER", "PAGES_SCHEMA", "text_schema",
+    "PAGES_HEADER", "PAGES_SCHEMA", "RAW_LINE", "text_schema",
 ]
 
 
-def text_schema(columns: list[str]) -> T.StructType:
-    """All-string schema for a positional CSV, plus one spill-over column.
+# Raw text of a line whose field count differs from the schema's (Spark's
+# corrupt-record column); the loader derives the Java split length from it.
+RAW_LINE = "_raw"
+
 
-    The extra column catches a sixth field so that a row with more fields
-    than the header still counts as long enough for the arity rules.
-    """
+def text_schema(columns: list[str]) -> T.StructType:
+    """All-string schema for a positional CSV, plus the raw-line column that
+    Spark fills for lines with fewer or more fields than ``columns``."""
     fields = [T.StructField(c, T.StringType(), True) for c in columns]
-    fields.append(T.StructField("_extra", T.StringType(), True))
+    fields.append(T.StructField(RAW_LINE, T.StringType(), True))
     return T.StructType(fields)
 
 

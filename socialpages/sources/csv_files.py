@@ -21,7 +21,7 @@ their rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from socialpages.constants import FIELD_SEPARATOR
@@ -34,9 +34,19 @@ from socialpages.schemas import (
     N_FIELDS,
     PAGES_COLUMNS,
     PAGES_SCHEMA,
+    RAW_LINE,
 )
 
 
+def _java_split_length(line: Column) -> Column:
+    """``line.split(",").length``: fields up to the last non-empty one
+    (a line of commas only has none)."""
+    kept = F.regexp_replace(line, FIELD_SEPARATOR + "+$", "")
+    return F.when(line.rlike("^" + FIELD_SEPARATOR + "*$"), F.lit(0)).otherwise(
+        F.size(F.split(kept, FIELD_SEPARATOR, -1))
+    )
+
+
 def _read(spark: SparkSession, paths, schema, columns: list[str], header: bool) -> DataFrame:
     raw = (
         spark.read.schema(schema)
@@ -46,15 +56,18 @@ def _read(spark: SparkSession, paths, schema, columns: list[str], header: bool)
         .option("quote", "")
         .option("escape", "")
         .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", RAW_LINE)
         .csv(paths)
     )
-    names = [f.name for f in schema.fields]
-    n_fields = F.greatest(
-        *[F.when(present_expr(F.col(c)), F.lit(i + 1)) for i, c in enumerate(names)]
+    # A line with exactly len(columns) fields: its length is the position of
+    # the last non-empty one.  Any other line arrives with its raw text.
+    in_columns = F.greatest(
+        F.lit(0), *[F.when(present_expr(F.col(c)), F.lit(i + 1)) for i, c in enumerate(columns)]
     )
+    n_fields = F.when(F.col(RAW_LINE).isNotNull(), _java_split_length(F.col(RAW_LINE))).otherwise(in_columns)
     return raw.select(
         *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in columns],
-        F.coalesce(n_fields, F.lit(0)).alias(N_FIELDS),
+        n_fields.alias(N_FIELDS),
     )
 
 
