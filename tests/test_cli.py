@@ -42,3 +42,9 @@ def test_cli_all_reports(spark, tmp_path):
                "unvisited", "disconnected", "popular", "rejects"]}
     assert counts == {"nationality": 2, "top_pages": 10, "countries": 18, "third_field": 37, "connectedness": 21,
                       "diversity": 19, "unvisited": 15, "disconnected": 20, "popular": 7, "rejects": 2}
+
+
+def test_cli_sorted_output(spark, tmp_path):
+    main(["countries", "--pages", f"{SAMPLE_DIR}/pages.csv", "--sorted", "--out", str(tmp_path / "c")])
+    keys = [line.split("\t")[0] for line in _lines(tmp_path / "c")]
+    assert len(keys) == 18 and keys == sorted(keys, key=lambda k: k.encode())

@@ -48,3 +48,16 @@ def test_query_matches_oracle(spark, duck, name):
     got = _canon(E.queries()[name](spark, SF).toPandas())
     want = _canon(duck.execute(E.oracle_sql()[name]).df())
     assert got == want
+
+
+def test_driver_views_register_once_and_refresh(spark):
+    from socialpages.sources import driver_tables as dv
+
+    dv.pages(spark, SF)
+    names = {t.name for t in spark.catalog.listTables() if t.name.startswith("socialpages_")}
+    assert any(n.startswith("socialpages_pages_") for n in names)
+    assert any(n.startswith("socialpages_customer_") for n in names)
+    dv.refresh(spark, SF)
+    left = {t.name for t in spark.catalog.listTables() if t.name.startswith("socialpages_")}
+    assert not {n for n in left if n in names}
+    assert dv.pages(spark, SF).count() == 150

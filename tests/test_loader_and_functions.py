@@ -127,3 +127,12 @@ def test_strict_int_on_random_text(spark):
     got = {r.i: r.v for r in df.select("i", strict_int(df, "s").alias("v")).collect()}
     for i, v in enumerate(values):
         assert got[i] == model.parse_int(v), repr(v)
+
+
+def test_partitions_for():
+    from socialpages.session import partitions_for
+
+    assert partitions_for(0) == 1
+    assert partitions_for(256 * 1024 * 1024) == 1
+    assert partitions_for(256 * 1024 * 1024 + 1) == 2
+    assert partitions_for(10 * 1024**4) == 40960          # a 10 TiB shuffle at 256 MiB each
