@@ -136,3 +136,16 @@ def test_partitions_for():
     assert partitions_for(256 * 1024 * 1024) == 1
     assert partitions_for(256 * 1024 * 1024 + 1) == 2
     assert partitions_for(10 * 1024**4) == 40960          # a 10 TiB shuffle at 256 MiB each
+
+
+def test_header_dropped_once_per_file_not_per_split(spark, tmp_path):
+    lines = [f"{i},{i % 50},{i % 97},View,2024-01-01 00:00:00" for i in range(20000)]
+    path = write_csv(tmp_path, "big.csv", ACCESS_HEADER, lines)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(64 * 1024))
+    try:
+        df = read_access(spark, path)
+        assert df.rdd.getNumPartitions() > 5          # the file is read as many splits
+        assert df.count() == 20000                    # every data row survives, the header does not
+        assert df.where("access_id = 'AccessID'").count() == 0
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
