@@ -18,22 +18,25 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The checkpoint folder from the session's ``spark.checkpoint.dir``.
+    """The checkpoint folder: the one the context already uses, else the
+    session's ``spark.checkpoint.dir``.
 
-    Only when it is unset *and* Spark runs in local mode (tests, a single
+    Only when neither is set *and* Spark runs in local mode (tests, a single
     machine) is a scratch folder chosen; on a cluster an unset folder is an
     error, because executor-local paths do not survive executor loss.
     """
     sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
     folder = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
     if not folder:
         if not sc.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by the cluster")
         folder = tempfile.mkdtemp(prefix="socialpages-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, folder)
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(folder)
-    return folder
+    sc.setCheckpointDir(folder)
+    return sc.getCheckpointDir() or folder
 
 
 def materialize(df: DataFrame) -> DataFrame:
