@@ -11,6 +11,7 @@ report itself.
 from __future__ import annotations
 
 import datetime as dt
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -36,6 +37,13 @@ from socialpages.operators import (  # noqa: E402
 )
 from socialpages.sources import driver_tables as dv  # noqa: E402
 
+# The text operators are an optional part: without their folder (or without
+# the pipeline file that belongs to it) everything else still works.
+if importlib.util.find_spec("socialpages.llm") and importlib.util.find_spec("corpus_pipeline"):
+    from socialpages.llm import queries as llm_queries
+else:
+    llm_queries = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 # Report parameters on the benchmark tables (fixed values): nationality
@@ -122,6 +130,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "disconnected_users": _disconnected_users,
         "popular_users": _popular_users,
         "reject_counts": _reject_counts,
+        **(llm_queries.queries() if llm_queries else {}),
     }
 
 
@@ -225,4 +234,5 @@ FROM (
   UNION ALL
   SELECT 'pages' AS src, nationality AS k FROM p) t
 GROUP BY src""",
+        **(llm_queries.oracle_sql() if llm_queries else {}),
     }
