@@ -10,14 +10,21 @@ from pyspark.sql import DataFrame, SparkSession
 
 from socialpages.llm.common import table
 from socialpages.llm.simhash import simhash_groups
+from socialpages.llm.substring import remove_repeats
 
 
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"), shingle=3, distance=3)
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return remove_repeats(docs, k=20, with_text=False).select("doc_id", "dedup.*")
+
+
 def queries() -> dict:
     return {
+        "op10_substring_dedup": op10_substring_dedup,
         "op2_simhash_near_dedup": op2_simhash_near_dedup,
     }
 

@@ -1,0 +1,92 @@
+import hashlib
+import random
+
+import pytest
+
+from socialpages.llm import substring
+
+
+def brute(rows, k):
+    seen = {}
+    order = sorted({(-(2**63) if i is None else i, t or "") for i, t in rows}, key=lambda r: (r[0], r[1]))
+    assert len({i for i, _ in order}) == len(order), "one text for each id here"
+    cover = {}
+    for i, t in order:
+        w = (t or "").encode().split()
+        gone = [False] * len(w)
+        for p in range(len(w) - k + 1):
+            key = tuple(w[p : p + k])
+            if key in seen:
+                gone[p : p + k] = [True] * k
+            else:
+                seen[key] = (i, p)
+        kept = [x for x, g in zip(w, gone) if not g]
+        cover[i] = (len(w), sum(gone), hashlib.sha256(b" ".join(kept)).hexdigest(), b" ".join(kept))
+    return [(i, *cover[-(2**63) if i is None else i]) for i, _ in rows]
+
+
+def corpus(seed, k):
+    rnd = random.Random(seed)
+    vocab = [f"w{i}" for i in range(30)]
+    passage = [rnd.choice(vocab) for _ in range(3 * k)]
+    rows = []
+    for i in range(60):
+        w = [rnd.choice(vocab) for _ in range(rnd.choice([0, 1, k - 1, k, 4 * k, 9 * k]))]
+        for _ in range(rnd.choice([0, 1, 2, 3])):
+            a = rnd.randrange(2 * k)
+            at = rnd.randrange(len(w) + 1)
+            w[at:at] = passage[a : a + rnd.choice([k - 1, k, k + 1, 2 * k])]
+        if rows and rnd.random() < 0.2:
+            w = (rnd.choice(rows)[1] or "").split()
+        if rnd.random() < 0.1:
+            w = [rnd.choice(vocab)] * (3 * k)
+        rows.append((i * 7 - 100, rnd.choice([" ", "\n", " \t"]).join(w)))
+    rnd.shuffle(rows)
+    return rows + [(900, None), (901, ""), (902, "\n \x0b"), (None, " ".join(passage)), rows[0], rows[0]]
+
+
+@pytest.mark.parametrize("seed,k,m", [(1, 20, 8), (2, 20, 8), (3, 5, 2), (4, 5, 3)])
+def test_against_brute_force(spark, seed, k, m):
+    rows = corpus(seed, k)
+    docs = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], "doc_id long, text string, spans string, _doc int").repartition(7)
+    got = substring.remove_repeats(docs, k=k, m=m)
+    assert got.columns == [*docs.columns, "dedup"]
+    out = got.select("doc_id", "dedup.*").collect()
+    want = sorted(brute(rows, k), key=str)
+    assert sorted(((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in out), key=str) == [w[:4] for w in want]
+    texts = dict(rows)
+    for r in out:
+        if r.n_removed:
+            assert hashlib.sha256(b" ".join(r.kept_text.encode().split())).hexdigest() == r.kept_sha256
+        else:
+            assert r.kept_text == texts[r.doc_id]
+
+
+def test_paths_are_maximal_and_point_to_the_same_words(spark):
+    rows = [(i, t) for i, t in corpus(5, 20) if i is not None]
+    words = {(i): (t or "").split() for i, t in rows}
+    docs = spark.createDataFrame(rows, "doc long, text string").selectExpr("doc", "hash(text) as text_hash", "text")
+    paths = substring.compact(substring.repeated_edges(docs)).collect()
+    assert paths
+    for p in paths:
+        n = p.n + 19
+        assert words[p.doc][p.pos : p.pos + n] == words[p.src][p.src_pos : p.src_pos + n]
+    tails = {(p.doc, p.pos + p.n, p.src, p.src_pos + p.n) for p in paths}
+    assert not tails & {(p.doc, p.pos, p.src, p.src_pos) for p in paths}
+
+
+def test_one_id_with_two_texts(spark):
+    a = " ".join(f"a{i}" for i in range(40))
+    b = " ".join(f"b{i}" for i in range(40))
+    docs = spark.createDataFrame([(1, a), (5, a), (5, b)], "doc_id long, text string")
+    out = {(r.doc_id, r.text): r.dedup.n_removed for r in substring.remove_repeats(docs).collect()}
+    assert out == {(1, a): 0, (5, a): 40, (5, b): 0}
+
+
+def test_empty_and_one_long_text(spark):
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    assert substring.remove_repeats(empty).count() == 0
+    long = " ".join(f"v{i}" for i in range(150_000))
+    docs = spark.createDataFrame([(1, long), (2, "head " + long)], "doc_id long, text string")
+    out = {r.doc_id: r.dedup.n_removed for r in substring.remove_repeats(docs, with_text=False).collect()}
+    assert out == {1: 0, 2: 150_000}
