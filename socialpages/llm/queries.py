@@ -9,6 +9,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from socialpages.llm.common import table
+from socialpages.llm.quality import (
+    COMMON_WORDS,
+    MAX_DUP_LINES_PERCENT,
+    MAX_ECHO_PERCENT,
+    MAX_REPEAT_PERCENT,
+    MAX_SYMBOLS_PERCENT,
+    MAX_UPPER_PERCENT,
+    MAX_WORD_CHARS,
+    MIN_COMMON_WORDS_PERCENT,
+    MIN_LETTER_WORDS_PERCENT,
+    MIN_WORD_CHARS,
+    MIN_WORDS,
+    judged,
+)
 from socialpages.llm.simhash import simhash_groups
 from socialpages.llm.substring import remove_repeats
 
@@ -17,6 +31,53 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"), shingle=3, distance=3)
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return judged(docs).select(
+        "doc_id",
+        *[f"quality.{c}" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")],
+    )
+
+
+OP4_SQL = rf"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS ls
+  FROM documents),
+v AS (
+  SELECT doc_id, unnest(range(1, len(ws) - 6)) AS i, ws FROM d WHERE len(ws) >= 8),
+g AS (SELECT doc_id, i, array_to_string(ws[i:i+7], ' ') AS s FROM v),
+r AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, s) AS n FROM g) WHERE n > 1),
+cov AS (
+  SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, i + unnest(range(0, 8)) AS p FROM r) GROUP BY doc_id),
+c AS (
+  SELECT d.doc_id, text, ws, len(ls) AS n_lines,
+         CAST(len(ws) AS BIGINT) AS n_words,
+         CAST(coalesce(list_sum(list_transform(ws, lambda w: length(w))), 0) AS BIGINT) AS word_chars,
+         CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+         CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(cov.n, 0) AS BIGINT) AS n_repeat_words,
+         len(list_filter(range(2, len(ws) + 1), lambda i: ws[i] = ws[i - 1])) AS n_echoes,
+         len(regexp_extract_all(text, '\p{{Lu}}')) AS n_upper, len(regexp_extract_all(text, '\p{{Ll}}')) AS n_lower,
+         len(list_filter(ws, lambda w: regexp_matches(w, '\p{{L}}'))) AS n_letter,
+         len(list_filter(ws, lambda w: list_contains(string_split('{COMMON_WORDS}', ' '),
+             lower(regexp_replace(w, '^[^\p{{L}}]+|[^\p{{L}}]+$', '', 'g'))))) AS n_common
+  FROM d LEFT JOIN cov ON cov.doc_id = d.doc_id),
+b AS (
+  SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed FROM c)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT (base_failed
+         OR 100 * n_symbols > {MAX_SYMBOLS_PERCENT} * n_words
+         OR 100 * n_dup_lines > {MAX_DUP_LINES_PERCENT} * n_lines
+         OR 100 * n_echoes > {MAX_ECHO_PERCENT} * n_words
+         OR word_chars < {MIN_WORD_CHARS} * n_words OR word_chars > {MAX_WORD_CHARS} * n_words
+         OR 100 * n_upper > {MAX_UPPER_PERCENT} * (n_upper + n_lower)
+         OR 100 * n_letter < {MIN_LETTER_WORDS_PERCENT} * n_words
+         OR 100 * n_common < {MIN_COMMON_WORDS_PERCENT} * n_words) AS kept
+FROM b"""
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return remove_repeats(docs, k=20, with_text=False).select("doc_id", "dedup.*")
@@ -24,10 +85,13 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {
+        "op4_quality_rules": op4_quality_rules,
         "op10_substring_dedup": op10_substring_dedup,
         "op2_simhash_near_dedup": op2_simhash_near_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op4_quality_rules": OP4_SQL,
+    }
