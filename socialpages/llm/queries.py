@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from socialpages.llm import pieces
 from socialpages.llm.common import table
 from socialpages.llm.quality import (
     COMMON_WORDS,
@@ -78,6 +79,16 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM b"""
 
 
+# Where the public vocabulary files are (driver only: tasks get the vocabulary).
+TOKENIZERS = "/opt/tokenizers"
+PIECES_FILE = f"{TOKENIZERS}/piece_bpe_32k.model"
+
+
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pieces.round_trip(docs, pieces.load(PIECES_FILE)).select("doc_id", "pieces.*")
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return remove_repeats(docs, k=20, with_text=False).select("doc_id", "dedup.*")
@@ -86,6 +97,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     return {
         "op4_quality_rules": op4_quality_rules,
+        "op8_sentencepiece": op8_sentencepiece,
         "op10_substring_dedup": op10_substring_dedup,
         "op2_simhash_near_dedup": op2_simhash_near_dedup,
     }

@@ -11,7 +11,7 @@ The k-word windows are the edges of a De Bruijn graph over (k-1)-word nodes.
    hash travel as one record (a super-k-mer) to the bucket of that m-gram, so
    equal windows meet and neighbours stay together.  In its bucket a window
    that also starts earlier becomes a repeated edge with the coordinates of
-   the first start.  Windows match on a 64-bit window hash and 32 further
+   the first start.  Windows match on a 56-bit window hash and 32 further
    bits of their least m-gram.
 3. Compaction.  A repeated edge and the next one form one path where the
    source takes the same step.  Pieces of paths that were cut by bucket
@@ -44,7 +44,9 @@ from socialpages.llm.common import as_bytes, fresh, shuffle_partitions, split_wo
 from socialpages.plans.lineage import materialize
 
 WINDOW = 20
-ANCHOR = 8
+ANCHOR = 4
+HASH_BYTES = 7
+SLICE_BYTES = 8 << 20
 BUCKET_CHARS = 1 << 25
 NO_ID = -(2**63)
 MULTIPLIER = 0x9E3779B97F4A7C15
@@ -147,7 +149,7 @@ def _edge_rows(batch: pa.RecordBatch, buckets: int, k: int, m: int) -> Iterator[
     at = np.flatnonzero(owner[: len(owner) - k + 1] == owner[k - 1 :])
     if not len(at):
         return
-    window = rolling(values, k)[at]
+    window = rolling(values, k)[at] & np.uint64((1 << 8 * HASH_BYTES) - 1)
     least = sliding_min(rolling(values, m), k - m + 1)[at]
     owner = owner[at]
     pos = at - words.offsets[owner]
@@ -193,9 +195,9 @@ def _edge_rows(batch: pa.RecordBatch, buckets: int, k: int, m: int) -> Iterator[
             len(mine),
             _pack(np.diff(ids[who], prepend=0), hashes[who], pos[head].astype(np.int32), count.astype(np.int32),
                   anchor[mine].astype(np.uint32)),
-            window[np.repeat(head, count) + within].tobytes(),
+            window[np.repeat(head, count) + within].view(np.uint8).reshape(-1, 8)[:, :HASH_BYTES].tobytes(),
         ))
-        if len(rows) == 256:
+        if len(rows) == 64:
             yield _edge_batch(rows)
             rows = []
     if rows:
@@ -212,7 +214,8 @@ def _repeated(packed: list[tuple[int, bytes, bytes]]) -> pa.RecordBatch:
     parts = [_unpack(meta, n, np.int64, np.int32, np.int32, np.int32, np.uint32) for n, meta, _ in packed]
     doc = np.concatenate([np.cumsum(p[0]) for p in parts])
     text_hash, pos, count, anchor = (np.concatenate([p[i] for p in parts]) for i in range(1, 5))
-    window = np.concatenate([np.frombuffer(h, np.uint64) for _, _, h in packed])
+    hashes = np.frombuffer(b"".join(h for _, _, h in packed), np.uint8).reshape(-1, HASH_BYTES)
+    window = np.pad(hashes, ((0, 0), (0, 8 - HASH_BYTES))).view(np.uint64).reshape(-1)
     ends = np.cumsum(count.astype(np.int64))
     by = np.argsort(window)
     equal = np.diff(window[by]) == 0
@@ -258,7 +261,7 @@ def repeated_edges(docs: DataFrame, k: int = WINDOW, m: int = ANCHOR) -> DataFra
 
     def emit(batches):
         for batch in batches:
-            for part in text_slices(batch, "text"):
+            for part in text_slices(batch, "text", SLICE_BYTES):
                 yield from _edge_rows(part, buckets, k, m)
 
     edges = docs.mapInArrow(emit, EDGES)
@@ -266,7 +269,6 @@ def repeated_edges(docs: DataFrame, k: int = WINDOW, m: int = ANCHOR) -> DataFra
         edges.repartitionById(buckets, F.col("bucket"))
         .sortWithinPartitions("bucket")
         .mapInArrow(_bucket_rows, PIECES)
-        .distinct()
     )
 
 
