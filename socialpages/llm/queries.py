@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from socialpages.llm import pieces
 from socialpages.llm.common import table
+from socialpages.llm.mixing import mixed
 from socialpages.llm.quality import (
     COMMON_WORDS,
     MAX_DUP_LINES_PERCENT,
@@ -89,6 +90,19 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.round_trip(docs, pieces.load(PIECES_FILE)).select("doc_id", "pieces.*")
 
 
+# Sources and topics nearer to each other than they are, languages as stated.
+MIX_TARGETS = {
+    "source": 0.7,
+    "lang": {"en": 0.55, "de": 0.17, "fr": 0.15, "es": 0.13},
+    "topic": 0.9,
+}
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return mixed(docs, MIX_TARGETS).select("doc_id", "source", "lang", "mix.*")
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return remove_repeats(docs, k=20, with_text=False).select("doc_id", "dedup.*")
@@ -98,6 +112,7 @@ def queries() -> dict:
     return {
         "op4_quality_rules": op4_quality_rules,
         "op8_sentencepiece": op8_sentencepiece,
+        "op9_mixing": op9_mixing,
         "op10_substring_dedup": op10_substring_dedup,
         "op2_simhash_near_dedup": op2_simhash_near_dedup,
     }

@@ -1,0 +1,123 @@
+import random
+import re
+from collections import defaultdict
+
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from socialpages.llm import mixing
+
+TARGETS = {"source": 0.5, "lang": {"en": 0.5, "de": 0.3, None: 0.1, "absent": 5.0}, "topic": 0.8}
+
+
+def rows(n=3000, seed=1):
+    rnd = random.Random(seed)
+    out = []
+    for i in range(n):
+        source = "hot" if rnd.random() < 0.35 else rnd.choice(["s1", "s2", "s3", None])
+        text = " ".join(f"w{rnd.randrange(99)}" for _ in range(rnd.choice([1, 30, 60, 200])))
+        text += rnd.choice(["", "", " a@b.c", "\nLicensed under X"])
+        out.append((i, rnd.choice([text] * 20 + [None, ""]), rnd.choice(["en", "en", "en", "de", "fr", None, "-"]), source))
+    out.append((5000, "", "only-empty", "only-empty"))
+    return out + [out[0], out[0], (None, out[1][1], "en", "s1")]
+
+
+def topic_of(text):
+    n = len((text or "").split())
+    t = text or ""
+    if any(s in t for s in ("icensed under", "eleased under", "ights reserved")):
+        return "licensed", n
+    if "@" in t or "://" in t:
+        return "contact", n
+    return ("long" if n >= 1000 else "short" if n < 50 else "prose"), n
+
+
+def brute(data, targets):
+    cells = defaultdict(int)
+    for _, text, lang, source in data:
+        topic, n = topic_of(text)
+        cells[(source, lang, topic)] += n
+    factor = dict.fromkeys(cells, 1.0)
+    whole = sum(cells.values())
+    for sweep in range(200):
+        for k, name in enumerate(("source", "lang", "topic")):
+            sums, now = defaultdict(int), defaultdict(float)
+            for c, t in cells.items():
+                sums[c[k]] += t
+                now[c[k]] += t * factor[c]
+            target = targets[name]
+            weight = {
+                v: (target.get(v, s / whole) if isinstance(target, dict) else (s / whole) ** target) for v, s in sums.items() if s
+            }
+            total = sum(weight.values())
+            for c in cells:
+                if c[k] in weight:
+                    factor[c] *= weight[c[k]] / total / now[c[k]]
+    return cells, factor
+
+
+def draw(i, text, seed):
+    h = 42
+    if i is not None:
+        h = xxhash.xxh64(i.to_bytes(8, "little", signed=True), seed=h).intdigest()
+    if text is not None:
+        h = xxhash.xxh64(text.encode(), seed=h).intdigest()
+    h = xxhash.xxh64(seed.to_bytes(4, "little"), seed=h).intdigest()
+    return (h >> 11) / 2**53
+
+
+def test_against_brute_force(spark):
+    data = rows()
+    docs = spark.createDataFrame([(*r, 1, 2) for r in data], "doc_id long, text string, lang string, source string, tokens int, _key_lang int").repartition(6)
+    got = mixing.mixed(docs, TARGETS)
+    assert got.columns == [*docs.columns, "mix"]
+    got = got.collect()
+    assert len(got) == len(data)
+    cells, factor = brute(data, TARGETS)
+    top = max(f for c, f in factor.items() if cells[c])
+    kept = 0
+    for r in got:
+        topic, n = topic_of(r.text)
+        p = min(1.0, factor[(r.source, r.lang, topic)] / top)
+        assert (r.mix.topic, r.mix.n_tokens) == (topic, n)
+        if n:
+            assert r.mix.probability == pytest.approx(p, rel=1e-6)
+        u = draw(r.doc_id, r.text, mixing.SEED)
+        if abs(u - r.mix.probability) > 1e-9:
+            assert r.mix.kept == (u < r.mix.probability)
+        kept += r.mix.kept
+    assert 0 < kept < len(data)
+
+
+def test_raked_marginals_meet_their_targets(spark):
+    docs = spark.createDataFrame(rows(), "doc_id long, text string, lang string, source string")
+    got = mixing.mixed(docs, TARGETS)
+    for name, column in (("lang", F.col("lang")), ("source", F.col("source")), ("topic", F.col("mix.topic"))):
+        sums = got.groupBy(column.alias("c")).agg(F.sum("mix.n_tokens").alias("t"), F.sum(F.col("mix.n_tokens") * F.col("mix.factor")).alias("w"))
+        sums = [r for r in sums.collect() if r.t]
+        whole, target = sum(r.t for r in sums), TARGETS[name]
+        weight = {r.c: target.get(r.c, r.t / whole) if isinstance(target, dict) else (r.t / whole) ** target for r in sums}
+        for r in sums:
+            assert r.w / sum(x.w for x in sums) == pytest.approx(weight[r.c] / sum(weight.values()), rel=1e-6)
+
+
+def test_expected_tokens_follow_the_targets(spark):
+    docs = spark.createDataFrame(rows(20_000, 2)[:20_000], "doc_id long, text string, lang string, source string")
+    kept = mixing.sample(docs, {"source": 0.0})
+    assert kept.columns == docs.columns
+    tokens = {r.source: r.t for r in kept.groupBy("source").agg(F.sum(mixing.n_tokens()).alias("t")).collect()}
+    mean = sum(tokens.values()) / len(tokens)
+    assert len(tokens) == 5 and all(abs(t - mean) < 0.1 * mean for t in tokens.values())
+
+
+def test_empty_tables_and_texts(spark):
+    empty = spark.createDataFrame([], "doc_id long, text string, lang string, source string")
+    assert mixing.mixed(empty, TARGETS).count() == 0
+    blank = spark.createDataFrame([(1, None, None, None), (2, "", "en", "a")], empty.schema)
+    assert {r.mix.n_tokens for r in mixing.mixed(blank, TARGETS).collect()} == {0}
+
+
+def test_words_match_the_common_definition():
+    for text in ("a\x0bb\x0cc\rd\te f", " a ", "\x1fa\x85b"):
+        assert re.findall(mixing.WORD_PATTERN, text) == [w.decode() for w in text.encode().split()]
