@@ -26,6 +26,7 @@ from socialpages.llm.quality import (
     judged,
 )
 from socialpages.llm.simhash import simhash_groups
+from socialpages.llm.spotsigs import edit_check
 from socialpages.llm.substring import remove_repeats
 
 
@@ -33,6 +34,10 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"), shingle=3, distance=3)
 
 
+def op3_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_check(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return judged(docs).select(
@@ -110,6 +115,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {
+        "op3_spotsigs": op3_spotsigs,
         "op4_quality_rules": op4_quality_rules,
         "op8_sentencepiece": op8_sentencepiece,
         "op9_mixing": op9_mixing,
