@@ -18,7 +18,8 @@ The k-word windows are the edges of a De Bruijn graph over (k-1)-word nodes.
    borders are joined end to start (Spark equality joins) into maximal paths.
    Their two coordinates run in parallel, which verifies a long span window
    by window: a chance match of hashes does not continue.
-4. Removal.  The paths of a document meet its text, the covered words go.
+4. Removal.  The paths of a document are joined to its text, the covered
+   words go.
 
 "Earlier" means a smaller id, or an earlier start in the same document.
 Rows with one id count as one document if their texts agree; with different
@@ -41,7 +42,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from socialpages.llm.common import as_bytes, fresh, shuffle_partitions, split_words, text_slices
-from socialpages.plans.lineage import materialize
 
 WINDOW = 20
 ANCHOR = 4
@@ -275,21 +275,16 @@ def repeated_edges(docs: DataFrame, k: int = WINDOW, m: int = ANCHOR) -> DataFra
 def compact(pieces: DataFrame) -> DataFrame:
     """Maximal paths ``(doc, text_hash, pos, n, src, src_hash, src_pos)``.
 
-    A piece is joined to the piece that ends where it starts, in the document
-    and in the source alike; pieces without such a predecessor are heads, and
-    each head with its followers is one path.
+    The pieces of a document meet in one shuffle.  Those of one path lie on
+    one diagonal (source start less start); there a piece that starts at or
+    before the end of the earlier ones continues their path.
     """
-    pieces = materialize(pieces)
-    ends = pieces.selectExpr("doc", "text_hash", "pos + n as pos", "src", "src_hash", "src_pos + n as src_pos", "1 as follows")
-    marked = pieces.join(ends, ["doc", "text_hash", "pos", "src", "src_hash", "src_pos"], "left")
-    # pieces of one path lie on one diagonal (source start less start); rows of
-    # a repeated document may give overlapping pieces, hence ends and not sums
-    path = (
-        "sum(if(follows is null, 1, 0)) over "
-        "(partition by doc, text_hash, src, src_hash, src_pos - pos order by pos)"
-    )
+    diagonal = "partition by doc, text_hash, src, src_hash, src_pos - pos order by pos, n"
+    before = f"max(pos + n) over ({diagonal} rows between unbounded preceding and 1 preceding)"
     return (
-        marked.withColumn("path", F.expr(path))
+        pieces.repartition("doc", "text_hash")
+        .withColumn("head", F.expr(f"if(coalesce({before}, -1) < pos, 1, 0)"))
+        .withColumn("path", F.expr(f"sum(head) over ({diagonal} rows between unbounded preceding and current row)"))
         .groupBy("doc", "text_hash", "src", "src_hash", F.expr("src_pos - pos").alias("ahead"), "path")
         .agg(F.min("pos").alias("start"), F.max(F.expr("pos + n")).alias("stop"))
         .selectExpr("doc", "text_hash", "start as pos", "stop - start as n", "src", "src_hash", "start + ahead as src_pos")
