@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from socialpages.llm import pieces
 from socialpages.llm.common import table
+from socialpages.llm.licenses import TEMPLATES, THRESHOLD, scanned
 from socialpages.llm.mixing import mixed
 from socialpages.llm.quality import (
     COMMON_WORDS,
@@ -85,6 +86,45 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM b"""
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scanned(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "licence.*")
+
+
+_TEMPLATE_ROWS = ", ".join("('{}', '{}')".format(name, text.replace("'", "''")) for name, text in TEMPLATES)
+OP5_SQL = rf"""
+WITH norm AS (
+  SELECT doc_id, regexp_replace(lower(coalesce(text, '')), '[^\p{{L}}\p{{N}}
+]+', ' ', 'g') AS t FROM documents),
+parts AS (
+  SELECT doc_id, unnest(list_concat(
+    string_split(t, chr(10)),
+    list_filter(string_split_regex(trim(t, ' ' || chr(10)), '
+ *(?:
+ *)+'), lambda p: contains(p, chr(10))))) AS p
+  FROM norm),
+w AS (
+  SELECT doc_id, list_filter(string_split_regex(p, '[ 
+]'), lambda x: x <> '') AS ws FROM parts),
+g AS (
+  SELECT doc_id, list_distinct(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) AS b
+  FROM w WHERE len(ws) > 1),
+n AS (SELECT doc_id, count(*) AS n_passages FROM g GROUP BY doc_id),
+tw AS (
+  SELECT name, list_filter(string_split(regexp_replace(lower(x), '[^\p{{L}}\p{{N}}
+]+', ' ', 'g'), ' '), lambda y: y <> '') AS ws
+  FROM (VALUES {_TEMPLATE_ROWS}) v(name, x)),
+tb AS (SELECT name, list_distinct(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) AS b FROM tw),
+hits AS (
+  SELECT doc_id, name, 2.0::DOUBLE * len(list_intersect(g.b, tb.b)) / (len(g.b) + len(tb.b)) AS dice FROM g, tb
+  WHERE list_has_any(g.b, tb.b)),
+best AS (
+  SELECT doc_id, max(dice) AS dice, arg_min(name, struct_pack(d := -dice, x := name)) AS license,
+         string_agg(DISTINCT name, ',' ORDER BY name) AS licenses
+  FROM hits WHERE dice >= {THRESHOLD} GROUP BY doc_id)
+SELECT d.doc_id, license, dice, coalesce(licenses, '') AS licenses, coalesce(n_passages, 0)::BIGINT AS n_passages
+FROM documents d LEFT JOIN best USING (doc_id) LEFT JOIN n USING (doc_id)"""
+
+
 # Where the public vocabulary files are (driver only: tasks get the vocabulary).
 TOKENIZERS = "/opt/tokenizers"
 PIECES_FILE = f"{TOKENIZERS}/piece_bpe_32k.model"
@@ -117,6 +157,7 @@ def queries() -> dict:
     return {
         "op3_spotsigs": op3_spotsigs,
         "op4_quality_rules": op4_quality_rules,
+        "op5_license_scan": op5_license_scan,
         "op8_sentencepiece": op8_sentencepiece,
         "op9_mixing": op9_mixing,
         "op10_substring_dedup": op10_substring_dedup,
@@ -127,4 +168,5 @@ def queries() -> dict:
 def oracle_sql() -> dict[str, str]:
     return {
         "op4_quality_rules": OP4_SQL,
+        "op5_license_scan": OP5_SQL,
     }
