@@ -346,9 +346,8 @@ def encode(docs: DataFrame, model: Model, text: str = "text", out: str = "ids")
     text: empty).  Every row stays; other columns are carried along."""
 
     def ids(texts: pa.Array) -> pa.Array:
-        return shared.value.encode(texts)
+        return model.encode(texts)
 
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # a vocabulary: a few MB
     return docs.withColumn(out, F.arrow_udf(ids, "array<int>")(F.col(text)))
 
 
@@ -356,9 +355,8 @@ def decode(rows: DataFrame, model: Model, ids: str = "ids", out: str = "text") -
     """``rows`` with the text of a column of piece ids (null: null)."""
 
     def texts(column: pa.Array) -> pa.Array:
-        return shared.value.decode(column)
+        return model.decode(column)
 
-    shared = rows.sparkSession.sparkContext.broadcast(model)
     return rows.withColumn(out, F.arrow_udf(texts, "string")(F.col(ids)))
 
 
@@ -371,7 +369,6 @@ def round_trip(docs: DataFrame, model: Model, text: str = "text", out: str = "pi
     whether that equals the text.  A null text counts as empty."""
 
     def both(texts: pa.Array) -> pa.Array:
-        model = shared.value
         texts = pc.fill_null(texts, "")
         lists = model.encode(texts)
         decoded = model.decode(lists)
@@ -391,5 +388,4 @@ def round_trip(docs: DataFrame, model: Model, text: str = "text", out: str = "pi
             [f.split()[0] for f in ROUND_TRIP.split(", ")],
         )
 
-    shared = docs.sparkSession.sparkContext.broadcast(model)
     return docs.withColumn(out, F.arrow_udf(both, ROUND_TRIP)(F.col(text)))
