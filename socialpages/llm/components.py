@@ -2,7 +2,7 @@
 
 Alternating large-star and small-star steps (Kiveris et al., 2014): every
 step is one grouped minimum and one join over the edges, so no component
-is ever gathered anywhere.  Each step is checkpointed to the shared folder,
+is ever gathered anywhere.  Each step is written to the shared folder,
 which cuts the lineage of the loop.
 """
 
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from socialpages.plans.lineage import materialize
+from socialpages.llm.common import discard, staged
 
 
 def _star(edges: DataFrame, both: bool) -> DataFrame:
@@ -46,11 +46,14 @@ def components(edges: DataFrame) -> DataFrame:
         .where("u <> v")
         .distinct()
     )
-    edges = materialize(edges)
+    spark = edges.sparkSession
+    edges, path = staged(edges)
     state = _state(edges)
     while state[0]:
-        large = materialize(_star(edges, both=True))
-        edges = materialize(_star(large, both=False))
+        large, between = staged(_star(edges, both=True))
+        discard(spark, path)
+        edges, path = staged(_star(large, both=False))
+        discard(spark, between)
         new = _state(edges)
         if new == state:
             break

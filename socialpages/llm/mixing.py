@@ -13,8 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from socialpages.llm.common import WORD_PATTERN, fresh
-from socialpages.plans.lineage import materialize
+from socialpages.llm.common import WORD_PATTERN, discard, fresh, staged
 
 DIMENSIONS = ("source", "lang", "topic")
 MAX_SWEEPS = 50
@@ -81,16 +80,20 @@ def rake(
     any tokens: 1).
     """
     names = list(targets)
-    cells = materialize(cells)
-    shares = {d: materialize(_shares(cells, d, targets[d])) for d in names}
-    state = cells.select(*names, "tokens", F.lit(1.0).alias("factor"))
+    spark = cells.sparkSession
+    cells, _ = staged(cells)
+    shares = {d: staged(_shares(cells, d, targets[d]))[0] for d in names}
+    state, path = cells.select(*names, "tokens", F.lit(1.0).alias("factor")), None
     for _ in range(max_sweeps):
         new = state.withColumn("before", F.col("factor"))
         for d in names:
             got = new.groupBy(d).agg(F.sum(F.col("factor") * F.col("tokens")).alias("got")).join(shares[d], d)
             scale = got.where("got > 0").select(d, (F.col("share") / F.col("got")).alias("scale"))
             new = new.join(scale, d, "left").withColumn("factor", F.col("factor") * F.coalesce("scale", F.lit(1.0))).drop("scale")
-        state = materialize(new)
+        state, written = staged(new)
+        if path:
+            discard(spark, path)
+        path = written
         # the first sweep sets the scale, so it always moves
         moved = state.agg(F.max(F.abs(F.ln(F.col("factor") / F.col("before"))))).first()[0]
         state = state.drop("before")
@@ -116,7 +119,7 @@ def mixed(
     keys = {d: fresh(docs, f"_key_{d}") for d in targets}
     rows = rows.withColumns({keys[d]: _key(topic_name if d == "topic" else d) for d in targets})
     cells = rows.groupBy(*keys.values()).agg(F.sum(t).alias("tokens"))
-    raked = materialize(rake(cells.toDF(*targets, "tokens"), targets, **options))
+    raked, _ = staged(rake(cells.toDF(*targets, "tokens"), targets, **options))
     size, top = raked.agg(F.count(F.lit(1)), F.max(F.when(F.col("tokens") > 0, F.col("factor")))).first()
     factor, p = fresh(docs, "_factor"), fresh(docs, "_p")
     raked = raked.select(
