@@ -7,6 +7,7 @@ table, and the DuckDB SQL of those that SQL can express.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from socialpages.llm import pieces
 from socialpages.llm.common import table
@@ -26,11 +27,60 @@ from socialpages.llm.quality import (
     MIN_WORDS,
     judged,
 )
+from socialpages.llm.quotes import as_replies, conversations
 from socialpages.llm.simhash import simhash_groups
 from socialpages.llm.spotsigs import edit_check
 from socialpages.llm.substring import remove_repeats
 
 
+def op1_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    found = conversations(as_replies(turns).select("conv_id", "turn", "id", "message"), text="message")
+    return found.select(
+        "conv_id",
+        "turn",
+        F.col("thread.parent.conv_id").alias("parent_conv"),
+        F.col("thread.parent.turn").alias("parent_turn"),
+        F.col("thread.root.conv_id").alias("root_conv"),
+        F.col("thread.root.turn").alias("root_turn"),
+        F.col("thread.level").cast("long").alias("level"),
+        F.col("thread.n_quoted").alias("n_quoted"),
+        F.col("thread.n_linked").alias("n_linked"),
+        F.sha2("thread.own_text", 256).alias("own_sha256"),
+    )
+
+
+OP1_SQL = r"""
+WITH RECURSIVE m AS (SELECT conv_id, turn, text FROM conversations),
+u AS (
+  SELECT conv_id, turn, n, h FROM (
+    SELECT conv_id, turn, unnest(range(len(ps))) AS n,
+           unnest(list_transform(ps, lambda p: trim(regexp_replace(lower(p), '[\x20\x09-\x0D]+', ' ', 'g')))) AS h
+    FROM (SELECT conv_id, turn, string_split_regex(text, '\n *(?:\n *)+') AS ps FROM m))
+  WHERE h <> ''),
+o AS (SELECT h, min(struct_pack(c := conv_id, t := turn)) AS f FROM u GROUP BY h),
+q AS (
+  SELECT m.conv_id, m.turn, b.lvl, CASE WHEN f < struct_pack(c := m.conv_id, t := m.turn) THEN f END AS f
+  FROM m, (VALUES (1), (2)) b(lvl), u, o
+  WHERE u.conv_id = m.conv_id AND u.turn = m.turn - b.lvl AND o.h = u.h),
+v AS (SELECT conv_id, turn, lvl, f, count(*) AS n FROM q GROUP BY ALL),
+p AS (
+  SELECT conv_id, turn, sum(n) AS n_quoted, sum(CASE WHEN f IS NOT NULL THEN n ELSE 0 END) AS n_linked,
+         min(CASE WHEN f IS NOT NULL THEN struct_pack(l := lvl, k := -n, f := f) END).f AS f
+  FROM v GROUP BY conv_id, turn),
+tree AS (
+  SELECT m.conv_id, m.turn, f FROM m LEFT JOIN p ON p.conv_id = m.conv_id AND p.turn = m.turn),
+walk AS (
+  SELECT conv_id, turn, conv_id AS rc, turn AS rt, 0 AS level FROM tree WHERE f IS NULL
+  UNION ALL
+  SELECT tree.conv_id, tree.turn, walk.rc, walk.rt, walk.level + 1 FROM tree, walk
+  WHERE tree.f.c = walk.conv_id AND tree.f.t = walk.turn)
+SELECT m.conv_id, m.turn, p.f.c AS parent_conv, p.f.t AS parent_turn, rc AS root_conv, rt AS root_turn,
+       CAST(level AS BIGINT) AS level, CAST(coalesce(n_quoted, 0) AS BIGINT) AS n_quoted,
+       CAST(coalesce(n_linked, 0) AS BIGINT) AS n_linked, sha256(coalesce(m.text, '')) AS own_sha256
+FROM m JOIN walk USING (conv_id, turn) LEFT JOIN p USING (conv_id, turn)"""
+
+
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"), shingle=3, distance=3)
 
@@ -155,6 +205,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {
+        "op1_quotation_linking": op1_quotation_linking,
         "op3_spotsigs": op3_spotsigs,
         "op4_quality_rules": op4_quality_rules,
         "op5_license_scan": op5_license_scan,
@@ -167,6 +218,7 @@ def queries() -> dict:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_quotation_linking": OP1_SQL,
         "op4_quality_rules": OP4_SQL,
         "op5_license_scan": OP5_SQL,
     }
