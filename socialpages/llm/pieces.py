@@ -37,7 +37,7 @@ FIELD_TEXT, FIELD_SCORE, FIELD_TYPE = 1, 2, 3
 FIELD_CHARSMAP, FIELD_DUMMY_PREFIX, FIELD_EXTRA_SPACES = 2, 3, 4
 UNKNOWN_PENALTY = 10.0
 
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 NOT_A_CHAR = 0x110000  # between texts
 DRAW = 0x9E3779B97F4A7C15
 
@@ -288,7 +288,7 @@ class Model:
     def _encode_slice(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         shaped = [(MARKER * self.dummy_prefix + t.replace(" ", MARKER)) if t else "" for t in texts]
         lens = np.array([len(t) for t in shaped], np.int64)
-        chars = np.frombuffer("".join(shaped).encode("utf-32-le"), np.uint32).astype(np.int64)
+        chars = np.frombuffer("".join(shaped).encode("utf-32-le"), np.int32)
         if not len(chars):
             return np.zeros(0, np.int32), np.zeros(len(texts) + 1, np.int64)
         starts, lengths = self._units(chars)
