@@ -31,6 +31,7 @@ from socialpages.llm.quotes import as_replies, conversations
 from socialpages.llm.simhash import simhash_groups
 from socialpages.llm.spotsigs import edit_check
 from socialpages.llm.substring import remove_repeats
+from socialpages.llm.warc import archived
 
 
 def op1_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -203,12 +204,28 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(docs, k=20, with_text=False).select("doc_id", "dedup.*")
 
 
+def op7_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return archived(pages, with_payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP7_SQL = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM p)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id > first THEN first END AS refers_to
+FROM f"""
+
+
 def queries() -> dict:
     return {
         "op1_quotation_linking": op1_quotation_linking,
         "op3_spotsigs": op3_spotsigs,
         "op4_quality_rules": op4_quality_rules,
         "op5_license_scan": op5_license_scan,
+        "op7_warc_zstd": op7_warc_zstd,
         "op8_sentencepiece": op8_sentencepiece,
         "op9_mixing": op9_mixing,
         "op10_substring_dedup": op10_substring_dedup,
@@ -221,4 +238,5 @@ def oracle_sql() -> dict[str, str]:
         "op1_quotation_linking": OP1_SQL,
         "op4_quality_rules": OP4_SQL,
         "op5_license_scan": OP5_SQL,
+        "op7_warc_zstd": OP7_SQL,
     }

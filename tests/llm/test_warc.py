@@ -1,0 +1,107 @@
+import hashlib
+import struct
+
+import pytest
+import zstandard
+
+from socialpages.llm import warc
+
+
+def brute(rows):
+    first = {}
+    for i, _, h in rows:
+        p = (h or "").encode()
+        if i is not None and len(p) >= 100:
+            first[p] = min(i, first.get(p, i))
+    out = []
+    for i, _, h in rows:
+        p = (h or "").encode()
+        f = first.get(p)
+        again = f is not None and i != f
+        out.append((i, len(p), hashlib.sha256(p).hexdigest(), "revisit" if again else "response", f if again else None))
+    return sorted(out, key=str)
+
+
+def pages():
+    long = "<p>" + "ünï " * 40
+    rows = [(i, f"http://x/{i}", f"<html>{i}</html>" * (i % 40)) for i in range(500)]
+    rows += [(1000 - i, "u r\nl", long) for i in range(30)] + [(2000 + i, None, "short") for i in range(5)]
+    rows += [(3000, "", None), (3001, "x", ""), (None, "n", long), (None, "n", "only here " * 20), (None, "n", "only here " * 20)]
+    rows += [(990, "again", long), (971, "again", long), (971, "again", long), (4000, "crlf", "a\r\n\r\nb" * 50), (4001, "crlf", "a\r\n\r\nb" * 50)]
+    return rows
+
+
+@pytest.mark.parametrize("archive_bytes", [1 << 20, 3000])
+def test_pages_come_back(spark, archive_bytes):
+    rows = pages()
+    frame = spark.createDataFrame([(*r, 1, 2) for r in rows], "page_id long, url string, html string, digest int, payload int").repartition(3)
+    got = warc.archived(frame, archive_bytes=archive_bytes).collect()
+    assert sorted(((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got), key=str) == brute(rows)
+    for r in got:
+        if r.record_type == "response":
+            assert hashlib.sha256(r.payload).hexdigest() == r.payload_digest
+        else:
+            assert r.payload is None
+
+
+def test_files_and_manifest(spark, tmp_path):
+    frame = spark.createDataFrame(pages(), "page_id long, url string, html string").repartition(2)
+    manifest = warc.write_pages(frame, f"{tmp_path}/a", archive_bytes=3000).collect()
+    assert sum(r.n_records for r in manifest) == len(pages()) and len(manifest) >= 4
+    for r in manifest:
+        data = (tmp_path / "a" / r.file).read_bytes()
+        assert len(data) == r.n_bytes and data[:4] == bytes.fromhex("5d2a4d18")
+        size = struct.unpack("<I", data[4:8])[0]
+        whole = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(data[8 : 8 + size]))
+        with whole.stream_reader(data[8 + size :], read_across_frames=True) as s:
+            assert s.read().count(b"WARC/1.1\r\nWARC-Type") == r.n_records
+    (tmp_path / "a" / "stray.warc.zst").write_bytes(b"of a lost attempt")
+    assert warc.read_pages(spark, [f"{tmp_path}/a/{r.file}" for r in manifest]).count() == len(pages())
+
+
+def test_no_pages(spark):
+    frame = spark.createDataFrame([], "page_id long, url string, html string")
+    assert warc.archived(frame).count() == 0
+
+
+def archive(*records):
+    w = warc.Writer(list(records))
+    for r in records:
+        w.add(r)
+    return b"".join(w.frames)
+
+
+def test_a_large_record_and_a_compressed_dictionary():
+    r = warc.page_record(1, "u", bytes(range(256)) * 40_000, None, False)
+    assert [b for _, b in warc.read_records(archive(r))][0].endswith(bytes(range(256)))
+    plain = [warc.page_record(i, "u", b"abc %d" % i * 30, None, False) for i in range(50)]
+    held = warc.dictionary(plain)
+    packed = zstandard.compress(held)
+    c = zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(held))
+    data = struct.pack("<II", warc.SKIPPABLE_DICTIONARY, len(packed)) + packed + b"".join(c.compress(p) for p in plain)
+    assert len(list(warc.read_records(data))) == 50
+    bare = zstandard.ZstdCompressor(write_content_size=False)
+    assert len(list(warc.read_records(b"".join(bare.compress(p) for p in plain)))) == 50
+
+
+@pytest.mark.parametrize("damage", [
+    lambda d: d[:-5], lambda d: d[: len(d) - 2] + b"xx", lambda d: b"\x00" * 8 + d, lambda d: d + b"\x28", lambda d: d[:6],
+])
+def test_damaged_frames_are_found(damage):
+    good = archive(*[warc.page_record(i, "u", b"payload %d" % i * 50, None, False) for i in range(20)])
+    with pytest.raises(warc.BadArchive):
+        list(warc.read_records(damage(good)))
+
+
+@pytest.mark.parametrize("old,new,why", [
+    (b"WARC/1.1", b"WARC/9.9", "not a WARC"), (b"WARC-Date: ", b"X-Date: ", "without WARC-Date"),
+    (b"Content-Length: 1", b"Content-Length: 2", "Content-Length"), (b"payload 7", b"payload 8", "digest"),
+    (b"urn:page:7", b"urn:book:7", "record id"), (b"WARC-Type: response", b"WARC-Type: resource", "record type"),
+    (b"WARC-Type: response", b"no name here", "without a name"),
+])
+def test_wrong_records_are_found(old, new, why):
+    data = warc.page_record(7, "u", b"payload 7" * 12, None, False)
+    assert old in data
+    with pytest.raises(warc.BadArchive, match=why):
+        for headers, block in warc.read_records(archive(data.replace(old, new, 1))):
+            warc.read_page(headers, block)
