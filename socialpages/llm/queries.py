@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from socialpages.llm import pieces
+from socialpages.llm import pieces, tokens
 from socialpages.llm.common import table
 from socialpages.llm.licenses import TEMPLATES, THRESHOLD, scanned
 from socialpages.llm.mixing import mixed
@@ -204,6 +204,23 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(docs, k=20, with_text=False).select("doc_id", "dedup.*")
 
 
+RANKS_FILE = f"{TOKENIZERS}/byte_bpe_50k.tiktoken"
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = tokens.load_ranks(RANKS_FILE)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("edits", tokens.sample_edits())
+    edited = tokens.apply_edits(tokens.with_trees(docs, ranks), ranks)
+    return edited.select(
+        "doc_id",
+        "tree.n_pretokens",
+        "tree.n_tokens",
+        F.col("edited.n_tokens").alias("n_tokens_edited"),
+        F.col("edited.n_encoded").alias("n_encoded"),
+        F.sha2("edited.text", 256).alias("edited_sha256"),
+    )
+
+
 def op7_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return archived(pages, with_payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -225,6 +242,7 @@ def queries() -> dict:
         "op3_spotsigs": op3_spotsigs,
         "op4_quality_rules": op4_quality_rules,
         "op5_license_scan": op5_license_scan,
+        "op6_token_counts": op6_token_counts,
         "op7_warc_zstd": op7_warc_zstd,
         "op8_sentencepiece": op8_sentencepiece,
         "op9_mixing": op9_mixing,
