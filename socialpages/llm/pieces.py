@@ -363,10 +363,13 @@ def decode(rows: DataFrame, model: Model, ids: str = "ids", out: str = "text") -
 ROUND_TRIP = "n_pieces long, n_byte_pieces long, ids_sha256 string, decoded_sha256 string, same boolean"
 
 
-def round_trip(docs: DataFrame, model: Model, text: str = "text", out: str = "pieces") -> DataFrame:
+def round_trip(docs: DataFrame, model: Model, text: str = "text", out: str = "pieces", with_ids: bool = False) -> DataFrame:
     """``docs`` with a struct column: number of pieces and of byte pieces,
-    SHA-256 of the ids (little-endian 32-bit) and of the decoded text, and
-    whether that equals the text.  A null text counts as empty."""
+    SHA-256 of the ids (little-endian 32-bit) and of the decoded text, whether
+    that equals the text, and, ``with_ids``, the ids.  A null text counts as
+    empty."""
+
+    kind = ROUND_TRIP + ", ids array<int>" * with_ids
 
     def both(texts: pa.Array) -> pa.Array:
         texts = pc.fill_null(texts, "")
@@ -384,8 +387,9 @@ def round_trip(docs: DataFrame, model: Model, text: str = "text", out: str = "pi
                 pa.array([hashlib.sha256(flat[a:b].tobytes()).hexdigest() for a, b in zip(offsets[:-1], offsets[1:])], pa.string()),
                 pa.array([hashlib.sha256(t.encode()).hexdigest() for t in decoded.to_pylist()], pa.string()),
                 pc.equal(texts, decoded),
+                *[lists] * with_ids,
             ],
-            [f.split()[0] for f in ROUND_TRIP.split(", ")],
+            [f.split()[0] for f in kind.split(", ")],
         )
 
-    return docs.withColumn(out, F.arrow_udf(both, ROUND_TRIP)(F.col(text)))
+    return docs.withColumn(out, F.arrow_udf(both, kind)(F.col(text)))

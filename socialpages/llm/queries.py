@@ -236,6 +236,12 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
 FROM f"""
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline  # it uses this module's parameters
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict:
     return {
         "op1_quotation_linking": op1_quotation_linking,
@@ -248,6 +254,7 @@ def queries() -> dict:
         "op9_mixing": op9_mixing,
         "op10_substring_dedup": op10_substring_dedup,
         "op2_simhash_near_dedup": op2_simhash_near_dedup,
+        "pipeline": pipeline,
     }
 
 
