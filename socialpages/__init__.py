@@ -19,8 +19,8 @@ from socialpages.operators.reports import (
     top_accessed_pages,
     unvisited_friends,
 )
-from socialpages.operators.rejects import reject_counts, observe_rejects
-from socialpages.sources.csv_files import read_access, read_friends, read_pages
+from socialpages.operators.rejects import observe_rejects, reject_counts, top_pages_rejects
+from socialpages.sources.csv_files import parse_lines, read_access, read_friends, read_lines, read_pages
 from socialpages.sources.sinks import write_report_text, write_tsv, write_value_text
 
 __all__ = [
@@ -32,12 +32,15 @@ __all__ = [
     "nationality_hobby_rows",
     "observe_rejects",
     "popular_users",
+    "parse_lines",
     "read_access",
     "read_friends",
+    "read_lines",
     "read_pages",
     "reject_counts",
     "third_field_count",
     "top_accessed_pages",
+    "top_pages_rejects",
     "unvisited_friends",
     "write_report_text",
     "write_tsv",

@@ -1,7 +1,7 @@
 """Run one report over the CSV files and write its text output.
 
     python -m socialpages top_pages --pages pages.csv \
-        --access access_logs.csv --out /out/taskB
+        --access access_logs.csv --out top_pages
 
 Reports: nationality, top_pages, countries, third_field, connectedness,
 diversity, unvisited, disconnected, popular, rejects -- or ``all``, which
@@ -32,6 +32,7 @@ from socialpages.sources import (
     write_tsv,
     write_value_text,
 )
+from socialpages.sources.sinks import CONNECTEDNESS_LINE, DIVERSITY_LINE, POPULAR_LINE
 
 NEEDS = {
     "nationality": ("pages",),
@@ -75,11 +76,15 @@ def main(argv: list[str] | None = None) -> None:
         "friends": read_friends(spark, args.friends) if args.friends else None,
         "access": read_access(spark, args.access) if args.access else None,
     }
-    if args.cache and len(reports) > 1:
+    cached = args.cache and len(reports) > 1
+    if cached:
         inputs = {k: (v.persist(StorageLevel.MEMORY_AND_DISK) if v is not None else None) for k, v in inputs.items()}
     for report in reports:
         out = f"{args.out.rstrip('/')}/{report}" if args.report == "all" else args.out
         _write(report, inputs, args, out)
+    for df in inputs.values():
+        if cached and df is not None:
+            df.unpersist()
 
 
 def _write(report: str, inputs: dict, args: argparse.Namespace, out: str) -> None:
@@ -98,9 +103,10 @@ def _write(report: str, inputs: dict, args: argparse.Namespace, out: str) -> Non
         "unvisited": lambda: ops.unvisited_friends(p, f, a),
         "disconnected": lambda: ops.disconnected_users(p, a, args.as_of, args.days),
         "popular": lambda: ops.popular_users(p, f),
-        "rejects": lambda: ops.reject_counts(a, "what_page").unionByName(ops.reject_counts(p, "person_id")),
+        "rejects": lambda: ops.top_pages_rejects(p, a),
     }[report]()
-    write_tsv(result, out, args.mode, sort_by=[result.columns[0]] if args.sorted else None)
+    lines = {"connectedness": CONNECTEDNESS_LINE, "diversity": DIVERSITY_LINE, "popular": POPULAR_LINE}.get(report)
+    write_tsv(result, out, args.mode, sort_by=[result.columns[0]] if args.sorted or report == "rejects" else None, columns=lines)
 
 
 if __name__ == "__main__":

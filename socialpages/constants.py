@@ -1,22 +1,15 @@
 """Fixed values.
 
 The results match the original reports only with exactly these values:
-the header lines of the three files, their text formats, the report
-defaults and the text rules of Java's ``String.trim`` and
-``Integer.parseInt``.  They are stated here plainly, together, in file and
-report order; everything else derives from them.
+the files' text formats, the report defaults and the text rules of Java's
+``String.trim`` and ``Integer.parseInt``.  They are stated here plainly,
+together, in file and report order; everything else derives from them.
 """
 
 # --- fixed values ----------------------------------------------------------------------------
 
-# Header lines of the three files, fields in file order.
-PAGES_HEADER = ["PersonID", "Name", "Nationality", "Country Code", "Hobby"]
-FRIENDS_HEADER = ["FriendRel", "PersonID", "MyFriend", "DateOfFriendship", "Desc"]
-ACCESS_HEADER = ["AccessID", "ByWho", "WhatPage", "TypeOfAccess", "AccessTime"]
-
-# Field separator (no quoting, no escaping) and text formats.
+# Field separator (no quoting, no escaping) and time format.
 FIELD_SEPARATOR = ","
-FRIENDSHIP_DATE_FORMAT = "yyyy-MM-dd"
 ACCESS_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 # Report defaults: A's nationality and its "name, hobby" separator, B's top k,

@@ -4,9 +4,11 @@ exact-hour time cutoff.  All are built-in Spark expressions."""
 from socialpages.functions.text import (
     JAVA_TRIM_CHARS,
     STRICT_INT_PATTERN,
+    has_min_fields,
     is_int_text,
     is_string,
     java_trim,
+    joinable,
     present,
     present_expr,
     strict_int,
@@ -20,9 +22,11 @@ __all__ = [
     "STRICT_INT_PATTERN",
     "access_time",
     "before_cutoff",
+    "has_min_fields",
     "is_int_text",
     "is_string",
     "java_trim",
+    "joinable",
     "present",
     "present_expr",
     "strict_int",

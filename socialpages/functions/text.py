@@ -77,14 +77,47 @@ def present_expr(col: Column) -> Column:
     return col.isNotNull() & (col != F.lit(""))
 
 
-def with_min_fields(df: DataFrame, more_than: int) -> DataFrame:
-    """Arity guard ``parts.length > more_than`` of the line-based jobs.
-
-    Text rows carry their Java split length in ``_n_fields``; typed rows
-    (parquet and the like) have no such column and are always complete, so
-    the guard costs nothing and reads no extra column on them.
+def has_min_fields(df: DataFrame, more_than: int, columns: list[str]) -> Column | None:
+    """The arity guard ``parts.length > more_than`` of the line-based jobs as a
+    condition, or None where every row passes.
+
+    Text rows carry their Java split length in ``_n_fields``.  For typed rows
+    the length is the position of the last field that is present (not NULL and,
+    for text, not empty), so a row passes if any of the relation's ``columns``
+    at position ``more_than`` or later is present.  A frame that has none of
+    these columns, or has one that cannot be NULL, is complete; the optimizer
+    drops the condition where a join or filter already implies it.
     """
     if N_FIELDS in df.columns:
-        return df.where(F.col(N_FIELDS) > F.lit(more_than))
-    return df
-
+        return F.col(N_FIELDS) > F.lit(more_than)
+    later = [c for c in columns[more_than:] if c in df.columns]
+    if not later or any(not df.schema[c].nullable and not is_string(df, c) for c in later):
+        return None
+    condition = present(df, later[0])
+    for c in later[1:]:
+        condition = condition | present(df, c)
+    return F.coalesce(condition, F.lit(False)) if any(is_string(df, c) for c in later) else condition
+
+
+def with_min_fields(df: DataFrame, more_than: int, columns: list[str], required: str | None = None) -> DataFrame:
+    """The rows that pass ``has_min_fields``.
+
+    ``required`` names a column that the caller tests for presence anyway.  If it
+    is at position ``more_than`` or later, that test implies the guard on typed
+    rows, and no further column is read for it.
+    """
+    if required in columns[more_than:] and N_FIELDS not in df.columns:
+        return df
+    condition = has_min_fields(df, more_than, columns)
+    return df if condition is None else df.where(condition)
+
+
+def joinable(left: DataFrame, left_column: str, right: DataFrame, right_column: str) -> tuple[DataFrame, DataFrame]:
+    """Both frames with the two columns as text if just one of them is text, so
+    that a typed id meets the same id as text instead of failing a cast."""
+    if is_string(left, left_column) == is_string(right, right_column):
+        return left, right
+    return (
+        left.withColumn(left_column, F.col(left_column).cast("string")),
+        right.withColumn(right_column, F.col(right_column).cast("string")),
+    )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from socialpages.functions.text import java_trim
-from socialpages.schemas import ACCESS_TIME_FORMAT
+from socialpages.constants import ACCESS_TIME_FORMAT
 
 MICROS_PER_DAY = 86_400 * 1_000_000
 
@@ -29,10 +29,14 @@ def access_time(df: DataFrame, name: str, fmt: str = ACCESS_TIME_FORMAT) -> Colu
     return F.try_to_timestamp(java_trim(F.col(name).cast("string")), F.lit(fmt))
 
 
-def _as_text(as_of: dt.datetime | str) -> str:
-    if isinstance(as_of, dt.datetime):
-        return as_of.isoformat(sep=" ")
-    return str(as_of)
+def _instant(as_of: dt.datetime | str) -> tuple[str, bool]:
+    """The text of ``as_of`` and whether it names a time zone or offset."""
+    if not isinstance(as_of, dt.datetime):
+        try:
+            as_of = dt.datetime.fromisoformat(str(as_of).strip())
+        except ValueError:  # left to Spark, e.g. with a region's name at the end
+            return str(as_of), not str(as_of).strip()[-1:].isdigit()
+    return as_of.isoformat(sep=" "), as_of.tzinfo is not None
 
 
 def before_cutoff(
@@ -45,10 +49,18 @@ def before_cutoff(
     ``TimestampType`` the comparison is done on epoch microseconds.  For
     ``TimestampNTZType`` (wall-clock values, no zone) plain interval
     arithmetic is already exact.  ``as_of`` defaults to the query's
-    current time; a naive value is read in the session time zone.
+    current time; a naive value is read in the session time zone, and a
+    zoned one is that instant, on wall-clock columns its wall-clock time in
+    the session time zone.
     """
+    text, zoned = _instant(as_of) if as_of is not None else ("", False)
     if isinstance(dtype, T.TimestampNTZType):
-        now = F.localtimestamp() if as_of is None else F.lit(_as_text(as_of)).cast("timestamp_ntz")
+        if as_of is None:
+            now = F.localtimestamp()
+        elif zoned:
+            now = F.lit(text).cast("timestamp").cast("timestamp_ntz")
+        else:
+            now = F.lit(text).cast("timestamp_ntz")
         return ts < now - F.make_dt_interval(F.lit(days))
-    now = F.current_timestamp() if as_of is None else F.lit(_as_text(as_of)).cast("timestamp")
+    now = F.current_timestamp() if as_of is None else F.lit(text).cast("timestamp")
     return F.unix_micros(ts) < F.unix_micros(now) - F.lit(days * MICROS_PER_DAY)

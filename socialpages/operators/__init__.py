@@ -1,6 +1,6 @@
 """The reports (one function each) and the reject counter."""
 
-from socialpages.operators.rejects import observe_rejects, reject_counts
+from socialpages.operators.rejects import observe_rejects, reject_counts, top_pages_rejects
 from socialpages.operators.reports import (
     access_diversity,
     connectedness_factor,
@@ -26,5 +26,6 @@ __all__ = [
     "reject_counts",
     "third_field_count",
     "top_accessed_pages",
+    "top_pages_rejects",
     "unvisited_friends",
 ]

@@ -1,9 +1,10 @@
-"""Reject counting: how many rows a strict int parse of a column refuses.
+"""Reject counting: rows too short for a field, and rows whose field a strict
+int parse refuses.
 
-The original top-pages job counts, in a job counter, the rows whose id
-field is not an int.  Here it is a query of its own -- a global aggregate,
-one partial row per task -- or, inside a larger job, an ``Observation``
-filled while that job runs (no extra pass over the data).
+The original top-pages job first tests the arity of a row and then counts, in
+one job counter over both inputs, the rows whose id field is not an int.  Here
+the counts are a query -- one partial row per task -- or, inside a larger job,
+an ``Observation`` filled while that job runs (no extra pass over the data).
 """
 
 from __future__ import annotations
@@ -11,8 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from socialpages.functions.text import is_int_text, is_integral, present
-
+from socialpages.functions.text import has_min_fields, is_int_text, is_integral, present
+from socialpages.schemas import ACCESS_COLUMNS, PAGES_COLUMNS
 
 RULES = ("int", "present")
 
@@ -27,32 +28,54 @@ def _accepted(df: DataFrame, column: str, rule: str) -> Column:
     return is_int_text(F.col(column))
 
 
-def reject_counts(df: DataFrame, column: str, rule: str = "int") -> DataFrame:
-    """One row ``(n_rows, n_rejected)``: rows, and rows the rule refuses.
+def _counts(df: DataFrame, column: str, rule: str, more_than: int | None, columns: list[str] | None) -> list[Column]:
+    guard = None if more_than is None else has_min_fields(df, more_than, columns or df.columns)
+    guard = F.lit(True) if guard is None else F.coalesce(guard, F.lit(False))
+    return [
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(~guard).alias("n_short"),
+        F.count_if(guard & ~_accepted(df, column, rule)).alias("n_rejected"),
+    ]
+
 
+def reject_counts(
+    df: DataFrame, column: str, rule: str = "int", more_than: int | None = None, columns: list[str] | None = None
+) -> DataFrame:
+    """One row ``(n_rows, n_short, n_rejected)``.
+
+    ``n_short``: rows that the arity guard ``more_than`` (over the relation's
+    ``columns``) drops, 0 without a guard.  ``n_rejected``: rows that pass the
+    guard and that the rule refuses.
     ``rule="int"``: ``column`` is not an int in ``Integer.parseInt``'s sense
     (the top-pages report drops such ids; NULL is a reject).
-    ``rule="present"``: ``column`` is NULL or empty -- the field is missing
-    from a short row or the id is blank; the reports keyed by text ids drop
-    these rows.
+    ``rule="present"``: ``column`` is NULL or empty -- the id is blank; the
+    reports keyed by text ids drop these rows.
     """
-    return df.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_if(~_accepted(df, column, rule)).alias("n_rejected"),
+    return df.agg(*_counts(df, column, rule, more_than, columns))
+
+
+def top_pages_rejects(pages: DataFrame, access: DataFrame) -> DataFrame:
+    """The top-pages job's reject counter: ``(src, n_rows, n_short,
+    n_rejected)`` for each input and, as ``total``, over both."""
+    parts = [
+        reject_counts(access, "what_page", more_than=2, columns=ACCESS_COLUMNS).withColumn("src", F.lit("access")),
+        reject_counts(pages, "person_id", more_than=2, columns=PAGES_COLUMNS).withColumn("src", F.lit("pages")),
+    ]
+    counts = parts[0].unionByName(parts[1])
+    return (
+        counts.rollup("src")
+        .agg(*[F.sum(c).alias(c) for c in ("n_rows", "n_short", "n_rejected")])
+        .select(F.coalesce("src", F.lit("total")).alias("src"), "n_rows", "n_short", "n_rejected")
     )
 
 
 def observe_rejects(
-    df: DataFrame, column: str, name: str = "rejects", rule: str = "int"
+    df: DataFrame, column: str, name: str = "rejects", rule: str = "int",
+    more_than: int | None = None, columns: list[str] | None = None,
 ) -> tuple[DataFrame, Observation]:
-    """``df`` with an attached observation of the same two counts.
+    """``df`` with an attached observation of the same three counts.
 
     Read ``observation.get`` after the first action on the returned frame.
     """
     observation = Observation(name)
-    observed = df.observe(
-        observation,
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_if(~_accepted(df, column, rule)).alias("n_rejected"),
-    )
-    return observed, observation
+    return df.observe(observation, *_counts(df, column, rule, more_than, columns)), observation

@@ -12,8 +12,7 @@ Plan shape, shared by all reports:
 * names are reduced to one row per id (``min``) before joining, so joins
   never multiply rows, and every join input holds at most one row per
   key -- a hot key cannot skew a join (the top-pages report, which must
-  keep repeated page rows, filters them with a broadcast of its k leading
-  ids instead of joining them);
+  keep repeated page rows, joins them to its k leading ids only);
 * join strategies are left to Catalyst and AQE: a side is broadcast only
   when its size is under ``spark.sql.autoBroadcastJoinThreshold``
   (statically from file sizes, or at run time from the measured shuffle
@@ -42,8 +41,17 @@ from socialpages.constants import (
     MEMBER_SEPARATOR,
     UNKNOWN_NAME,
 )
-from socialpages.functions.text import is_string, java_trim, present, strict_int, trimmed, with_min_fields
+from socialpages.functions.text import (
+    is_string,
+    java_trim,
+    joinable,
+    present,
+    strict_int,
+    trimmed,
+    with_min_fields,
+)
 from socialpages.functions.time import access_time, before_cutoff
+from socialpages.schemas import ACCESS_COLUMNS, FRIENDS_COLUMNS, PAGES_COLUMNS
 
 
 def _rows() -> Column:
@@ -66,7 +74,7 @@ def _names_by_id(pages: DataFrame, min_fields: int, trim_id: bool, trim_name: bo
     The original jobs keep whichever row of a repeated id arrives last,
     which depends on the shuffle; ``min`` is the deterministic choice.
     """
-    p = with_min_fields(pages, min_fields)
+    p = with_min_fields(pages, min_fields, PAGES_COLUMNS)
     ids = p.select(
         (trimmed(p, "person_id") if trim_id else F.col("person_id")).alias("id"),
         (trimmed(p, "name") if trim_name else F.col("name")).alias("name"),
@@ -78,23 +86,23 @@ def _names_by_id(pages: DataFrame, min_fields: int, trim_id: bool, trim_name: bo
 # --- A: members of one nationality ---------------------------------------------------------
 
 def _nationality_members(pages: DataFrame, nationality: str) -> DataFrame:
-    p = with_min_fields(pages, 4)
+    p = with_min_fields(pages, 4, PAGES_COLUMNS)
     cond = trimmed(p, "nationality") == F.lit(nationality)
     if is_string(p, "nationality") and nationality:
         # Implied by the trimmed equality and pushable into the scan, where
         # dictionary-encoded row groups without the value are skipped.
         cond = F.col("nationality").contains(nationality) & cond
     return p.where(cond).select(
-        trimmed(p, "name").alias("name"),
-        trimmed(p, "hobby").alias("hobby"),
+        F.coalesce(trimmed(p, "name"), F.lit("")).alias("name"),
+        F.coalesce(trimmed(p, "hobby"), F.lit("")).alias("hobby"),
     )
 
 
 def nationality_hobby_rows(pages: DataFrame, nationality: str = DEFAULT_NATIONALITY) -> DataFrame:
     """Names and hobbies of the people of one nationality: ``(name, hobby)``.
 
-    Rows need a fifth field; nationality, name and hobby are trimmed; the
-    match is exact and case-sensitive.  No shuffle.
+    Rows need a fifth field; nationality, name and hobby are trimmed, a missing
+    name is empty; the match is exact and case-sensitive.  No shuffle.
     """
     return _nationality_members(pages, nationality)
 
@@ -116,11 +124,6 @@ def nationality_hobby_report(pages: DataFrame, nationality: str = DEFAULT_NATION
 
 # --- B: most accessed pages ------------------------------------------------------------------
 
-# Largest ``k`` for which the top-pages report broadcasts its k candidate
-# ids; beyond it the planner picks the join (a sort-merge join at scale).
-BROADCAST_MAX_K = 100_000
-
-
 def top_accessed_pages(pages: DataFrame, access: DataFrame, k: int = DEFAULT_TOP_K) -> DataFrame:
     """The ``k`` most accessed pages: ``(accesses, person_id, name, nationality)``.
 
@@ -131,22 +134,26 @@ def top_accessed_pages(pages: DataFrame, access: DataFrame, k: int = DEFAULT_TOP
     accesses descending, then id, name, nationality ascending; exactly
     ``k`` rows (ties at rank k are cut by id).
 
-    Plan -- no page row is ever shuffled, so a page id repeated on a third
-    of all page rows cannot skew anything:
+    Plan:
 
     1. accesses per page and the distinct page ids, both partially
        aggregated map-side, joined on the id (one row per id on each side);
     2. the top ``k`` ids by (accesses desc, id) -- ``TakeOrderedAndProject``.
        Every id has at least one page row, so these ``k`` ids hold all
        rows of the answer;
-    3. the page rows of those ids: the ``k`` ids are broadcast (a bound set
-       by ``k``) and every scan task filters its own page rows;
+    3. the page rows of those ids.  The planner knows the size of ``k`` rows: it
+       broadcasts them while they are under its threshold, and then no page row
+       is shuffled; beyond it the page rows are joined by id, both sides plain
+       shuffles that AQE can split where one id is on many page rows;
     4. the final top ``k`` rows, again ``k`` per task and then merged.
+
+    ``k`` rows are merged in one task (steps 2 and 4), so ``k`` is bounded by
+    what one task can sort; it is a report's length, not a share of the data.
     """
-    a = with_min_fields(access, 2)
+    a = with_min_fields(access, 2, ACCESS_COLUMNS, required="what_page")
     hits = a.select(strict_int(a, "what_page").alias("page")).where(F.col("page").isNotNull())
     counts = hits.groupBy("page").agg(_rows().alias("accesses"))
-    p = with_min_fields(pages, 2)
+    p = with_min_fields(pages, 2, PAGES_COLUMNS)
     details = p.select(
         strict_int(p, "person_id").alias("person_id"), F.col("name"), F.col("nationality")
     ).where(F.col("person_id").isNotNull())
@@ -157,8 +164,6 @@ def top_accessed_pages(pages: DataFrame, access: DataFrame, k: int = DEFAULT_TOP
         .limit(k)
         .select(F.col("person_id").alias("leader"), "accesses")
     )
-    if k <= BROADCAST_MAX_K:
-        leaders = F.broadcast(leaders)
     rows = details.join(leaders, details.person_id == leaders.leader)
     return (
         rows.orderBy(
@@ -176,7 +181,7 @@ def country_page_count(pages: DataFrame) -> DataFrame:
 
     Rows need a fourth field.  One partially aggregated shuffle.
     """
-    p = with_min_fields(pages, 3)
+    p = with_min_fields(pages, 3, PAGES_COLUMNS)
     return p.groupBy(trimmed(p, "nationality").alias("nationality")).agg(_rows().alias("n_pages"))
 
 
@@ -187,8 +192,8 @@ def third_field_count(pages: DataFrame, access: DataFrame) -> DataFrame:
     nationalities with accessed page ids; this is that count, without the
     header lines.  Union all of the two projections, one shuffle.
     """
-    a = with_min_fields(access, 3)
-    p = with_min_fields(pages, 3)
+    a = with_min_fields(access, 3, ACCESS_COLUMNS)
+    p = with_min_fields(pages, 3, PAGES_COLUMNS)
     values = a.select(_text(a, "what_page", trim=True).alias("k")).unionByName(
         p.select(_text(p, "nationality", trim=True).alias("k"))
     )
@@ -211,10 +216,11 @@ def connectedness_factor(pages: DataFrame, friends: DataFrame) -> DataFrame:
     Plan: partial count per friend id, one name per page id, full outer
     sort-merge join on the id (both sides already hash-partitioned on it).
     """
-    f = with_min_fields(friends, 2)
+    f = with_min_fields(friends, 2, FRIENDS_COLUMNS, required="my_friend")
     listed = f.select(trimmed(f, "my_friend").alias("friend"))
     indegree = listed.where(present(listed, "friend")).groupBy("friend").agg(_rows().alias("n"))
     names = _names_by_id(pages, 1, trim_id=True, trim_name=True, blank_name_is_missing=True)
+    names, indegree = joinable(names, "id", indegree, "friend")
     joined = names.join(indegree, names.id == indegree.friend, "full_outer")
     has_page = F.col("name").isNotNull()
     the_id = F.coalesce(F.col("id"), F.col("friend"))
@@ -239,13 +245,14 @@ def access_diversity(pages: DataFrame, access: DataFrame) -> DataFrame:
     its pages and collapses repeats map-side -- then sum and count per
     reader, then an inner join with one name per page id.
     """
-    a = with_min_fields(access, 2)
+    a = with_min_fields(access, 2, ACCESS_COLUMNS)
     reads = a.select(F.col("by_who"), F.col("what_page").alias("page"))
     per_pair = reads.where(present(reads, "by_who")).groupBy("by_who", "page").agg(_rows().alias("c"))
     per_reader = per_pair.groupBy("by_who").agg(
         F.sum("c").alias("total_accesses"), F.count("page").alias("distinct_pages")
     )
     names = _names_by_id(pages, 1, trim_id=False, trim_name=False)
+    names, per_reader = joinable(names, "id", per_reader, "by_who")
     return names.join(per_reader, names.id == per_reader.by_who).select(
         F.col("id").alias("person_id"), "name", "total_accesses", "distinct_pages"
     )
@@ -268,17 +275,20 @@ def unvisited_friends(pages: DataFrame, friends: DataFrame, access: DataFrame) -
     are already partitioned on it, no further shuffle), a count per owner
     and a left join with one name per page id.
     """
-    f = with_min_fields(friends, 2)
+    f = with_min_fields(friends, 2, FRIENDS_COLUMNS)
     edges = f.select(F.col("person_id").alias("owner"), F.col("my_friend").alias("friend"))
     edges = edges.where(present(edges, "owner")).distinct()
-    a = with_min_fields(access, 2)
+    a = with_min_fields(access, 2, ACCESS_COLUMNS)
     visits = a.select(F.col("by_who").alias("owner"), F.col("what_page").alias("friend")).distinct()
+    for column in ("owner", "friend"):
+        edges, visits = joinable(edges, column, visits, column)
     unvisited = (
         edges.join(visits, ["owner", "friend"], "left_anti")
         .groupBy("owner")
         .agg(_rows().alias("n_unvisited"))
     )
     names = _names_by_id(pages, 1, trim_id=False, trim_name=False)
+    unvisited, names = joinable(unvisited, "owner", names, "id")
     return unvisited.join(names, unvisited.owner == names.id, "left").select(
         F.col("owner").alias("person_id"),
         F.coalesce(F.col("name"), F.lit(UNKNOWN_NAME)).alias("name"),
@@ -305,11 +315,12 @@ def disconnected_users(
 
     Plan: partial max per reader, one name per page id, left join, filter.
     """
-    a = with_min_fields(access, 1)
+    a = with_min_fields(access, 1, ACCESS_COLUMNS, required="by_who")
     reads = a.select(trimmed(a, "by_who").alias("reader"), access_time(a, "access_time").alias("ts"))
     last = reads.where(present(reads, "reader")).groupBy("reader").agg(F.max("ts").alias("last_access"))
     names = _names_by_id(pages, 2, trim_id=False, trim_name=False)
     ts_type = last.schema["last_access"].dataType
+    names, last = joinable(names, "id", last, "reader")
     joined = names.join(last, names.id == last.reader, "left")
     stale = F.col("last_access").isNull() | before_cutoff(F.col("last_access"), ts_type, as_of, days)
     return joined.where(stale).select(F.col("id").alias("person_id"), "name")
@@ -326,19 +337,18 @@ def popular_users(pages: DataFrame, friends: DataFrame) -> DataFrame:
     without a page.  Ids are trimmed; friend rows need a third field and
     page rows a second.
 
-    Plan: partial count per owner, one name per page id, full outer join;
-    the average is a scalar subquery (one partial row per task) and the
-    filter compares against it.  Both read the same shuffles: Spark reuses
-    the exchanges instead of recomputing them.
+    Plan: page rows as ``(id, name, 0)`` and friend rows as ``(owner, NULL, 1)``
+    are one union with one grouped shuffle, ``min(name)`` and ``sum(n)`` per id;
+    there is no join.  The average is a scalar subquery over the same grouping
+    without names: a second, id-only shuffle, one partial row per task, of which
+    the page ids and owners are combined map-side.
     """
-    f = with_min_fields(friends, 2)
-    owners = f.select(trimmed(f, "person_id").alias("owner"))
-    outdegree = owners.where(present(owners, "owner")).groupBy("owner").agg(_rows().alias("n"))
-    names = _names_by_id(pages, 1, trim_id=True, trim_name=False)
-    people = names.join(outdegree, names.id == outdegree.owner, "full_outer").select(
-        F.coalesce(F.col("id"), F.col("owner")).alias("id"),
-        F.col("name"),
-        F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n"),
-    )
-    average = people.agg(F.avg("n")).scalar()
-    return people.where(F.col("n") > average)
+    f = with_min_fields(friends, 2, FRIENDS_COLUMNS)
+    owners = f.select(trimmed(f, "person_id").alias("id"), F.lit(None).cast("string").alias("name"), F.lit(1).alias("n"))
+    p = with_min_fields(pages, 1, PAGES_COLUMNS)
+    listed = p.select(trimmed(p, "person_id").alias("id"), F.col("name"), F.lit(0).alias("n"))
+    owners, listed = joinable(owners, "id", listed, "id")
+    rows = owners.where(present(owners, "id")).unionByName(listed.where(present(listed, "id")))
+    people = rows.groupBy("id").agg(F.min("name").alias("name"), F.sum("n").alias("n"))
+    average = rows.groupBy("id").agg(F.sum("n").alias("n")).agg(F.avg("n")).scalar()
+    return people.where(F.col("n") > average).select("id", "name", "n")

@@ -1,6 +1,6 @@
 """Plan-level helpers: plan text for inspection, reliable checkpoints."""
 
 from socialpages.plans.inspect import count_nodes, plan_text
-from socialpages.plans.lineage import ensure_checkpoint_dir, materialize
+from socialpages.plans.lineage import discard, ensure_checkpoint_dir, materialize, staged
 
-__all__ = ["count_nodes", "ensure_checkpoint_dir", "materialize", "plan_text"]
+__all__ = ["count_nodes", "discard", "ensure_checkpoint_dir", "materialize", "plan_text", "staged"]

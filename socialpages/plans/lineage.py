@@ -11,6 +11,7 @@ names.  Local checkpoints (executor-local storage) are never used.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,3 +45,21 @@ def materialize(df: DataFrame) -> DataFrame:
     that reads it back, with the lineage cut."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def staged(df: DataFrame) -> tuple[DataFrame, str]:
+    """``df`` written as a table in the shared folder and read back, and the
+    table's path, for ``discard`` when nothing reads it any more.  For loops and
+    for intermediate tables of a known life: unlike a checkpoint, a table has
+    its own size statistics, where those of checkpoints multiply from join to
+    join, and it goes when its user says so."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/staged-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a staged table that nothing reads any more."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

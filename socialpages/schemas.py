@@ -6,45 +6,10 @@ ids as text, like the original line-based jobs); typed sources such as the
 driver's parquet tables provide the same column names with their own types.
 """
 
-from pyspark.sql import types as T
-
-# Header names and text formats of the files are fixed values.
-from socialpages.constants import (
-    ACCESS_HEADER,
-    ACCESS_TIME_FORMAT,
-    FRIENDS_HEADER,
-    FRIENDSHIP_DATE_FORMAT,
-    PAGES_HEADER,
-)
-
 PAGES_COLUMNS = ["person_id", "name", "nationality", "country_code", "hobby"]
 FRIENDS_COLUMNS = ["friend_rel", "person_id", "my_friend", "date_of_friendship", "desc"]
 ACCESS_COLUMNS = ["access_id", "by_who", "what_page", "type_of_access", "access_time"]
 
 # Number of fields Java's ``line.split(",")`` would have produced for a text
-# row.  Only rows loaded from text carry it; typed rows are always complete.
+# row.  Only rows loaded from text carry it.
 N_FIELDS = "_n_fields"
-
-__all__ = [
-    "ACCESS_COLUMNS", "ACCESS_HEADER", "ACCESS_SCHEMA", "ACCESS_TIME_FORMAT", "FRIENDS_COLUMNS",
-    "FRIENDS_HEADER", "FRIENDS_SCHEMA", "FRIENDSHIP_DATE_FORMAT", "N_FIELDS", "PAGES_COLUMNS",
-    "PAGES_HEADER", "PAGES_SCHEMA", "RAW_LINE", "text_schema",
-]
-
-
-# Raw text of a line whose field count differs from the schema's (Spark's
-# corrupt-record column); the loader derives the Java split length from it.
-RAW_LINE = "_raw"
-
-
-def text_schema(columns: list[str]) -> T.StructType:
-    """All-string schema for a positional CSV, plus the raw-line column that
-    Spark fills for lines with fewer or more fields than ``columns``."""
-    fields = [T.StructField(c, T.StringType(), True) for c in columns]
-    fields.append(T.StructField(RAW_LINE, T.StringType(), True))
-    return T.StructType(fields)
-
-
-PAGES_SCHEMA = text_schema(PAGES_COLUMNS)
-FRIENDS_SCHEMA = text_schema(FRIENDS_COLUMNS)
-ACCESS_SCHEMA = text_schema(ACCESS_COLUMNS)

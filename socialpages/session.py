@@ -10,14 +10,14 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from socialpages.plans.lineage import ensure_checkpoint_dir
-
 BASE_CONF = {
     "spark.ui.enabled": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # checkpoint files go when nothing refers to them any more
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 # On a cluster, coalesce shuffle partitions to a target size instead of to the
@@ -67,5 +67,4 @@ def build_session(
         for key, value in CLUSTER_CONF.items():
             if key not in settings and not submitted.contains(key):
                 spark.conf.set(key, value)
-    ensure_checkpoint_dir(spark)
     return spark

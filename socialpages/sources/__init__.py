@@ -1,13 +1,15 @@
 """Sources (positional CSV files, the benchmark's parquet tables) and text sinks."""
 
 from socialpages.sources import driver_tables
-from socialpages.sources.csv_files import read_access, read_friends, read_pages
+from socialpages.sources.csv_files import parse_lines, read_access, read_friends, read_lines, read_pages
 from socialpages.sources.sinks import write_report_text, write_tsv, write_value_text
 
 __all__ = [
     "driver_tables",
+    "parse_lines",
     "read_access",
     "read_friends",
+    "read_lines",
     "read_pages",
     "write_report_text",
     "write_tsv",

@@ -4,7 +4,7 @@ The files are comma-separated, unquoted, one header line per file, CRLF or
 LF line ends.  The rules below reproduce how the line-based jobs see a
 line (``line.split(",")``):
 
-* no quoting: ``"x,y"`` is two fields (``quote=''``);
+* no quoting, no escaping: ``"x,y"`` is two fields;
 * an empty field is the empty string, never NULL -- a short row's missing
   fields are empty as well, which is how Java's split sees trailing empty
   fields (it drops them);
@@ -15,8 +15,9 @@ line (``line.split(",")``):
   true header -- not the first line of every input split);
 * no trimming: each report trims where the original job does.
 
-Several paths (or a directory / glob) load as one relation, the union of
-their rows.
+A line may have any number of fields: the reader delivers whole lines and
+``parse_lines`` splits them.  Several paths (or a directory / glob) load as
+one relation, the union of their rows.
 """
 
 from __future__ import annotations
@@ -25,62 +26,67 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from socialpages.constants import FIELD_SEPARATOR
-from socialpages.functions.text import present_expr
-from socialpages.schemas import (
-    ACCESS_COLUMNS,
-    ACCESS_SCHEMA,
-    FRIENDS_COLUMNS,
-    FRIENDS_SCHEMA,
-    N_FIELDS,
-    PAGES_COLUMNS,
-    PAGES_SCHEMA,
-    RAW_LINE,
-)
-
-
-def _java_split_length(line: Column) -> Column:
-    """``line.split(",").length``: fields up to the last non-empty one
-    (a line of commas only has none)."""
+from socialpages.schemas import ACCESS_COLUMNS, FRIENDS_COLUMNS, N_FIELDS, PAGES_COLUMNS
+
+LINE = "value"
+
+# Two code points that Unicode reserves as non-characters: as separator and
+# quote of the line reader they leave every line whole.
+_NO_SEPARATOR, _NO_QUOTE = "￾", "￿"
+
+
+def split_length(line: Column) -> Column:
+    """``line.split(",").length`` in Java: fields up to the last non-empty one;
+    a line of separators only has none, the empty line has one."""
     kept = F.regexp_replace(line, FIELD_SEPARATOR + "+$", "")
-    return F.when(line.rlike("^" + FIELD_SEPARATOR + "*$"), F.lit(0)).otherwise(
-        F.size(F.split(kept, FIELD_SEPARATOR, -1))
+    return (
+        F.when(line == "", F.lit(1))
+        .when(kept == "", F.lit(0))
+        .otherwise(F.size(F.split(kept, FIELD_SEPARATOR, -1)))
     )
 
 
-def _read(spark: SparkSession, paths, schema, columns: list[str], header: bool) -> DataFrame:
-    raw = (
-        spark.read.schema(schema)
+def parse_lines(lines: DataFrame, columns: list[str], line: str = LINE, keep: list[str] | None = None) -> DataFrame:
+    """The relation of whole lines: the columns in ``keep``, the first fields
+    under the names in ``columns`` (a missing field is empty) and ``_n_fields``.
+    A NULL line has no fields."""
+    text = F.coalesce(F.col(line), F.lit(FIELD_SEPARATOR))
+    fields = F.split(text, FIELD_SEPARATOR, -1)
+    return lines.select(
+        *(keep or []),
+        *[F.coalesce(F.get(fields, i), F.lit("")).alias(c) for i, c in enumerate(columns)],
+        split_length(text).alias(N_FIELDS),
+    )
+
+
+def read_lines(spark: SparkSession, paths, header: bool = True) -> DataFrame:
+    """The files' lines as one column, without each file's header line; blank
+    lines, which every arity guard drops, are skipped."""
+    return (
+        spark.read.schema(f"{LINE} string")
         .option("header", header)
         .option("enforceSchema", True)
-        .option("sep", FIELD_SEPARATOR)
-        .option("quote", "")
-        .option("escape", "")
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", RAW_LINE)
+        .option("sep", _NO_SEPARATOR)
+        .option("quote", _NO_QUOTE)
+        .option("escape", _NO_QUOTE)
         .csv(paths)
     )
-    # A line with exactly len(columns) fields: its length is the position of
-    # the last non-empty one.  Any other line arrives with its raw text.
-    in_columns = F.greatest(
-        F.lit(0), *[F.when(present_expr(F.col(c)), F.lit(i + 1)) for i, c in enumerate(columns)]
-    )
-    n_fields = F.when(F.col(RAW_LINE).isNotNull(), _java_split_length(F.col(RAW_LINE))).otherwise(in_columns)
-    return raw.select(
-        *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in columns],
-        n_fields.alias(N_FIELDS),
-    )
+
+
+def _read(spark: SparkSession, paths, columns: list[str], header: bool) -> DataFrame:
+    return parse_lines(read_lines(spark, paths, header), columns)
 
 
 def read_pages(spark: SparkSession, paths, header: bool = True) -> DataFrame:
     """``PersonID,Name,Nationality,Country Code,Hobby`` -> pages relation."""
-    return _read(spark, paths, PAGES_SCHEMA, PAGES_COLUMNS, header)
+    return _read(spark, paths, PAGES_COLUMNS, header)
 
 
 def read_friends(spark: SparkSession, paths, header: bool = True) -> DataFrame:
     """``FriendRel,PersonID,MyFriend,DateOfFriendship,Desc`` -> friends."""
-    return _read(spark, paths, FRIENDS_SCHEMA, FRIENDS_COLUMNS, header)
+    return _read(spark, paths, FRIENDS_COLUMNS, header)
 
 
 def read_access(spark: SparkSession, paths, header: bool = True) -> DataFrame:
     """``AccessID,ByWho,WhatPage,TypeOfAccess,AccessTime`` -> access_logs."""
-    return _read(spark, paths, ACCESS_SCHEMA, ACCESS_COLUMNS, header)
+    return _read(spark, paths, ACCESS_COLUMNS, header)

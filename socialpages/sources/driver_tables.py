@@ -10,6 +10,14 @@ tables onto the same column names, with their native types:
 * friends = lineitem JOIN orders on the order key: o_custkey person_id and
   l_partkey (variant ``part``) or l_suppkey (variant ``supp``) my_friend.
 
+Further views over whole tables reach what these cannot:
+
+* ``pages_nulls``: pages with missing names, country codes and hobbies;
+* ``pages_few``: supplier JOIN nation, fewer ids than readers and owners;
+* ``pages_repeated``: orders, with many page rows for one id;
+* ``pages_text`` / ``access_text``: pages and access as lines of text, some of
+  them short, padded, with ids that are no ints, with times that do not parse.
+
 Each view is a lazy DataFrame: Catalyst prunes the columns a report does
 not read (the JSON is only parsed when ``what_page`` is used) and pushes
 filters into the parquet scans.
@@ -23,6 +31,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from socialpages.schemas import ACCESS_COLUMNS, PAGES_COLUMNS
+from socialpages.sources.csv_files import LINE, parse_lines
+
 FRIEND_VARIANTS = {"part": "l_partkey", "supp": "l_suppkey"}
 
 
@@ -44,7 +55,7 @@ def _registered(spark: SparkSession, view: str, build: Callable[[], DataFrame])
 
 
 RELATIONS = ("pages", "access", *[f"friends_{v}" for v in FRIEND_VARIANTS])
-TABLES = ("customer", "nation", "events", "lineitem", "orders")
+TABLES = ("customer", "supplier", "nation", "events", "lineitem", "orders")
 
 
 def refresh(spark: SparkSession, sf_dir: str) -> None:
@@ -114,3 +125,62 @@ def _friends(spark: SparkSession, sf_dir: str, variant: str) -> DataFrame:
         F.col("l_shipdate").cast("date").alias("date_of_friendship"),
         F.col("o_orderpriority").alias("desc"),
     )
+
+
+def pages_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages(spark, sf_dir).selectExpr(
+        "person_id",
+        "if(person_id % 5 = 0, null, name) as name",
+        "nationality",
+        "if(person_id % 3 = 0, null, country_code) as country_code",
+        "nullif(hobby, 'BUILDING') as hobby",
+    )
+
+
+def pages_few(spark: SparkSession, sf_dir: str) -> DataFrame:
+    supplier, nation = _table(spark, sf_dir, "supplier"), _table(spark, sf_dir, "nation")
+    return supplier.join(nation, supplier.s_nationkey == nation.n_nationkey).select(
+        F.col("s_suppkey").alias("person_id"),
+        F.col("s_name").alias("name"),
+        F.col("n_name").alias("nationality"),
+        F.col("s_nationkey").alias("country_code"),
+        F.lit("supply").alias("hobby"),
+    )
+
+
+def pages_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "orders").selectExpr(
+        "o_custkey as person_id",
+        "concat('Order ', cast(o_orderkey as string)) as name",
+        "o_orderstatus as nationality",
+        "cast(o_custkey % 25 as int) as country_code",
+        "o_orderpriority as hobby",
+    )
+
+
+# Lines of text made of the two relations, in SQL that other engines read too.
+PAGE_LINE = """
+CASE WHEN person_id % 12 = 1 THEN 'c' ELSE '' END || CAST(person_id AS STRING) || ',' || name ||
+CASE WHEN person_id % 10 = 6 THEN ''
+     ELSE ',' || CASE WHEN person_id % 9 = 4 THEN '  ' || nationality || ' ' ELSE nationality END || ',' ||
+          CAST(country_code AS STRING) || ',' || CASE WHEN person_id % 7 = 2 THEN ',' ELSE hobby || ' ' END
+END"""
+ACCESS_LINE = """
+CAST(access_id AS STRING) || ',' ||
+CASE WHEN access_id % 19 = 2 THEN ' ' || CAST(by_who AS STRING) || ' ' ELSE CAST(by_who AS STRING) END ||
+CASE WHEN access_id % 11 = 3 THEN ',,'
+     ELSE ',' || CASE WHEN access_id % 13 = 5 THEN 'p' || CAST(what_page AS STRING)
+                      WHEN access_id % 17 = 7 THEN CAST(what_page + 3000000000 AS STRING)
+                      WHEN access_id % 19 = 2 THEN '+0' || CAST(what_page AS STRING)
+                      ELSE CAST(what_page AS STRING) END || ',' || type_of_access || ',' ||
+          CASE WHEN access_id % 23 = 9 THEN 'at noon' ELSE CAST(date_trunc('second', access_time) AS STRING) END ||
+          CASE WHEN access_id % 29 = 4 THEN ',more,,' ELSE '' END
+END"""
+
+
+def pages_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parse_lines(pages(spark, sf_dir).select(F.expr(PAGE_LINE).alias(LINE)), PAGES_COLUMNS)
+
+
+def access_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parse_lines(access(spark, sf_dir).select(F.expr(ACCESS_LINE).alias(LINE)), ACCESS_COLUMNS)

@@ -1,15 +1,11 @@
 """The command line writes each report's text output."""
 
 import glob
-import os
 
 import pytest
 
-from conftest import SAMPLE_DIR
 from socialpages.__main__ import main
 
-pytestmark = pytest.mark.skipif(not os.path.isdir(SAMPLE_DIR), reason="sample CSVs not present")
-
 
 def _lines(folder):
     out = []
@@ -19,32 +15,36 @@ def _lines(folder):
     return out
 
 
-def test_cli_reports(spark, tmp_path):
-    pages, access = f"{SAMPLE_DIR}/pages.csv", f"{SAMPLE_DIR}/access_logs.csv"
+def test_cli_reports(spark, sample, tmp_path):
+    pages, friends, access = sample["pages"], sample["friends"], sample["access"]
     main(["nationality", "--pages", pages, "--out", str(tmp_path / "a")])
-    assert _lines(tmp_path / "a") == ["Latvia\tLindsay Reyes, Crocheting", ""]
+    assert _lines(tmp_path / "a") == ["Latvia\tAnn Lee, Chess", "Cy Dow, Crocheting", ""]
     main(["top_pages", "--pages", pages, "--access", access, "--out", str(tmp_path / "b")])
-    lines = _lines(tmp_path / "b")
-    assert len(lines) == 10 and lines[0].startswith("5\t0,")
-    main(["disconnected", "--pages", pages, "--access", access, "--as-of", "2023-06-09T00:00:00",
-          "--out", str(tmp_path / "g")])
-    assert len(_lines(tmp_path / "g")) == 20
+    assert _lines(tmp_path / "b") == ["4\t0,Ann Lee,Latvia", "2\t1,Bob Ray,Peru", "1\t2,Cy Dow,Latvia", "1\t5,Flo May,Mali"]
+    main(["disconnected", "--pages", pages, "--access", access, "--as-of", "2024-02-13T12:00:00", "--out", str(tmp_path / "g")])
+    assert sorted(_lines(tmp_path / "g")) == ["0\tAnn Lee", "1\tBob Ray", "4\tEd Poe", "5\tFlo May"]
+    main(["connectedness", "--pages", pages, "--friends", friends, "--out", str(tmp_path / "d")])
+    assert sorted(_lines(tmp_path / "d")) == ["9\t0", "Ann Lee\t3", "Bob Ray\t2", "Cy Dow\t1", "Di Fox\t1", "Ed Poe\t0", "Flo May\t0"]
+    main(["diversity", "--pages", pages, "--access", access, "--out", str(tmp_path / "e")])
+    assert "Ann Lee\t2\t1" in _lines(tmp_path / "e") and "Di Fox\t2\t2" in _lines(tmp_path / "e")
+    main(["popular", "--pages", pages, "--friends", friends, "--out", str(tmp_path / "p")])
+    assert sorted(_lines(tmp_path / "p")) == ["Ann Lee\t3", "Cy Dow\t2"]
+    main(["rejects", "--pages", pages, "--access", access, "--out", str(tmp_path / "r")])
+    assert _lines(tmp_path / "r") == ["access\t8\t0\t0", "pages\t6\t0\t0", "total\t14\t0\t0"]
     with pytest.raises(SystemExit):
         main(["popular", "--pages", pages, "--out", str(tmp_path / "h")])
 
 
-def test_cli_all_reports(spark, tmp_path):
-    d = SAMPLE_DIR
-    main(["all", "--pages", f"{d}/pages.csv", "--friends", f"{d}/friends.csv", "--access", f"{d}/access_logs.csv",
-          "--as-of", "2023-06-09T00:00:00", "--cache", "--out", str(tmp_path / "all")])
+def test_cli_all_reports(spark, sample, tmp_path):
+    main(["all", "--pages", sample["pages"], "--friends", sample["friends"], "--access", sample["access"],
+          "--as-of", "2024-02-13T12:00:00", "--cache", "--out", str(tmp_path / "all")])
     counts = {name: len(_lines(tmp_path / "all" / name)) for name in
               ["nationality", "top_pages", "countries", "third_field", "connectedness", "diversity",
                "unvisited", "disconnected", "popular", "rejects"]}
-    assert counts == {"nationality": 2, "top_pages": 10, "countries": 18, "third_field": 37, "connectedness": 21,
-                      "diversity": 19, "unvisited": 15, "disconnected": 20, "popular": 7, "rejects": 2}
+    assert counts == {"nationality": 3, "top_pages": 4, "countries": 4, "third_field": 8, "connectedness": 7,
+                      "diversity": 5, "unvisited": 3, "disconnected": 4, "popular": 2, "rejects": 3}
 
 
-def test_cli_sorted_output(spark, tmp_path):
-    main(["countries", "--pages", f"{SAMPLE_DIR}/pages.csv", "--sorted", "--out", str(tmp_path / "c")])
-    keys = [line.split("\t")[0] for line in _lines(tmp_path / "c")]
-    assert len(keys) == 18 and keys == sorted(keys, key=lambda k: k.encode())
+def test_cli_sorted_output(spark, sample, tmp_path):
+    main(["countries", "--pages", sample["pages"], "--sorted", "--out", str(tmp_path / "c")])
+    assert _lines(tmp_path / "c") == ["Chad\t1", "Latvia\t2", "Mali\t1", "Peru\t2"]

@@ -149,3 +149,33 @@ def test_header_dropped_once_per_file_not_per_split(spark, tmp_path):
         assert df.where("access_id = 'AccessID'").count() == 0
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_any_number_of_fields_and_nul_characters(spark, tmp_path):
+    path = write_csv(tmp_path, "wide.csv", PAGES_HEADER, [
+        ",".join(str(i) for i in range(21_000)), "\x00a,\x00,c\x00", "1," + "x" * 200_000, ",".join([""] * 30_000),
+    ])
+    rows = {r.person_id: r for r in read_pages(spark, path).collect()}
+    assert rows["0"]._n_fields == 21_000 and rows["0"].hobby == "4"
+    assert (rows["\x00a"].name, rows["\x00a"].nationality, rows["\x00a"]._n_fields) == ("\x00", "c\x00", 3)
+    assert len(rows["1"].name) == 200_000 and rows[""]._n_fields == 0
+
+
+def test_parse_lines_keeps_columns_and_reads_null_lines(spark):
+    from socialpages import parse_lines
+
+    lines = spark.createDataFrame([(1, "a,b"), (2, None), (3, "")], "id int, line string")
+    got = parse_lines(lines, ["x", "y"], "line", keep=["id"]).collect()
+    assert [tuple(r) for r in got] == [(1, "a", "b", 2), (2, "", "", 0), (3, "", "", 1)]
+
+
+def test_staged_tables_go_when_told(spark):
+    import os
+
+    from socialpages.plans import discard, staged
+
+    table, path = staged(spark.range(5))
+    local = path.removeprefix("file:")
+    assert table.count() == 5 and os.path.isdir(local)
+    discard(spark, path)
+    assert not os.path.exists(local)
