@@ -7,7 +7,6 @@ in this subpackage (``[^\\x20\\x09-\\x0D]+``).
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 
 import numpy as np
@@ -16,8 +15,6 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from socialpages.plans.lineage import ensure_checkpoint_dir
-
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 
@@ -39,22 +36,6 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def staged(df: DataFrame) -> tuple[DataFrame, str]:
-    """``df`` written as a table in the shared folder and read back, and the
-    table's path.  For loops: unlike a checkpoint, a table has its own size
-    statistics, where those of checkpoints multiply from join to join."""
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/staged-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path), path
-
-
-def discard(spark: SparkSession, path: str) -> None:
-    """Remove a staged table that nothing reads any more."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-
-
 def words_sql(column: str) -> str:
     """Spark SQL for the array of words of a text column (null: no words)."""
     spaced = f"translate(coalesce({column}, ''), '\\t\\n\\u000B\\f\\r', '     ')"

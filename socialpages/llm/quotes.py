@@ -20,7 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from socialpages.llm.common import discard, fresh, staged
+from socialpages.llm.common import fresh
+from socialpages.plans.lineage import discard, staged
 
 _MARK = "^(?:> ?)*"
 _SPACE = "[\\\\x20\\\\x09-\\\\x0D]+"

@@ -40,8 +40,10 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from socialpages.llm.common import as_bytes, fresh, shuffle_partitions, split_words, text_slices
+from socialpages.plans.lineage import staged
 
 WINDOW = 20
 ANCHOR = 4
@@ -272,22 +274,31 @@ def repeated_edges(docs: DataFrame, k: int = WINDOW, m: int = ANCHOR) -> DataFra
     )
 
 
+_LINE = ["doc", "text_hash", "src", "src_hash", "ahead"]
+
+
 def compact(pieces: DataFrame) -> DataFrame:
     """Maximal paths ``(doc, text_hash, pos, n, src, src_hash, src_pos)``.
 
-    The pieces of a document meet in one shuffle.  Those of one path lie on
-    one diagonal (source start less start); there a piece that starts at or
-    before the end of the earlier ones continues their path.
+    The pieces of one path lie on one line (same document, source and distance
+    between the two).  A place where a piece ends and the next one starts has
+    one way in and one way out: it is inside a path.  The full outer join of
+    starts and ends leaves the other places, the heads and tails of paths.
     """
-    diagonal = "partition by doc, text_hash, src, src_hash, src_pos - pos order by pos, n"
-    before = f"max(pos + n) over ({diagonal} rows between unbounded preceding and 1 preceding)"
+    pieces, _ = staged(pieces.withColumn("ahead", F.expr("src_pos - pos")))
+    starts = pieces.groupBy(*_LINE, F.col("pos").alias("place")).agg(F.count(F.lit(1)).alias("starts"))
+    ends = pieces.groupBy(*_LINE, F.expr("pos + n").alias("place")).agg(F.count(F.lit(1)).alias("ends"))
+    delta = F.coalesce("starts", F.lit(0)) - F.coalesce("ends", F.lit(0))
+    tips = starts.join(ends, [*_LINE, "place"], "full_outer").select(*_LINE, "place", delta.alias("delta")).where("delta <> 0")
+    # pieces of a repeated row may overlap, so a path is over when as many
+    # pieces have ended as have started
+    line = Window.partitionBy(*_LINE).orderBy("place")
     return (
-        pieces.repartition("doc", "text_hash")
-        .withColumn("head", F.expr(f"if(coalesce({before}, -1) < pos, 1, 0)"))
-        .withColumn("path", F.expr(f"sum(head) over ({diagonal} rows between unbounded preceding and current row)"))
-        .groupBy("doc", "text_hash", "src", "src_hash", F.expr("src_pos - pos").alias("ahead"), "path")
-        .agg(F.min("pos").alias("start"), F.max(F.expr("pos + n")).alias("stop"))
-        .selectExpr("doc", "text_hash", "start as pos", "stop - start as n", "src", "src_hash", "start + ahead as src_pos")
+        tips.withColumn("over", (F.sum("delta").over(line) == 0).cast("int"))
+        .withColumn("path", F.sum("over").over(line) - F.col("over"))
+        .groupBy(*_LINE, "path")
+        .agg(F.min("place").alias("pos"), F.max("place").alias("stop"))
+        .selectExpr("doc", "text_hash", "pos", "stop - pos as n", "src", "src_hash", "pos + ahead as src_pos")
     )
 
 
