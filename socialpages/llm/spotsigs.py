@@ -41,10 +41,10 @@ def signatures(text: Column | str, anchors: str = ANCHORS, chain: int = CHAIN) -
     listed = "|".join(sorted(set(anchors.split()), key=lambda w: (-len(w), w)))
     plain = F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " "))
     # an anchor is tied to the word after it by "\u0001", so that a token is a
-    # content word with the anchors just before it; a last token may be anchors
+    # content word with the anchors just before it; anchors at the end go
     tied = F.regexp_replace(plain, rf"(?<![^ ])({listed}) ", "$1\u0001")
-    last_anchor = rf"(?:^|[ \u0001])(?:{listed})$"
-    tied = F.regexp_replace(tied, last_anchor, "")
+    last_anchors = rf"(?:(?:^|[ \u0001])(?:{listed}))+$"
+    tied = F.regexp_replace(tied, last_anchors, "")
 
     def of(r: Column) -> Column:
         tokens = r["tokens"]

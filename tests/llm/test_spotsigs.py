@@ -27,10 +27,10 @@ def jaccard(a, b):
 def texts(seed=1, n=40):
     rnd = random.Random(seed)
     vocab = "the of und la que a".split() + [f"word{i}" for i in range(30)] + ["Über", "x-y", "the,", "77"]
-    out = [None, "", " \n", "the", "the of", "the word1", "the word1 word2", "of the word1 the word2", "alone here", "...", "The. WORD1 & word2"]
+    out = [None, "", " \n", "the", "the of", "the word1", "the word1 word2", "of the word1 the word2", "alone here", "the w1 w2 of und", "x of a the", "the the", "...", "The. WORD1 & word2"]
     for _ in range(n):
         out.append(rnd.choice([" ", "\n", ", "]).join(rnd.choice(vocab) for _ in range(rnd.choice([1, 5, 30, 120]))))
-    out += [out[-1], out[-1] + " tail", out[12].upper()]
+    out += [out[-1], out[-1] + " tail", out[15].upper()]
     return out
 
 
