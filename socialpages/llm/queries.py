@@ -236,6 +236,24 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
 FROM f"""
 
 
+OP10_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+g AS (
+  SELECT doc_id, i, array_to_string(ws[i:i+19], ' ') AS s
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 18)) AS i FROM d WHERE len(ws) >= 20)),
+again AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS k FROM g) WHERE k > 1),
+gone AS (SELECT DISTINCT doc_id, p FROM (SELECT doc_id, i + unnest(range(0, 20)) AS p FROM again)),
+words AS (SELECT doc_id, unnest(ws) AS w, unnest(range(1, len(ws) + 1)) AS p FROM d),
+kept AS (
+  SELECT doc_id, string_agg(w, ' ' ORDER BY p) AS t, count(*) AS n
+  FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)"""
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # it uses this module's parameters
 
@@ -264,4 +282,5 @@ def oracle_sql() -> dict[str, str]:
         "op4_quality_rules": OP4_SQL,
         "op5_license_scan": OP5_SQL,
         "op7_warc_zstd": OP7_SQL,
+        "op10_substring_dedup": OP10_SQL,
     }
