@@ -175,8 +175,12 @@ def near_duplicates(
     ends differ by the factor 1 / threshold, so that likely pairs are in one
     band or in neighbouring ones; within a band a pair must share one of the
     first hashes of both (prefix filter), then pass the length bound, then the
-    exact coefficient.  A null id never names a class; an empty table gives no
-    rows.
+    exact coefficient.
+
+    First each set is compared to the least set of each of its buckets, which
+    is linear and joins most of a large group of near copies.  Then only pairs
+    from different components are left to compare, in the buckets that hold
+    more than one.  A null id never names a class; an empty table gives no rows.
     """
     rows = materialize(
         docs.select(F.col(id_column).alias("doc_id"), signatures(text, **options).alias("set")).withColumn("print", digest("set"))
@@ -186,19 +190,28 @@ def near_duplicates(
     band = F.floor(F.log("n") / F.lit(math.log(1 / threshold))).cast("int")
     prefix = F.slice("set", 1, (F.col("n") - F.ceil(F.col("n") * F.lit(threshold) - 1e-9) + 1).cast("int"))
     index = sets.select("print", "n", band.alias("band"), F.explode(prefix).alias("sig"))
-    reach = index.withColumn("band", F.explode(F.array("band", F.col("band") + 1)))
-    a, b = reach.alias("a"), index.alias("b")
-    likely = a.join(b, ["band", "sig"]).where(
-        "(a.n < b.n or (a.n = b.n and a.print < b.print))"
-    ).where(F.col("a.n") >= F.lit(threshold) * F.col("b.n") - 1e-9)
-    likely = likely.select(F.col("a.print").alias("pa"), F.col("b.print").alias("pb")).distinct()
-    x = sets.select(F.col("print").alias("pa"), F.col("set").alias("sa"))
-    y = sets.select(F.col("print").alias("pb"), F.col("set").alias("sb"))
-    linked = likely.join(x, "pa").join(y, "pb").where(likeness("sa", "sb", threshold) >= threshold)
-    found = components(linked.select(F.col("pa").alias("a"), F.col("pb").alias("b")))
-    rooted = sets.join(found.withColumnRenamed("node", "print"), "print", "left").select(
-        "print", "first", F.coalesce("root", "print").alias("root")
-    )
+    # a set is in the buckets of its band and, for longer partners, of the next
+    reach = index.withColumn("near", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("band", F.col("band") + F.col("near"))
+
+    def verified(likely: DataFrame) -> DataFrame:
+        x = sets.select(F.col("print").alias("a"), F.col("set").alias("sa"))
+        y = sets.select(F.col("print").alias("b"), F.col("set").alias("sb"))
+        near = likely.distinct().join(x, "a").join(y, "b")
+        return near.where(likeness("sa", "sb", threshold) >= threshold).select("a", "b")
+
+    def with_roots(links: DataFrame) -> DataFrame:
+        found = components(links).withColumnRenamed("node", "print")
+        return materialize(sets.select("print").join(found, "print", "left").select("print", F.coalesce("root", "print").alias("root")))
+
+    least = reach.groupBy("band", "sig").agg(F.min("print").alias("a"))
+    stars = materialize(verified(reach.join(least, ["band", "sig"]).where("a <> print").select("a", F.col("print").alias("b"))))
+    member = reach.join(with_roots(stars), "print")
+    split = member.groupBy("band", "sig").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+    member = member.join(split.select("band", "sig"), ["band", "sig"])
+    pair = member.alias("a").join(member.where("near = 0").alias("b"), ["band", "sig"])
+    pair = pair.where("a.root <> b.root and a.n <= b.n").where(F.col("a.n") >= F.lit(threshold) * F.col("b.n") - 1e-9)
+    rest = verified(pair.select(F.col("a.print").alias("a"), F.col("b.print").alias("b")))
+    rooted = sets.select("print", "first").join(with_roots(stars.unionByName(rest)), "print")
     label = rooted.join(rooted.groupBy("root").agg(F.min("first").alias("class_id")), "root").select("print", "class_id")
     return rows.join(label, "print").select(
         F.col("doc_id").alias(id_column), F.col("print").alias("fingerprint"), "class_id"
