@@ -87,7 +87,7 @@ def split_words(texts: pa.Array) -> Words:
     return Words(offsets, codes, unique)
 
 
-def text_slices(batch: pa.RecordBatch, column: str, max_bytes: int = 32 << 20):
+def text_slices(batch: pa.RecordBatch, column: str, max_bytes: int = 8 << 20):
     """The batch in row slices of about ``max_bytes`` of text each (one row at
     least), so that working memory does not follow the batch size."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
