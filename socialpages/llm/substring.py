@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from socialpages.llm.common import as_bytes, fresh, shuffle_partitions, split_words, text_slices
-from socialpages.plans.lineage import staged
+from socialpages.plans.lineage import discard, staged
 
 WINDOW = 20
 ANCHOR = 4
@@ -278,14 +278,15 @@ _LINE = ["doc", "text_hash", "src", "src_hash", "ahead"]
 
 
 def compact(pieces: DataFrame) -> DataFrame:
-    """Maximal paths ``(doc, text_hash, pos, n, src, src_hash, src_pos)``.
+    """Maximal paths ``(doc, text_hash, pos, n, src, src_hash, src_pos)`` of
+    pieces (which are read twice).
 
     The pieces of one path lie on one line (same document, source and distance
     between the two).  A place where a piece ends and the next one starts has
     one way in and one way out: it is inside a path.  The full outer join of
     starts and ends leaves the other places, the heads and tails of paths.
     """
-    pieces, _ = staged(pieces.withColumn("ahead", F.expr("src_pos - pos")))
+    pieces = pieces.withColumn("ahead", F.expr("src_pos - pos"))
     starts = pieces.groupBy(*_LINE, F.col("pos").alias("place")).agg(F.count(F.lit(1)).alias("starts"))
     ends = pieces.groupBy(*_LINE, F.expr("pos + n").alias("place")).agg(F.count(F.lit(1)).alias("ends"))
     delta = F.coalesce("starts", F.lit(0)) - F.coalesce("ends", F.lit(0))
@@ -302,6 +303,15 @@ def compact(pieces: DataFrame) -> DataFrame:
     )
 
 
+def repeated_paths(docs: DataFrame, k: int = WINDOW, m: int = ANCHOR) -> DataFrame:
+    """The maximal repeated paths of ``docs(doc, text_hash, text)``, as a table
+    in the shared folder: a row for each path, however long."""
+    pieces, held = staged(repeated_edges(docs, k, m))
+    paths, _ = staged(compact(pieces))
+    discard(docs.sparkSession, held)
+    return paths
+
+
 _WORD = re.compile(rb"[^\x20\x09-\x0d]+")
 
 
@@ -355,7 +365,7 @@ def remove_repeats(
         F.hash(text).alias("text_hash"),
         F.col(text).alias("text"),
     )
-    paths = compact(repeated_edges(keyed, k, m))
+    paths = repeated_paths(keyed, k, m)
     spans = paths.groupBy("doc", "text_hash").agg(
         F.collect_list(F.struct(F.col("pos").alias("start"), (F.col("n") + (k - 1)).alias("n"))).alias("spans")
     )

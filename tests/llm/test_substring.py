@@ -66,7 +66,7 @@ def test_paths_are_maximal_and_point_to_the_same_words(spark):
     rows = [(i, t) for i, t in corpus(5, 20) if i is not None]
     words = {(i): (t or "").split() for i, t in rows}
     docs = spark.createDataFrame(rows, "doc long, text string").selectExpr("doc", "hash(text) as text_hash", "text")
-    paths = substring.compact(substring.repeated_edges(docs)).collect()
+    paths = substring.repeated_paths(docs).collect()
     assert paths
     for p in paths:
         n = p.n + 19
