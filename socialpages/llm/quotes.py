@@ -114,18 +114,19 @@ def conversations(messages: DataFrame, id_column: str = "id", text: str = "text"
     Sorted by root, level and id, a conversation reads in order of reply.
 
     Ids are of any type with an order, by which earlier messages are less; rows
-    of one id are one message.  A null id (and a struct id is null only if it
-    is null itself) is a message too, the least.  A null or empty text has no
-    passages.  Every row stays, repeated ones too; an empty table gives no
+    of one id are one message.  A row with a null id (a struct with null fields
+    is none) is linked to nothing.  A null or empty text has no passages.  Every row stays, repeated ones too; an empty table gives no
     rows; other columns are carried along.
     """
     own, passages = fresh(messages, "_own"), fresh(messages, "_passages")
     rows = parsed(messages, text, own, passages)
-    found = links(rows.select(F.col(id_column).alias("id"), F.col(passages).alias("passages")).where("id is not null"))
-    found, _ = staged(found)
-    ids = messages.select(F.col(id_column).alias("id")).where("id is not null").distinct()
-    tree = roots(ids.join(found.select("id", "parent"), "id", "left"))
+    # ids and hashes only; the texts are parsed again where they are returned
+    keyed, held = staged(rows.select(F.col(id_column).alias("id"), F.col(passages).alias("passages")).where("id is not null"))
+    found, between = staged(links(keyed))
+    tree = roots(keyed.select("id").distinct().join(found.select("id", "parent"), "id", "left"))
     thread, _ = staged(tree.join(found, "id", "left"))
+    for path in (held, between):
+        discard(messages.sparkSession, path)
     names = {c: fresh(messages, f"_t_{c}") for c in thread.columns}
     thread = thread.toDF(*names.values())
     joined = rows.join(thread, rows[id_column] == thread[names["id"]], "left")
