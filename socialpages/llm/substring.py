@@ -48,7 +48,7 @@ from socialpages.plans.lineage import discard, staged
 WINDOW = 20
 ANCHOR = 4
 HASH_BYTES = 7
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 BUCKET_CHARS = 1 << 25
 NO_ID = -(2**63)
 MULTIPLIER = 0x9E3779B97F4A7C15
