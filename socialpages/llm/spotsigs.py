@@ -41,10 +41,8 @@ def signatures(text: Column | str, anchors: str = ANCHORS, chain: int = CHAIN) -
     listed = "|".join(sorted(set(anchors.split()), key=lambda w: (-len(w), w)))
     plain = F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " "))
     # an anchor is tied to the word after it by "\u0001", so that a token is a
-    # content word with the anchors just before it; anchors at the end go
+    # content word with the anchors just before it
     tied = F.regexp_replace(plain, rf"(?<![^ ])({listed}) ", "$1\u0001")
-    last_anchors = rf"(?:(?:^|[ \u0001])(?:{listed}))+$"
-    tied = F.regexp_replace(tied, last_anchors, "")
 
     def of(r: Column) -> Column:
         tokens = r["tokens"]
@@ -68,6 +66,15 @@ def signatures(text: Column | str, anchors: str = ANCHORS, chain: int = CHAIN) -
         bound,
         lambda t: F.struct(t.alias("tokens"), F.transform(t, lambda w: F.substring_index(w, "\u0001", -1)).alias("content")),
     )
+    # a last token that ends in an anchor is anchors only and goes
+    known = F.array(*map(F.lit, sorted(set(anchors.split()))))
+
+    def closed(r: Column) -> Column:
+        n = F.size(r["tokens"])
+        kept = n - F.when(F.array_contains(known, F.get(r["content"], n - 1)), 1).otherwise(0)
+        return F.struct(F.slice(r["tokens"], 1, kept).alias("tokens"), F.slice(r["content"], 1, kept).alias("content"))
+
+    bound = F.transform(bound, closed)
     found = F.get(F.transform(bound, of), 0)
     found = F.sort_array(F.array_distinct(found))
     return F.get(

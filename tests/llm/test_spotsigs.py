@@ -98,5 +98,5 @@ def test_near_duplicates_against_brute_force(spark):
 
 def test_a_long_text(spark):
     long = " ".join(f"the w{i}" for i in range(60_000))
-    docs = spark.createDataFrame([(1, long), (2, "x")], "doc_id long, text string")
-    assert {r.doc_id: r.n_signatures for r in spotsigs.edit_check(docs).collect()} == {1: 59_999, 2: 1}
+    docs = spark.createDataFrame([(1, long), (2, "x"), (3, "the " * 60_000), (4, "of a w1 " + "the " * 60_000)], "doc_id long, text string")
+    assert {r.doc_id: r.n_signatures for r in spotsigs.edit_check(docs).collect()} == {1: 59_999, 2: 1, 3: 1, 4: 1}
