@@ -66,7 +66,7 @@ def _bigrams(words: Column) -> Column:
 
 def _passages(text: Column) -> Column:
     def parts(t: Column) -> Column:
-        blocks = F.split(F.btrim(t, F.lit(" \n")), r"\n *(?:\n *)+")
+        blocks = F.split(F.btrim(t, F.lit(" \n")), r"\n *(?:\n *)++")  # possessive: the greedy form would recurse for every line
         paragraphs = F.filter(blocks, lambda p: F.contains(p, F.lit("\n")))
         return F.concat(F.split(t, "\n"), paragraphs)
 

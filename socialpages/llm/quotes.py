@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 from socialpages.llm.common import fresh
 from socialpages.plans.lineage import discard, staged
 
-_MARK = "^(?:> ?)*"
+# possessive: the greedy form would recurse for every mark
+_MARK = "^(?:> ?)*+"
 _SPACE = "[\\\\x20\\\\x09-\\\\x0D]+"
 
 

@@ -83,7 +83,7 @@ def test_bounds_lose_no_template(spark):
 
 
 def test_empty_table_long_text_and_no_templates(spark):
-    docs = spark.createDataFrame([(1, "a b " * 100_000 + "\nReleased under the MIT License.")], "doc_id long, text string")
+    docs = spark.createDataFrame([(1, "a b " * 100_000 + "\n " * 50_000 + "\nReleased under the MIT License.")], "doc_id long, text string")
     assert licenses.scanned(docs).first()["licence"].license == "MIT"
     assert licenses.scanned(docs.where("false")).count() == 0
     assert licenses.scanned(docs, templates=()).first()["licence"].license is None

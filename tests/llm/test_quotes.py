@@ -119,7 +119,9 @@ def test_null_ids_repeats_and_empty(spark):
 def test_a_long_chain_and_a_long_message(spark):
     rows = [(0, "start 0")] + [(i, f"> start {i - 1}\nstart {i}") for i in range(1, 300)]
     rows.append((500, "\n".join(f"> start {i % 300}" + ("\n>" if i % 2 else "") for i in range(40_000))))
+    rows.append((501, ">" * 50_000 + "deep\n" + "> " * 50_000 + "deep"))
     got = {r.id: r.thread for r in quotes.conversations(spark.createDataFrame(rows, "id long, text string")).collect()}
+    assert got[501].n_quoted == 1 and got[501].own_text == ""
     assert all(got[i].level == i and got[i].root == 0 for i in range(300))
     assert got[500].n_quoted == 20_000
 
