@@ -38,7 +38,7 @@ _NO_SEPARATOR, _NO_QUOTE = "
 def split_length(line: Column) -> Column:
     """``line.split(",").length`` in Java: fields up to the last non-empty one;
     a line of separators only has none, the empty line has one."""
-    kept = F.regexp_replace(line, FIELD_SEPARATOR + "+$", "")
+    kept = F.rtrim(line, F.lit(FIELD_SEPARATOR))
     return (
         F.when(line == "", F.lit(1))
         .when(kept == "", F.lit(0))
