@@ -73,7 +73,7 @@ def rake(
     cells: DataFrame, targets: dict, max_sweeps: int = MAX_SWEEPS, tolerance: float = TOLERANCE
 ) -> DataFrame:
     """``cells`` (the dimensions' columns, ``tokens``) with ``factor``: raked
-    weight over tokens, up to scale.
+    weight over tokens, up to scale; a table in the shared folder.
 
     The targets' names are the dimensions.  Stops when no factor moves by more
     than ``tolerance`` (relative) in a sweep, or after ``max_sweeps``.  Cells
@@ -82,25 +82,25 @@ def rake(
     """
     names = list(targets)
     spark = cells.sparkSession
-    cells, _ = staged(cells)
-    shares = {d: staged(_shares(cells, d, targets[d]))[0] for d in names}
-    state, path = cells.select(*names, "tokens", F.lit(1.0).alias("factor")), None
+    state, path = staged(cells.select(*names, "tokens", F.lit(1.0).alias("factor")))
+    shares = {d: staged(_shares(state, d, targets[d])) for d in names}
     for _ in range(max_sweeps):
         new = state.withColumn("before", F.col("factor"))
         for d in names:
-            got = new.groupBy(d).agg(F.sum(F.col("factor") * F.col("tokens")).alias("got")).join(shares[d], d)
+            got = new.groupBy(d).agg(F.sum(F.col("factor") * F.col("tokens")).alias("got")).join(shares[d][0], d)
             scale = got.where("got > 0").select(d, (F.col("share") / F.col("got")).alias("scale"))
             new = new.join(scale, d, "left").withColumn("factor", F.col("factor") * F.coalesce("scale", F.lit(1.0))).drop("scale")
         state, written = staged(new)
-        if path:
-            discard(spark, path)
+        discard(spark, path)
         path = written
         # the first sweep sets the scale, so it always moves
         moved = state.agg(F.max(F.abs(F.ln(F.col("factor") / F.col("before"))))).first()[0]
         state = state.drop("before")
         if moved is None or moved <= tolerance:
             break
-    return cells.join(state.select(*names, "factor"), names)
+    for _, share_path in shares.values():
+        discard(spark, share_path)
+    return state
 
 
 def mixed(
@@ -120,7 +120,7 @@ def mixed(
     keys = {d: fresh(docs, f"_key_{d}") for d in targets}
     rows = rows.withColumns({keys[d]: _key(topic_name if d == "topic" else d) for d in targets})
     cells = rows.groupBy(*keys.values()).agg(F.sum(t).alias("tokens"))
-    raked, _ = staged(rake(cells.toDF(*targets, "tokens"), targets, **options))
+    raked = rake(cells.toDF(*targets, "tokens"), targets, **options)
     size, top = raked.agg(F.count(F.lit(1)), F.max(F.when(F.col("tokens") > 0, F.col("factor")))).first()
     factor, p = fresh(docs, "_factor"), fresh(docs, "_p")
     raked = raked.select(
