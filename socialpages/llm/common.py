@@ -97,3 +97,10 @@ def text_slices(batch: pa.RecordBatch, column: str, max_bytes: int = 8 << 20):
     starts = np.concatenate([[0], np.flatnonzero(np.diff(group)) + 1, [len(sizes)]])
     for a, b in zip(starts[:-1], starts[1:]):
         yield batch.slice(int(a), int(b - a))
+
+
+def by_slices(function, texts: pa.Array, *others: pa.Array) -> pa.Array:
+    """``function`` of the arrays, worked out over slices of about 8 MB of text."""
+    batch = pa.record_batch([texts, *others], ["text", *map(str, range(len(others)))])
+    parts = [function(*part.columns) for part in text_slices(batch, "text")]
+    return pa.concat_arrays(parts) if parts else function(texts, *others)

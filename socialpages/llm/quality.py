@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from socialpages.llm.common import Words, fresh, split_words, text_slices
+from socialpages.llm.common import Words, by_slices, fresh, split_words, text_slices
 from socialpages.llm.substring import rolling
 
 # Fixed values of the base counts.
@@ -249,10 +249,7 @@ def judged(docs: DataFrame, text: str = "text", out: str = "quality", order: lis
     order = cascade_order(docs, text) if order is None else order
 
     def judge(texts: pa.Array) -> pa.Array:
-        if not len(texts):
-            return _judge(texts, order)
-        batch = pa.record_batch([texts], ["text"])
-        return pa.concat_arrays([_judge(part.column(0), order) for part in text_slices(batch, "text")])
+        return by_slices(lambda part: _judge(part, order), texts)
 
     return docs.withColumn(out, F.arrow_udf(judge, VERDICT)(F.col(text)))
 
