@@ -25,6 +25,8 @@ import tiktoken
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from socialpages.llm.common import by_slices
+
 LEAF = 64
 CONTEXT = 4
 CACHE = 1 << 18  # pre-tokens whose counts a task remembers
@@ -183,8 +185,7 @@ def with_trees(docs: DataFrame, ranks: dict[bytes, int], text: str = "text", out
     other columns are carried along; an empty table gives no rows.
     """
 
-    def trees(texts: pa.Array) -> pa.Array:
-        counter = Counter(ranks)
+    def some(texts: pa.Array, counter: Counter) -> pa.Array:
         built = [build(t or "", counter) for t in texts.to_pylist()]
         return pa.StructArray.from_arrays(
             [
@@ -195,6 +196,10 @@ def with_trees(docs: DataFrame, ranks: dict[bytes, int], text: str = "text", out
             ["n_tokens", "n_pretokens", "tree"],
         )
 
+    def trees(texts: pa.Array) -> pa.Array:
+        counter = Counter(ranks)
+        return by_slices(lambda part: some(part, counter), texts)
+
     kind = f"n_tokens long, n_pretokens long, tree {TREE}"
     return docs.withColumn(out, F.arrow_udf(trees, kind)(F.col(text)))
 
@@ -210,8 +215,7 @@ def apply_edits(
     a null edit, or a null array, changes nothing; a null insert is empty.
     """
 
-    def apply(texts: pa.Array, trees: pa.Array, edits: pa.Array) -> pa.Array:
-        counter = Counter(ranks)
+    def some(texts: pa.Array, trees: pa.Array, edits: pa.Array, counter: Counter) -> pa.Array:
         out = []
         for text, held, todo in zip(texts.to_pylist(), trees, edits.to_pylist()):
             text, encoded = text or "", 0
@@ -226,6 +230,10 @@ def apply_edits(
         columns = list(zip(*out)) or [()] * 4
         return pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["text", "tree", "n_tokens", "n_encoded"])
 
+    def apply(texts: pa.Array, trees: pa.Array, edits: pa.Array) -> pa.Array:
+        counter = Counter(ranks)
+        return by_slices(lambda *part: some(*part, counter), texts, trees, edits)
+
     kind = f"text string, tree {TREE}, n_tokens long, n_encoded long"
     return rows.withColumn(out, F.arrow_udf(apply, kind)(F.col(text), F.col(tree), F.col(edits)))
 
