@@ -4,8 +4,12 @@ Tokens are summed over the cells source x language x topic, which is the only
 pass over the rows before sampling; everything iterative runs on the cells.
 Raking scales the cells to each dimension's target shares in turn until no
 factor moves.  A row is then kept with a probability in proportion to its
-cell's factor, the largest being 1, so that the expected tokens kept have the
-target marginals.  DataFrame functions only.
+cell's factor.  If the largest probability being 1 gives the token budget or
+more, the expected tokens kept have the target marginals.  Otherwise the scale
+is solved for the budget: cells whose factor would ask for more than all their
+tokens are kept whole (and fall short of their target by what they lack), the
+others stay in proportion, so that a rare cell does not set the sample's size.
+DataFrame functions only.
 """
 
 from __future__ import annotations
@@ -20,6 +24,8 @@ DIMENSIONS = ("source", "lang", "topic")
 MAX_SWEEPS = 50
 TOLERANCE = 1e-9
 SEED = 7
+# Fixed value: the least share of all tokens that a sample is expected to hold.
+BUDGET = 0.3
 MAX_BROADCAST_CELLS = 50_000
 LONG_WORDS = 1000
 SHORT_WORDS = 50
@@ -103,30 +109,53 @@ def rake(
     return state
 
 
+def _scale(raked: DataFrame, budget: float) -> float:
+    """What factors are multiplied by to give probabilities (cut at 1): 1 / the
+    largest factor, or what makes the expected tokens ``budget`` of all, if that
+    is more.  Each round cuts further cells, so it ends; it reads only cells."""
+    cells = raked.where("tokens > 0")
+    top, total = cells.agg(F.max("factor"), F.sum("tokens")).first()
+    if not top:
+        return 1.0
+    scale = 1.0 / top
+    while True:
+        whole = F.col("factor") * F.lit(scale) >= 1
+        held, free = cells.agg(
+            F.sum(F.when(whole, F.col("tokens")).otherwise(0)),
+            F.sum(F.when(whole, 0.0).otherwise(F.col("factor") * F.col("tokens"))),
+        ).first()
+        if not free or held + scale * free >= budget * total * (1 - 1e-9):
+            return scale
+        scale = (budget * total - held) / free
+
+
 def mixed(
-    docs: DataFrame, targets: dict, id_column: str = "doc_id", text: str = "text", seed: int = SEED, out: str = "mix", **options
+    docs: DataFrame, targets: dict, id_column: str = "doc_id", text: str = "text", seed: int = SEED, out: str = "mix",
+    budget: float = BUDGET, **options,
 ) -> DataFrame:
     """``docs`` with a struct column ``out``: ``topic``, ``n_tokens``,
     ``factor``, ``probability`` and ``kept``.
 
     ``targets`` has a target (see ``_shares``) for some of "source", "lang" and
     "topic"; "topic" is the struct's, the others are columns of ``docs``.
+    ``budget`` (0 to 1) is the least share of all tokens to expect in the
+    sample; 0 keeps the marginals exact at any cost in size.
     Sampling is by a hash of id, text and seed: repeated rows share their fate
     and a run repeats.  Nulls are a category of their own; a null or empty text
     has no tokens.  An empty table gives no rows; other columns are carried.
-    """
+    """
     t, topic_name = fresh(docs, "_n_tokens"), fresh(docs, "_topic")
     rows = docs.withColumn(t, n_tokens(text)).withColumn(topic_name, topic(text, t))
     keys = {d: fresh(docs, f"_key_{d}") for d in targets}
     rows = rows.withColumns({keys[d]: _key(topic_name if d == "topic" else d) for d in targets})
     cells = rows.groupBy(*keys.values()).agg(F.sum(t).alias("tokens"))
     raked = rake(cells.toDF(*targets, "tokens"), targets, **options)
-    size, top = raked.agg(F.count(F.lit(1)), F.max(F.when(F.col("tokens") > 0, F.col("factor")))).first()
+    size, scale = raked.count(), _scale(raked, budget)
     factor, p = fresh(docs, "_factor"), fresh(docs, "_p")
     raked = raked.select(
         *[F.col(d).alias(keys[d]) for d in targets],
         F.col("factor").alias(factor),
-        F.least(F.col("factor") / F.lit(top or 1.0), F.lit(1.0)).alias(p),
+        F.least(F.col("factor") * F.lit(scale), F.lit(1.0)).alias(p),
     )
     # few cells by their count; any larger number is left to the planner
     rows = rows.join(F.broadcast(raked) if size <= MAX_BROADCAST_CELLS else raked, list(keys.values()))

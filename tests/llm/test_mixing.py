@@ -111,6 +111,31 @@ def test_expected_tokens_follow_the_targets(spark):
     assert len(tokens) == 5 and all(abs(t - mean) < 0.1 * mean for t in tokens.values())
 
 
+def test_a_tiny_source_does_not_set_the_size(spark):
+    schema = "doc_id long, text string, lang string, source string"
+    rnd = random.Random(5)
+    data = [(i, "w " * 100, rnd.choice(["en", "de"]), rnd.choice(["s1", "s1", "s1", "s2"])) for i in range(4000)]
+    targets = {"source": 0.7, "lang": {"en": 0.6, "de": 0.4}}
+
+    def share(rows, **options):
+        got = mixing.mixed(spark.createDataFrame(rows, schema), targets, **options)
+        got = got.selectExpr("source", "lang", "mix.n_tokens as n", "mix.factor as f", "mix.probability as p").collect()
+        return sum(r.n * r.p for r in got) / sum(r.n for r in got), got
+
+    before, _ = share(data)
+    tiny = [*data, (9000, "one", "en", "tiny")]
+    exact, _ = share(tiny, budget=0.0)
+    held, got = share(tiny)
+    assert exact < 0.2 < mixing.BUDGET < before
+    assert held == pytest.approx(mixing.BUDGET, rel=1e-6)
+    # the tiny source is kept whole, all others in proportion to their factors
+    assert [r.p for r in got if r.source == "tiny"] == [1.0]
+    others = {round(r.p / r.f, 9) for r in got if r.source != "tiny"}
+    assert max(others) == pytest.approx(min(others), rel=1e-6)
+    for budget in (0.9, 1.0):
+        assert share(tiny, budget=budget)[0] == pytest.approx(budget, rel=1e-6)
+
+
 def test_empty_tables_and_texts(spark):
     empty = spark.createDataFrame([], "doc_id long, text string, lang string, source string")
     assert mixing.mixed(empty, TARGETS).count() == 0
