@@ -33,6 +33,7 @@ ANCHORS = (
     "con del el los no para por se su una y"
 )
 PARTS_PER_TASK = 4
+BLOCK = 1024
 
 
 def signatures(text: Column | str, anchors: str = ANCHORS, chain: int = CHAIN) -> Column:
@@ -171,6 +172,42 @@ def fingerprints(docs: DataFrame, text: str = "text", out: str = "signatures", *
     return docs.withColumn(out, signatures(text, **options))
 
 
+def _rare_first(sets: DataFrame) -> DataFrame:
+    """``sets(print, first, set)`` with the hashes of each set in the order of
+    how many sets hold them, rarest first, and ``n``, the set's size."""
+    each = sets.select("print", "first", F.size("set").alias("n"), F.explode("set").alias("sig"))
+    each = each.join(each.groupBy("sig").agg(F.count(F.lit(1)).alias("held")), "sig")
+    ranked = each.groupBy("print", "first", "n").agg(F.sort_array(F.collect_list(F.struct("held", "sig"))).alias("ranked"))
+    return ranked.select("print", "first", "n", F.col("ranked.sig").alias("set"))
+
+
+def _prefixes(sets: DataFrame, threshold: float) -> DataFrame:
+    """``(print, n, band, pos, sig)``: the hashes, with their place, of which
+    two sets as alike as ``threshold`` share the first one that they share."""
+    band = F.floor(F.log("n") / F.lit(math.log(1 / threshold))).cast("int")
+    prefix = F.slice("set", 1, (F.col("n") - F.ceil(F.col("n") * F.lit(threshold) - 1e-9) + 1).cast("int"))
+    return sets.select("print", "n", band.alias("band"), F.posexplode(prefix).alias("pos", "sig"))
+
+
+def _likely(member: DataFrame, threshold: float, block: int = BLOCK) -> DataFrame:
+    """Pairs ``(a, b)`` of different roots that meet in a bucket of
+    ``member(print, n, band, pos, sig, near, root)`` and pass the length and
+    position bounds.  A bucket is cut into blocks, and each pair of blocks is
+    joined by a key of its own."""
+    size = member.groupBy("band", "sig").agg(F.count(F.lit(1)).alias("rows"), F.min("root").alias("low"), F.max("root").alias("high"))
+    size = size.where("low <> high").selectExpr("band", "sig", f"cast(ceil(rows / {block}) as int) as blocks")
+    member = member.join(size, ["band", "sig"]).withColumn("mine", F.expr("cast(pmod(xxhash64(print), blocks) as int)"))
+    others = F.explode(F.expr("sequence(0, blocks - 1)"))
+    a = member.withColumn("other", others).withColumnsRenamed({"mine": "i", "other": "j"})
+    b = member.where("near = 0").withColumn("other", others).withColumnsRenamed({"other": "i", "mine": "j"})
+    pair = a.alias("a").join(b.alias("b"), ["band", "sig", "i", "j"])
+    pair = pair.where("a.root <> b.root and a.n <= b.n").where(F.col("a.n") >= F.lit(threshold) * F.col("b.n") - 1e-9)
+    # at the first hash that a pair shares, what is left of both holds all that they share
+    shared = F.lit(threshold / (1 + threshold)) * (F.col("a.n") + F.col("b.n")) - 1e-9
+    pair = pair.where(F.least(F.col("a.n") - F.col("a.pos"), F.col("b.n") - F.col("b.pos")) >= shared)
+    return pair.select(F.col("a.print").alias("a"), F.col("b.print").alias("b"))
+
+
 def near_duplicates(
     docs: DataFrame, id_column: str = "doc_id", text: str = "text", threshold: float = 0.8, **options
 ) -> DataFrame:
@@ -181,22 +218,21 @@ def near_duplicates(
     Equal sets count once.  Sets are partitioned by length into bands whose
     ends differ by the factor 1 / threshold, so that likely pairs are in one
     band or in neighbouring ones; within a band a pair must share one of the
-    first hashes of both (prefix filter), then pass the length bound, then the
-    exact coefficient.
+    first hashes of both, the rarest over all sets coming first (prefix filter:
+    a hash that many sets hold is in the prefix of few), then pass the length
+    and position bounds, then the exact coefficient.
 
     First each set is compared to the least set of each of its buckets, which
     is linear and joins most of a large group of near copies.  Then only pairs
     from different components are left to compare, in the buckets that hold
-    more than one.  A null id never names a class; an empty table gives no rows.
+    more than one, block by block.  A null id never names a class; an empty table gives no rows.
     """
     rows = materialize(
         docs.select(F.col(id_column).alias("doc_id"), signatures(text, **options).alias("set")).withColumn("print", digest("set"))
     )
     sets = rows.groupBy("print").agg(F.min("doc_id").alias("first"), F.first("set").alias("set"))
-    sets = materialize(sets.withColumn("n", F.size("set")))
-    band = F.floor(F.log("n") / F.lit(math.log(1 / threshold))).cast("int")
-    prefix = F.slice("set", 1, (F.col("n") - F.ceil(F.col("n") * F.lit(threshold) - 1e-9) + 1).cast("int"))
-    index = sets.select("print", "n", band.alias("band"), F.explode(prefix).alias("sig"))
+    sets = materialize(_rare_first(materialize(sets)))
+    index = _prefixes(sets, threshold)
     # a set is in the buckets of its band and, for longer partners, of the next
     reach = index.withColumn("near", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("band", F.col("band") + F.col("near"))
 
@@ -213,11 +249,7 @@ def near_duplicates(
     least = reach.groupBy("band", "sig").agg(F.min("print").alias("a"))
     stars = materialize(verified(reach.join(least, ["band", "sig"]).where("a <> print").select("a", F.col("print").alias("b"))))
     member = reach.join(with_roots(stars), "print")
-    split = member.groupBy("band", "sig").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-    member = member.join(split.select("band", "sig"), ["band", "sig"])
-    pair = member.alias("a").join(member.where("near = 0").alias("b"), ["band", "sig"])
-    pair = pair.where("a.root <> b.root and a.n <= b.n").where(F.col("a.n") >= F.lit(threshold) * F.col("b.n") - 1e-9)
-    rest = verified(pair.select(F.col("a.print").alias("a"), F.col("b.print").alias("b")))
+    rest = verified(_likely(member, threshold))
     rooted = sets.select("print", "first").join(with_roots(stars.unionByName(rest)), "print")
     label = rooted.join(rooted.groupBy("root").agg(F.min("first").alias("class_id")), "root").select("print", "class_id")
     return rows.join(label, "print").select(

@@ -96,6 +96,27 @@ def test_near_duplicates_against_brute_force(spark):
     assert got == want and len(set(want.values())) > 10
 
 
+def test_a_hot_signature_makes_no_large_bucket(spark):
+    boiler = spark.range(400).selectExpr("concat('the b', id, ' plate') as t").select("t", spotsigs.signatures("t")[0].alias("h"))
+    hot = min(boiler.collect(), key=lambda r: r.h).t  # its hash comes first by number
+    data = [(i, hot + " " + " ".join(f"the x{i}y{k} z" for k in range(12))) for i in range(300)]
+    data += [(1000 + i, data[i][1] + " tail") for i in range(5)]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    sets = docs.select(F.col("doc_id").alias("first"), spotsigs.signatures("text").alias("set")).withColumn("print", spotsigs.digest("set"))
+    index = spotsigs._prefixes(spotsigs._rare_first(sets), 0.8)
+    assert index.groupBy("band", "sig").count().agg(F.max("count")).first()[0] < 10
+    got = {r.doc_id: r.class_id for r in spotsigs.near_duplicates(docs).collect()}
+    assert got == {i: i % 1000 for i, _ in data}
+
+
+def test_block_pairs_give_the_pairs_of_one_block(spark):
+    rnd = random.Random(6)
+    rows = [(f"p{i}", n, 0, rnd.randrange(3), rnd.randrange(2), near, f"r{i % 7}") for i in range(60) for n in [rnd.choice([8, 9, 10])] for near in (0, 1)]
+    member = spark.createDataFrame(rows, "print string, n int, band int, pos int, sig long, near int, root string")
+    whole, cut = ({tuple(r) for r in spotsigs._likely(member, 0.8, block).collect()} for block in (1024, 7))
+    assert whole == cut and len(whole) > 20
+
+
 def test_a_long_text(spark):
     long = " ".join(f"the w{i}" for i in range(60_000))
     docs = spark.createDataFrame([(1, long), (2, "x"), (3, "the " * 60_000), (4, "of a w1 " + "the " * 60_000)], "doc_id long, text string")
