@@ -8,6 +8,11 @@ a text that one rule rejects is not seen by the later ones.  The verdict is
 
 The base counts are computed for every text: they are output columns, and
 several rules use them.
+
+All rules but one hold for any language whose words are spaced.  The share of
+common words is asked of the languages with a word list only (``LANGUAGES``:
+English, German, French, Spanish), if the texts' language is known from a
+column; texts of other languages, or of none given, are left to the others.
 """
 
 from __future__ import annotations
@@ -19,7 +24,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from socialpages.llm.common import Words, by_slices, fresh, split_words, text_slices
@@ -46,6 +51,7 @@ COMMON_WORDS = (
     "au avec ce dans de des du en est et la le les ou par pas pour que qui un une "
     "como con del el en es la las los no para por que se su un una y"
 )
+LANGUAGES = ("en", "eng", "de", "deu", "ger", "fr", "fra", "fre", "es", "spa")
 SAMPLE_ROWS = 2000
 
 
@@ -219,8 +225,9 @@ def cascade_order(docs: DataFrame, text: str = "text", sample_rows: int = SAMPLE
 VERDICT = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, rejected_by string"
 
 
-def _judge(texts: pa.Array, order: list[str]) -> pa.StructArray:
+def _judge(texts: pa.Array, listed: pa.Array, order: list[str]) -> pa.StructArray:
     rules = {r.name: r for r in RULES}
+    listed = listed.to_numpy(zero_copy_only=False).astype(bool)
     counts = Counts(texts)
     rows = np.flatnonzero(~counts.base_failed)
     by = np.full(len(texts), None, object)
@@ -229,6 +236,8 @@ def _judge(texts: pa.Array, order: list[str]) -> pa.StructArray:
         if not len(rows):
             break
         rejected = rules[name].rejects(texts.take(pa.array(rows)), counts, rows)
+        if name == "few_common_words":
+            rejected &= listed[rows]
         by[rows[rejected]] = name
         rows = rows[~rejected]
     kept = np.zeros(len(texts), bool)
@@ -238,23 +247,32 @@ def _judge(texts: pa.Array, order: list[str]) -> pa.StructArray:
     return pa.StructArray.from_arrays(arrays, [f.split()[0] for f in VERDICT.split(", ")])
 
 
-def judged(docs: DataFrame, text: str = "text", out: str = "quality", order: list[str] | None = None) -> DataFrame:
+def _has_word_list(lang: str) -> Column:
+    """Whether a language code ("en", "en-GB", "EN_us") has common words here (null: no)."""
+    code = F.lower(F.substring_index(F.translate(F.trim(F.col(lang)), "_", "-"), "-", 1))
+    return F.coalesce(code.isin(*LANGUAGES), F.lit(False))
+
+
+def judged(
+    docs: DataFrame, text: str = "text", out: str = "quality", order: list[str] | None = None, lang: str | None = None
+) -> DataFrame:
     """``docs`` with a struct column ``out``: the base counts, ``base_failed``,
     ``kept`` and ``rejected_by`` (the first rule of the cascade that rejects;
-    it depends on the order, the rest does not).
+    it depends on the order, the rest does not).  ``lang`` names the column of
+    language codes; without one the texts all count as of the listed languages.
 
     A null or empty text has no words and fails the base.  Every row stays,
     repeated ones too; an empty table gives no rows; other columns are carried.
     """
     order = cascade_order(docs, text) if order is None else order
 
-    def judge(texts: pa.Array) -> pa.Array:
-        return by_slices(lambda part: _judge(part, order), texts)
+    def judge(texts: pa.Array, listed: pa.Array) -> pa.Array:
+        return by_slices(lambda *part: _judge(*part, order), texts, listed)
 
-    return docs.withColumn(out, F.arrow_udf(judge, VERDICT)(F.col(text)))
+    return docs.withColumn(out, F.arrow_udf(judge, VERDICT)(F.col(text), _has_word_list(lang) if lang else F.lit(True)))
 
 
-def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:
+def keep_good(docs: DataFrame, text: str = "text", lang: str | None = None) -> DataFrame:
     """The rows of ``docs`` that the cascade keeps, with the same columns."""
     out = fresh(docs, "_quality")
-    return judged(docs, text, out).where(F.col(f"{out}.kept")).select(*docs.columns)
+    return judged(docs, text, out, lang=lang).where(F.col(f"{out}.kept")).select(*docs.columns)

@@ -103,8 +103,8 @@ def op3_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return judged(docs).select(
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return judged(docs, lang="lang").select(
         "doc_id",
         *[f"quality.{c}" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")],
     )

@@ -93,6 +93,22 @@ def test_keep_good_keeps_columns_and_empty_tables_work(spark):
     assert q.keep_good(empty).count() == 0 and q.judged(empty).count() == 0
 
 
+def test_languages_without_a_word_list_keep_their_clean_texts(spark):
+    clean = {
+        "ru": "Каждое утро старый рыбак выходил на берег реки, смотрел на воду и тихо рассказывал внуку длинные истории о далёких городах, "
+              "больших кораблях и смелых людях, которых встретил раньше",
+        "pl": "Każdego ranka stary rybak wychodził nad rzekę, patrzył długo wodę oraz cicho opowiadał wnukowi historie dalekich miast, "
+              "wielkich statków, odważnych ludzi, których kiedyś spotkał podczas podróży",
+    }
+    rows = [(i, t, lang) for i, (lang, t) in enumerate(clean.items())]
+    rows += [(10, clean["ru"], None), (11, clean["ru"], "en"), (12, clean["ru"], "EN-us"), (13, "слово " * 40, "ru"), (14, None, "ru")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: (r.kept, r.rejected_by) for r in q.judged(docs, lang="lang").select("doc_id", "quality.*").collect()}
+    few = (False, "few_common_words")
+    assert got == {0: (True, None), 1: (True, None), 10: (True, None), 11: few, 12: few, 13: (False, "base"), 14: (False, "base")}
+    assert {r.doc_id for r in q.keep_good(docs, lang="lang").collect()} == {0, 1, 10}
+
+
 def test_a_very_long_text(spark):
     long = " ".join(f"the w{i % 50_000}" for i in range(150_000))
     docs = spark.createDataFrame([(1, long)], "doc_id long, text string")
