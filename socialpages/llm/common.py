@@ -38,7 +38,7 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 def words_sql(column: str) -> str:
     """Spark SQL for the array of words of a text column (null: no words)."""
-    spaced = f"translate(coalesce({column}, ''), '\\t\\n\\u000B\\f\\r', '     ')"
+    spaced = f"translate(coalesce({column}, ''), '\\t\\n\\u000B\\u000C\\r', '     ')"
     return f"filter(split({spaced}, ' ', -1), w -> w <> '')"
 
 

@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from socialpages.llm import pieces, tokens
-from socialpages.llm.common import table
+from socialpages.llm import divergence, periods, pieces, tokens
+from socialpages.llm.common import table, words_sql
 from socialpages.llm.licenses import TEMPLATES, THRESHOLD, scanned
 from socialpages.llm.mixing import mixed
 from socialpages.llm.quality import (
@@ -251,6 +251,115 @@ SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n,
 FROM d LEFT JOIN kept USING (doc_id)"""
 
 
+def planted_runs(text: str = "text", id_column: str = "doc_id"):
+    """A tenth of the texts, by the CRC of the id, with their words made periodic from
+    some word on; the others as they are."""
+    words, h = words_sql(text), f"crc32(cast({id_column} as string))"
+    start = f"cast(({h} div 10) % n as int)"
+    period = f"cast(1 + (n - a) div (3 + ({h} div 10) % 8) as int)"
+    made = f"""
+      array_join(flatten(transform(array(({words})), w ->
+        flatten(transform(array(size(w)), n ->
+          flatten(transform(array({start}), a ->
+            flatten(transform(array({period}), p ->
+              transform(sequence(0, n - 1), i -> w[if(i < a, i, a + (i - a) % p)])))))))))
+      , ' ')"""
+    return F.expr(f"CASE WHEN {h} % 10 = 0 AND {text} RLIKE '[^\\\\x20\\\\x09-\\\\x0D]' THEN {made} ELSE {text} END")
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", planted_runs().alias("text"))
+    runs, best = "periods.runs", "array_max(transform(periods.runs, r -> struct(r.length, -r.start as start, -r.period as period)))"
+    found = periods.with_runs(docs, min_length=12).select("doc_id", "periods", F.expr(best).alias("best"))
+    lines = f"transform({runs}, r -> concat_ws(',', cast(r.start as string), cast(r.length as string), cast(r.period as string)) || '\\n')"
+    return found.selectExpr(
+        "doc_id",
+        f"cast(size({runs}) as long) as n_runs",
+        "-best.start as start",
+        "best.length as length",
+        "-best.period as period",
+        "1000 * best.length div -best.period as exponent_milli",
+        f"sha2(array_join({lines}, ''), 256) as runs_sha256",
+        "sha2(coalesce(periods.collapsed, ''), 256) as collapsed_sha256",
+    )
+
+
+# A run's equal words, q apart, are at least six: pairs of equal six-word windows of a
+# document, grouped by distance and unbroken stretch, are all candidates.
+OP12_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws,
+         xor(list_reduce(list_transform(range(1, length(CAST(doc_id AS VARCHAR)) + 1), lambda i: CAST(ascii(CAST(doc_id AS VARCHAR)[i]) AS BIGINT)),
+             lambda c, b: list_reduce(range(8), lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, xor(c, b)),
+             4294967295), 4294967295) AS h
+  FROM documents),
+s AS (SELECT *, len(ws) AS n, h // 10 AS g, CASE WHEN len(ws) > 0 THEN (h // 10) % len(ws) END AS a FROM d),
+p AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM s),
+t AS (
+  SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0
+    THEN list_transform(range(n), lambda i: ws[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]) ELSE ws END AS ws
+  FROM p),
+v AS (SELECT doc_id, n, ws, unnest(range(n - 5)) AS i FROM t WHERE n >= 12),
+x AS (SELECT doc_id, n, i, array_to_string(ws[i + 1:i + 6], ' ') AS f FROM v),
+y AS (
+  SELECT a.doc_id, a.n, a.i, b.i - a.i AS q FROM x a JOIN x b ON b.doc_id = a.doc_id AND b.f = a.f AND b.i > a.i),
+z AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS grp FROM y),
+st AS (SELECT doc_id, q, min(i) AS start, count(*) + 5 + q AS length FROM z GROUP BY doc_id, q, grp),
+r AS (
+  SELECT doc_id, start, length, min(q) AS q FROM st WHERE length >= greatest(12, 2 * q) GROUP BY doc_id, start, length),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start + q, start + length)) AS i FROM r),
+words AS (SELECT doc_id, unnest(ws) AS w, unnest(range(n)) AS i FROM t),
+kept AS (SELECT doc_id, string_agg(w, ' ' ORDER BY i) AS c FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id),
+best AS (
+  SELECT doc_id, count(*) AS n_runs, arg_min(struct_pack(s := start, l := length, q := q), struct_pack(l := -length, s := start, q := q)) AS b,
+         string_agg(start || ',' || length || ',' || q || chr(10), '' ORDER BY start, q) AS lines
+  FROM r GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, CAST(b.s AS BIGINT) AS start, CAST(b.l AS BIGINT) AS length,
+       CAST(b.q AS BIGINT) AS period, CAST(1000 * b.l // b.q AS BIGINT) AS exponent_milli,
+       sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(c, '')) AS collapsed_sha256
+FROM d LEFT JOIN best ON best.doc_id = d.doc_id LEFT JOIN kept ON kept.doc_id = d.doc_id"""
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("text", "lang", "source")
+    return divergence.source_divergence(docs, min_docs=30, top=50)
+
+
+OP13_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ts
+  FROM documents),
+w AS (SELECT id, lang, source, unnest(ts) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS whole FROM w GROUP BY lang, term HAVING count(DISTINCT id) >= 30),
+g AS (SELECT DISTINCT lang, source FROM d),
+vo AS (SELECT lang, count(*)::HUGEINT AS v, sum(whole)::HUGEINT AS n FROM kept GROUP BY lang),
+c AS (SELECT w.lang, w.source, w.term, count(*) AS n FROM w JOIN kept USING (lang, term) GROUP BY ALL),
+tot AS (SELECT lang, source, sum(n)::HUGEINT AS n FROM c GROUP BY ALL),
+full_table AS (
+  SELECT g.lang, g.source, kept.term, coalesce(c.n, 0) AS n,
+         1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 5)) // (coalesce(tot.n, 0) + 5 * vo.v) AS p,
+         1 + (1000000000::HUGEINT * (kept.whole + 5)) // (vo.n + 5 * vo.v) AS q
+  FROM g JOIN kept USING (lang) JOIN vo USING (lang)
+  LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term
+  LEFT JOIN tot ON tot.lang = g.lang AND tot.source = g.source),
+pv AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM full_table a JOIN full_table b ON b.lang = a.lang AND b.term = a.term AND b.source <> a.source GROUP BY ALL),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(pv.value, 0) AS value
+  FROM g a JOIN g b ON b.lang = a.lang AND b.source <> a.source
+  LEFT JOIN pv ON pv.lang = a.lang AND pv.source = a.source AND pv.item = b.source),
+ranked AS (
+  SELECT lang, source, 'pair' AS part, item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, encode(item)) AS rank FROM pairs
+  UNION ALL
+  SELECT lang, source, 'term', term, p - q, row_number() OVER (PARTITION BY lang, source ORDER BY p - q DESC, encode(term)) AS rank
+  FROM full_table WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 50"""
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # it uses this module's parameters
 
@@ -269,6 +378,8 @@ def queries() -> dict:
         "op8_sentencepiece": op8_sentencepiece,
         "op9_mixing": op9_mixing,
         "op10_substring_dedup": op10_substring_dedup,
+        "op12_periodic_runs": op12_periodic_runs,
+        "op13_source_divergence": op13_source_divergence,
         "pipeline": pipeline,
     }
 
@@ -280,4 +391,6 @@ def oracle_sql() -> dict[str, str]:
         "op5_license_scan": OP5_SQL,
         "op7_warc_zstd": OP7_SQL,
         "op10_substring_dedup": OP10_SQL,
+        "op12_periodic_runs": OP12_SQL,
+        "op13_source_divergence": OP13_SQL,
     }
