@@ -69,6 +69,16 @@ class Words:
         return np.repeat(np.arange(len(self.offsets) - 1), self.counts)
 
 
+def translated(texts: pa.Array, table: bytes) -> pa.Array:
+    """The texts with each UTF-8 byte replaced by ``table``'s (which keeps the
+    bytes of multi-byte characters), a null as the empty text."""
+    whole = pa.concat_arrays([pc.fill_null(texts.cast(pa.large_string()), "")])
+    _, ends, data = whole.buffers()
+    ends = np.frombuffer(ends, np.int64)[whole.offset : whole.offset + len(whole) + 1]
+    body = memoryview(data)[ends[0] : ends[-1]].tobytes().translate(table) if data else b""
+    return pa.LargeStringArray.from_buffers(len(whole), pa.py_buffer((ends - ends[0]).tobytes()), pa.py_buffer(body))
+
+
 def split_words(texts: pa.Array) -> Words:
     """Words of every text, vectorised (Arrow's ASCII white space is exactly
     the six separators; the empty strings it leaves at the ends are dropped)."""

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from socialpages.llm.common import Words, split_words, text_slices
+from socialpages.llm.common import Words, split_words, text_slices, translated
 from socialpages.plans.lineage import discard, staged
 
 MIN_DOCS = 30
@@ -62,13 +62,7 @@ COUNTS_ARROW = pa.schema(
 def split_terms(texts: pa.Array) -> Words:
     """The terms of every text: maximal runs of ASCII letters and non-ASCII
     characters, only A-Z lower-cased."""
-    whole = pa.concat_arrays([pc.fill_null(texts.cast(pa.large_string()), "")])
-    _, ends, data = whole.buffers()
-    ends = np.frombuffer(ends, np.int64)[whole.offset : whole.offset + len(whole) + 1]
-    body = memoryview(data)[ends[0] : ends[-1]].tobytes().translate(_FOLD) if data else b""
-    return split_words(
-        pa.LargeStringArray.from_buffers(len(whole), pa.py_buffer((ends - ends[0]).tobytes()), pa.py_buffer(body))
-    )
+    return split_words(translated(texts, _FOLD))
 
 
 def _count_slice(batch: pa.RecordBatch) -> pa.RecordBatch:

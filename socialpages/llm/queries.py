@@ -13,6 +13,7 @@ from socialpages.llm import divergence, periods, pieces, tokens
 from socialpages.llm.common import table, words_sql
 from socialpages.llm.licenses import TEMPLATES, THRESHOLD, scanned
 from socialpages.llm.mixing import mixed
+from socialpages.llm.ngram_join import jaccard_components
 from socialpages.llm.quality import (
     COMMON_WORDS,
     MAX_DUP_LINES_PERCENT,
@@ -251,6 +252,31 @@ SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n,
 FROM d LEFT JOIN kept USING (doc_id)"""
 
 
+def op11_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents").select("doc_id", "text"), size=5)
+
+
+OP11_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+         ELSE list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))) END AS sh FROM d),
+k AS (SELECT doc_id, sh, len(sh) AS n, CASE WHEN len(sh) > 0 THEN sha256(array_to_string(list_sort(sh), chr(10))) END AS same FROM s),
+c AS (SELECT same, min(doc_id) AS node, any_value(n) AS n, arg_min(sh, doc_id) AS sh FROM k WHERE n > 0 GROUP BY same),
+t AS (SELECT node, n, unnest(sh) AS t FROM c),
+i AS (
+  SELECT a.node AS a, b.node AS b, any_value(a.n + b.n) AS sizes, count(*) AS common
+  FROM t a JOIN t b ON a.t = b.t AND a.node < b.node AND 10 * least(a.n, b.n) >= 8 * greatest(a.n, b.n) GROUP BY a.node, b.node),
+l AS (SELECT a, b FROM i WHERE 100 * common >= 80 * (sizes - common)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+reach AS (SELECT node AS a, node AS b FROM c UNION SELECT reach.a, e.b FROM reach JOIN e ON e.a = reach.b),
+comp AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT k.doc_id, CAST(k.n AS BIGINT) AS n_shingles, coalesce(comp.component_id, k.doc_id) AS component_id
+FROM k LEFT JOIN c ON c.same = k.same LEFT JOIN comp ON comp.a = c.node"""
+
+
 def planted_runs(text: str = "text", id_column: str = "doc_id"):
     """A tenth of the texts, by the CRC of the id, with their words made periodic from
     some word on; the others as they are."""
@@ -378,6 +404,7 @@ def queries() -> dict:
         "op8_sentencepiece": op8_sentencepiece,
         "op9_mixing": op9_mixing,
         "op10_substring_dedup": op10_substring_dedup,
+        "op11_ngram_jaccard_join": op11_ngram_jaccard_join,
         "op12_periodic_runs": op12_periodic_runs,
         "op13_source_divergence": op13_source_divergence,
         "pipeline": pipeline,
@@ -391,6 +418,7 @@ def oracle_sql() -> dict[str, str]:
         "op5_license_scan": OP5_SQL,
         "op7_warc_zstd": OP7_SQL,
         "op10_substring_dedup": OP10_SQL,
+        "op11_ngram_jaccard_join": OP11_SQL,
         "op12_periodic_runs": OP12_SQL,
         "op13_source_divergence": OP13_SQL,
     }

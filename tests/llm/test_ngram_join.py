@@ -1,0 +1,115 @@
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from socialpages.llm import ngram_join
+
+
+def shingles(text, size=5):
+    lower = (text or "").translate({c: c + 32 for c in range(0x41, 0x5B)})
+    w = re.findall(r"[^\x20\x09-\x0D]+", lower)
+    if not w:
+        return frozenset()
+    return frozenset(tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1)))
+
+
+def brute(rows, size=5):
+    """Rows ``(id, text)`` with ids that are not null."""
+    sets = [shingles(t, size) for _, t in rows]
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            a, b = sets[i], sets[j]
+            if a and b and 100 * len(a & b) >= 80 * len(a | b):
+                root[find(i)] = find(j)
+    least = {}
+    for i, (x, _) in enumerate(rows):
+        least[find(i)] = min(x, least.get(find(i), x))
+    return sorted((x, len(sets[i]), least[find(i)] if sets[i] else x) for i, (x, _) in enumerate(rows))
+
+
+def corpus(seed):
+    """Chains and groups of edited copies near the threshold, on both sides of it,
+    texts made of common passages, exact copies and short texts."""
+    rnd = random.Random(seed)
+    word = lambda: f"w{rnd.randrange(4000)}"
+    text = lambda n: [word() for _ in range(n)]
+    common = [text(30) for _ in range(4)]
+    rows = []
+    for _ in range(12):
+        base = text(rnd.choice([12, 40, 90, 160]))
+        for _ in range(rnd.choice([1, 2, 8, 14])):
+            w = list(base)
+            for _ in range(rnd.choice([0, 0, 1, 1, 2, 3, 4])):
+                w[rnd.randrange(len(w))] = word()
+            if rnd.random() < 0.3:
+                base = w
+            if rnd.random() < 0.2:
+                w = w + common[0]
+            rows.append(" ".join(w).upper() if rnd.random() < 0.2 else " ".join(w))
+    for _ in range(40):
+        rows.append(" ".join(sum((rnd.choice(common) for _ in range(rnd.choice([1, 2, 3]))), []) + text(rnd.choice([0, 1, 20]))))
+    rows += ["one two", "ONE\ttwo", "one two three", "", " \n", None, rows[0], rows[3]]
+    ids = rnd.sample(range(-500, 5000), len(rows))
+    return list(zip(ids, rows))
+
+
+def run(spark, rows, size=5, parts=7):
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("key", F.lit("x")).withColumn("n", F.lit(1))
+    got = ngram_join.jaccard_components(docs.repartition(parts), size=size)
+    assert got.columns == ["doc_id", "n_shingles", "component_id"]
+    return sorted(map(tuple, got.collect()))
+
+
+@pytest.mark.parametrize("seed,size", [(1, 5), (2, 5), (3, 2)])
+def test_against_brute_force(spark, seed, size):
+    rows = corpus(seed)
+    assert run(spark, rows, size) == brute(rows, size)
+
+
+def test_regions_and_windows(spark, monkeypatch):
+    """Bad pivots (any point leads) leave everything to the windows."""
+    monkeypatch.setattr(ngram_join, "ELECTIONS", 1)
+    monkeypatch.setattr(ngram_join, "LEAST_VOTES", 1)
+    monkeypatch.setattr(ngram_join, "UNIT_SHINGLES", 300)
+    rows = corpus(9)
+    assert run(spark, rows) == brute(rows)
+
+
+def test_repeated_rows_ids_and_nulls(spark):
+    long = " ".join(f"a{i}" for i in range(60))
+    rows = [(5, long), (5, long), (5, "x y z"), (2, long + " more"), (9, None), (9, None), (7, "x y z")]
+    got = run(spark, rows)
+    assert got == sorted([(5, 56, 2), (5, 56, 2), (5, 1, 5), (2, 57, 2), (9, 0, 9), (9, 0, 9), (7, 1, 5)])
+    nulls = spark.createDataFrame([(None, long), (3, long), (None, "b c")], "doc_id long, text string")
+    out = sorted(map(tuple, ngram_join.jaccard_components(nulls).collect()), key=str)
+    assert out == sorted([(None, 56, 3), (3, 56, 3), (None, 1, None)], key=str)
+    names = spark.createDataFrame([("b", long), ("a", long), ("c", "")], "doc_id string, text string")
+    assert sorted(map(tuple, ngram_join.jaccard_components(names).collect())) == [("a", 56, "a"), ("b", 56, "a"), ("c", 0, "c")]
+
+
+def test_empty(spark):
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    assert ngram_join.jaccard_components(empty).count() == 0
+    assert run(spark, [(1, None)]) == [(1, 0, 1)]
+
+
+def test_one_long_text_and_a_large_group(spark):
+    long = " ".join(f"v{i}" for i in range(60_000))
+    base = [f"u{i}" for i in range(80)]
+    rows = [(10_000, long), (9_000, "head " + long)]
+    for i in range(400):
+        w = list(base)
+        w[i % 80] = f"e{i}"
+        rows.append((i, " ".join(w)))
+    got = {r[0]: r[2] for r in run(spark, rows)}
+    assert got[10_000] == got[9_000] == 9_000 and {got[i] for i in range(400)} == {0}
