@@ -1,0 +1,90 @@
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from socialpages.llm import periods
+
+
+def brute(w, least=12):
+    """Runs ``(start, length, period)`` of a list: for each distance the maximal
+    stretches of equal pairs; of one stretch the smallest period."""
+    found = {}
+    for q in range(1, len(w) // 2 + 1):
+        i = 0
+        while i + q < len(w):
+            j = i
+            while j + q < len(w) and w[j] == w[j + q]:
+                j += 1
+            if j - i + q >= max(least, 2 * q):
+                found.setdefault((i, j - i + q), q)
+            i = max(j, i + 1)
+    return sorted(((s, n, q) for (s, n), q in found.items()), key=lambda r: (r[0], r[2]))
+
+
+def collapse(w, runs):
+    gone = {i for s, n, q in runs for i in range(s + q, s + n)}
+    return " ".join(x for i, x in enumerate(w) if i not in gone)
+
+
+def texts(seed):
+    rnd = random.Random(seed)
+    for _ in range(150):
+        k, w = rnd.choice([1, 2, 2, 3, 5, 40]), []
+        for _ in range(rnd.choice([0, 1, 2, 4, 6])):
+            block = [f"é{rnd.randrange(k)}" for _ in range(rnd.randint(1, 9))]
+            w += block * rnd.randint(1, 6)
+        if rnd.random() < 0.2:
+            w = (["a", "b"] * rnd.randint(1, 15) + [rnd.choice("ab")]) * rnd.randint(1, 4)
+        yield w
+
+
+@pytest.mark.parametrize("seed,least", [(1, 12), (2, 4), (3, 2)])
+def test_against_brute_force(spark, seed, least):
+    rnd = random.Random(seed)
+    rows = [(i, rnd.choice([" ", "\n", " \t"]).join(w)) for i, w in enumerate(texts(seed))]
+    rows += [(1000, None), (1001, ""), (None, "x " * 30), rows[3], rows[3]]
+    docs = spark.createDataFrame([(*r, "v", 1) for r in rows], "doc_id long, text string, runs string, n_words int").repartition(5)
+    got = periods.with_runs(docs, min_length=least)
+    assert got.columns == [*docs.columns, "periods"]
+    out = [(r.doc_id, r.text, r.periods.n_words, [tuple(x) for x in r.periods.runs], r.periods.collapsed) for r in got.collect()]
+    want = []
+    for i, t in rows:
+        w = (t or "").split()
+        runs = brute(w, least)
+        want.append((i, t, len(w), runs, None if t is None else collapse(w, runs)))
+    assert sorted(out, key=str) == sorted(want, key=str)
+
+
+def test_slices_and_batches_do_not_matter(spark, monkeypatch):
+    monkeypatch.setattr(periods, "SLICE_BYTES", 50)
+    rows = [(i, " ".join(w)) for i, w in enumerate(texts(7))]
+    got = periods.with_runs(spark.createDataFrame(rows, "doc_id long, text string"))
+    for r in got.collect():
+        assert [tuple(x) for x in r.periods.runs] == brute((r.text or "").split())
+
+
+def test_period_between_two_progressions():
+    """Every difference between two progressions counts, not only the nearest."""
+    w = list("ababababa" + "abababab")
+    codes = np.array([ord(c) for c in w])
+    got = list(zip(*[x.tolist() for x in periods.find_runs(codes, np.array([0, len(w)]), 2)]))
+    assert got == brute(w, 2) and {q for _, _, q in got} >= {5, 7}
+
+
+def test_long_texts(spark):
+    same = "spam " * 200_000
+    halves = " ".join(f"h{i}" for i in range(50_000))
+    docs = spark.createDataFrame([(1, same), (2, halves + " " + halves), (3, "x" * 500_000)], "doc_id long, text string")
+    got = {r.doc_id: r.periods for r in periods.with_runs(docs).collect()}
+    assert [tuple(x) for x in got[1].runs] == [(0, 200_000, 1)] and got[1].collapsed == "spam"
+    assert [tuple(x) for x in got[2].runs] == [(0, 100_000, 50_000)] and got[2].collapsed == halves
+    assert got[3].runs == [] and got[3].n_words == 1
+
+
+def test_empty_table_and_clashing_name(spark):
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    assert periods.with_runs(empty).count() == 0
+    with pytest.raises(ValueError, match="periods"):
+        periods.with_runs(empty.withColumn("Periods", F.lit(1)))

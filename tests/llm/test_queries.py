@@ -14,7 +14,8 @@ SF = "/root/testdata/sf0.001"
 TABLES = ["documents", "pages", "conversations"]
 NAMES = [
     "op1_quotation_linking", "op2_simhash_near_dedup", "op3_spotsigs", "op4_quality_rules", "op5_license_scan",
-    "op6_token_counts", "op7_warc_zstd", "op8_sentencepiece", "op9_mixing", "op10_substring_dedup", "pipeline",
+    "op6_token_counts", "op7_warc_zstd", "op8_sentencepiece", "op9_mixing", "op10_substring_dedup",
+    "op11_ngram_jaccard_join", "op12_periodic_runs", "op13_source_divergence", "pipeline",
 ]
 
 
