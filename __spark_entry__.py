@@ -11,9 +11,9 @@ report itself.
 from __future__ import annotations
 
 import datetime as dt
-import importlib.util
 import os
 import sys
+import uuid
 from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -28,21 +28,25 @@ from socialpages.operators import (  # noqa: E402
     disconnected_users,
     nationality_hobby_report,
     nationality_hobby_rows,
+    nationality_report_chunks,
     popular_users,
     third_field_count,
     top_accessed_pages,
     top_pages_rejects,
     unvisited_friends,
 )
-from socialpages.schemas import ACCESS_COLUMNS, PAGES_COLUMNS  # noqa: E402
+from socialpages.schemas import ACCESS_COLUMNS, FRIENDS_COLUMNS, PAGES_COLUMNS  # noqa: E402
 from socialpages.sources import driver_tables as dv  # noqa: E402
-from socialpages.sources import parse_lines  # noqa: E402
-
-# The text operators are an optional part: without their folder (or without
-# the pipeline file that belongs to it) everything else still works.
-if importlib.util.find_spec("socialpages.llm") and importlib.util.find_spec("corpus_pipeline"):
+from socialpages.plans import ensure_checkpoint_dir  # noqa: E402
+from socialpages.sources import parse_lines, read_numbered_lines, write_tsv, write_value_text  # noqa: E402
+from socialpages.sources.sinks import CONNECTEDNESS_LINE  # noqa: E402
+
+# The text operators are an optional part: without their folder, the pipeline
+# file that belongs to it or a library that they need, everything else still works.
+try:
+    import corpus_pipeline  # noqa: F401
     from socialpages.llm import queries as llm_queries
-else:
+except ImportError:
     llm_queries = None
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -50,11 +54,12 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 # Report parameters on the benchmark tables (fixed values): nationality
 # NATION_7 for the nationality report, the default top 10 pages, and the
 # default 14-day window ending 2024-02-13 12:00 (cutoff 2024-01-30 12:00)
-# for disconnected users.
+# for disconnected users, chunks of 1000 characters for the report's text.
 NATIONALITY = "NATION_7"
 TOP_K = DEFAULT_TOP_K
 AS_OF = dt.datetime(2024, 2, 13, 12, 0, 0)
 DAYS = DEFAULT_DAYS
+REPORT_CHUNK = 1000
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -72,6 +77,25 @@ def _text_fields(spark, d):
     return parse_lines(documents, PAGES_COLUMNS, "text", keep=["doc_id"])
 
 
+def _scratch(spark) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/lines-{uuid.uuid4().hex}"
+
+
+def _top_accessed_pages_lines(spark, d):
+    """The report's text output, written and read back in order."""
+    out = _scratch(spark)
+    write_value_text(_top_accessed_pages(spark, d), out)
+    return read_numbered_lines(spark, out)
+
+
+def _connectedness_lines(spark, d):
+    """The report's text output in the order of its key, ids as text."""
+    out = _scratch(spark)
+    report = connectedness_factor(dv.pages(spark, d), dv.friends(spark, d, "supp"))
+    write_tsv(report.withColumn("id", report.id.cast("string")), out, sort_by=["id"], columns=CONNECTEDNESS_LINE)
+    return read_numbered_lines(spark, out)
+
+
 def reports() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """The reports over the views of the driver tables."""
     P, A, F_ = dv.pages, dv.access, dv.friends
@@ -111,6 +135,20 @@ def reports() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "access_diversity_text": lambda s, d: access_diversity(text(s, d), log(s, d)),
         "disconnected_users_text": lambda s, d: disconnected_users(text(s, d), log(s, d), as_of=AS_OF, days=DAYS),
         "reject_counts_text": lambda s, d: top_pages_rejects(text(s, d), log(s, d)),
+        # CSV files with headers, written from the tables and read by the loader
+        "nationality_hobby_files": lambda s, d: nationality_hobby_rows(dv.pages_files(s, d), NATIONALITY),
+        "top_accessed_pages_files": lambda s, d: top_accessed_pages(dv.pages_files(s, d), dv.access_files(s, d), TOP_K),
+        "connectedness_files": lambda s, d: connectedness_factor(dv.pages_files(s, d), dv.friends_files(s, d, "supp")),
+        "unvisited_friends_files": lambda s, d: unvisited_friends(
+            dv.pages_files(s, d), dv.friends_files(s, d, "part"), dv.access_files(s, d)
+        ),
+        # the nationality report's text, in chunks
+        "nationality_report_chunks": lambda s, d: nationality_report_chunks(P(s, d), NATIONALITY, REPORT_CHUNK),
+        "nationality_report_chunks_repeated": lambda s, d: nationality_report_chunks(many(s, d), chunk=REPORT_CHUNK),
+        "nationality_report_chunks_text": lambda s, d: nationality_report_chunks(text(s, d), chunk=REPORT_CHUNK),
+        # text output read back in its order
+        "top_accessed_pages_lines": _top_accessed_pages_lines,
+        "connectedness_lines": _connectedness_lines,
     }
 
 
@@ -180,6 +218,25 @@ a AS (SELECT {_fields_sql("line", ACCESS_COLUMNS)} FROM al)"""
 )
 
 
+_FILES = (
+    _TEXT.replace(dv.PAGE_LINE, dv.FILE_LINE) + ",\n" + _f("l_suppkey").replace("f AS", "supp_f AS")
+    + ",\n" + _f("l_partkey").replace("f AS", "part_f AS") + f""",
+supp_l AS (SELECT {dv.FRIEND_LINE} AS line FROM supp_f),
+part_l AS (SELECT {dv.FRIEND_LINE} AS line FROM part_f),
+fs AS (SELECT {_fields_sql("line", FRIENDS_COLUMNS)} FROM supp_l),
+fp AS (SELECT {_fields_sql("line", FRIENDS_COLUMNS)} FROM part_l)"""
+)
+
+
+def _chunks_sql(views: str, members: str) -> str:
+    """Chunks of each nationality's whole text, of ``members(nationality, member)``."""
+    return _with(views) + f""",
+m AS ({members}),
+whole AS (SELECT nationality, string_agg(member || chr(10), '' ORDER BY member) AS v FROM m GROUP BY nationality)
+SELECT nationality, chunk_no, chunk_no * {REPORT_CHUNK} AS "offset", substr(v, chunk_no * {REPORT_CHUNK} + 1, {REPORT_CHUNK}) AS text
+FROM (SELECT nationality, v, unnest(range((length(v) + {REPORT_CHUNK} - 1) // {REPORT_CHUNK})) AS chunk_no FROM whole)"""
+
+
 def _with(*views: str) -> str:
     return "WITH " + ",\n".join(views) + "\n"
 
@@ -213,6 +270,15 @@ ORDER BY c.n DESC, p.person_id, p.name, p.nationality
 LIMIT {TOP_K}"""
 
 
+def _top_text_sql(views: str) -> str:
+    return _with(views) + f"""
+SELECT c.n AS accesses, CAST(q.person_id AS INTEGER) AS person_id, q.name, q.nationality
+FROM (SELECT {_int_sql("person_id")} AS person_id, name, nationality FROM p WHERE nf > 2) q
+JOIN (SELECT {_int_sql("what_page")} AS page, count(*) AS n FROM a WHERE nf > 2 GROUP BY page) c ON c.page = q.person_id
+ORDER BY accesses DESC, q.person_id, q.name, q.nationality
+LIMIT {TOP_K}"""
+
+
 def _diversity_sql(pages: str) -> str:
     return _with(pages, _A) + """
 SELECT p.person_id, p.name, r.t AS total_accesses, r.d AS distinct_pages
@@ -290,13 +356,7 @@ SELECT doc_id, {_fields_sql("coalesce(text, ',')", PAGES_COLUMNS).replace("AS nf
         + f"""
 SELECT {_trim_sql("name")} AS name, {_trim_sql("hobby")} AS hobby
 FROM p WHERE nf > 4 AND {_trim_sql("nationality")} = '{NATIONALITY}'""",
-        "top_accessed_pages_text": _with(_TEXT)
-        + f"""
-SELECT c.n AS accesses, CAST(q.person_id AS INTEGER) AS person_id, q.name, q.nationality
-FROM (SELECT {_int_sql("person_id")} AS person_id, name, nationality FROM p WHERE nf > 2) q
-JOIN (SELECT {_int_sql("what_page")} AS page, count(*) AS n FROM a WHERE nf > 2 GROUP BY page) c ON c.page = q.person_id
-ORDER BY accesses DESC, q.person_id, q.name, q.nationality
-LIMIT {TOP_K}""",
+        "top_accessed_pages_text": _top_text_sql(_TEXT),
         "country_page_count_text": _with(_TEXT)
         + f"SELECT {_trim_sql('nationality')} AS nationality, count(*) AS n_pages FROM p WHERE nf > 3 GROUP BY ALL",
         "third_field_count_text": _with(_TEXT)
@@ -328,6 +388,47 @@ FROM (
   UNION ALL
   SELECT 'pages' AS src, nf, {_int_sql("person_id")} AS k FROM p) t
 GROUP BY ROLLUP (src)""",
+        "nationality_hobby_files": _with(_FILES)
+        + f"""
+SELECT {_trim_sql("name")} AS name, {_trim_sql("hobby")} AS hobby
+FROM p WHERE nf > 4 AND {_trim_sql("nationality")} = '{NATIONALITY}'""",
+        "top_accessed_pages_files": _top_text_sql(_FILES),
+        "connectedness_files": _with(_FILES)
+        + f""",
+names AS (
+  SELECT {_trim_sql("person_id")} AS id, min(nullif({_trim_sql("name")}, '')) AS name FROM p WHERE nf > 1 GROUP BY 1 HAVING id <> ''),
+n AS (SELECT {_trim_sql("my_friend")} AS friend, count(*) AS n FROM fs WHERE nf > 2 GROUP BY 1 HAVING friend <> '')
+SELECT coalesce(id, friend) AS id, coalesce(name, id, friend) AS who,
+       CAST(CASE WHEN name IS NULL THEN 0 ELSE coalesce(n.n, 0) END AS BIGINT) AS connectedness
+FROM names FULL JOIN n ON id = friend""",
+        "unvisited_friends_files": _with(_FILES)
+        + """
+SELECT u.person_id, coalesce(q.name, 'Unknown') AS name, u.n AS n_unvisited
+FROM (
+  SELECT e.person_id, count(*) AS n
+  FROM (SELECT DISTINCT person_id, my_friend FROM fp WHERE nf > 2 AND person_id <> '') e
+  WHERE NOT EXISTS (SELECT 1 FROM a WHERE nf > 2 AND a.by_who = e.person_id AND a.what_page = e.my_friend)
+  GROUP BY e.person_id) u
+LEFT JOIN (SELECT person_id, min(name) AS name FROM p WHERE nf > 1 GROUP BY person_id) q ON q.person_id = u.person_id""",
+        "nationality_report_chunks": _chunks_sql(
+            _P, f"SELECT nationality, name || ', ' || hobby AS member FROM p WHERE nationality = '{NATIONALITY}'"
+        ),
+        "nationality_report_chunks_repeated": _chunks_sql(
+            _P_MANY.replace("AS nationality FROM", "AS nationality, o_orderpriority AS hobby FROM"),
+            "SELECT nationality, name || ', ' || hobby AS member FROM p",
+        ),
+        "nationality_report_chunks_text": _chunks_sql(
+            _TEXT,
+            f"""SELECT {_trim_sql("nationality")} AS nationality, {_trim_sql("name")} || ', ' || {_trim_sql("hobby")} AS member
+  FROM p WHERE nf > 4""",
+        ),
+        "top_accessed_pages_lines": f"""
+SELECT row_number() OVER (ORDER BY accesses DESC, person_id, name, nationality) AS line_no,
+       accesses || chr(9) || person_id || ',' || name || ',' || nationality AS line
+FROM ({_top_sql(_P)})""",
+        "connectedness_lines": f"""
+SELECT row_number() OVER (ORDER BY CAST(id AS VARCHAR)) AS line_no, who || chr(9) || connectedness AS line
+FROM ({_connectedness_sql(_P, "l_suppkey")})""",
     }
 
 

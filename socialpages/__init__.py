@@ -7,6 +7,7 @@ Catalyst plans and the cluster executes.  Nothing here collects to the
 driver; every report's work is partitioned by Spark.
 """
 
+from socialpages.operators.report_text import nationality_report_chunks
 from socialpages.operators.reports import (
     access_diversity,
     connectedness_factor,
@@ -21,6 +22,7 @@ from socialpages.operators.reports import (
 )
 from socialpages.operators.rejects import observe_rejects, reject_counts, top_pages_rejects
 from socialpages.sources.csv_files import parse_lines, read_access, read_friends, read_lines, read_pages
+from socialpages.sources.lines import read_numbered_lines, relation_lines, write_with_header
 from socialpages.sources.sinks import write_report_text, write_tsv, write_value_text
 
 __all__ = [
@@ -30,13 +32,16 @@ __all__ = [
     "disconnected_users",
     "nationality_hobby_report",
     "nationality_hobby_rows",
+    "nationality_report_chunks",
     "observe_rejects",
     "popular_users",
     "parse_lines",
     "read_access",
     "read_friends",
     "read_lines",
+    "read_numbered_lines",
     "read_pages",
+    "relation_lines",
     "reject_counts",
     "third_field_count",
     "top_accessed_pages",
@@ -45,4 +50,5 @@ __all__ = [
     "write_report_text",
     "write_tsv",
     "write_value_text",
+    "write_with_header",
 ]

@@ -1,6 +1,7 @@
 """The reports (one function each) and the reject counter."""
 
 from socialpages.operators.rejects import observe_rejects, reject_counts, top_pages_rejects
+from socialpages.operators.report_text import nationality_report_chunks
 from socialpages.operators.reports import (
     access_diversity,
     connectedness_factor,
@@ -21,6 +22,7 @@ __all__ = [
     "disconnected_users",
     "nationality_hobby_report",
     "nationality_hobby_rows",
+    "nationality_report_chunks",
     "observe_rejects",
     "popular_users",
     "reject_counts",

@@ -85,14 +85,19 @@ def _names_by_id(pages: DataFrame, min_fields: int, trim_id: bool, trim_name: bo
 
 # --- A: members of one nationality ---------------------------------------------------------
 
-def _nationality_members(pages: DataFrame, nationality: str) -> DataFrame:
-    p = with_min_fields(pages, 4, PAGES_COLUMNS)
-    cond = trimmed(p, "nationality") == F.lit(nationality)
-    if is_string(p, "nationality") and nationality:
+def nationality_condition(pages: DataFrame, nationality: str) -> Column:
+    """The (trimmed) nationality is the given one."""
+    cond = trimmed(pages, "nationality") == F.lit(nationality)
+    if is_string(pages, "nationality") and nationality:
         # Implied by the trimmed equality and pushable into the scan, where
         # dictionary-encoded row groups without the value are skipped.
         cond = F.col("nationality").contains(nationality) & cond
-    return p.where(cond).select(
+    return cond
+
+
+def _nationality_members(pages: DataFrame, nationality: str) -> DataFrame:
+    p = with_min_fields(pages, 4, PAGES_COLUMNS)
+    return p.where(nationality_condition(p, nationality)).select(
         F.coalesce(trimmed(p, "name"), F.lit("")).alias("name"),
         F.coalesce(trimmed(p, "hobby"), F.lit("")).alias("hobby"),
     )
@@ -337,18 +342,20 @@ def popular_users(pages: DataFrame, friends: DataFrame) -> DataFrame:
     without a page.  Ids are trimmed; friend rows need a third field and
     page rows a second.
 
-    Plan: page rows as ``(id, name, 0)`` and friend rows as ``(owner, NULL, 1)``
-    are one union with one grouped shuffle, ``min(name)`` and ``sum(n)`` per id;
-    there is no join.  The average is a scalar subquery over the same grouping
-    without names: a second, id-only shuffle, one partial row per task, of which
-    the page ids and owners are combined map-side.
+    Plan: one name per page id and the count per owner, each partially
+    aggregated (the counts by hash, so friend rows are not sorted), joined by
+    a full outer join of one row per id on each side.  The average is taken from
+    the same grouped rows: its subquery reads names and counts too, so that it
+    reuses both shuffles and the inputs are read and joined once.
     """
     f = with_min_fields(friends, 2, FRIENDS_COLUMNS)
-    owners = f.select(trimmed(f, "person_id").alias("id"), F.lit(None).cast("string").alias("name"), F.lit(1).alias("n"))
-    p = with_min_fields(pages, 1, PAGES_COLUMNS)
-    listed = p.select(trimmed(p, "person_id").alias("id"), F.col("name"), F.lit(0).alias("n"))
-    owners, listed = joinable(owners, "id", listed, "id")
-    rows = owners.where(present(owners, "id")).unionByName(listed.where(present(listed, "id")))
-    people = rows.groupBy("id").agg(F.min("name").alias("name"), F.sum("n").alias("n"))
-    average = rows.groupBy("id").agg(F.sum("n").alias("n")).agg(F.avg("n")).scalar()
-    return people.where(F.col("n") > average).select("id", "name", "n")
+    owners = f.select(trimmed(f, "person_id").alias("owner"))
+    counts = owners.where(present(owners, "owner")).groupBy("owner").agg(_rows().alias("listed"))
+    names = _names_by_id(pages, 1, trim_id=True, trim_name=False)
+    names, counts = joinable(names, "id", counts, "owner")
+    people = names.join(counts, names.id == counts.owner, "full_outer").select(
+        F.coalesce("id", "owner").alias("id"), "name", F.coalesce("listed", F.lit(0)).alias("n")
+    )
+    # counting the names keeps them in the subquery: its shuffles are the ones above
+    both = people.agg(F.struct(F.avg("n").alias("average"), F.count("name").alias("named")).alias("both"))
+    return people.where(F.col("n") > both.scalar().getField("average"))

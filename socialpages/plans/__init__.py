@@ -2,5 +2,6 @@
 
 from socialpages.plans.inspect import count_nodes, plan_text
 from socialpages.plans.lineage import discard, ensure_checkpoint_dir, materialize, staged
+from socialpages.plans.ordering import numbered, with_offsets
 
-__all__ = ["count_nodes", "discard", "ensure_checkpoint_dir", "materialize", "plan_text", "staged"]
+__all__ = ["count_nodes", "discard", "ensure_checkpoint_dir", "materialize", "numbered", "plan_text", "staged", "with_offsets"]

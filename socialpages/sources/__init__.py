@@ -2,6 +2,7 @@
 
 from socialpages.sources import driver_tables
 from socialpages.sources.csv_files import parse_lines, read_access, read_friends, read_lines, read_pages
+from socialpages.sources.lines import read_numbered_lines, relation_lines, write_with_header
 from socialpages.sources.sinks import write_report_text, write_tsv, write_value_text
 
 __all__ = [
@@ -10,8 +11,11 @@ __all__ = [
     "read_access",
     "read_friends",
     "read_lines",
+    "read_numbered_lines",
     "read_pages",
+    "relation_lines",
     "write_report_text",
     "write_tsv",
     "write_value_text",
+    "write_with_header",
 ]

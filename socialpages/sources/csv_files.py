@@ -15,7 +15,8 @@ line (``line.split(",")``):
   true header -- not the first line of every input split);
 * no trimming: each report trims where the original job does.
 
-A line may have any number of fields: the reader delivers whole lines and
+A line may have any number of fields and any characters (NUL, quotes and
+Unicode's non-characters included): the reader delivers whole lines and
 ``parse_lines`` splits them.  Several paths (or a directory / glob) load as
 one relation, the union of their rows.
 """
@@ -30,9 +31,9 @@ from socialpages.schemas import ACCESS_COLUMNS, FRIENDS_COLUMNS, N_FIELDS, PAGES
 
 LINE = "value"
 
-# Two code points that Unicode reserves as non-characters: as separator and
-# quote of the line reader they leave every line whole.
-_NO_SEPARATOR, _NO_QUOTE = "￾", "￿"
+# A line never holds the characters that end lines: as separator and quote of
+# the reader they leave every line whole, whatever else is in it.
+_NO_SEPARATOR, _NO_QUOTE = "\r", "\n"
 
 
 def split_length(line: Column) -> Column:

@@ -17,7 +17,10 @@ Further views over whole tables reach what these cannot:
 * ``pages_few``: supplier JOIN nation, fewer ids than readers and owners;
 * ``pages_repeated``: orders, with many page rows for one id;
 * ``pages_text`` / ``access_text``: pages and access as lines of text, some of
-  them short, padded, with ids that are no ints, with times that do not parse.
+  them short, padded, with ids that are no ints, with times that do not parse;
+* ``pages_files`` / ``access_files`` / ``friends_files``: such lines, some with header words
+  and with Unicode's non-characters in them, written as CSV files with a header
+  each and read back through the file readers.
 
 Each view is a lazy DataFrame: Catalyst prunes the columns a report does
 not read (the JSON is only parsed when ``what_page`` is used) and pushes
@@ -27,13 +30,16 @@ filters into the parquet scans.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from socialpages.plans.lineage import ensure_checkpoint_dir
 from socialpages.schemas import ACCESS_COLUMNS, PAGES_COLUMNS
-from socialpages.sources.csv_files import LINE, parse_lines
+from socialpages.sources.csv_files import LINE, parse_lines, read_access, read_friends, read_pages
+from socialpages.sources.lines import write_with_header
 
 FRIEND_VARIANTS = {"part": "l_partkey", "supp": "l_suppkey"}
 
@@ -189,3 +195,48 @@ def pages_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def access_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_lines(access(spark, sf_dir).select(F.expr(ACCESS_LINE).alias(LINE)), ACCESS_COLUMNS)
+
+
+# Lines as above, some names of which are header words or hold characters that no
+# Unicode text should.
+FILE_LINE = f"""
+CASE WHEN person_id % 41 = 3 THEN replace({PAGE_LINE.strip()}, name, 'PersonID')
+     WHEN person_id % 41 = 5 THEN replace({PAGE_LINE.strip()}, name, 'Name')
+     WHEN person_id % 41 = 7 THEN replace({PAGE_LINE.strip()}, name, '\ufffe"\uffff' || name)
+     ELSE {PAGE_LINE.strip()}
+END"""
+FRIEND_LINE = """
+CAST(friend_rel AS STRING) || ',' || CAST(person_id AS STRING) || ',' ||
+CASE WHEN friend_rel % 37 = 2 THEN '' WHEN friend_rel % 5 = 1 THEN ' ' || CAST(my_friend AS STRING) || ' '
+     ELSE CAST(my_friend AS STRING) END || ',,' ||
+CASE WHEN friend_rel % 31 = 4 THEN 'MyFriend' ELSE '' END"""
+
+PAGES_HEADER = "PersonID,Name,Nationality,Country Code,Hobby"
+FRIENDS_HEADER = "FriendRel,PersonID,MyFriend,DateOfFriendship,Desc"
+ACCESS_HEADER = "AccessID,ByWho,WhatPage,TypeOfAccess,AccessTime"
+FOLDERS = 3
+FILES = 4
+
+
+def _through_files(lines: DataFrame, header: str, read: Callable) -> DataFrame:
+    """The relation of ``lines(value, folder)`` through files in several folders."""
+    spark = lines.sparkSession
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/files-{uuid.uuid4().hex}"
+    for k in range(FOLDERS):
+        write_with_header(lines.where(F.col("folder") == k).select(LINE), f"{root}/{k}", header, FILES)
+    return read(spark, [f"{root}/{k}" for k in range(FOLDERS)])
+
+
+def pages_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = pages(spark, sf_dir).select(F.expr(FILE_LINE).alias(LINE), (F.col("person_id") % FOLDERS).alias("folder"))
+    return _through_files(lines, PAGES_HEADER, read_pages)
+
+
+def access_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = access(spark, sf_dir).select(F.expr(ACCESS_LINE).alias(LINE), (F.col("access_id") % FOLDERS).alias("folder"))
+    return _through_files(lines, ACCESS_HEADER, read_access)
+
+
+def friends_files(spark: SparkSession, sf_dir: str, variant: str = "part") -> DataFrame:
+    lines = friends(spark, sf_dir, variant).select(F.expr(FRIEND_LINE).alias(LINE), (F.col("friend_rel") % FOLDERS).alias("folder"))
+    return _through_files(lines, FRIENDS_HEADER, read_friends)
