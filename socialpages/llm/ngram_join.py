@@ -10,19 +10,26 @@ apart are linked.
    bucket of its hash, where those of several slices meet.  A shingle that a
    third of the corpus holds leaves a slice once.  A chance match only keeps a
    document for the next steps.
-2. Classes.  Documents of equal sets are one point of the space.
+2. Points.  Documents of equal sets are one point of the space.  Of every point
+   the shingles that other points have too are found exactly; with less than 80%
+   of them it is alone.
 3. Pivots.  A point's nearest points agree with it on most of 8 min-hashes.  The
    points that lead their groups (by how many others share their min-hashes)
    become pivots, the others join the pivot of most of their groups if the exact
    distance is at most ``EPS``: the pivots' Voronoi regions, of radius at most
-   ``EPS``.  What is left elects pivots again, and then stands alone.  The
-   election decides only where a point goes, never whether a link is found.
+   ``EPS``.  What is left elects pivots again.  A point that no region of
+   ``LEAST_REGION`` takes is a pivot on its own, of radius 0.  The election decides
+   only where a point goes, never whether a link is found.
 4. Windows.  By the triangle inequality a link between the regions of ``p`` and
    ``q`` needs ``d(p, q) <= R(p) + R(q) + EPS``.  These pairs of pivots are found
-   exactly (prefixes of the sets, rarest shingles first).  If their regions are
-   not connected yet, the points of ``p`` whose own distance admits a link are
-   replicated to ``q``, and those within ``R(q) + EPS`` of ``q`` go on, recursively,
-   to the points of ``q`` that admit one.  Both steps compute exact distances.
+   exactly (prefixes of the sets, rarest shingles first; of two single points one
+   must have few shingles of its own).  If their regions are not connected yet,
+   the points of ``p`` whose own distance admits a link are replicated to ``q``, and
+   those within ``R(q) + EPS`` of ``q`` go on, recursively, to the points of ``q`` that
+   admit one.  Both steps compute exact distances.  Two points at a pivot also
+   differ in at least the difference of what they lack of it, and in all
+   shingles that no other point has, which keeps pairs of edited copies with
+   different edits out of the windows.
 
 Points of one region are connected through their pivot, so a group of copies,
 however large, costs one distance for each copy.  Distances are computed in
@@ -54,6 +61,7 @@ SLACK = 1e-9
 MINS = 8
 LEAST_VOTES = 3
 ELECTIONS = 3
+LEAST_REGION = 16
 SLICE_BYTES = 4 << 20
 BUCKET_BYTES = 32 << 20
 UNIT_SHINGLES = 1 << 20
@@ -91,7 +99,7 @@ def shingle_sets(texts: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.n
 # --- isolation ---------------------------------------------------------------------------
 
 _PLACE = [("slice", pa.int64()), ("row", pa.int64())]
-_PACKED = [("bucket", pa.int32()), ("shingles", pa.binary()), ("rows", pa.binary())]
+_PACKED = [("bucket", pa.int32()), ("shingles", pa.binary())]
 
 
 def _batch(schema: pa.Schema, **columns) -> pa.RecordBatch:
@@ -137,19 +145,21 @@ def _send(batch: pa.RecordBatch, schema: pa.Schema, buckets: int, size: int) ->
 
 
 def _meet(held: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
-    """Documents of one bucket and how many of their shingles other slices have too."""
+    """For each slice the rows of one bucket whose shingles other slices have too,
+    a row for each such shingle."""
     shingles = np.concatenate([np.frombuffer(s, np.uint32) for _, s, _ in held])
     rows = np.concatenate([np.frombuffer(r, np.uint32) for _, _, r in held])
     part = np.repeat(np.arange(len(held)), [len(s) // 4 for _, s, _ in held])
     by = np.argsort(shingles)
     same = shingles[by][1:] == shingles[by][:-1]
     met = by[np.concatenate([same, [False]]) | np.concatenate([[False], same])]
-    met = met[rows[met] != SHARED]
-    found, hits = np.unique(part[met] * (SHARED + 1) + rows[met], return_counts=True)
-    slices = np.array([s for s, _, _ in held], np.int64)
+    met = np.sort(met[rows[met] != SHARED])
+    ends = np.searchsorted(part[met], np.arange(len(held) + 1))
+    some = np.flatnonzero(np.diff(ends))
     return _batch(
-        schema, slice=pa.array(slices[found // (SHARED + 1)]), row=pa.array(found % (SHARED + 1)), hits=pa.array(hits)
-    )
+        schema, slice=pa.array([held[i][0] for i in some], pa.int64()),
+        rows=pa.array([rows[met[ends[i] : ends[i + 1]]].tobytes() for i in some], pa.binary()),
+    )
 
 
 def _gather(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
@@ -172,15 +182,25 @@ def _gather(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa
         yield _meet(held, schema)
 
 
+def _added_up(rows: pa.Table) -> pa.Table:
+    """The documents of one slice with all their shared shingles counted."""
+    packed = pc.is_null(rows.column("row"))
+    found = np.concatenate([np.frombuffer(x, np.uint32) for x in rows.filter(packed).column("rows").to_pylist()] or [np.zeros(0, np.uint32)])
+    documents = rows.filter(pc.invert(packed))
+    row = documents.column("row").to_numpy()
+    hits = documents.column("hits").to_numpy() + np.bincount(found, minlength=int(row.max(initial=0)) + 1)[row]
+    return documents.select(["id", "key", "n", "digest"]).append_column("hits", pa.array(hits))
+
+
 def _surveyed(docs: DataFrame, size: int) -> DataFrame:
-    """``(id, key, n, hits, digest)`` of every row of ``docs(id, key, text)``:
-    set size, at least as many shingles as another document has too, set digest."""
+    """``(id, key, n, digest, hits)`` of every row of ``docs(id, key, text)``: set size, set
+    digest, how many of its shingles another document has too (or some more)."""
     spark = docs.sparkSession
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(shuffle_partitions(spark), -(-total // BUCKET_BYTES))
     kind = docs.schema["id"].dataType
-    facts = f"slice long, row long, id {kind.simpleString()}, key long, n long, hits long, digest binary"
-    arrow = pa.schema([*_PLACE, ("id", _arrow_type(kind)), ("key", pa.int64()), ("n", pa.int64()), ("hits", pa.int64()), ("digest", pa.binary())])
+    facts = f"slice long, row long, id {kind.simpleString()}, key long, n long, hits long, digest binary, rows binary"
+    arrow = pa.schema([*_PLACE, ("id", _arrow_type(kind)), ("key", pa.int64()), ("n", pa.int64()), ("hits", pa.int64()), ("digest", pa.binary()), ("rows", pa.binary())])
     full = pa.schema([*arrow, *_PACKED])
 
     def send(batches):
@@ -188,10 +208,11 @@ def _surveyed(docs: DataFrame, size: int) -> DataFrame:
             for part in text_slices(batch, "text", SLICE_BYTES):
                 yield from _send(part, full, buckets, size)
 
-    rows = docs.mapInArrow(send, facts + ", bucket int, shingles binary, rows binary")
+    rows = docs.mapInArrow(send, facts + ", bucket int, shingles binary")
     met = rows.repartitionById(buckets, F.col("bucket")).sortWithinPartitions("bucket").mapInArrow(lambda b: _gather(b, arrow), facts)
-    names = ("id", "key", "n", "digest")
-    return met.groupBy("slice", "row").agg(*[F.max(c).alias(c) for c in names], F.sum("hits").alias("hits"))
+    return met.groupBy("slice").applyInArrow(
+        _added_up, f"id {kind.simpleString()}, key long, n long, digest binary, hits long"
+    )
 
 
 def _arrow_type(kind: T.DataType) -> pa.DataType:
@@ -240,8 +261,8 @@ def _overlaps(rows: pa.Table) -> pa.Table:
 
 
 def distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``(a, b, distance, linked)`` of the pairs ``(a, b)`` of points, which differ
-    from each other; an ``a`` with many partners is dealt over several units."""
+    """``(a, b, common, distance, linked)`` of the pairs ``(a, b)`` of points, which
+    differ from each other; an ``a`` with many partners is dealt over several units."""
     pairs, _ = staged(pairs.join(sets.selectExpr("node as b", "n as nb"), "b").select("a", "b", "nb"))
     units = pairs.groupBy("a").agg(F.expr(f"cast(ceil(sum(nb) / {UNIT_SHINGLES}) as int)").alias("units"))
     dealt = pairs.join(units, "a").selectExpr("a", "b", "cast(pmod(xxhash64(b), units) as int) as unit")
@@ -253,7 +274,7 @@ def distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return (
         common.join(sizes.toDF("a", "na"), "a").join(sizes.toDF("b", "nb"), "b")
         .selectExpr("a", "b", "common", "na + nb - common as joint")
-        .selectExpr("a", "b", "1 - common / joint as distance", f"100 * common >= {PERCENT} * joint as linked")
+        .selectExpr("a", "b", "common", "1 - common / joint as distance", f"100 * common >= {PERCENT} * joint as linked")
     )
 
 
@@ -279,19 +300,24 @@ def _elected(active: DataFrame) -> tuple[DataFrame, DataFrame]:
     return pivots, tried.selectExpr("a", "node as b")
 
 
-def _regions(sets: DataFrame) -> DataFrame:
-    """``(pivot, node, away)``: every point, its pivot and its distance to it,
-    at most ``EPS``.  A pivot is in its own region."""
-    active, parts = sets.select("node", "mins"), []
+def _regions(points: DataFrame, sets: DataFrame) -> DataFrame:
+    """``(pivot, node, away, common)``: every point, its pivot, its distance to it, at
+    most ``EPS``, and the size of their intersection.  A pivot is in its own region."""
+    active, parts = points.join(sets.select("node", "n", "mins"), "node").select("node", "n", "mins"), []
     for _ in range(ELECTIONS):
         pivots, tried = _elected(active)
-        near = distances(tried, sets).where("linked").selectExpr("a as pivot", "b as node", "distance as away")
-        part, _ = staged(near.unionByName(pivots.selectExpr("pivot", "pivot as node", "cast(0 as double) as away")))
+        near, _ = staged(distances(tried, sets).where("linked").selectExpr("a as pivot", "b as node", "distance as away", "common"))
+        large = near.groupBy("pivot").count().where(f"count >= {LEAST_REGION}").select("pivot")
+        part, _ = staged(near.join(large, "pivot").unionByName(_alone(active.join(large.toDF("node"), "node"))))
         parts.append(part)
         active, _ = staged(active.join(part.select("node"), "node", "left_anti"))
-        if active.isEmpty():
-            return _union(parts)
-    return _union([*parts, active.selectExpr("node as pivot", "node", "cast(0 as double) as away")])
+        if part.isEmpty():
+            break
+    return _union([*parts, _alone(active)])
+
+
+def _alone(points: DataFrame) -> DataFrame:
+    return points.selectExpr("node as pivot", "node", "cast(0 as double) as away", "n as common")
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -301,48 +327,79 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return whole
 
 
-def _near_pivots(pivots: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs ``(a, b)``, ``a < b``, of ``pivots(pivot, radius)`` with every pair that is
-    at most the two radii and ``EPS`` apart (and others).
-
-    Of two sets with at least a share ``s`` of each in common, each has a common
-    one among its first ``n - ceil(s n) + 1`` shingles in any common order; here
-    the rarest come first.  Shingles that no other pivot has are first of all
-    and are only counted."""
-    widest = pivots.agg(F.max("radius")).first()[0] or 0.0
-    mine = pivots.join(sets.selectExpr("node as pivot", "n", "shingles"), "pivot").withColumn(
-        "least", F.expr(f"cast(ceil((1 - radius - {widest!r} - {EPS!r} - {SLACK}) * n) as long)")
-    )
-    tokens, _ = staged(mine.select("pivot", F.explode("shingles").alias("h")))
+def _shared(sets: DataFrame) -> DataFrame:
+    """``(node, n, own, found)`` of the points that can have links: set size, how many
+    shingles no other point has, and the others, the rarest first."""
+    tokens = sets.select("node", "n", F.explode("shingles").alias("h"))
     common = tokens.groupBy("h").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    shared = tokens.join(common, "h").groupBy("pivot").agg(F.array_sort(F.collect_list(F.struct("df", "h"))).alias("found"))
-    first = (
-        mine.select("pivot", "radius", "n", "least").join(shared, "pivot")
-        .withColumn("first", F.expr("cast(size(found) - least + 1 as int)"))
-        .where("first > 0")
-        .select("pivot", "radius", "n", F.explode(F.expr("slice(found.h, 1, first)")).alias("h"))
-    )
-    first, _ = staged(first)
-    fits = f"least(x.n, y.n) >= (1 - x.radius - y.radius - {EPS!r} - {SLACK}) * greatest(x.n, y.n)"
+    found = tokens.join(common, "h").groupBy("node", "n").agg(F.array_sort(F.collect_list(F.struct("df", "h"))).alias("found"))
+    return found.selectExpr("node", "n", "n - size(found) as own", "found.h as found").where(f"100 * (n - own) >= {PERCENT} * n")
+
+
+def _prefix(pivots: DataFrame, radius: float) -> DataFrame:
+    """The first shingles of each of ``pivots(pivot, radius, n, own, found)``, enough to meet
+    any set that is at most its radius, ``radius`` and ``EPS`` away: of two sets with a share
+    ``s`` of each in common, each has a common shingle among its first ``n - ceil(s n) + 1`` in
+    any order that both follow.  Its own shingles are first of all and only counted."""
+    least = f"cast(ceil((1 - radius - {radius!r} - {EPS!r} - {SLACK}) * n) as int)"
     return (
-        first.alias("x").join(first.alias("y"), F.expr(f"x.h = y.h and x.pivot < y.pivot and {fits}"))
-        .selectExpr("x.pivot as a", "y.pivot as b").distinct()
+        pivots.withColumn("first", F.expr(f"size(found) - {least} + 1")).where("first > 0")
+        .select("pivot", "radius", "n", "own", F.explode(F.expr("slice(found, 1, first)")).alias("h"))
     )
 
 
-def _window_links(near: DataFrame, regions: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links ``(a, b)`` that connect the regions of the pairs ``near(p, q, distance,
-    rp, rq)`` of pivots, ``rp >= rq``."""
-    members = regions.select("pivot", "node", "away")
-    boundary = near.join(members.toDF("p", "x", "away"), "p").where(f"away >= distance - {EPS!r} - rq - {SLACK}")
-    found = distances(boundary.selectExpr("q as a", "x as b").distinct(), sets)
-    found, _ = staged(found)
+def _near_pivots(pivots: DataFrame) -> DataFrame:
+    """Pairs ``(a, b)`` of ``pivots(pivot, radius, n, own, found)`` with every pair that is at
+    most the two radii and ``EPS`` apart (and others): regions with all others, and
+    single points with single points.
+
+    Two linked points differ in at most a ninth of their sizes' sum, and their own
+    shingles are part of that, so one of them has no more than a ninth of its size."""
+    widest = pivots.agg(F.max("radius")).first()[0] or 0.0
+    share = f"(1 - x.radius - y.radius - {EPS!r} - {SLACK})"
+    fits = (
+        f"x.h = y.h and least(x.n, y.n) >= {share} * greatest(x.n, y.n) and "
+        f"(1 + {share}) * (x.own + y.own) <= (1 - {share}) * (x.n + y.n)"
+    )
+    regions, singles = pivots.where("radius > 0"), pivots.where("radius = 0")
+    light = singles.where(f"{100 + PERCENT} * own <= {100 - PERCENT} * n")
+    wide = _prefix(regions, widest).alias("x").join(
+        _prefix(pivots, widest).alias("y"), F.expr(f"{fits} and (y.radius = 0 or x.pivot < y.pivot)")
+    )
+    narrow = _prefix(light, 0.0).alias("x").join(
+        _prefix(singles, 0.0).alias("y"),
+        F.expr(f"{fits} and x.pivot <> y.pivot and (x.pivot < y.pivot or {100 + PERCENT} * y.own > {100 - PERCENT} * y.n)"),
+    )
+    both = [j.selectExpr("x.pivot as a", "y.pivot as b") for j in (wide, narrow)]
+    return both[0].unionByName(both[1]).distinct()
+
+
+def _admits(x: str, y: str, pivot: str) -> str:
+    """Condition under which two points at a pivot may be linked: they differ at least in the
+    difference of what they lack of the pivot, and in what only they have or in the
+    difference of what they have beside it."""
+    lack = f"abs(({pivot}_n - {x}_common) - ({pivot}_n - {y}_common))"
+    more = f"greatest({x}_own + {y}_own, abs(({x}_n - {x}_common) - ({y}_n - {y}_common)))"
+    return f"{100 + PERCENT} * ({lack} + {more}) <= {100 - PERCENT} * ({x}_n + {y}_n)"
+
+
+def _window_links(near: DataFrame, regions: DataFrame, points: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links ``(a, b)`` that connect the regions of the pairs ``near(p, q, common, distance, rp,
+    rq)`` of pivots, ``rp >= rq``."""
+    sizes = points.select("node", "n", "own")
+    members = regions.join(sizes, "node").select("pivot", "node", "away", "common", "n", "own")
+    x_side = members.toDF("p", "x", "x_away", "x_common", "x_n", "x_own")
+    q_size, p_size = sizes.toDF("q", "q_n", "q_own"), sizes.toDF("p", "p_n", "p_own")
+    pairs = near.withColumnRenamed("common", "q_common").join(q_size, "q").join(p_size, "p").join(x_side, "p")
+    boundary = pairs.where(f"x_away >= distance - {EPS!r} - rq - {SLACK}").where(f"rq > 0 or {_admits('x', 'q', 'p')}")
+    found, _ = staged(distances(boundary.selectExpr("q as a", "x as b").distinct(), sets))
     again = (
         found.where("not linked").join(near.selectExpr("q as a", "rq").distinct(), "a")
         .where(f"rq > 0 and distance <= rq + {EPS!r} + {SLACK}")
-        .selectExpr("a as pivot", "b as x", "distance")
-        .join(members.toDF("pivot", "y", "away"), "pivot")
-        .where(f"y <> pivot and y <> x and away >= distance - {EPS!r} - {SLACK}")
+        .selectExpr("a as pivot", "b as x", "distance", "common as x_common")
+        .join(sizes.toDF("x", "x_n", "x_own"), "x").join(sizes.toDF("pivot", "pivot_n", "pivot_own"), "pivot")
+        .join(members.toDF("pivot", "y", "y_away", "y_common", "y_n", "y_own"), "pivot")
+        .where(f"y <> pivot and y <> x and y_away >= distance - {EPS!r} - {SLACK}").where(_admits("x", "y", "pivot"))
     )
     deeper = distances(again.selectExpr("x as a", "y as b").distinct(), sets)
     return found.where("linked").select("a", "b").unionByName(deeper.where("linked").select("a", "b"))
@@ -350,12 +407,13 @@ def _window_links(near: DataFrame, regions: DataFrame, sets: DataFrame) -> DataF
 
 def _labels(sets: DataFrame) -> DataFrame:
     """``(node, root)`` of the points that have links."""
-    regions, _ = staged(_regions(sets))
-    pivots, _ = staged(regions.groupBy("pivot").agg(F.max("away").alias("radius")))
-    near = distances(_near_pivots(pivots, sets), sets)
-    near = near.join(pivots.toDF("a", "ra"), "a").join(pivots.toDF("b", "rb"), "b").where(
-        f"distance <= ra + rb + {EPS!r} + {SLACK}"
-    )
+    points, _ = staged(_shared(sets))
+    regions, _ = staged(_regions(points.select("node"), sets))
+    radii = regions.groupBy("pivot").agg(F.max("away").alias("radius"))
+    pivots, _ = staged(radii.join(points.withColumnRenamed("node", "pivot"), "pivot"))
+    near = distances(_near_pivots(pivots), sets)
+    radii = pivots.select("pivot", "radius")
+    near = near.join(radii.toDF("a", "ra"), "a").join(radii.toDF("b", "rb"), "b").where(f"distance <= ra + rb + {EPS!r} + {SLACK}")
     near, _ = staged(near)
     links = regions.selectExpr("pivot as a", "node as b").where("a <> b").unionByName(near.where("linked").select("a", "b"))
     labels, _ = staged(components(links))
@@ -363,17 +421,17 @@ def _labels(sets: DataFrame) -> DataFrame:
         near.where("not linked and ra + rb > 0")
         .join(labels.toDF("a", "one"), "a", "left").join(labels.toDF("b", "two"), "b", "left")
         .where("coalesce(one, a) <> coalesce(two, b)")
-        .selectExpr("if(ra >= rb, a, b) as p", "if(ra >= rb, b, a) as q", "distance", "greatest(ra, rb) as rp", "least(ra, rb) as rq")
+        .selectExpr(
+            "if(ra >= rb, a, b) as p", "if(ra >= rb, b, a) as q", "common", "distance", "greatest(ra, rb) as rp", "least(ra, rb) as rq"
+        )
     )
     apart, _ = staged(apart)
     if apart.isEmpty():
         return labels
-    more, _ = staged(_window_links(apart, regions, sets))
+    more, _ = staged(_window_links(apart, regions, points, sets))
     if more.isEmpty():
         return labels
-    return components(
-        labels.selectExpr("root as a", "node as b").unionByName(more)
-    )
+    return components(labels.selectExpr("root as a", "node as b").unionByName(more))
 
 
 def jaccard_components(
@@ -393,7 +451,7 @@ def jaccard_components(
     spark = docs.sparkSession
     rows = docs.select(F.col(id_column).alias("id"), F.col(text).cast("string").alias("text"))
     rows = rows.select("id", F.xxhash64("id", "text").alias("key"), "text")
-    facts, _ = staged(_surveyed(rows, size).select("id", "key", "n", "hits", "digest"))
+    facts, _ = staged(_surveyed(rows, size))
     near = facts.where(f"n > 0 and 100 * hits >= {PERCENT} * n")
     classes, _ = staged(near.groupBy("digest").agg(F.min("key").alias("node"), F.countDistinct("key").alias("copies")))
     wanted = rows.select("key", "text").join(classes.selectExpr("node as key"), "key", "left_semi")

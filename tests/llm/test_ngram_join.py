@@ -79,6 +79,7 @@ def test_against_brute_force(spark, seed, size):
 def test_regions_and_windows(spark, monkeypatch):
     """Bad pivots (any point leads) leave everything to the windows."""
     monkeypatch.setattr(ngram_join, "ELECTIONS", 1)
+    monkeypatch.setattr(ngram_join, "LEAST_REGION", 1)
     monkeypatch.setattr(ngram_join, "LEAST_VOTES", 1)
     monkeypatch.setattr(ngram_join, "UNIT_SHINGLES", 300)
     rows = corpus(9)
