@@ -19,6 +19,7 @@ from collections.abc import Callable
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+from pyspark.sql.functions import lit  # noqa: E402
 
 from socialpages.constants import DEFAULT_DAYS, DEFAULT_TOP_K  # noqa: E402
 from socialpages.operators import (  # noqa: E402
@@ -32,13 +33,21 @@ from socialpages.operators import (  # noqa: E402
     popular_users,
     third_field_count,
     top_accessed_pages,
+    top_accessed_pages_audited,
     top_pages_rejects,
     unvisited_friends,
 )
 from socialpages.schemas import ACCESS_COLUMNS, FRIENDS_COLUMNS, PAGES_COLUMNS  # noqa: E402
 from socialpages.sources import driver_tables as dv  # noqa: E402
 from socialpages.plans import ensure_checkpoint_dir  # noqa: E402
-from socialpages.sources import parse_lines, read_numbered_lines, write_tsv, write_value_text  # noqa: E402
+from socialpages.sources import (  # noqa: E402
+    parse_lines,
+    read_numbered_lines,
+    share_friends,
+    shared_friends,
+    write_tsv,
+    write_value_text,
+)
 from socialpages.sources.sinks import CONNECTEDNESS_LINE  # noqa: E402
 
 # The text operators are an optional part: without their folder, the pipeline
@@ -96,6 +105,19 @@ def _connectedness_lines(spark, d):
     return read_numbered_lines(spark, out)
 
 
+def _shared(spark, d, layout):
+    """The friends relation written once in the layout of a report."""
+    name = f"friends_{uuid.uuid4().hex}"
+    share_friends(dv.friends(spark, d, "part"), name, [layout], buckets=int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return shared_friends(spark, name, layout)
+
+
+def _top_pages_audited(spark, d):
+    """Both results of one reading: the report's rows and the counters."""
+    rows, counts = top_accessed_pages_audited(dv.pages_text(spark, d), dv.access_text(spark, d), TOP_K)
+    return rows.withColumn("part", lit("report")).unionByName(counts.withColumn("part", lit("rejects")), allowMissingColumns=True)
+
+
 def reports() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """The reports over the views of the driver tables."""
     P, A, F_ = dv.pages, dv.access, dv.friends
@@ -149,6 +171,12 @@ def reports() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         # text output read back in its order
         "top_accessed_pages_lines": _top_accessed_pages_lines,
         "connectedness_lines": _connectedness_lines,
+        # rows and reject counters from one reading of the inputs
+        "top_accessed_pages_audited": _top_pages_audited,
+        # friends written once in the layout of the report
+        "connectedness_shared": lambda s, d: connectedness_factor(P(s, d), _shared(s, d, "friend")),
+        "unvisited_friends_shared": lambda s, d: unvisited_friends(P(s, d), _shared(s, d, "pair"), A(s, d)),
+        "popular_users_shared": lambda s, d: popular_users(P(s, d), _shared(s, d, "owner")),
     }
 
 
@@ -279,6 +307,17 @@ ORDER BY accesses DESC, q.person_id, q.name, q.nationality
 LIMIT {TOP_K}"""
 
 
+def _rejects_text_sql() -> str:
+    return _with(_TEXT) + f"""
+SELECT coalesce(src, 'total') AS src, count(*) AS n_rows, count(*) FILTER (WHERE nf <= 2) AS n_short,
+       count(*) FILTER (WHERE nf > 2 AND k IS NULL) AS n_rejected
+FROM (
+  SELECT 'access' AS src, nf, {_int_sql("what_page")} AS k FROM a
+  UNION ALL
+  SELECT 'pages' AS src, nf, {_int_sql("person_id")} AS k FROM p) t
+GROUP BY ROLLUP (src)"""
+
+
 def _diversity_sql(pages: str) -> str:
     return _with(pages, _A) + """
 SELECT p.person_id, p.name, r.t AS total_accesses, r.d AS distinct_pages
@@ -379,15 +418,7 @@ FROM (SELECT person_id, min(name) AS name FROM p WHERE nf > 2 AND person_id <> '
   SELECT {_trim_sql("by_who")} AS reader, max(try_strptime({_trim_sql("access_time")}, '%Y-%m-%d %H:%M:%S')) AS m
   FROM a WHERE nf > 1 GROUP BY reader) l ON l.reader = q.person_id
 WHERE l.m IS NULL OR l.m < TIMESTAMP '{_CUTOFF}'""",
-        "reject_counts_text": _with(_TEXT)
-        + f"""
-SELECT coalesce(src, 'total') AS src, count(*) AS n_rows, count(*) FILTER (WHERE nf <= 2) AS n_short,
-       count(*) FILTER (WHERE nf > 2 AND k IS NULL) AS n_rejected
-FROM (
-  SELECT 'access' AS src, nf, {_int_sql("what_page")} AS k FROM a
-  UNION ALL
-  SELECT 'pages' AS src, nf, {_int_sql("person_id")} AS k FROM p) t
-GROUP BY ROLLUP (src)""",
+        "reject_counts_text": _rejects_text_sql(),
         "nationality_hobby_files": _with(_FILES)
         + f"""
 SELECT {_trim_sql("name")} AS name, {_trim_sql("hobby")} AS hobby
@@ -429,6 +460,14 @@ FROM ({_top_sql(_P)})""",
         "connectedness_lines": f"""
 SELECT row_number() OVER (ORDER BY CAST(id AS VARCHAR)) AS line_no, who || chr(9) || connectedness AS line
 FROM ({_connectedness_sql(_P, "l_suppkey")})""",
+        "top_accessed_pages_audited": f"""
+SELECT 'report' AS part, accesses, person_id, name, nationality, NULL::VARCHAR AS src,
+       NULL::BIGINT AS n_rows, NULL::BIGINT AS n_short, NULL::BIGINT AS n_rejected FROM ({_top_text_sql(_TEXT)})
+UNION ALL
+SELECT 'rejects', NULL, NULL, NULL, NULL, src, n_rows, n_short, n_rejected FROM ({_rejects_text_sql()})""",
+        "connectedness_shared": _connectedness_sql(_P, "l_partkey"),
+        "unvisited_friends_shared": _unvisited_sql(_P, "l_partkey"),
+        "popular_users_shared": _popular_sql(_P),
     }
 
 

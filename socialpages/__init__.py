@@ -20,9 +20,10 @@ from socialpages.operators.reports import (
     top_accessed_pages,
     unvisited_friends,
 )
-from socialpages.operators.rejects import observe_rejects, reject_counts, top_pages_rejects
+from socialpages.operators.rejects import observe_rejects, reject_counts, top_accessed_pages_audited, top_pages_rejects
 from socialpages.sources.csv_files import parse_lines, read_access, read_friends, read_lines, read_pages
 from socialpages.sources.lines import read_numbered_lines, relation_lines, write_with_header
+from socialpages.sources.shared_friends import drop_shared, share_friends, shared_friends
 from socialpages.sources.sinks import write_report_text, write_tsv, write_value_text
 
 __all__ = [
@@ -30,6 +31,7 @@ __all__ = [
     "connectedness_factor",
     "country_page_count",
     "disconnected_users",
+    "drop_shared",
     "nationality_hobby_report",
     "nationality_hobby_rows",
     "nationality_report_chunks",
@@ -42,9 +44,12 @@ __all__ = [
     "read_numbered_lines",
     "read_pages",
     "relation_lines",
+    "share_friends",
+    "shared_friends",
     "reject_counts",
     "third_field_count",
     "top_accessed_pages",
+    "top_accessed_pages_audited",
     "top_pages_rejects",
     "unvisited_friends",
     "write_report_text",

@@ -1,6 +1,6 @@
 """The reports (one function each) and the reject counter."""
 
-from socialpages.operators.rejects import observe_rejects, reject_counts, top_pages_rejects
+from socialpages.operators.rejects import observe_rejects, reject_counts, top_accessed_pages_audited, top_pages_rejects
 from socialpages.operators.report_text import nationality_report_chunks
 from socialpages.operators.reports import (
     access_diversity,
@@ -28,6 +28,7 @@ __all__ = [
     "reject_counts",
     "third_field_count",
     "top_accessed_pages",
+    "top_accessed_pages_audited",
     "top_pages_rejects",
     "unvisited_friends",
 ]

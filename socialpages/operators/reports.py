@@ -157,11 +157,16 @@ def top_accessed_pages(pages: DataFrame, access: DataFrame, k: int = DEFAULT_TOP
     """
     a = with_min_fields(access, 2, ACCESS_COLUMNS, required="what_page")
     hits = a.select(strict_int(a, "what_page").alias("page")).where(F.col("page").isNotNull())
-    counts = hits.groupBy("page").agg(_rows().alias("accesses"))
     p = with_min_fields(pages, 2, PAGES_COLUMNS)
     details = p.select(
         strict_int(p, "person_id").alias("person_id"), F.col("name"), F.col("nationality")
     ).where(F.col("person_id").isNotNull())
+    return leading_pages(details, hits.groupBy("page").agg(_rows().alias("accesses")), k)
+
+
+def leading_pages(details: DataFrame, counts: DataFrame, k: int) -> DataFrame:
+    """The ``k`` leading rows of ``details(person_id, name, nationality)`` by
+    ``counts(page, accesses)``, one row for each page."""
     listed = details.select("person_id").distinct()
     leaders = (
         counts.join(listed, counts.page == listed.person_id)
