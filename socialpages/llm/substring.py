@@ -11,20 +11,27 @@ The k-word windows are the edges of a De Bruijn graph over (k-1)-word nodes.
    hash travel as one record (a super-k-mer) to the bucket of that m-gram, so
    equal windows meet and neighbours stay together.  In its bucket a window
    that also starts earlier becomes a repeated edge with the coordinates of
-   the first start.  Windows match on a 56-bit window hash and 32 further
-   bits of their least m-gram.
+   the first start.  A bucket with more than ``most`` windows, such as that of
+   a line which a third of the corpus holds, is dealt out again by the hash of
+   the window itself, so no task holds more than that and its share of the rest.
+   Windows match on a 56-bit window hash and 32 further bits of their least
+   m-gram.
 3. Compaction.  A repeated edge and the next one form one path where the
    source takes the same step.  Pieces of paths that were cut by bucket
-   borders are joined end to start (Spark equality joins) into maximal paths.
-   Their two coordinates run in parallel, which verifies a long span window
-   by window: a chance match of hashes does not continue.
+   borders are joined end to start (Spark equality joins) into maximal paths,
+   with the coordinates of the span and of its source.
 4. Removal.  The paths of a document are joined to its text, the covered
    words go.
 
-"Earlier" means a smaller id, or an earlier start in the same document.
-Rows with one id count as one document if their texts agree; with different
-texts they are ordered by a 32-bit hash of the text.  A null id is smaller
-than any other.  A null or empty text has no words.
+Within a slice repeats are compared word by word.  Between slices they rest on
+the 88 bits; the two coordinates of a long span run in parallel, so each of its
+windows would have to match by chance at the right place.
+
+"Earlier" means a smaller id, or an earlier start in the same document.  Ids are
+integers.  A row is known by its id and a 64-bit hash of its text: rows with one
+id count as one document if their texts agree; with different texts they are
+ordered by that hash.  A null id is smaller than any other.  A null or empty
+text has no words.
 """
 
 from __future__ import annotations
@@ -50,14 +57,15 @@ ANCHOR = 4
 HASH_BYTES = 7
 SLICE_BYTES = 4 << 20
 BUCKET_CHARS = 1 << 25
+BUCKET_WINDOWS = 1 << 23
 NO_ID = -(2**63)
 MULTIPLIER = 0x9E3779B97F4A7C15
 MASK = 2**64 - 1
 
-PIECES = "doc long, text_hash int, pos int, n int, src long, src_hash int, src_pos int"
+PIECES = "doc long, text_hash long, pos int, n int, src long, src_hash long, src_pos int"
 PIECES_ARROW = pa.schema(
-    [("doc", pa.int64()), ("text_hash", pa.int32()), ("pos", pa.int32()), ("n", pa.int32()),
-     ("src", pa.int64()), ("src_hash", pa.int32()), ("src_pos", pa.int32())]
+    [("doc", pa.int64()), ("text_hash", pa.int64()), ("pos", pa.int32()), ("n", pa.int32()),
+     ("src", pa.int64()), ("src_hash", pa.int64()), ("src_pos", pa.int32())]
 )
 
 
@@ -139,7 +147,7 @@ def _edge_rows(batch: pa.RecordBatch, buckets: int, k: int, m: int) -> Iterator[
     hashes = batch.column("text_hash").to_numpy()
     order = np.lexsort((hashes, ids))
     ids, hashes = ids[order], hashes[order]
-    new = np.concatenate([[True], (np.diff(ids) != 0) | (np.diff(hashes.astype(np.int64)) != 0)])
+    new = np.concatenate([[True], (np.diff(ids) != 0) | (np.diff(hashes) != 0)])
     batch, ids, hashes = batch.take(pa.array(order[new])), ids[new], hashes[new]
 
     words = split_words(batch.column("text"))
@@ -168,8 +176,7 @@ def _edge_rows(batch: pa.RecordBatch, buckets: int, k: int, m: int) -> Iterator[
     again = again[same]
     src = first[again]
     if len(again):
-        found = _pieces(ids[owner[again]], hashes[owner[again]].astype(np.int64), pos[again],
-                        ids[owner[src]], hashes[owner[src]].astype(np.int64), pos[src])
+        found = _pieces(ids[owner[again]], hashes[owner[again]], pos[again], ids[owner[src]], hashes[owner[src]], pos[src])
         blank = [pa.nulls(len(found), t) for t in EDGES_ARROW.types[1:4]]
         place = pa.array((np.arange(len(found)) % buckets).astype(np.int32))
         yield pa.RecordBatch.from_arrays([place, *blank, *found.columns], schema=EDGES_ARROW)
@@ -211,53 +218,116 @@ def _edge_batch(rows) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns + [pa.nulls(len(rows), t) for t in EDGES_ARROW.types[4:]], schema=EDGES_ARROW)
 
 
-def _repeated(packed: list[tuple[int, bytes, bytes]]) -> pa.RecordBatch:
-    """The windows of one bucket that also start earlier, with the first start."""
-    parts = [_unpack(meta, n, np.int64, np.int32, np.int32, np.int32, np.uint32) for n, meta, _ in packed]
-    doc = np.concatenate([np.cumsum(p[0]) for p in parts])
-    text_hash, pos, count, anchor = (np.concatenate([p[i] for p in parts]) for i in range(1, 5))
-    hashes = np.frombuffer(b"".join(h for _, _, h in packed), np.uint8).reshape(-1, HASH_BYTES)
-    window = np.pad(hashes, ((0, 0), (0, 8 - HASH_BYTES))).view(np.uint64).reshape(-1)
-    ends = np.cumsum(count.astype(np.int64))
-    by = np.argsort(window)
-    equal = np.diff(window[by]) == 0
-    some = by[np.concatenate([equal, [False]]) | np.concatenate([[False], equal])]
-    run = np.searchsorted(ends, some, side="right")
-    place = pos[run] + (some - (ends[run] - count[run]))
-    by = np.lexsort((place, text_hash[run], doc[run], anchor[run], window[some]))
-    some, run, place = some[by], run[by], place[by].astype(np.int64)
-    doc, text_hash = doc[run], text_hash[run].astype(np.int64)
-    starts = np.concatenate([[True], (np.diff(window[some]) != 0) | (np.diff(anchor[run].astype(np.int64)) != 0)])[: len(some)]
-    first = np.flatnonzero(starts)[np.cumsum(starts) - 1] if len(some) else np.zeros(0, np.int64)
-    later = np.flatnonzero((doc != doc[first]) | (text_hash != text_hash[first]) | (place != place[first]))
-    first = first[later]
-    by = np.lexsort((place[later], text_hash[later], doc[later]))
-    later, first = later[by], first[by]
-    return _pieces(doc[later], text_hash[later], place[later], doc[first], text_hash[first], place[first])
-
-
-def _bucket_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches sorted by bucket; holds one bucket at a time."""
-    open_bucket, held = None, []
+class _Windows:
+    """Single windows: their rows, places, anchors and hashes."""
+
+    def __init__(self, doc, text_hash, pos, anchor, window):
+        self.columns = (doc, text_hash, pos, anchor, window)
+
+    @staticmethod
+    def of_records(packed: list[tuple[int, bytes, bytes]]) -> _Windows:
+        """The windows of packed super-k-mers."""
+        parts = [_unpack(meta, n, np.int64, np.int64, np.int32, np.int32, np.uint32) for n, meta, _ in packed]
+        doc = np.concatenate([np.cumsum(p[0]) for p in parts])
+        text_hash, pos, count, anchor = (np.concatenate([p[i] for p in parts]) for i in range(1, 5))
+        hashes = np.frombuffer(b"".join(h for _, _, h in packed), np.uint8).reshape(-1, HASH_BYTES)
+        window = np.pad(hashes, ((0, 0), (0, 8 - HASH_BYTES))).view(np.uint64).reshape(-1)
+        count = count.astype(np.int64)
+        run = np.repeat(np.arange(len(count)), count)
+        place = pos[run] + np.arange(len(run)) - np.repeat(np.cumsum(count) - count, count)
+        return _Windows(doc[run], text_hash[run], place.astype(np.int64), anchor[run], window)
+
+    def dealt(self, buckets: int) -> Iterator[tuple[int, int, bytes]]:
+        """The windows by their own hash: bucket, number of windows, packed columns."""
+        doc, text_hash, pos, anchor, window = self.columns
+        bucket = (_mixed(window) % np.uint64(buckets)).astype(np.int64)
+        by = np.argsort(bucket, kind="stable")
+        ends = np.searchsorted(bucket[by], np.arange(buckets + 1))
+        for b in np.flatnonzero(np.diff(ends)):
+            mine = by[ends[b] : ends[b + 1]]
+            yield int(b), len(mine), _pack(doc[mine], text_hash[mine], pos[mine].astype(np.int32), anchor[mine], window[mine])
+
+    @staticmethod
+    def of_dealt(packed: list[tuple[int, bytes]]) -> _Windows:
+        parts = [_unpack(data, n, np.int64, np.int64, np.int32, np.uint32, np.uint64) for n, data in packed]
+        doc, text_hash, pos, anchor, window = (np.concatenate([p[i] for p in parts]) for i in range(5))
+        return _Windows(doc, text_hash, pos.astype(np.int64), anchor, window)
+
+    def repeated(self) -> pa.RecordBatch:
+        """Those that also start earlier, with the first start."""
+        doc, text_hash, pos, anchor, window = self.columns
+        by = np.argsort(window)
+        equal = np.diff(window[by]) == 0
+        some = by[np.concatenate([equal, [False]]) | np.concatenate([[False], equal])]
+        by = np.lexsort((pos[some], text_hash[some], doc[some], anchor[some], window[some]))
+        doc, text_hash, pos, anchor, window = (c[some[by]] for c in (doc, text_hash, pos, anchor, window))
+        starts = np.concatenate([[True], (np.diff(window) != 0) | (anchor[1:] != anchor[:-1])])[: len(window)]
+        first = np.flatnonzero(starts)[np.cumsum(starts) - 1] if len(window) else np.zeros(0, np.int64)
+        later = np.flatnonzero((doc != doc[first]) | (text_hash != text_hash[first]) | (pos != pos[first]))
+        first = first[later]
+        by = np.lexsort((pos[later], text_hash[later], doc[later]))
+        later, first = later[by], first[by]
+        return _pieces(doc[later], text_hash[later], pos[later], doc[first], text_hash[first], pos[first])
+
+
+DEALT = f"{PIECES}, bucket int, windows int, packed binary"
+DEALT_ARROW = pa.schema([*PIECES_ARROW, ("bucket", pa.int32()), ("windows", pa.int32()), ("packed", pa.binary())])
+
+
+def _with_blanks(found: pa.RecordBatch) -> pa.RecordBatch:
+    blank = [pa.nulls(len(found), t) for t in DEALT_ARROW.types[len(PIECES_ARROW) :]]
+    return pa.RecordBatch.from_arrays([*found.columns, *blank], schema=DEALT_ARROW)
+
+
+def _deal(windows: _Windows, buckets: int) -> Iterator[pa.RecordBatch]:
+    rows = list(windows.dealt(buckets))
+    columns = [pa.array(c, t) for c, t in zip(zip(*rows), DEALT_ARROW.types[len(PIECES_ARROW) :])]
+    blank = [pa.nulls(len(rows), t) for t in PIECES_ARROW.types]
+    yield pa.RecordBatch.from_arrays([*blank, *columns], schema=DEALT_ARROW)
+
+
+def _bucket_rows(batches: Iterator[pa.RecordBatch], buckets: int, most: int) -> Iterator[pa.RecordBatch]:
+    """Batches sorted by bucket; holds one bucket of at most ``most`` windows at a
+    time.  What a larger one holds is dealt out again."""
+    open_bucket, held, size, over = None, [], 0, False
     for batch in batches:
         pieces = batch.filter(pc.is_null(batch.column("records"))) if batch.num_rows else batch
         if len(pieces):
-            yield pa.RecordBatch.from_arrays(pieces.columns[4:], schema=PIECES_ARROW)
+            yield _with_blanks(pa.RecordBatch.from_arrays(pieces.columns[4:], schema=PIECES_ARROW))
         for bucket, n, meta, hashes in zip(*(batch.column(c).to_pylist() for c in ("bucket", "records", "meta", "hashes"))):
             if n is None:
                 continue
+            if bucket != open_bucket:
+                if held:
+                    yield from _deal(_Windows.of_records(held), buckets) if over else [_with_blanks(_Windows.of_records(held).repeated())]
+                open_bucket, held, size, over = bucket, [], 0, False
+            held.append((n, meta, hashes))
+            size += len(hashes) // HASH_BYTES
+            if size > most:
+                yield from _deal(_Windows.of_records(held), buckets)
+                held, size, over = [], 0, True
+    if held:
+        yield from _deal(_Windows.of_records(held), buckets) if over else [_with_blanks(_Windows.of_records(held).repeated())]
+
+
+def _dealt_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Dealt windows sorted by bucket; holds one bucket at a time."""
+    open_bucket, held = None, []
+    for batch in batches:
+        for bucket, n, packed in zip(*(batch.column(c).to_pylist() for c in ("bucket", "windows", "packed"))):
             if bucket != open_bucket and held:
-                yield _repeated(held)
+                yield _Windows.of_dealt(held).repeated()
                 held = []
             open_bucket = bucket
-            held.append((n, meta, hashes))
+            held.append((n, packed))
     if held:
-        yield _repeated(held)
+        yield _Windows.of_dealt(held).repeated()
 
 
-def repeated_edges(docs: DataFrame, k: int = WINDOW, m: int = ANCHOR) -> DataFrame:
+def repeated_edges(docs: DataFrame, k: int = WINDOW, m: int = ANCHOR, most: int = BUCKET_WINDOWS) -> tuple[DataFrame, list[str]]:
     """Pieces of repeated paths in ``docs(doc, text_hash, text)``: ``n`` windows
-    from word ``pos`` that also start earlier, at ``src_pos`` of ``src``."""
+    from word ``pos`` that also start earlier, at ``src_pos`` of ``src``; and the
+    paths of the tables in the shared folder that hold them."""
     chars = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(shuffle_partitions(docs.sparkSession), -(-chars // BUCKET_CHARS))
 
@@ -267,11 +337,19 @@ def repeated_edges(docs: DataFrame, k: int = WINDOW, m: int = ANCHOR) -> DataFra
                 yield from _edge_rows(part, buckets, k, m)
 
     edges = docs.mapInArrow(emit, EDGES)
-    return (
+    met = (
         edges.repartitionById(buckets, F.col("bucket"))
         .sortWithinPartitions("bucket")
-        .mapInArrow(_bucket_rows, PIECES)
+        .mapInArrow(lambda batches: _bucket_rows(batches, buckets, most), DEALT)
     )
+    found, path = staged(met)
+    pieces = found.where("packed is null").drop("bucket", "windows", "packed")
+    dealt = found.where("packed is not null").select("bucket", "windows", "packed")
+    if dealt.isEmpty():
+        return pieces, [path]
+    again = dealt.repartitionById(buckets, F.col("bucket")).sortWithinPartitions("bucket")
+    more, second = staged(again.mapInArrow(_dealt_rows, PIECES))
+    return pieces.unionByName(more), [path, second]
 
 
 _LINE = ["doc", "text_hash", "src", "src_hash", "ahead"]
@@ -303,12 +381,13 @@ def compact(pieces: DataFrame) -> DataFrame:
     )
 
 
-def repeated_paths(docs: DataFrame, k: int = WINDOW, m: int = ANCHOR) -> DataFrame:
+def repeated_paths(docs: DataFrame, k: int = WINDOW, m: int = ANCHOR, most: int = BUCKET_WINDOWS) -> DataFrame:
     """The maximal repeated paths of ``docs(doc, text_hash, text)``, as a table
     in the shared folder: a row for each path, however long."""
-    pieces, held = staged(repeated_edges(docs, k, m))
+    pieces, held = repeated_edges(docs, k, m, most)
     paths, _ = staged(compact(pieces))
-    discard(docs.sparkSession, held)
+    for path in held:
+        discard(docs.sparkSession, path)
     return paths
 
 
@@ -350,9 +429,10 @@ def _remove(texts: pa.Array, spans: pa.Array, with_text: bool) -> pa.Array:
 
 def remove_repeats(
     docs: DataFrame, id_column: str = "doc_id", text: str = "text", k: int = WINDOW, m: int = ANCHOR, with_text: bool = True,
-    out: str = "dedup",
+    out: str = "dedup", most: int = BUCKET_WINDOWS,
 ) -> DataFrame:
-    """``docs`` with a struct column ``out``: ``n_words``, ``n_removed``,
+    """``docs`` with a struct column ``out`` (with underscores in front where
+    ``docs`` has that name): ``n_words``, ``n_removed``,
     ``kept_sha256`` (kept words joined by one space) and, ``with_text``,
     ``kept_text``: the text itself if nothing is removed, else its kept
     stretches as they stand, joined by a space.
@@ -362,10 +442,11 @@ def remove_repeats(
     """
     keyed = docs.select(
         F.coalesce(F.col(id_column), F.lit(NO_ID)).cast("long").alias("doc"),
-        F.hash(text).alias("text_hash"),
+        F.xxhash64(text).alias("text_hash"),
         F.col(text).alias("text"),
     )
-    paths = repeated_paths(keyed, k, m)
+    out = fresh(docs, out)
+    paths = repeated_paths(keyed, k, m, most)
     spans = paths.groupBy("doc", "text_hash").agg(
         F.collect_list(F.struct(F.col("pos").alias("start"), (F.col("n") + (k - 1)).alias("n"))).alias("spans")
     )
@@ -377,7 +458,7 @@ def remove_repeats(
 
     kind = "n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * with_text
     joined = docs.withColumn(doc, F.coalesce(F.col(id_column), F.lit(NO_ID)).cast("long")).withColumn(
-        text_hash, F.hash(text)
+        text_hash, F.xxhash64(text)
     )
     joined = joined.join(spans, [doc, text_hash], "left")
     return joined.withColumn(out, F.arrow_udf(remove, kind)(F.col(text), F.col(cuts))).select(*docs.columns, out)

@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from socialpages.llm import substring
 
@@ -65,7 +66,7 @@ def test_against_brute_force(spark, seed, k, m):
 def test_paths_are_maximal_and_point_to_the_same_words(spark):
     rows = [(i, t) for i, t in corpus(5, 20) if i is not None]
     words = {(i): (t or "").split() for i, t in rows}
-    docs = spark.createDataFrame(rows, "doc long, text string").selectExpr("doc", "hash(text) as text_hash", "text")
+    docs = spark.createDataFrame(rows, "doc long, text string").selectExpr("doc", "xxhash64(text) as text_hash", "text")
     paths = substring.repeated_paths(docs).collect()
     assert paths
     for p in paths:
@@ -90,3 +91,58 @@ def test_empty_and_one_long_text(spark):
     docs = spark.createDataFrame([(1, long), (2, "head " + long)], "doc_id long, text string")
     out = {r.doc_id: r.dedup.n_removed for r in substring.remove_repeats(docs, with_text=False).collect()}
     assert out == {1: 0, 2: 150_000}
+
+
+def test_null_ids_whose_texts_share_a_32_bit_hash(spark):
+    """Rows are told apart by a wide key: texts without an id that clash in Spark's
+    32-bit hash are different rows."""
+    shared = " ".join(f"s{i}" for i in range(25))
+    made = spark.range(400_000).selectExpr(f"concat('{shared} a', id, ' b', id) as text").selectExpr("text", "hash(text) as h")
+    pair = made.groupBy("h").agg(F.min("text").alias("a"), F.max("text").alias("b")).where("a <> b").first()
+    assert pair is not None
+    for ids in [(None, None), (4, 4), (4, 5)]:
+        docs = spark.createDataFrame(list(zip(ids, (pair.a, pair.b))), "doc_id long, text string")
+        assert sorted(r.dedup.n_removed for r in substring.remove_repeats(docs).collect()) == [0, 25]
+
+
+def test_hot_line_is_dealt_out_by_window(spark, monkeypatch):
+    """One eight-word line in a third of short texts: its 4-grams' buckets are over
+    the bound and go by window hash, in tasks of few windows each."""
+    rnd = random.Random(5)
+    line = "all of this is one hot line here".split()
+    rows = []
+    for i in range(600):
+        w = [f"r{rnd.randrange(3000)}" for _ in range(60)]
+        if i % 3 == 0:
+            w[25:25] = line
+        if i % 50 == 7:
+            w = (rows[i - 3][1]).split()[:40] + w[:30]
+        rows.append((i, " ".join(w)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    want = sorted((r[:4] for r in brute(rows, 20)), key=str)
+    monkeypatch.setattr(substring, "BUCKET_CHARS", 1 << 12)
+    most = 150
+    sizes = []
+    keyed = docs.selectExpr("doc_id as doc", "xxhash64(text) as text_hash", "text")
+    read = []
+    original = substring.staged
+
+    def kept(df):
+        frame, path = original(df)
+        read.append(frame)
+        return frame, path
+
+    monkeypatch.setattr(substring, "staged", kept)
+    substring.repeated_edges(keyed, 20, 4, most)[0].collect()
+    dealt = read[0].where("packed is not null")
+    sizes = [r["n"] for r in dealt.groupBy("bucket").agg(F.sum("windows").alias("n")).collect()]
+    total = sum(sizes)
+    assert total > 10 * most and max(sizes) < 0.05 * total
+    got = substring.remove_repeats(docs, k=20, m=4, with_text=False, most=most).select("doc_id", "dedup.*").collect()
+    assert sorted(map(tuple, got), key=str) == want
+
+
+def test_clashing_name(spark):
+    docs = spark.createDataFrame([(1, "a b", 5)], "doc_id long, text string, Dedup int")
+    got = substring.remove_repeats(docs)
+    assert got.columns == ["doc_id", "text", "Dedup", "_dedup"] and got.first()["_dedup"].n_words == 2
