@@ -14,8 +14,8 @@ apart are linked.
    the shingles that other points have too are found exactly; with less than 80%
    of them it is alone.
 3. Pivots.  A point's nearest points agree with it on most of 8 min-hashes.  The
-   points that lead their groups (by how many others share their min-hashes)
-   become pivots, the others join the pivot of most of their groups if the exact
+   points that lead their groups (by how many others share their min-hashes, then
+   by how few shingles are their own) become pivots, the others join the pivot of most of their groups if the exact
    distance is at most ``EPS``: the pivots' Voronoi regions, of radius at most
    ``EPS``.  What is left elects pivots again.  A point that no region of
    ``LEAST_REGION`` takes is a pivot on its own, of radius 0.  The election decides
@@ -282,12 +282,15 @@ def distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _elected(active: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pivots ``(pivot)`` among ``active(node, mins)`` and the homes ``(a, b)`` that the
-    other points try: the pivot that leads most of their min-hash groups."""
+    """Pivots ``(pivot)`` among ``active(node, own, mins)`` and the homes ``(a, b)`` that the
+    other points try: the pivot that leads most of their min-hash groups.  Of points
+    in equally large groups the one with the fewest shingles of its own leads: the
+    text that the others are edited copies of."""
     seen = active.select("node", F.posexplode("mins").alias("j", "m"))
     size = seen.groupBy("j", "m").agg(F.count(F.lit(1)).alias("size"))
     near = seen.join(size, ["j", "m"]).groupBy("node").agg(F.sum("size").alias("near"))
-    lead = seen.join(near, "node").groupBy("j", "m").agg(F.max_by("node", F.struct("near", "node")).alias("pivot"))
+    rank = near.join(active.select("node", "own"), "node").select("node", F.struct("near", (-F.col("own")).alias("few"), "node").alias("rank"))
+    lead = seen.join(rank, "node").groupBy("j", "m").agg(F.max_by("node", "rank").alias("pivot"))
     votes, _ = staged(seen.join(lead, ["j", "m"]).groupBy("node", "pivot").agg(F.count(F.lit(1)).alias("votes")))
     best = votes.groupBy("node").agg(F.max_by("pivot", F.struct("votes", F.expr("pivot = node"), "pivot")).alias("pivot"))
     pivots, _ = staged(best.where("pivot = node").select("pivot"))
@@ -303,7 +306,7 @@ def _elected(active: DataFrame) -> tuple[DataFrame, DataFrame]:
 def _regions(points: DataFrame, sets: DataFrame) -> DataFrame:
     """``(pivot, node, away, common)``: every point, its pivot, its distance to it, at
     most ``EPS``, and the size of their intersection.  A pivot is in its own region."""
-    active, parts = points.join(sets.select("node", "n", "mins"), "node").select("node", "n", "mins"), []
+    active, parts = points.select("node", "n", "own").join(sets.select("node", "mins"), "node"), []
     for _ in range(ELECTIONS):
         pivots, tried = _elected(active)
         near, _ = staged(distances(tried, sets).where("linked").selectExpr("a as pivot", "b as node", "distance as away", "common"))
@@ -408,7 +411,7 @@ def _window_links(near: DataFrame, regions: DataFrame, points: DataFrame, sets:
 def _labels(sets: DataFrame) -> DataFrame:
     """``(node, root)`` of the points that have links."""
     points, _ = staged(_shared(sets))
-    regions, _ = staged(_regions(points.select("node"), sets))
+    regions, _ = staged(_regions(points, sets))
     radii = regions.groupBy("pivot").agg(F.max("away").alias("radius"))
     pivots, _ = staged(radii.join(points.withColumnRenamed("node", "pivot"), "pivot"))
     near = distances(_near_pivots(pivots), sets)
