@@ -16,6 +16,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from socialpages.llm.common import fresh
+
 THRESHOLD = 0.8
 MAX_TEMPLATES = 200
 
@@ -87,7 +89,8 @@ def _templates(templates, threshold: float) -> Column:
 def scanned(
     docs: DataFrame, text: str = "text", templates=TEMPLATES, threshold: float = THRESHOLD, out: str = "licence"
 ) -> DataFrame:
-    """``docs`` with a struct column ``out``: ``license`` (the best template's,
+    """``docs`` with a struct column ``out`` (with underscores in front where ``docs``
+    has that name): ``license`` (the best template's,
     of equals the first by name; null if none reaches the threshold), ``dice``
     (its coefficient or null), ``licenses`` (all that reach it, sorted, joined
     by commas; empty if none) and ``n_passages`` (with two words or more).
@@ -95,6 +98,7 @@ def scanned(
     A null or empty text has no passages.  Every row stays, repeated ones too;
     an empty table gives no rows; other columns are carried along.
     """
+    out = fresh(docs, out)
     ratio = threshold / (2 - threshold)
     # the templates' bigrams are computed once, on the driver
     known = docs.sparkSession.range(1).select(_templates(templates, threshold).alias("t")).first()["t"]

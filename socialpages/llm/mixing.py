@@ -14,6 +14,8 @@ DataFrame functions only.
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,7 +28,8 @@ TOLERANCE = 1e-9
 SEED = 7
 # Fixed value: the least share of all tokens that a sample is expected to hold.
 BUDGET = 0.3
-MAX_BROADCAST_CELLS = 50_000
+# A raked share that is farther from its target than this is reported.
+MAX_MISS = 1e-3
 LONG_WORDS = 1000
 SHORT_WORDS = 50
 
@@ -109,6 +112,19 @@ def rake(
     return state
 
 
+def largest_miss(raked: DataFrame, targets: dict) -> float:
+    """The largest difference between a raked share and its target, over the
+    categories of all dimensions (0 without tokens)."""
+    misses = [0.0]
+    cells = raked.where("tokens > 0").withColumn("weight", F.col("factor") * F.col("tokens"))
+    whole = cells.agg(F.sum("weight")).first()[0]
+    for d, target in targets.items() if whole else ():
+        got = cells.groupBy(d).agg((F.sum("weight") / F.lit(float(whole))).alias("got"))
+        both = got.join(_shares(raked, d, target), d)
+        misses.append(both.agg(F.max(F.abs(F.col("got") - F.col("share")))).first()[0] or 0.0)
+    return max(misses)
+
+
 def _scale(raked: DataFrame, budget: float) -> float:
     """What factors are multiplied by to give probabilities (cut at 1): 1 / the
     largest factor, or what makes the expected tokens ``budget`` of all, if that
@@ -131,34 +147,41 @@ def _scale(raked: DataFrame, budget: float) -> float:
 
 def mixed(
     docs: DataFrame, targets: dict, id_column: str = "doc_id", text: str = "text", seed: int = SEED, out: str = "mix",
-    budget: float = BUDGET, **options,
+    budget: float = BUDGET, max_miss: float = MAX_MISS, **options,
 ) -> DataFrame:
-    """``docs`` with a struct column ``out``: ``topic``, ``n_tokens``,
-    ``factor``, ``probability`` and ``kept``.
+    """``docs`` with a struct column ``out`` (with underscores in front where ``docs``
+    has that name): ``topic``, ``n_tokens``, ``factor``, ``probability`` and ``kept``.
 
     ``targets`` has a target (see ``_shares``) for some of "source", "lang" and
     "topic"; "topic" is the struct's, the others are columns of ``docs``.
-    ``budget`` (0 to 1) is the least share of all tokens to expect in the
+    Targets that no weights meet together (a source found in one language only asks
+    for another share than that language) are raked as near as the sweeps come, and a
+    warning names the largest miss of a share if it is over ``max_miss``;
+    ``largest_miss`` computes it from raked cells.  ``budget`` (0 to 1) is the least share of all tokens to expect in the
     sample; 0 keeps the marginals exact at any cost in size.
     Sampling is by a hash of id, text and seed: repeated rows share their fate
     and a run repeats.  Nulls are a category of their own; a null or empty text
     has no tokens.  An empty table gives no rows; other columns are carried.
     """
+    out = fresh(docs, out)
     t, topic_name = fresh(docs, "_n_tokens"), fresh(docs, "_topic")
     rows = docs.withColumn(t, n_tokens(text)).withColumn(topic_name, topic(text, t))
     keys = {d: fresh(docs, f"_key_{d}") for d in targets}
     rows = rows.withColumns({keys[d]: _key(topic_name if d == "topic" else d) for d in targets})
     cells = rows.groupBy(*keys.values()).agg(F.sum(t).alias("tokens"))
     raked = rake(cells.toDF(*targets, "tokens"), targets, **options)
-    size, scale = raked.count(), _scale(raked, budget)
+    miss = largest_miss(raked, targets)
+    if miss > max_miss:
+        warnings.warn(f"the targets cannot be met together: a share misses its target by {miss:.3g}", stacklevel=2)
+    scale = _scale(raked, budget)
     factor, p = fresh(docs, "_factor"), fresh(docs, "_p")
     raked = raked.select(
         *[F.col(d).alias(keys[d]) for d in targets],
         F.col("factor").alias(factor),
         F.least(F.col("factor") * F.lit(scale), F.lit(1.0)).alias(p),
     )
-    # few cells by their count; any larger number is left to the planner
-    rows = rows.join(F.broadcast(raked) if size <= MAX_BROADCAST_CELLS else raked, list(keys.values()))
+    # a table of one row for each cell: the planner knows its size
+    rows = rows.join(raked, list(keys.values()))
     draw = F.shiftrightunsigned(F.xxhash64(F.col(id_column), F.col(text), F.lit(seed)), 11) / F.lit(float(1 << 53))
     mix = F.struct(
         F.col(topic_name).alias("topic"), F.col(t).alias("n_tokens"), F.col(factor).alias("factor"),

@@ -176,18 +176,17 @@ def _solve(texts: pa.Array, min_length: int) -> pa.StructArray:
 
 
 def with_runs(docs: DataFrame, text: str = "text", min_length: int = MIN_LENGTH, out: str = "periods") -> DataFrame:
-    """``docs`` with a struct column ``out``: ``n_words``, ``runs`` (start word,
+    """``docs`` with a struct column ``out`` (with underscores in front where ``docs`` has
+    that name): ``n_words``, ``runs`` (start word,
     length and period of every run, by start, then period) and ``collapsed``:
     the text's words joined by one space, without the words that a run holds
     after its first period.
 
     A null or empty text has no words and no runs, and a null text stays null.
     Texts of any length are read whole.  Every row stays, repeated ones too.
-    An empty table gives no rows.  Other columns are carried along; a column
-    of ``docs`` that has the name ``out`` already is an error.
+    An empty table gives no rows.  Other columns are carried along.
     """
-    if fresh(docs, out) != out:
-        raise ValueError(f"the table has a column {out} already")
+    out = fresh(docs, out)
 
     at = docs.columns.index(text)
 

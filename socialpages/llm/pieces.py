@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from socialpages.llm.common import text_slices
+from socialpages.llm.common import fresh, text_slices
 
 MARKER = "▁"
 # Fixed values of the model file: piece types and field numbers.
@@ -342,17 +342,18 @@ def load(path: str) -> Model:
 
 
 def encode(docs: DataFrame, model: Model, text: str = "text", out: str = "ids") -> DataFrame:
-    """``docs`` with an array<int> column of piece ids (null text: null, empty
-    text: empty).  Every row stays; other columns are carried along."""
+    """``docs`` with an array<int> column ``out`` of piece ids (null text: null, empty
+    text: empty; underscores in front of the name where ``docs`` has it).  Every row stays; other columns are carried along."""
 
     def ids(texts: pa.Array) -> pa.Array:
         return model.encode(texts)
 
-    return docs.withColumn(out, F.arrow_udf(ids, "array<int>")(F.col(text)))
+    return docs.withColumn(fresh(docs, out), F.arrow_udf(ids, "array<int>")(F.col(text)))
 
 
 def decode(rows: DataFrame, model: Model, ids: str = "ids", out: str = "text") -> DataFrame:
-    """``rows`` with the text of a column of piece ids (null: null)."""
+    """``rows`` with the text of a column of piece ids (null: null), as ``out``; a column
+    of that name is replaced, as the text that the ids were made of."""
 
     def texts(column: pa.Array) -> pa.Array:
         return model.decode(column)
@@ -364,7 +365,8 @@ ROUND_TRIP = "n_pieces long, n_byte_pieces long, ids_sha256 string, decoded_sha2
 
 
 def round_trip(docs: DataFrame, model: Model, text: str = "text", out: str = "pieces", with_ids: bool = False) -> DataFrame:
-    """``docs`` with a struct column: number of pieces and of byte pieces,
+    """``docs`` with a struct column ``out`` (with underscores in front where ``docs`` has
+    that name): number of pieces and of byte pieces,
     SHA-256 of the ids (little-endian 32-bit) and of the decoded text, whether
     that equals the text, and, ``with_ids``, the ids.  A null text counts as
     empty."""
@@ -392,4 +394,4 @@ def round_trip(docs: DataFrame, model: Model, text: str = "text", out: str = "pi
             [f.split()[0] for f in kind.split(", ")],
         )
 
-    return docs.withColumn(out, F.arrow_udf(both, kind)(F.col(text)))
+    return docs.withColumn(fresh(docs, out), F.arrow_udf(both, kind)(F.col(text)))

@@ -53,6 +53,7 @@ COMMON_WORDS = (
 )
 LANGUAGES = ("en", "eng", "de", "deu", "ger", "fr", "fra", "fre", "es", "spa")
 SAMPLE_ROWS = 2000
+SAMPLE_SEED = 11
 
 
 def _per_text(words: Words, per_unique: np.ndarray) -> np.ndarray:
@@ -200,9 +201,11 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def estimate(docs: DataFrame, text: str = "text", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """``(rule, seconds, n, rejected)``: each rule's cost and rejections on at
-    most ``sample_rows`` rows (one row for each rule)."""
-    sample = docs.select(F.col(text).alias("text")).limit(sample_rows)
+    """``(rule, seconds, n, rejected)``: each rule's cost and rejections on a sample of
+    all rows, ``sample_rows`` of them to be expected (one row for each rule).  Every
+    task draws from its own rows, so no text is moved."""
+    share = min(1.0, sample_rows / max(1, docs.count()))
+    sample = docs.select(F.col(text).alias("text")).sample(fraction=share, seed=SAMPLE_SEED)
     return (
         sample.mapInArrow(_measure, "rule string, seconds double, n long, rejected long")
         .groupBy("rule")
@@ -256,7 +259,8 @@ def _has_word_list(lang: str) -> Column:
 def judged(
     docs: DataFrame, text: str = "text", out: str = "quality", order: list[str] | None = None, lang: str | None = None
 ) -> DataFrame:
-    """``docs`` with a struct column ``out``: the base counts, ``base_failed``,
+    """``docs`` with a struct column ``out`` (with underscores in front where ``docs``
+    has that name): the base counts, ``base_failed``,
     ``kept`` and ``rejected_by`` (the first rule of the cascade that rejects;
     it depends on the order, the rest does not).  ``lang`` names the column of
     language codes; without one the texts all count as of the listed languages.
@@ -265,6 +269,7 @@ def judged(
     repeated ones too; an empty table gives no rows; other columns are carried.
     """
     order = cascade_order(docs, text) if order is None else order
+    out = fresh(docs, out)
 
     def judge(texts: pa.Array, listed: pa.Array) -> pa.Array:
         return by_slices(lambda *part: _judge(*part, order), texts, listed)

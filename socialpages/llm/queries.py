@@ -16,6 +16,7 @@ from socialpages.llm.mixing import mixed
 from socialpages.llm.ngram_join import jaccard_components
 from socialpages.llm.quality import (
     COMMON_WORDS,
+    LANGUAGES,
     MAX_DUP_LINES_PERCENT,
     MAX_ECHO_PERCENT,
     MAX_REPEAT_PERCENT,
@@ -114,6 +115,7 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP4_SQL = rf"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS text,
+         coalesce(lower(string_split(replace(trim(lang), '_', '-'), '-')[1]) IN {LANGUAGES}, false) AS listed,
          regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws,
          list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS ls
   FROM documents),
@@ -124,7 +126,7 @@ r AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_i
 cov AS (
   SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, i + unnest(range(0, 8)) AS p FROM r) GROUP BY doc_id),
 c AS (
-  SELECT d.doc_id, text, ws, len(ls) AS n_lines,
+  SELECT d.doc_id, text, ws, listed, len(ls) AS n_lines,
          CAST(len(ws) AS BIGINT) AS n_words,
          CAST(coalesce(list_sum(list_transform(ws, lambda w: length(w))), 0) AS BIGINT) AS word_chars,
          CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
@@ -146,7 +148,7 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
          OR word_chars < {MIN_WORD_CHARS} * n_words OR word_chars > {MAX_WORD_CHARS} * n_words
          OR 100 * n_upper > {MAX_UPPER_PERCENT} * (n_upper + n_lower)
          OR 100 * n_letter < {MIN_LETTER_WORDS_PERCENT} * n_words
-         OR 100 * n_common < {MIN_COMMON_WORDS_PERCENT} * n_words) AS kept
+         OR (listed AND 100 * n_common < {MIN_COMMON_WORDS_PERCENT} * n_words)) AS kept
 FROM b"""
 
 

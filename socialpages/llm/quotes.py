@@ -109,7 +109,8 @@ def roots(parents: DataFrame) -> DataFrame:
 
 
 def conversations(messages: DataFrame, id_column: str = "id", text: str = "text", out: str = "thread") -> DataFrame:
-    """``messages`` with a struct column ``out``: ``own_text`` (without quotes),
+    """``messages`` with a struct column ``out`` (with underscores in front where ``messages``
+    has that name): ``own_text`` (without quotes),
     ``parent``, ``root`` (the conversation), ``level`` (replies below the root),
     ``n_quoted`` and ``n_linked`` (quoted passages, and those with an original).
     Sorted by root, level and id, a conversation reads in order of reply.
@@ -119,6 +120,7 @@ def conversations(messages: DataFrame, id_column: str = "id", text: str = "text"
     is none) is linked to nothing.  A null or empty text has no passages.  Every row stays, repeated ones too; an empty table gives no
     rows; other columns are carried along.
     """
+    out = fresh(messages, out)
     own, passages = fresh(messages, "_own"), fresh(messages, "_passages")
     rows = parsed(messages, text, own, passages)
     # ids and hashes only; the texts are parsed again where they are returned

@@ -167,9 +167,9 @@ def with_next(
 
 
 def fingerprints(docs: DataFrame, text: str = "text", out: str = "signatures", **options) -> DataFrame:
-    """``docs`` with its signature set as a sorted array<bigint> column.  A null
-    text counts as empty.  Every row stays; other columns are carried along."""
-    return docs.withColumn(out, signatures(text, **options))
+    """``docs`` with its signature set as a sorted array<bigint> column ``out`` (with
+    underscores in front where ``docs`` has that name).  A null text counts as empty.  Every row stays; other columns are carried along."""
+    return docs.withColumn(fresh(docs, out), signatures(text, **options))
 
 
 def _rare_first(sets: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ import tiktoken
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from socialpages.llm.common import by_slices
+from socialpages.llm.common import by_slices, fresh
 
 LEAF = 64
 CONTEXT = 4
@@ -178,7 +178,8 @@ def _tree_row(t: Tree) -> dict:
 
 
 def with_trees(docs: DataFrame, ranks: dict[bytes, int], text: str = "text", out: str = "tree") -> DataFrame:
-    """``docs`` with a struct column ``out``: ``n_tokens``, ``n_pretokens`` and
+    """``docs`` with a struct column ``out`` (with underscores in front where ``docs`` has
+    that name): ``n_tokens``, ``n_pretokens`` and
     ``tree`` (number of leaves, heap arrays of character and token sums).
 
     A null or empty text has no tokens and one empty leaf.  Every row stays;
@@ -201,13 +202,14 @@ def with_trees(docs: DataFrame, ranks: dict[bytes, int], text: str = "text", out
         return by_slices(lambda part: some(part, counter), texts)
 
     kind = f"n_tokens long, n_pretokens long, tree {TREE}"
-    return docs.withColumn(out, F.arrow_udf(trees, kind)(F.col(text)))
+    return docs.withColumn(fresh(docs, out), F.arrow_udf(trees, kind)(F.col(text)))
 
 
 def apply_edits(
     rows: DataFrame, ranks: dict[bytes, int], edits: str = "edits", text: str = "text", tree: str = "tree.tree", out: str = "edited"
 ) -> DataFrame:
-    """``rows`` with a struct column ``out`` after their edits: ``text``,
+    """``rows`` with a struct column ``out`` (with underscores in front where ``rows`` has
+    that name) after their edits: ``text``,
     ``tree``, ``n_tokens`` and ``n_encoded`` (pre-tokens encoded anew).
 
     ``edits`` is an array of (start, length, insert), in code points, each made
@@ -235,7 +237,7 @@ def apply_edits(
         return by_slices(lambda *part: some(*part, counter), texts, trees, edits)
 
     kind = f"text string, tree {TREE}, n_tokens long, n_encoded long"
-    return rows.withColumn(out, F.arrow_udf(apply, kind)(F.col(text), F.col(tree), F.col(edits)))
+    return rows.withColumn(fresh(rows, out), F.arrow_udf(apply, kind)(F.col(text), F.col(tree), F.col(edits)))
 
 
 def sample_edits(text: str = "text") -> Column:

@@ -146,3 +146,29 @@ def test_empty_tables_and_texts(spark):
 def test_words_match_the_common_definition():
     for text in ("a\x0bb\x0cc\rd\te f", " a ", "\x1fa\x85b"):
         assert re.findall(mixing.WORD_PATTERN, text) == [w.decode() for w in text.encode().split()]
+
+
+def test_targets_that_cannot_be_met_together_are_reported(spark):
+    """Each source in one language only: 50:50 sources and 90:10 languages exclude each other."""
+    docs = spark.createDataFrame([(i, "w " * 50, "ab"[i % 2], ["en", "de"][i % 2]) for i in range(200)], "doc_id long, text string, source string, lang string")
+    cells = docs.groupBy("source", "lang").agg(F.sum(mixing.n_tokens()).alias("tokens"))
+    cells = cells.select(mixing._key("source").alias("source"), mixing._key("lang").alias("lang"), "tokens")
+    targets = {"source": {"a": 0.5, "b": 0.5}, "lang": {"en": 0.9, "de": 0.1}}
+    assert abs(mixing.largest_miss(mixing.rake(cells, targets), targets) - 0.4) < 1e-6
+    with pytest.warns(UserWarning, match="0.4"):
+        mixing.mixed(docs, targets)
+    fits = {"source": {"a": 0.9, "b": 0.1}, "lang": {"en": 0.9, "de": 0.1}}
+    assert mixing.largest_miss(mixing.rake(cells, fits), fits) < 1e-9
+    assert mixing.largest_miss(mixing.rake(cells.limit(0), fits), fits) == 0
+
+
+def test_cells_are_joined_without_a_forced_broadcast(spark):
+    docs = spark.createDataFrame([(1, "a b", "s", "en")], "doc_id long, text string, source string, lang string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        text = mixing.mixed(docs, {"lang": 1.0})._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert "BroadcastHashJoin" not in text and "SortMergeJoin" in text

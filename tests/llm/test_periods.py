@@ -83,8 +83,6 @@ def test_long_texts(spark):
     assert got[3].runs == [] and got[3].n_words == 1
 
 
-def test_empty_table_and_clashing_name(spark):
+def test_empty_table(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert periods.with_runs(empty).count() == 0
-    with pytest.raises(ValueError, match="periods"):
-        periods.with_runs(empty.withColumn("Periods", F.lit(1)))
