@@ -159,37 +159,25 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 _TEMPLATE_ROWS = ", ".join("('{}', '{}')".format(name, text.replace("'", "''")) for name, text in TEMPLATES)
 
 OP5_SQL = rf"""
-WITH norm AS (
-  SELECT doc_id, regexp_replace(lower(coalesce(text, '')), '[^\p{{L}}\p{{N}}
-]+', ' ', 'g') AS t FROM documents),
-parts AS (
-  SELECT doc_id, unnest(list_concat(
-    string_split(t, chr(10)),
-    list_filter(string_split_regex(trim(t, ' ' || chr(10)), '
- *(?:
- *)+'), lambda p: contains(p, chr(10))))) AS p
-  FROM norm),
-w AS (
-  SELECT doc_id, list_filter(string_split_regex(p, '[ 
-]'), lambda x: x <> '') AS ws FROM parts),
-g AS (
-  SELECT doc_id, list_distinct(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) AS b
-  FROM w WHERE len(ws) > 1),
-n AS (SELECT doc_id, count(*) AS n_passages FROM g GROUP BY doc_id),
+WITH d AS (
+  SELECT doc_id, list_filter(string_split(regexp_replace(lower(coalesce(text, '')), '[^\p{{L}}\p{{N}}]+', ' ', 'g'), ' '), lambda x: x <> '') AS ws
+  FROM documents),
+g AS (SELECT doc_id, list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]) AS g FROM d),
 tw AS (
-  SELECT name, list_filter(string_split(regexp_replace(lower(x), '[^\p{{L}}\p{{N}}
-]+', ' ', 'g'), ' '), lambda y: y <> '') AS ws
+  SELECT name, list_filter(string_split(regexp_replace(lower(x), '[^\p{{L}}\p{{N}}]+', ' ', 'g'), ' '), lambda y: y <> '') AS ws
   FROM (VALUES {_TEMPLATE_ROWS}) v(name, x)),
-tb AS (SELECT name, list_distinct(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) AS b FROM tw),
-hits AS (
-  SELECT doc_id, name, 2.0::DOUBLE * len(list_intersect(g.b, tb.b)) / (len(g.b) + len(tb.b)) AS dice FROM g, tb
-  WHERE list_has_any(g.b, tb.b)),
+t AS (SELECT name, list_distinct(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) AS b FROM tw),
+starts AS (
+  SELECT doc_id, name, g, b, unnest(list_filter(range(1, len(g) + 1), lambda i: list_contains(b, g[i]))) AS s
+  FROM g, t WHERE list_has_any(g, b)),
+windows AS (SELECT doc_id, name, b, list_distinct(g[s:s + len(b) - 1]) AS w FROM starts),
+hits AS (SELECT doc_id, name, 2.0::DOUBLE * len(list_intersect(w, b)) / (len(w) + len(b)) AS dice FROM windows),
 best AS (
-  SELECT doc_id, max(dice) AS dice, arg_min(name, struct_pack(d := -dice, x := name)) AS license,
+  SELECT doc_id, max(dice) AS dice, arg_min(name, struct_pack(d := -dice, x := name)) AS license, count(*) AS n,
          string_agg(DISTINCT name, ',' ORDER BY name) AS licenses
   FROM hits WHERE dice >= {THRESHOLD} GROUP BY doc_id)
-SELECT d.doc_id, license, dice, coalesce(licenses, '') AS licenses, coalesce(n_passages, 0)::BIGINT AS n_passages
-FROM documents d LEFT JOIN best USING (doc_id) LEFT JOIN n USING (doc_id)"""
+SELECT d.doc_id, license, dice, coalesce(licenses, '') AS licenses, coalesce(n, 0)::BIGINT AS n_windows
+FROM documents d LEFT JOIN best USING (doc_id)"""
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -118,7 +118,9 @@ def test_a_very_long_text(spark):
 
 def test_the_sample_is_drawn_from_every_task_without_an_exchange(spark):
     """Rows of all partitions are measured, about as many as asked for, and no text is moved."""
-    docs = spark.range(0, 4000, 1, 8).selectExpr("id as doc_id", "concat(repeat('word the ', 15), cast(id as string)) as text")
+    docs = spark.range(0, 4000, 1, 8).selectExpr(
+        "id as doc_id", "array_join(transform(sequence(1, 30), j -> concat('w', j, 'x', id)), ' ') as text"
+    )
     for rows in (400, 10_000):
         got = {r.rule: r.n for r in q.estimate(docs, sample_rows=rows).collect()}
         assert len(set(got.values())) == 1 and 0.7 * min(rows, 4000) <= max(got.values()) <= 1.3 * rows
