@@ -246,7 +246,7 @@ def _points(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordB
 
 
 def _overlaps(rows: pa.Table) -> pa.Table:
-    """Sizes of the intersections of one set with the others of its unit."""
+    """Sizes of one set, of the others of its unit, and of their intersections."""
     rows = rows.combine_chunks()
     head = pc.is_null(rows.column("b"))
     one = np.sort(rows.filter(head).column("shingles").combine_chunks().flatten().to_numpy())
@@ -255,27 +255,27 @@ def _overlaps(rows: pa.Table) -> pa.Table:
     flat = lists.flatten().to_numpy()
     at = np.minimum(np.searchsorted(one, flat), max(0, len(one) - 1))
     total = np.concatenate([[0], np.cumsum(one[at] == flat if len(one) else np.zeros(len(flat), bool))])
-    ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64))
-    common = total[ends] - total[np.concatenate([[0], ends[:-1]])]
-    return pa.table([others.column("a"), others.column("b"), pa.array(common)], names=["a", "b", "common"])
+    sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    ends = np.cumsum(sizes)
+    columns = [others.column("a"), others.column("b"), pa.array(total[ends] - total[ends - sizes])]
+    return pa.table([*columns, pa.array(len(one) + sizes)], names=["a", "b", "common", "both"])
 
 
 def distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """``(a, b, common, distance, linked)`` of the pairs ``(a, b)`` of points, which
-    differ from each other; an ``a`` with many partners is dealt over several units."""
-    pairs, _ = staged(pairs.join(sets.selectExpr("node as b", "n as nb"), "b").select("a", "b", "nb"))
-    units = pairs.groupBy("a").agg(F.expr(f"cast(ceil(sum(nb) / {UNIT_SHINGLES}) as int)").alias("units"))
+    differ from each other and are of similar size; an ``a`` with many partners is
+    dealt over several units."""
+    pairs, _ = staged(pairs)
+    size = sets.selectExpr("node as a", "n")
+    units = pairs.groupBy("a").count().join(size, "a").selectExpr("a", f"cast(ceil(count * n / {UNIT_SHINGLES}) as int) as units")
     dealt = pairs.join(units, "a").selectExpr("a", "b", "cast(pmod(xxhash64(b), units) as int) as unit")
     one = dealt.select("a", "unit").distinct().join(sets.selectExpr("node as a", "shingles"), "a")
     other = dealt.join(sets.selectExpr("node as b", "shingles"), "b")
     rows = one.selectExpr("a", "unit", "cast(null as long) as b", "shingles").unionByName(other.select("a", "unit", "b", "shingles"))
-    common = rows.groupBy("a", "unit").applyInArrow(_overlaps, "a long, b long, common long")
-    sizes = sets.select("node", "n")
-    return (
-        common.join(sizes.toDF("a", "na"), "a").join(sizes.toDF("b", "nb"), "b")
-        .selectExpr("a", "b", "common", "na + nb - common as joint")
-        .selectExpr("a", "b", "common", "1 - common / joint as distance", f"100 * common >= {PERCENT} * joint as linked")
-    )
+    common = rows.groupBy("a", "unit").applyInArrow(_overlaps, "a long, b long, common long, both long")
+    return common.selectExpr("a", "b", "common", "both - common as joint").selectExpr(
+        "a", "b", "common", "1 - common / joint as distance", f"100 * common >= {PERCENT} * joint as linked"
+    )
 
 
 # --- regions -----------------------------------------------------------------------------

@@ -34,6 +34,7 @@ from socialpages.llm.simhash import simhash_groups
 from socialpages.llm.spotsigs import edit_check
 from socialpages.llm.substring import remove_repeats
 from socialpages.llm.warc import archived
+from socialpages.plans.lineage import staged
 
 # Where the public vocabulary files are (driver only: tasks get the vocabulary).
 TOKENIZERS = "/opt/tokenizers"
@@ -50,7 +51,9 @@ MIX_TARGETS = {
 
 def op1_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
-    found = conversations(as_replies(turns).select("conv_id", "turn", "id", "message"), text="message")
+    # read twice, for the links and for the texts: joined once
+    replies, _ = staged(as_replies(turns).select("conv_id", "turn", "id", "message"))
+    found = conversations(replies, text="message")
     return found.select(
         "conv_id",
         "turn",

@@ -30,9 +30,8 @@ _SPACE = "[\\\\x20\\\\x09-\\\\x0D]+"
 
 def _lines_sql(text: str) -> str:
     """Array of (d: quote level, b: the line without its marks)."""
-    clean = f"translate(coalesce({text}, ''), '\\u0001\\u0002', '  ')"
     return (
-        f"transform(split({clean}, '\\n', -1), l -> named_struct("
+        f"transform(split(coalesce({text}, ''), '\\n', -1), l -> named_struct("
         f"'d', length(translate(regexp_extract(l, '{_MARK}', 0), ' ', '')), 'b', regexp_replace(l, '{_MARK}', '')))"
     )
 
@@ -46,11 +45,12 @@ def parsed(messages: DataFrame, text: str = "text", own: str = "own_text", passa
     ``passages``, an array of (level, hash) of its passages with any word.
     A null text counts as empty."""
     # a line continues its passage if the line before has its level and
-    # neither is blank; "\u0001" starts a passage, "\u0002" ends its level
+    # neither is blank; "\u0001" starts a passage, "\u0002" ends its level (in a
+    # passage the two count as spaces; the own text keeps them)
     runs = (
         "array_join(transform(ls, (p, i) -> concat("
         "if(i > 0 and ls[greatest(i - 1, 0)].d = p.d and trim(p.b) <> '' and trim(ls[greatest(i - 1, 0)].b) <> '', "
-        "'\\n', concat('\\u0001', p.d, '\\u0002')), p.b)), '')"
+        "'\\n', concat('\\u0001', p.d, '\\u0002')), translate(p.b, '\\u0001\\u0002', '  '))), '')"
     )
     cut = f"filter(split(({runs}), '\\u0001', -1), x -> x <> '')"
     shaped = (

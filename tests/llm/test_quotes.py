@@ -86,7 +86,9 @@ def test_against_brute_force(spark, seed):
     got = quotes.conversations(frame, text="message")
     assert got.columns == [*frame.columns, "thread"]
     got = {r.id: r.thread for r in got.collect()}
-    want = brute([(i, (t or "").translate({1: " ", 2: " "})) for i, t in rows])
+    # in passages U+0001 and U+0002 count as spaces, the own text keeps them
+    want = {i: (parse(dict(rows)[i])[0], *w[1:]) for i, w in brute([(i, (t or "").translate({1: " ", 2: " "})) for i, t in rows]).items()}
+    assert want[1004][0] == "a\x01b\x02c"
     assert {i: (t.own_text, t.parent, t.root, t.level, t.n_quoted, t.n_linked) for i, t in got.items()} == want
     assert max(w[3] for w in want.values()) > 3
 
