@@ -219,10 +219,12 @@ def _edge_batch(rows) -> pa.RecordBatch:
 
 
 class _Windows:
-    """Single windows: their rows, places, anchors and hashes."""
+    """Window hashes, and the super-k-mers (row, first place, number of windows,
+    anchor) that they belong to, in order.  Only the windows asked for are spelled out."""
 
-    def __init__(self, doc, text_hash, pos, anchor, window):
-        self.columns = (doc, text_hash, pos, anchor, window)
+    def __init__(self, doc, text_hash, pos, count, anchor, window):
+        self.runs = (doc, text_hash, pos, anchor)
+        self.count, self.ends, self.window = count, np.cumsum(count, dtype=np.int64), window
 
     @staticmethod
     def of_records(packed: list[tuple[int, bytes, bytes]]) -> _Windows:
@@ -231,36 +233,41 @@ class _Windows:
         doc = np.concatenate([np.cumsum(p[0]) for p in parts])
         text_hash, pos, count, anchor = (np.concatenate([p[i] for p in parts]) for i in range(1, 5))
         hashes = np.frombuffer(b"".join(h for _, _, h in packed), np.uint8).reshape(-1, HASH_BYTES)
-        window = np.pad(hashes, ((0, 0), (0, 8 - HASH_BYTES))).view(np.uint64).reshape(-1)
-        count = count.astype(np.int64)
-        run = np.repeat(np.arange(len(count)), count)
-        place = pos[run] + np.arange(len(run)) - np.repeat(np.cumsum(count) - count, count)
-        return _Windows(doc[run], text_hash[run], place.astype(np.int64), anchor[run], window)
+        window = np.zeros((len(hashes), 8), np.uint8)
+        window[:, :HASH_BYTES] = hashes
+        return _Windows(doc, text_hash, pos, count, anchor, window.view(np.uint64).reshape(-1))
+
+    @staticmethod
+    def of_dealt(packed: list[tuple[int, bytes]]) -> _Windows:
+        parts = [_unpack(data, n, np.int64, np.int64, np.int32, np.uint32, np.uint64) for n, data in packed]
+        doc, text_hash, pos, anchor, window = (np.concatenate([p[i] for p in parts]) for i in range(5))
+        return _Windows(doc, text_hash, pos, np.ones(len(pos), np.int32), anchor, window)
+
+    def at(self, windows: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Row, text hash, place and anchor of some windows."""
+        run = np.searchsorted(self.ends, windows, side="right")
+        doc, text_hash, pos, anchor = self.runs
+        return doc[run], text_hash[run], pos[run] + (windows - (self.ends[run] - self.count[run])), anchor[run]
 
     def dealt(self, buckets: int) -> Iterator[tuple[int, int, bytes]]:
         """The windows by their own hash: bucket, number of windows, packed columns."""
-        doc, text_hash, pos, anchor, window = self.columns
-        bucket = (_mixed(window) % np.uint64(buckets)).astype(np.int64)
+        bucket = (_mixed(self.window) % np.uint64(buckets)).astype(np.int32)
         by = np.argsort(bucket, kind="stable")
         ends = np.searchsorted(bucket[by], np.arange(buckets + 1))
         for b in np.flatnonzero(np.diff(ends)):
             mine = by[ends[b] : ends[b + 1]]
-            yield int(b), len(mine), _pack(doc[mine], text_hash[mine], pos[mine].astype(np.int32), anchor[mine], window[mine])
-
-    @staticmethod
-    def of_dealt(packed: list[tuple[int, bytes]]) -> _Windows:
-        parts = [_unpack(data, n, np.int64, np.int64, np.int32, np.uint32, np.uint64) for n, data in packed]
-        doc, text_hash, pos, anchor, window = (np.concatenate([p[i] for p in parts]) for i in range(5))
-        return _Windows(doc, text_hash, pos.astype(np.int64), anchor, window)
+            doc, text_hash, pos, anchor = self.at(mine)
+            yield int(b), len(mine), _pack(doc, text_hash, pos.astype(np.int32), anchor, self.window[mine])
 
     def repeated(self) -> pa.RecordBatch:
         """Those that also start earlier, with the first start."""
-        doc, text_hash, pos, anchor, window = self.columns
-        by = np.argsort(window)
-        equal = np.diff(window[by]) == 0
+        by = np.argsort(self.window)
+        equal = np.diff(self.window[by]) == 0
         some = by[np.concatenate([equal, [False]]) | np.concatenate([[False], equal])]
-        by = np.lexsort((pos[some], text_hash[some], doc[some], anchor[some], window[some]))
-        doc, text_hash, pos, anchor, window = (c[some[by]] for c in (doc, text_hash, pos, anchor, window))
+        del by, equal
+        window, (doc, text_hash, pos, anchor) = self.window[some], self.at(some)
+        by = np.lexsort((pos, text_hash, doc, anchor, window))
+        doc, text_hash, pos, anchor, window = (c[by] for c in (doc, text_hash, pos, anchor, window))
         starts = np.concatenate([[True], (np.diff(window) != 0) | (anchor[1:] != anchor[:-1])])[: len(window)]
         first = np.flatnonzero(starts)[np.cumsum(starts) - 1] if len(window) else np.zeros(0, np.int64)
         later = np.flatnonzero((doc != doc[first]) | (text_hash != text_hash[first]) | (pos != pos[first]))
