@@ -18,7 +18,9 @@ recursion extends every unit through the trie with vector operations.
 from __future__ import annotations
 
 import hashlib
+import math
 import struct
+from array import array
 from dataclasses import dataclass
 
 import numpy as np
@@ -38,6 +40,9 @@ FIELD_CHARSMAP, FIELD_DUMMY_PREFIX, FIELD_EXTRA_SPACES = 2, 3, 4
 UNKNOWN_PENALTY = 10.0
 
 SLICE_BYTES = 2 << 20
+# Units longer than this are solved one by one, in stretches of so many starts.
+LONG_UNIT = 1024
+STRETCH = 1 << 16
 NOT_A_CHAR = 0x110000  # between texts
 DRAW = 0x9E3779B97F4A7C15
 
@@ -211,8 +216,12 @@ class Model:
         back = np.zeros(len(best), np.int64)
         last = np.full(len(best), -1, np.int64)
         best[place] = 0.0
-        for s in range(int(lengths[0]) if n else 0):
-            live = np.arange(np.searchsorted(-lengths, -s, side="left"))  # longer than s
+        long = int(np.searchsorted(-lengths, -LONG_UNIT, side="left"))
+        for unit in range(long):
+            mine = slice(int(place[unit]), int(place[unit] + lengths[unit] + 1))
+            back[mine], last[mine] = self._solve_long(codes[starts[unit] : starts[unit] + lengths[unit]])
+        for s in range(int(lengths[long]) if long < n else 0):
+            live = np.arange(long, np.searchsorted(-lengths, -s, side="left"))  # longer than s
             here = best[place[live] + s]
             single = np.zeros(len(live), bool)
             state = np.zeros(len(live), np.int64)
@@ -243,10 +252,71 @@ class Model:
                 live, state, here = live[on], state[on], here[on]
         return order, place, back, last
 
+    def _matches(self, codes, first, stop):
+        """Pieces that start from ``first`` to before ``stop``: starts, lengths and ids, by
+        start, then length.  All starts go down the trie together."""
+        trie, found = self.trie, []
+        live, state, j = np.arange(first, stop), np.zeros(stop - first, np.int64), 0
+        while len(live):
+            live_codes = codes[live + j]
+            to = trie.base[state] + live_codes
+            step = (trie.check[to] == state) & (live_codes > 0)
+            live, state, j = live[step], to[step], j + 1
+            number = trie.piece[state]
+            end = number >= 0
+            found.append((live[end], np.full(int(end.sum()), j), number[end]))
+            on = live + j < len(codes)
+            live, state = live[on], state[on]
+        start, length, number = (np.concatenate([f[i] for f in found]) for i in range(3))
+        by = np.lexsort((length, start))
+        return start[by], length[by], number[by]
+
+    def _solve_long(self, codes):
+        """Viterbi over one long unit: the matches of a stretch of starts at a time, then
+        one plain pass over them.  Same results, in the same order, as for short units."""
+        n = len(codes)
+        best, back, last = array("d", [-math.inf]) * (n + 1), array("q", [0]) * (n + 1), array("q", [-1]) * (n + 1)
+        best[0] = 0.0
+        for first in range(0, n, STRETCH):
+            stop = min(first + STRETCH, n)
+            start, length, number = self._matches(codes, first, stop)
+            counts = np.bincount(start - first, minlength=stop - first).tolist()
+            lone = np.ones(stop - first, bool)
+            lone[start[length == 1] - first] = False
+            ends, scores, number = (start + length).tolist(), self.score[number].tolist(), number.tolist()
+            at = 0
+            for s, count, alone in zip(range(first, stop), counts, lone.tolist()):
+                here = best[s]
+                if alone and here + self.unknown > best[s + 1]:
+                    best[s + 1], back[s + 1], last[s + 1] = here + self.unknown, s, -1
+                for m in range(at, at + count):
+                    end = ends[m]
+                    value = here + scores[m]
+                    if value > best[end]:
+                        best[end], back[end], last[end] = value, s, number[m]
+                at += count
+        return np.frombuffer(back, np.int64), np.frombuffer(last, np.int64)
+
+    @staticmethod
+    def _trace_long(back: np.ndarray) -> np.ndarray:
+        """The places at which the pieces of one unit end, from the last one on."""
+        steps, places, at = back.tolist(), array("q"), len(back) - 1
+        while at > 0:
+            places.append(at)
+            at = steps[at]
+        return np.frombuffer(places, np.int64) if places else np.zeros(0, np.int64)
+
     def _encode_units(self, chars, starts, lengths):
         """Ids of every unit: flat ids and offsets."""
         order, place, back, last = self._solve(self.code[chars], starts, lengths)
-        at, unit, owner, number, char = lengths[order].copy(), np.arange(len(order)), [], [], []
+        long = int((lengths > LONG_UNIT).sum())
+        at, unit, owner, number, char = lengths[order].copy(), np.arange(long, len(order)), [], [], []
+        at = at[long:]
+        traced = []
+        for u in range(long):
+            mine = slice(int(place[u]), int(place[u] + lengths[order[u]] + 1))
+            ends = self._trace_long(back[mine])
+            traced.append((np.full(len(ends), u), last[mine][ends], chars[starts[order[u]] + back[mine][ends]], np.arange(len(ends))))
         while len(unit):
             here = place[unit] + at
             owner.append(unit)
@@ -255,10 +325,12 @@ class Model:
             char.append(chars[starts[order[unit]] + at])
             on = at > 0
             unit, at = unit[on], at[on]
-        if not owner:
+        if not owner and not traced:
             return np.zeros(0, np.int32), np.zeros(1, np.int64)
-        steps = np.repeat(np.arange(len(owner)), [len(o) for o in owner])
-        owner, number, char = order[np.concatenate(owner)], np.concatenate(number), np.concatenate(char)
+        steps = np.concatenate([np.repeat(np.arange(len(owner)), [len(o) for o in owner]), *[t[3] for t in traced]]).astype(np.int64)
+        owner = order[np.concatenate([*owner, *[t[0] for t in traced]])]
+        number = np.concatenate([*number, *[t[1] for t in traced]])
+        char = np.concatenate([*char, *[t[2] for t in traced]])
         by = np.lexsort((-steps, owner))
         owner, number, char = owner[by], number[by], char[by]
         # characters without a piece become their UTF-8 bytes

@@ -147,18 +147,25 @@ def edit(text: str, tree: Tree, start: int, length: int, insert: str, counter: C
     shift = len(new) - len(text)
     first, begin = tree.leaf_at(max(0, start - CONTEXT))
     chars, _ = tree.leaves()
-    starts = begin + np.cumsum(chars[first:]) - chars[first:]
-    # old leaf starts behind the edit, where old and new may meet again
-    meet = first + int(np.searchsorted(starts, stop, side="left"))
-    goals = {place: i for i, place in zip(range(tree.n - 1, meet - 1, -1), (starts[meet - first :] + shift)[::-1].tolist())}
-    pieces, at, last = [], begin, goals.get(begin)
-    if last is None:
-        last = tree.n
+    # the next old leaf behind the edit, where old and new may meet again, and
+    # its place in the new text; only leaves that the new pieces reach are passed
+    meet, goal = first, begin
+    while meet < tree.n and goal < stop:
+        goal += int(chars[meet])
+        meet += 1
+    goal += shift
+    pieces, last = [], tree.n
+    if meet < tree.n and goal == begin:
+        last = meet
+    else:
         for m in counter.pattern.finditer(new, begin):
             pieces.append(m.group())
             at = m.end()
-            if at in goals:
-                last = goals[at]
+            while meet < tree.n and goal < at:
+                goal += int(chars[meet])
+                meet += 1
+            if meet < tree.n and goal == at:
+                last = meet
                 break
     if not pieces:
         none = np.zeros(0, np.int64)

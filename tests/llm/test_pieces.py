@@ -1,8 +1,10 @@
 import hashlib
 import random
 import struct
+import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from socialpages.llm import pieces
@@ -146,3 +148,29 @@ def test_models_that_are_not_supported(vocabulary):
     data.normalizer_spec.remove_extra_whitespaces = True
     with pytest.raises(ValueError, match="identity"):
         pieces.Model(data.SerializeToString())
+
+
+def test_long_units_are_solved_the_same(model, vocabulary, monkeypatch):
+    """Long stretches without a space, in one pass and with all units together."""
+    rnd = random.Random(4)
+    letters = "abcdeéßñ日本語xq😀"
+    texts = ["".join(rnd.choice(letters) for _ in range(n)) for n in (1023, 1024, 1025, 3000)]
+    texts += ["a" * 3000, "the" * 900, "日本" * 900, "x" * 1100 + " " + "y" * 1030, "", "hello there"]
+    texts += ["".join(rnd.choice(["the", "ing", "tion", "xq", "é"]) for _ in range(1200))]
+    together = None
+    for unit, stretch in ((10**9, 1), (1024, 1 << 16), (1024, 97), (5, 64)):
+        monkeypatch.setattr(pieces, "LONG_UNIT", unit)
+        monkeypatch.setattr(pieces, "STRETCH", stretch)
+        got = model.encode(pa.array(texts)).to_pylist()
+        together = together or got
+        assert got == together
+    assert together == [brute(vocabulary, t) for t in texts]
+
+
+def test_a_million_characters_without_a_space(model):
+    rnd = random.Random(5)
+    for text in ("".join(rnd.choices("abcdefghijklmnopqrst", k=1_000_000)), "a" * 1_000_000):
+        began = time.perf_counter()
+        ids = model.encode(pa.array([text]))
+        assert time.perf_counter() - began < 30
+        assert model.decode(ids)[0].as_py() == text

@@ -1,14 +1,21 @@
 """Every registered query over its whole table, against its DuckDB SQL or, where
 SQL does not express it, against the brute-force versions of the other tests."""
 
+import hashlib
+
 import duckdb
+import numpy as np
 import pytest
 
 import __spark_entry__ as E
+import test_mixing
+import test_ngram_join
+import test_pieces
 import test_simhash
 import test_spotsigs
 import test_substring
-from socialpages.llm import queries
+import test_tokens
+from socialpages.llm import mixing, queries, tokens
 
 SF = "/root/testdata/sf0.001"
 TABLES = ["documents", "pages", "conversations"]
@@ -71,7 +78,63 @@ def test_op10(spark, documents):
     assert got == sorted((r[:4] for r in test_substring.brute(documents, 20)), key=str)
 
 
-@pytest.mark.parametrize("name", ["op6_token_counts", "op8_sentencepiece", "op9_mixing"])
-def test_one_row_for_each_document(spark, documents, name):
-    got = queries.queries()[name](spark, SF)
-    assert sorted(r.doc_id for r in got.select("doc_id").collect()) == [i for i, _ in documents]
+def test_op6(spark, documents):
+    counter = tokens.Counter(tokens.load_ranks(queries.RANKS_FILE))
+    got = {r.doc_id: r for r in queries.op6_token_counts(spark, SF).collect()}
+    assert sorted(got) == [i for i, _ in documents]
+    for i, text in documents:
+        text = text or ""
+        n, new = len(text), text
+        for start, length, insert in ((n // 2, 16, text[:24]), (n * 3 // 4, 10, ""), (n + 64, 0, " the end")):
+            start = min(start, len(new))
+            new = new[:start] + insert + new[start + length :]
+        r = got[i]
+        assert (r.n_pretokens, r.n_tokens) == (len(counter.pattern.findall(text)), test_tokens.full(counter, text))
+        assert (r.n_tokens_edited, r.edited_sha256) == (test_tokens.full(counter, new), hashlib.sha256(new.encode()).hexdigest())
+        assert 0 < r.n_encoded <= 3 * 4 * tokens.LEAF + len(counter.pattern.findall(text[:24] + " the end"))
+
+
+def test_op8(spark, documents):
+    from sentencepiece import sentencepiece_model_pb2
+
+    vocabulary = sentencepiece_model_pb2.ModelProto()
+    with open(queries.PIECES_FILE, "rb") as f:
+        vocabulary.ParseFromString(f.read())
+    byte = {i for i, p in enumerate(vocabulary.pieces) if p.type == 6}
+    got = {r.doc_id: r for r in queries.op8_sentencepiece(spark, SF).collect()}
+    assert sorted(got) == [i for i, _ in documents]
+    for i, text in documents:
+        ids, r = test_pieces.brute(vocabulary, text or ""), got[i]
+        assert (r.n_pieces, r.n_byte_pieces) == (len(ids), sum(x in byte for x in ids))
+        assert r.ids_sha256 == hashlib.sha256(np.array(ids, "<i4").tobytes()).hexdigest()
+        assert r.same and r.decoded_sha256 == hashlib.sha256((text or "").encode()).hexdigest()
+
+
+def test_op9(spark, duck):
+    data = duck.execute("select doc_id, text, lang, source from documents").fetchall()
+    got = {r.doc_id: r for r in queries.op9_mixing(spark, SF).collect()}
+    cells, factor = test_mixing.brute(data, queries.MIX_TARGETS)
+    cells = {c: t for c, t in cells.items() if t}
+    total, scale = sum(cells.values()), 1 / max(factor[c] for c in cells)
+    # the least share of the tokens to expect: solved by halving
+    expected = lambda x: sum(t * min(1, factor[c] * x) for c, t in cells.items()) / total
+    if expected(scale) < mixing.BUDGET:
+        low, high = scale, scale * 1e6
+        for _ in range(200):
+            mid = (low + high) / 2
+            low, high = (mid, high) if expected(mid) < mixing.BUDGET else (low, mid)
+        scale = high
+    assert sorted(got) == sorted(r[0] for r in data)
+    for i, text, lang, source in data:
+        topic, n = test_mixing.topic_of(text)
+        r = got[i]
+        assert (r.topic, r.n_tokens, r.lang, r.source) == (topic, n, lang, source)
+        if n:
+            assert r.probability == pytest.approx(min(1.0, factor[(source, lang, topic)] * scale), rel=1e-5)
+        u = test_mixing.draw(i, text, mixing.SEED)
+        if abs(u - r.probability) > 1e-9:
+            assert r.kept == (u < r.probability)
+
+
+def test_op11(spark, documents):
+    assert sorted(map(tuple, queries.op11_ngram_jaccard_join(spark, SF).collect())) == test_ngram_join.brute(documents)
