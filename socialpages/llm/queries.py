@@ -31,7 +31,7 @@ from socialpages.llm.quality import (
 )
 from socialpages.llm.quotes import as_replies, conversations
 from socialpages.llm.simhash import simhash_groups
-from socialpages.llm.spotsigs import edit_check
+from socialpages.llm.spotsigs import edit_check, near_duplicates
 from socialpages.llm.substring import remove_repeats
 from socialpages.llm.warc import archived
 from socialpages.plans.lineage import staged
@@ -107,6 +107,11 @@ def op3_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edit_check(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def spotsigs_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The search of op3 over all documents: classes of texts with a coefficient of 0.8 or more."""
+    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), threshold=0.8)
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return judged(docs, lang="lang").select(
@@ -390,6 +395,7 @@ def queries() -> dict:
         "op1_quotation_linking": op1_quotation_linking,
         "op2_simhash_near_dedup": op2_simhash_near_dedup,
         "op3_spotsigs": op3_spotsigs,
+        "spotsigs_near_duplicates": spotsigs_near_duplicates,
         "op4_quality_rules": op4_quality_rules,
         "op5_license_scan": op5_license_scan,
         "op6_token_counts": op6_token_counts,

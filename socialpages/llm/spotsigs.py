@@ -22,7 +22,7 @@ from pyspark.sql.window import Window
 
 from socialpages.llm.common import fresh, shuffle_partitions
 from socialpages.llm.components import components
-from socialpages.plans.lineage import materialize
+from socialpages.plans.lineage import discard, staged
 
 CHAIN = 2
 # Common words of four languages, the anchors.
@@ -173,12 +173,12 @@ def fingerprints(docs: DataFrame, text: str = "text", out: str = "signatures", *
 
 
 def _rare_first(sets: DataFrame) -> DataFrame:
-    """``sets(print, first, set)`` with the hashes of each set in the order of
+    """``sets(print, set)`` with the hashes of each set in the order of
     how many sets hold them, rarest first, and ``n``, the set's size."""
-    each = sets.select("print", "first", F.size("set").alias("n"), F.explode("set").alias("sig"))
+    each = sets.select("print", F.size("set").alias("n"), F.explode("set").alias("sig"))
     each = each.join(each.groupBy("sig").agg(F.count(F.lit(1)).alias("held")), "sig")
-    ranked = each.groupBy("print", "first", "n").agg(F.sort_array(F.collect_list(F.struct("held", "sig"))).alias("ranked"))
-    return ranked.select("print", "first", "n", F.col("ranked.sig").alias("set"))
+    ranked = each.groupBy("print", "n").agg(F.sort_array(F.collect_list(F.struct("held", "sig"))).alias("ranked"))
+    return ranked.select("print", "n", F.col("ranked.sig").alias("set"))
 
 
 def _prefixes(sets: DataFrame, threshold: float) -> DataFrame:
@@ -208,6 +208,22 @@ def _likely(member: DataFrame, threshold: float, block: int = BLOCK) -> DataFram
     return pair.select(F.col("a.print").alias("a"), F.col("b.print").alias("b"))
 
 
+def _not_alone(rows: DataFrame, threshold: float) -> DataFrame:
+    """``(print)`` of the sets of ``rows(print, set)`` that can be as alike as ``threshold`` to
+    another one (and some more).
+
+    Two such sets share at least that part of each, so the ``c`` least hashes that they
+    share are among the first ``n - ceil(threshold n) + c`` of both.  With ``c`` a tenth of
+    the smaller set, a set needs about a tenth of its size in hashes that the
+    prefix of another set holds too.  Only prefixes are moved."""
+    n = F.size("set")
+    reach = (n - F.ceil(n * F.lit(threshold) - 1e-9) + F.ceil(n / 10)).cast("int")
+    first = rows.select("print", n.alias("n"), F.explode(F.slice("set", 1, reach)).alias("sig"))
+    shared = first.groupBy("sig").agg(F.min("print").alias("low"), F.max("print").alias("high")).where("low <> high").select("sig")
+    hits = first.join(shared, "sig").groupBy("print", "n").agg(F.count(F.lit(1)).alias("hits"))
+    return hits.where(F.col("hits") >= F.ceil(F.col("n") * F.lit(threshold / 10) - 1e-9)).select("print")
+
+
 def near_duplicates(
     docs: DataFrame, id_column: str = "doc_id", text: str = "text", threshold: float = 0.8, **options
 ) -> DataFrame:
@@ -215,23 +231,29 @@ def near_duplicates(
     Jaccard coefficient of at least ``threshold`` are linked, and ``class_id``
     is the least id reachable.
 
-    Equal sets count once.  Sets are partitioned by length into bands whose
+    Equal sets count once.  Sets that share too little with all others together are
+    classes of their own and go no further.  The others are partitioned by length into bands whose
     ends differ by the factor 1 / threshold, so that likely pairs are in one
     band or in neighbouring ones; within a band a pair must share one of the
-    first hashes of both, the rarest over all sets coming first (prefix filter:
+    first hashes of both, the rarest over all these sets coming first (prefix filter:
     a hash that many sets hold is in the prefix of few), then pass the length
     and position bounds, then the exact coefficient.
 
     First each set is compared to the least set of each of its buckets, which
     is linear and joins most of a large group of near copies.  Then only pairs
     from different components are left to compare, in the buckets that hold
-    more than one, block by block.  A null id never names a class; an empty table gives no rows.
+    more than one, block by block.  Ids are of any type with an order.  A null id
+    never names a class; an empty table gives no rows; other columns are not read.
     """
-    rows = materialize(
-        docs.select(F.col(id_column).alias("doc_id"), signatures(text, **options).alias("set")).withColumn("print", digest("set"))
-    )
-    sets = rows.groupBy("print").agg(F.min("doc_id").alias("first"), F.first("set").alias("set"))
-    sets = materialize(_rare_first(materialize(sets)))
+    spark = docs.sparkSession
+    rows = docs.select(F.col(id_column).alias("doc_id"), signatures(text, **options).alias("set"))
+    rows, held = staged(rows.withColumn("print", F.unhex(digest("set"))))
+    firsts, _ = staged(rows.groupBy("print").agg(F.min("doc_id").alias("first")))
+    sets = rows.select("print", "set").join(_not_alone(rows, threshold), "print", "left_semi")
+    sets, between = staged(sets.groupBy("print").agg(F.first("set").alias("set")))
+    ranked, order = staged(_rare_first(sets))
+    discard(spark, between)
+    sets = ranked
     index = _prefixes(sets, threshold)
     # a set is in the buckets of its band and, for longer partners, of the next
     reach = index.withColumn("near", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("band", F.col("band") + F.col("near"))
@@ -242,18 +264,22 @@ def near_duplicates(
         near = likely.distinct().join(x, "a").join(y, "b")
         return near.where(likeness("sa", "sb", threshold) >= threshold).select("a", "b")
 
-    def with_roots(links: DataFrame) -> DataFrame:
+    def with_roots(prints: DataFrame, links: DataFrame) -> DataFrame:
         found = components(links).withColumnRenamed("node", "print")
-        return materialize(sets.select("print").join(found, "print", "left").select("print", F.coalesce("root", "print").alias("root")))
+        return staged(prints.select("print").join(found, "print", "left").select("print", F.coalesce("root", "print").alias("root")))[0]
 
     least = reach.groupBy("band", "sig").agg(F.min("print").alias("a"))
-    stars = materialize(verified(reach.join(least, ["band", "sig"]).where("a <> print").select("a", F.col("print").alias("b"))))
-    member = reach.join(with_roots(stars), "print")
-    rest = verified(_likely(member, threshold))
-    rooted = sets.select("print", "first").join(with_roots(stars.unionByName(rest)), "print")
+    stars, _ = staged(verified(reach.join(least, ["band", "sig"]).where("a <> print").select("a", F.col("print").alias("b"))))
+    member = reach.join(with_roots(sets, stars), "print")
+    rest, _ = staged(verified(_likely(member, threshold)))
+    rooted = firsts.join(with_roots(firsts, stars.unionByName(rest)), "print")
     label = rooted.join(rooted.groupBy("root").agg(F.min("first").alias("class_id")), "root").select("print", "class_id")
-    return rows.join(label, "print").select(
-        F.col("doc_id").alias(id_column), F.col("print").alias("fingerprint"), "class_id"
+    label, _ = staged(label)
+    prints, _ = staged(rows.select("doc_id", "print"))
+    for path in (held, order):
+        discard(spark, path)
+    return prints.join(label, "print").select(
+        F.col("doc_id").alias(id_column), F.lower(F.hex("print")).alias("fingerprint"), "class_id"
     )
 
 

@@ -22,7 +22,7 @@ TABLES = ["documents", "pages", "conversations"]
 NAMES = [
     "op1_quotation_linking", "op2_simhash_near_dedup", "op3_spotsigs", "op4_quality_rules", "op5_license_scan",
     "op6_token_counts", "op7_warc_zstd", "op8_sentencepiece", "op9_mixing", "op10_substring_dedup",
-    "op11_ngram_jaccard_join", "op12_periodic_runs", "op13_source_divergence", "pipeline",
+    "op11_ngram_jaccard_join", "op12_periodic_runs", "op13_source_divergence", "spotsigs_near_duplicates", "pipeline",
 ]
 
 
@@ -73,6 +73,24 @@ def test_op3(spark, documents):
         assert got[i].near_next == test_spotsigs.jaccard(s, test_spotsigs.brute_set(nxt))
 
 
+def test_spotsigs_near_duplicates(spark, documents):
+    got = {r.doc_id: r.class_id for r in queries.spotsigs_near_duplicates(spark, SF).collect()}
+    sets = [(i, frozenset(test_spotsigs.brute_set(t))) for i, t in documents]
+    root = {i: i for i, _ in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for k, (i, a) in enumerate(sets):
+        for j, b in sets[:k]:
+            if len(a & b) >= 0.8 * len(a | b):
+                x, y = sorted((find(i), find(j)))
+                root[y] = x
+    assert got == {i: find(i) for i, _ in sets}
+
+
 def test_op10(spark, documents):
     got = sorted(map(tuple, queries.op10_substring_dedup(spark, SF).collect()), key=str)
     assert got == sorted((r[:4] for r in test_substring.brute(documents, 20)), key=str)
