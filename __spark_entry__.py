@@ -39,7 +39,7 @@ from socialpages.operators import (  # noqa: E402
 )
 from socialpages.schemas import ACCESS_COLUMNS, FRIENDS_COLUMNS, PAGES_COLUMNS  # noqa: E402
 from socialpages.sources import driver_tables as dv  # noqa: E402
-from socialpages.plans import ensure_checkpoint_dir  # noqa: E402
+from socialpages.plans import scratch_path  # noqa: E402
 from socialpages.sources import (  # noqa: E402
     parse_lines,
     read_numbered_lines,
@@ -86,20 +86,16 @@ def _text_fields(spark, d):
     return parse_lines(documents, PAGES_COLUMNS, "text", keep=["doc_id"])
 
 
-def _scratch(spark) -> str:
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/lines-{uuid.uuid4().hex}"
-
-
 def _top_accessed_pages_lines(spark, d):
     """The report's text output, written and read back in order."""
-    out = _scratch(spark)
+    out = scratch_path(spark, "lines")
     write_value_text(_top_accessed_pages(spark, d), out)
     return read_numbered_lines(spark, out)
 
 
 def _connectedness_lines(spark, d):
     """The report's text output in the order of its key, ids as text."""
-    out = _scratch(spark)
+    out = scratch_path(spark, "lines")
     report = connectedness_factor(dv.pages(spark, d), dv.friends(spark, d, "supp"))
     write_tsv(report.withColumn("id", report.id.cast("string")), out, sort_by=["id"], columns=CONNECTEDNESS_LINE)
     return read_numbered_lines(spark, out)

@@ -47,6 +47,18 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+# Paths handed out by this process that have not been removed, by application.
+_OPEN: dict[str, set[str]] = {}
+
+
+def scratch_path(spark: SparkSession, kind: str) -> str:
+    """A new path in the shared checkpoint folder, for a table or files of this
+    application.  ``discard`` or ``discard_leftovers`` removes what is written there."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}"
+    _OPEN.setdefault(spark.sparkContext.applicationId, set()).add(path)
+    return path
+
+
 def staged(df: DataFrame) -> tuple[DataFrame, str]:
     """``df`` written as a table in the shared folder and read back, and the
     table's path, for ``discard`` when nothing reads it any more.  For loops and
@@ -54,12 +66,23 @@ def staged(df: DataFrame) -> tuple[DataFrame, str]:
     its own size statistics, where those of checkpoints multiply from join to
     join, and it goes when its user says so."""
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/staged-{uuid.uuid4().hex}"
+    path = scratch_path(spark, "staged")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 
 def discard(spark: SparkSession, path: str) -> None:
     """Remove a staged table that nothing reads any more."""
+    _OPEN.get(spark.sparkContext.applicationId, set()).discard(path)
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def discard_leftovers(spark: SparkSession) -> int:
+    """Remove every table and file that this process staged for the application and that
+    is still there, and return how many.  Call it when the results have been written:
+    lazy results read their staged tables until then."""
+    paths = list(_OPEN.get(spark.sparkContext.applicationId, ()))
+    for path in paths:
+        discard(spark, path)
+    return len(paths)

@@ -30,13 +30,12 @@ filters into the parquet scans.
 from __future__ import annotations
 
 import hashlib
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from socialpages.plans.lineage import ensure_checkpoint_dir
+from socialpages.plans.lineage import scratch_path
 from socialpages.schemas import ACCESS_COLUMNS, PAGES_COLUMNS
 from socialpages.sources.csv_files import LINE, parse_lines, read_access, read_friends, read_pages
 from socialpages.sources.lines import write_with_header
@@ -221,7 +220,7 @@ FILES = 4
 def _through_files(lines: DataFrame, header: str, read: Callable) -> DataFrame:
     """The relation of ``lines(value, folder)`` through files in several folders."""
     spark = lines.sparkSession
-    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/files-{uuid.uuid4().hex}"
+    root = scratch_path(spark, "files")
     for k in range(FOLDERS):
         write_with_header(lines.where(F.col("folder") == k).select(LINE), f"{root}/{k}", header, FILES)
     return read(spark, [f"{root}/{k}" for k in range(FOLDERS)])

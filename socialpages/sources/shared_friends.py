@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from socialpages.functions.text import trimmed, with_min_fields
-from socialpages.plans.lineage import ensure_checkpoint_dir
+from socialpages.plans.lineage import scratch_path
 from socialpages.schemas import FRIENDS_COLUMNS, N_FIELDS
 
 # The columns that each layout is bucketed by.
@@ -42,7 +42,7 @@ def share_friends(friends: DataFrame, name: str, layouts: list[str], buckets: in
     beside a finer partitioning Spark shuffles the coarser one again.
     """
     spark = friends.sparkSession
-    folder = folder or f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}"
+    folder = folder or scratch_path(spark, name)
     full = with_min_fields(friends, 2, FRIENDS_COLUMNS)
     for layout in layouts:
         columns = [(trimmed(full, c) if layout in TRIMMED else F.col(c)).alias(c) for c in ("person_id", "my_friend")]

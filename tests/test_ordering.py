@@ -212,3 +212,14 @@ def test_no_window_without_a_range_of_its_rows(spark):
     pages = spark.createDataFrame(people(1), "person_id string, name string, nationality string, country_code string, hobby string")
     text = plan_text(nationality_report_chunks(pages, chunk=64), "simple")
     assert "SinglePartition" not in text and "CartesianProduct" not in text and "Python" not in text
+
+
+def test_leftovers_can_be_removed(spark):
+    import os
+
+    from socialpages.plans import discard_leftovers, staged
+
+    frame, path = staged(spark.range(5))
+    assert os.path.isdir(path.removeprefix("file:")) and frame.count() == 5
+    assert discard_leftovers(spark) >= 1
+    assert not os.path.exists(path.removeprefix("file:")) and discard_leftovers(spark) == 0
