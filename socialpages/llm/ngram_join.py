@@ -397,8 +397,9 @@ def _window_links(near: DataFrame, regions: DataFrame, points: DataFrame, sets:
     boundary = pairs.where(f"x_away >= distance - {EPS!r} - rq - {SLACK}").where(f"rq > 0 or {_admits('x', 'q', 'p')}")
     found, _ = staged(distances(boundary.selectExpr("q as a", "x as b").distinct(), sets))
     again = (
-        found.where("not linked").join(near.selectExpr("q as a", "rq").distinct(), "a")
-        .where(f"rq > 0 and distance <= rq + {EPS!r} + {SLACK}")
+        # a single point has no others at it: only regions are looked into further
+        found.where("not linked").join(near.where("rq > 0").selectExpr("q as a", "rq").distinct(), "a")
+        .where(f"distance <= rq + {EPS!r} + {SLACK}")
         .selectExpr("a as pivot", "b as x", "distance", "common as x_common")
         .join(sizes.toDF("x", "x_n", "x_own"), "x").join(sizes.toDF("pivot", "pivot_n", "pivot_own"), "pivot")
         .join(members.toDF("pivot", "y", "y_away", "y_common", "y_n", "y_own"), "pivot")
