@@ -19,7 +19,6 @@ from collections.abc import Callable
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
-from pyspark.sql.functions import lit  # noqa: E402
 
 from socialpages.constants import DEFAULT_DAYS, DEFAULT_TOP_K  # noqa: E402
 from socialpages.operators import (  # noqa: E402
@@ -111,7 +110,10 @@ def _shared(spark, d, layout):
 def _top_pages_audited(spark, d):
     """Both results of one reading: the report's rows and the counters."""
     rows, counts = top_accessed_pages_audited(dv.pages_text(spark, d), dv.access_text(spark, d), TOP_K)
-    return rows.withColumn("part", lit("report")).unionByName(counts.withColumn("part", lit("rejects")), allowMissingColumns=True)
+    report = rows.selectExpr("'report' AS part", "CAST(person_id AS STRING) AS item", "name", "nationality", "accesses AS value")
+    each = ", ".join(f"named_struct('item', concat(src, ' {c}'), 'value', {c})" for c in ("n_rows", "n_short", "n_rejected"))
+    rejects = counts.selectExpr(f"inline(array({each}))")
+    return report.unionByName(rejects.selectExpr("'rejects' AS part", "item", "'' AS name", "'' AS nationality", "value"))
 
 
 def reports() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -457,10 +459,14 @@ FROM ({_top_sql(_P)})""",
 SELECT row_number() OVER (ORDER BY CAST(id AS VARCHAR)) AS line_no, who || chr(9) || connectedness AS line
 FROM ({_connectedness_sql(_P, "l_suppkey")})""",
         "top_accessed_pages_audited": f"""
-SELECT 'report' AS part, accesses, person_id, name, nationality, NULL::VARCHAR AS src,
-       NULL::BIGINT AS n_rows, NULL::BIGINT AS n_short, NULL::BIGINT AS n_rejected FROM ({_top_text_sql(_TEXT)})
+WITH counts AS ({_rejects_text_sql()})
+SELECT 'report' AS part, CAST(person_id AS VARCHAR) AS item, name, nationality, accesses AS value FROM ({_top_text_sql(_TEXT)})
 UNION ALL
-SELECT 'rejects', NULL, NULL, NULL, NULL, src, n_rows, n_short, n_rejected FROM ({_rejects_text_sql()})""",
+SELECT 'rejects', src || ' n_rows', '', '', n_rows FROM counts
+UNION ALL
+SELECT 'rejects', src || ' n_short', '', '', n_short FROM counts
+UNION ALL
+SELECT 'rejects', src || ' n_rejected', '', '', n_rejected FROM counts""",
         "connectedness_shared": _connectedness_sql(_P, "l_partkey"),
         "unvisited_friends_shared": _unvisited_sql(_P, "l_partkey"),
         "popular_users_shared": _popular_sql(_P),
