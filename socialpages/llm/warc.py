@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from socialpages.llm.common import as_bytes
-from socialpages.plans.lineage import ensure_checkpoint_dir, materialize
+from socialpages.plans.lineage import materialize, scratch_path
 
 # Fixed values of the formats.
 VERSION = b"WARC/1.1"
@@ -141,7 +141,8 @@ def read_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         size = zstandard.frame_content_size(frame)
         try:
             body = zstandard.ZstdDecompressor(dict_data=held) if held else zstandard.ZstdDecompressor()
-            record_bytes = body.decompress(frame, max_output_size=0 if size >= 0 else 1 << 31)
+            # a frame that does not say its size is read as a stream, whatever it holds
+            record_bytes = body.decompress(frame) if size >= 0 else body.decompressobj().decompress(frame)
         except zstandard.ZstdError as e:
             raise BadArchive(str(e)) from e
         if size >= 0 and len(record_bytes) != size:
@@ -223,6 +224,13 @@ def _filesystem(uri: str):
     return system, path
 
 
+def _qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with its scheme: one without is in the cluster's default store, not
+    on each executor's disk."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
 def _write(batches: Iterator[pa.RecordBatch], folder: str, archive_bytes: int) -> Iterator[pa.RecordBatch]:
     """Writes the rows of one partition; yields (file, n_records, n_bytes)."""
     system, base = _filesystem(folder)
@@ -278,6 +286,7 @@ def write_pages(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTE
     response only where no row of its payload has an id.  Repeated rows give a
     record each; no rows give no archive; other columns are ignored.
     """
+    folder = _qualified(pages.sparkSession, folder)
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce("html", F.lit("")).alias("html")
     )
@@ -296,32 +305,57 @@ def write_pages(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTE
     return materialize(rows.mapInArrow(lambda b: _write(b, folder, archive_bytes), "file string, n_records long, n_bytes long"))
 
 
+def _read(archives, with_payload: bool) -> Iterator[pa.RecordBatch]:
+    """Rows of the records of ``archives``: pairs of a path and its bytes."""
+    rows = []
+    for path, content in archives:
+        try:
+            for headers, block in read_records(content):
+                row = read_page(headers, block)
+                rows.append(row if with_payload else (*row[:-1], None))
+                if len(rows) >= 64:
+                    yield _rows(rows)
+                    rows = []
+        except BadArchive as e:
+            raise BadArchive(f"{path}: {e}") from e
+    if rows:
+        yield _rows(rows)
+
+
 def read_pages(spark: SparkSession, paths, with_payload: bool = True) -> DataFrame:
     """Rows (page_id, url, payload_bytes, payload_digest, record_type,
     refers_to, payload) of archives (a path, a folder or a list of them).  Any
     frame, header, length or digest that is wrong fails the read."""
 
     def records(batches):
-        rows = []
         for batch in batches:
-            for path, content in zip(batch.column("path").to_pylist(), batch.column("content")):
-                try:
-                    for headers, block in read_records(content.as_buffer()):
-                        row = read_page(headers, block)
-                        rows.append(row if with_payload else (*row[:-1], None))
-                        if len(rows) >= 64:
-                            yield _rows(rows)
-                            rows = []
-                except BadArchive as e:
-                    raise BadArchive(f"{path}: {e}") from e
-        if rows:
-            yield _rows(rows)
+            yield from _read(((p, c.as_buffer()) for p, c in zip(batch.column("path").to_pylist(), batch.column("content"))), with_payload)
 
     # a row of the file source holds an archive, so a batch is one archive
     files = spark.read.format("binaryFile").load(paths).select("path", "content")
     return files.mapInArrow(records, PAGE_COLUMNS)
 
 
+def read_manifest(manifest: DataFrame, folder: str, with_payload: bool = True) -> DataFrame:
+    """Rows as ``read_pages`` of the archives that a manifest names, which tasks open
+    themselves: archives that a lost attempt left in the folder are not read, and
+    no list of names passes the driver."""
+    folder = _qualified(manifest.sparkSession, folder)
+
+    def records(batches):
+        system, base = _filesystem(folder)
+
+        def opened():
+            for batch in batches:
+                for name in batch.column("file").to_pylist():
+                    with system.open_input_file(f"{base}/{name}") as file:
+                        yield name, file.read_buffer()
+
+        yield from _read(opened(), with_payload)
+
+    return manifest.select("file").mapInArrow(records, PAGE_COLUMNS)
+
+
 def _rows(rows) -> pa.RecordBatch:
     return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), PAGE_ARROW.types)], schema=PAGE_ARROW)
 
@@ -330,8 +364,5 @@ def archived(pages: DataFrame, with_payload: bool = True, **options) -> DataFram
     """``pages`` written to archives in a new folder under the checkpoint folder
     and read back."""
     spark = pages.sparkSession
-    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/warc-{uuid.uuid4().hex}"
-    files = [f"{folder}/{r['file']}" for r in write_pages(pages, folder, **options).select("file").collect()]  # one for each archive
-    if not files:
-        return spark.createDataFrame([], PAGE_COLUMNS)
-    return read_pages(spark, files, with_payload)
+    folder = scratch_path(spark, "warc")
+    return read_manifest(write_pages(pages, folder, **options), folder, with_payload)

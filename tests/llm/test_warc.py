@@ -57,6 +57,11 @@ def test_files_and_manifest(spark, tmp_path):
             assert s.read().count(b"WARC/1.1\r\nWARC-Type") == r.n_records
     (tmp_path / "a" / "stray.warc.zst").write_bytes(b"of a lost attempt")
     assert warc.read_pages(spark, [f"{tmp_path}/a/{r.file}" for r in manifest]).count() == len(pages())
+    listed = spark.createDataFrame(manifest).repartition(3)
+    assert warc.read_manifest(listed, f"{tmp_path}/a").count() == len(pages())
+    (tmp_path / "a" / manifest[0].file).write_bytes(b"damaged!")
+    with pytest.raises(Exception, match=manifest[0].file):
+        warc.read_manifest(listed, f"{tmp_path}/a").count()
 
 
 def test_no_pages(spark):
