@@ -70,7 +70,7 @@ def run(spark, rows, size=5, parts=7):
     return sorted(map(tuple, got.collect()))
 
 
-@pytest.mark.parametrize("seed,size", [(1, 5), (2, 5), (3, 2)])
+@pytest.mark.parametrize("seed,size", [(1, 5), (3, 2)])
 def test_against_brute_force(spark, seed, size):
     rows = corpus(seed)
     assert run(spark, rows, size) == brute(rows, size)

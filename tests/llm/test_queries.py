@@ -9,7 +9,6 @@ import pytest
 
 import __spark_entry__ as E
 import test_mixing
-import test_ngram_join
 import test_pieces
 import test_simhash
 import test_spotsigs
@@ -153,6 +152,3 @@ def test_op9(spark, duck):
         if abs(u - r.probability) > 1e-9:
             assert r.kept == (u < r.probability)
 
-
-def test_op11(spark, documents):
-    assert sorted(map(tuple, queries.op11_ngram_jaccard_join(spark, SF).collect())) == test_ngram_join.brute(documents)
