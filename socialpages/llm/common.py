@@ -15,6 +15,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from socialpages.plans.lineage import discard, staged
+
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 
@@ -36,6 +38,33 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+HOT_SHARE = 1000
+HOT_ROWS = 10_000
+SALTS = 64
+
+
+def join_to_unique(left: DataFrame, right: DataFrame, key: str, deal_by: str, how: str = "inner", least: int = HOT_ROWS) -> DataFrame:
+    """``left`` joined by ``key`` to ``right``, which has one row for each key, with the hot
+    keys of ``left`` dealt out.
+
+    A key is hot if it has more than a thousandth of ``left``'s rows (and more than
+    ``least``), so there are fewer than a thousand of them: that bound lets the list be
+    broadcast.  A hot key's rows go to ``SALTS`` partitions by ``deal_by``, and its one row
+    on the right to each of them.  ``left`` is read twice."""
+    bound = max(least, left.count() // HOT_SHARE)
+    hot, salt = fresh(left, "_hot"), fresh(left, "_salt")
+    keys = left.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias(hot)).where(F.col(hot) > bound)
+    keys, path = staged(keys)
+    if keys.isEmpty():
+        discard(left.sparkSession, path)
+        return left.join(right, key, how)
+    dealt = F.when(F.col(hot).isNotNull(), F.pmod(F.xxhash64(deal_by), F.lit(SALTS))).otherwise(0).cast("int")
+    left = left.join(F.broadcast(keys), key, "left").withColumn(salt, dealt).drop(hot)
+    copies = F.explode(F.sequence(F.lit(0), F.when(F.col(hot).isNotNull(), F.lit(SALTS - 1)).otherwise(0)))
+    right = right.join(F.broadcast(keys), key, "left").withColumn(salt, copies).drop(hot)
+    return left.join(right, [key, salt], how).drop(salt)
+
+
 def words_sql(column: str) -> str:
     """Spark SQL for the array of words of a text column (null: no words)."""
     spaced = f"translate(coalesce({column}, ''), '\\t\\n\\u000B\\u000C\\r', '     ')"

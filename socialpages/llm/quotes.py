@@ -10,8 +10,10 @@ A message replies to the original of its passages of the lowest level that
 has any: the one with most of them, of equals the least.
 
 Own passages are reduced to one row per hash before the join, so a passage
-that a third of all messages quote meets one row.  Roots are found by pointer
-doubling, a join each round over the messages that are not there yet.
+that a third of all messages quote meets one row, and the quoting messages of
+such a passage are dealt over many partitions.  Roots are found by pointer
+doubling, a join each round over the messages that are not there yet; the
+answers to one much-answered message are dealt out alike.
 DataFrame and SQL functions only.
 """
 
@@ -20,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from socialpages.llm.common import fresh
+from socialpages.llm.common import fresh, join_to_unique
 from socialpages.plans.lineage import discard, staged
 
 # possessive: the greedy form would recurse for every mark
@@ -75,7 +77,7 @@ def links(rows: DataFrame) -> DataFrame:
     units = rows.select("id", F.explode("passages").alias("p")).select("id", "p.level", "p.hash")
     first = units.where("level = 0").groupBy("hash").agg(F.min("id").alias("original"))
     first, _ = staged(first)
-    found = units.where("level > 0").join(first, "hash", "left")
+    found = join_to_unique(units.where("level > 0"), first, "hash", "id", "left")
     found = found.withColumn("original", F.when(F.col("original") < F.col("id"), F.col("original")))
     voted = found.groupBy("id", "level", "original").agg(F.count(F.lit(1)).alias("n"))
     best = F.min(F.when(F.col("original").isNotNull(), F.struct("level", (-F.col("n")).alias("n"), "original")))
@@ -99,7 +101,7 @@ def roots(parents: DataFrame) -> DataFrame:
     )
     while state.where("not done").take(1):
         ahead = state.select(F.col("id").alias("at"), F.col("at").alias("next"), F.col("level").alias("more"), F.col("done").alias("last"))
-        moved = state.where("not done").join(ahead, "at").select(
+        moved = join_to_unique(state.where("not done"), ahead, "at", "id").select(
             "id", F.col("next").alias("at"), (F.col("level") + F.col("more")).alias("level"), F.col("last").alias("done")
         )
         new, written = staged(state.where("done").unionByName(moved))

@@ -141,3 +141,47 @@ def test_turns_as_replies(spark):
     got = {(r.conv_id, r.turn): r.thread for r in quotes.conversations(mails.withColumn("x", F.lit(1)), text="message").collect()}
     assert tuple(got[(2, 1)].parent) == (1, 0)
     assert hashlib.sha256(got[(1, 1)].own_text.encode()).hexdigest() == hashlib.sha256(b"Well").hexdigest()
+
+
+def test_a_passage_that_a_third_of_the_messages_quote(spark, monkeypatch):
+    """Without Spark's skew join, one hot passage and one much-answered message are
+    spread over the partitions."""
+    from socialpages.llm import common
+
+    n = 3000
+    rows = [(0, "the hot passage"), (1, "another")]
+    rows += [(i, f"> the hot passage\nanswer {i}" if i % 3 == 0 else f"> another\nown {i}" if i % 3 == 1 else f"text {i}") for i in range(2, n)]
+    frame = spark.createDataFrame(rows, "id long, text string").repartition(8)
+    sizes = []
+    original = common.join_to_unique
+
+    def measured(left, right, key, deal_by, how="inner"):
+        out = original(left, right, key, deal_by, how, least=100)
+        sizes.append([r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()])
+        return out
+
+    monkeypatch.setattr(quotes, "join_to_unique", measured)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    try:
+        got = {r.id: r.thread for r in quotes.conversations(frame).collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert all(got[i].parent == (0 if i % 3 == 0 else 1 if i % 3 == 1 else None) for i in range(2, n))
+    hot = [s for s in sizes if sum(s) > n / 2]
+    assert hot and all(max(s) < 0.2 * sum(s) for s in hot)
+
+
+def test_joining_to_unique_keys(spark):
+    from socialpages.llm.common import join_to_unique
+
+    left = spark.range(4000).selectExpr("id", "if(id % 2 = 0, 7, if(id % 5 = 0, null, id % 300)) as k", "1 as _salt", "2 as _hot")
+    right = spark.range(0, 200).selectExpr("id as k", "id * 10 as v")
+    for how in ("inner", "left"):
+        want = sorted(map(tuple, left.join(right, "k", how).collect()), key=str)
+        for least in (50, 10_000):
+            got = join_to_unique(left, right, "k", "id", how, least)
+            assert got.columns == ["k", "id", "_salt", "_hot", "v"] and sorted(map(tuple, got.collect()), key=str) == want
