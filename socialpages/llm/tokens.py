@@ -10,7 +10,9 @@ characters at most and never back, so pre-tokens that end ``CONTEXT`` or more
 characters before the edit stay, and once a new pre-token starts where an old
 leaf started behind the edit, all the rest stays too.  The leaves between are
 encoded anew and the sums above them updated; only if there are more leaves
-than before the tree is laid out again, from leaf sums, without encoding.
+than before the tree is laid out again, from leaf sums, without encoding.  The
+text itself is held in chunks while it is edited, and the pattern runs over a
+window behind the edit, so an edit's time does not follow the text's length.
 """
 
 from __future__ import annotations
@@ -29,6 +31,8 @@ from socialpages.llm.common import by_slices, fresh
 
 LEAF = 64
 CONTEXT = 4
+CHUNK = 1 << 15
+WINDOW = 1 << 10
 CACHE = 1 << 18  # pre-tokens whose counts a task remembers
 
 # Fixed value: the pattern that goes with the rank files.
@@ -138,13 +142,49 @@ def build(text: str, counter: Counter) -> tuple[Tree, int]:
     return Tree.of_leaves(*_leaf_sums(lengths, counts)), len(pieces)
 
 
-def edit(text: str, tree: Tree, start: int, length: int, insert: str, counter: Counter) -> tuple[str, Tree, int]:
-    """Replace ``length`` characters from ``start`` (both cut to the text).
-    Returns the new text, its tree and how many pre-tokens were encoded."""
-    start = min(max(start, 0), len(text))
-    stop = min(start + max(length, 0), len(text))
-    new = text[:start] + insert + text[stop:]
-    shift = len(new) - len(text)
+class Body:
+    """A text in chunks, so that an edit moves the chunks it touches only."""
+
+    def __init__(self, text: str):
+        self.chunks = [text[i : i + CHUNK] for i in range(0, len(text), CHUNK)]
+        self.length = len(text)
+
+    def __str__(self) -> str:
+        return "".join(self.chunks)
+
+    def _at(self, place: int) -> tuple[int, int]:
+        """Number and start of the chunk that a place is in (at the end: the last)."""
+        start = 0
+        for i, chunk in enumerate(self.chunks):
+            if place < start + len(chunk):
+                return i, start
+            start += len(chunk)
+        return (len(self.chunks) - 1, start - len(self.chunks[-1])) if self.chunks else (0, 0)
+
+    def slice(self, start: int, stop: int) -> str:
+        i, begin = self._at(start)
+        parts = []
+        for chunk in self.chunks[i:]:
+            if begin >= stop:
+                break
+            parts.append(chunk[max(0, start - begin) : stop - begin])
+            begin += len(chunk)
+        return "".join(parts)
+
+    def replace(self, start: int, stop: int, insert: str) -> None:
+        (i, begin), (j, end) = self._at(start), self._at(stop)
+        held = [self.chunks[i][: start - begin] if self.chunks else "", insert, self.chunks[j][stop - end :] if self.chunks else ""]
+        new = "".join(held)
+        step = CHUNK if len(new) > 2 * CHUNK else max(1, len(new))
+        self.chunks[i : j + 1] = [new[k : k + step] for k in range(0, len(new), step)]
+        self.length += len(insert) - (stop - start)
+
+
+def edit_body(body: Body, tree: Tree, start: int, length: int, insert: str, counter: Counter) -> tuple[Tree, int]:
+    """Replace ``length`` characters from ``start`` (both cut to the text) in place.
+    Returns the new tree and how many pre-tokens were encoded."""
+    start = min(max(start, 0), body.length)
+    stop = min(start + max(length, 0), body.length)
     first, begin = tree.leaf_at(max(0, start - CONTEXT))
     chars, _ = tree.leaves()
     # the next old leaf behind the edit, where old and new may meet again, and
@@ -153,26 +193,41 @@ def edit(text: str, tree: Tree, start: int, length: int, insert: str, counter: C
     while meet < tree.n and goal < stop:
         goal += int(chars[meet])
         meet += 1
-    goal += shift
-    pieces, last = [], tree.n
-    if meet < tree.n and goal == begin:
-        last = meet
-    else:
-        for m in counter.pattern.finditer(new, begin):
+    goal += len(insert) - (stop - start)
+    body.replace(start, stop, insert)
+    pieces, last, at, reach = [], tree.n, begin, len(insert) + WINDOW
+    met = meet < tree.n and goal == begin
+    while not met and at < body.length:
+        window = body.slice(at, at + reach)
+        whole, from_here = at + len(window) >= body.length, at
+        for m in counter.pattern.finditer(window):
+            if not whole and m.end() + CONTEXT > len(window):
+                break  # what follows may change it
             pieces.append(m.group())
-            at = m.end()
+            at = from_here + m.end()
             while meet < tree.n and goal < at:
                 goal += int(chars[meet])
                 meet += 1
-            if meet < tree.n and goal == at:
-                last = meet
+            met = meet < tree.n and goal == at
+            if met:
                 break
+        reach *= 2
+    if met:
+        last = meet
     if not pieces:
         none = np.zeros(0, np.int64)
-        return new, tree.replace(first, last, none, none) if last > first else tree, 0
+        return tree.replace(first, last, none, none) if last > first else tree, 0
     lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
     counts = np.fromiter(map(counter.__getitem__, pieces), np.int64, len(pieces))
-    return new, tree.replace(first, last, *_leaf_sums(lengths, counts)), len(pieces)
+    return tree.replace(first, last, *_leaf_sums(lengths, counts)), len(pieces)
+
+
+def edit(text: str, tree: Tree, start: int, length: int, insert: str, counter: Counter) -> tuple[str, Tree, int]:
+    """``edit_body`` of a plain text: the new text, its tree and how many pre-tokens
+    were encoded."""
+    body = Body(text)
+    tree, n = edit_body(body, tree, start, length, insert, counter)
+    return str(body), tree, n
 
 
 TREE = "struct<n_leaves:int,chars:array<bigint>,tokens:array<bigint>>"
@@ -227,14 +282,14 @@ def apply_edits(
     def some(texts: pa.Array, trees: pa.Array, edits: pa.Array, counter: Counter) -> pa.Array:
         out = []
         for text, held, todo in zip(texts.to_pylist(), trees, edits.to_pylist()):
-            text, encoded = text or "", 0
+            body, encoded = Body(text or ""), 0
             chars, tokens = (held[c].values.to_numpy(zero_copy_only=False).copy() for c in ("chars", "tokens"))
             t = Tree(held["n_leaves"].as_py(), chars, tokens)
             for e in todo or ():
                 if e is not None:
-                    text, t, n = edit(text, t, e["start"] or 0, e["length"] or 0, e["insert"] or "", counter)
+                    t, n = edit_body(body, t, e["start"] or 0, e["length"] or 0, e["insert"] or "", counter)
                     encoded += n
-            out.append((text, _tree_row(t), int(t.tokens[1]), encoded))
+            out.append((str(body), _tree_row(t), int(t.tokens[1]), encoded))
         kinds = (pa.string(), TREE_ARROW, pa.int64(), pa.int64())
         columns = list(zip(*out)) or [()] * 4
         return pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["text", "tree", "n_tokens", "n_encoded"])

@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pytest
@@ -57,6 +58,37 @@ def test_many_edits_keep_the_count(counter, seed):
         check(tree, text, counter)
 
 
+@pytest.mark.parametrize("chunk,window", [(16, 8), (7, 64), (1, 1)])
+def test_chunks_and_windows_do_not_matter(counter, monkeypatch, chunk, window):
+    monkeypatch.setattr(tokens, "CHUNK", chunk)
+    monkeypatch.setattr(tokens, "WINDOW", window)
+    rnd = random.Random(chunk)
+    for n in (0, 40, 600):
+        text = some_text(rnd, n)
+        body, (tree, _) = tokens.Body(text), tokens.build(text, counter)
+        for _ in range(40):
+            start, length = rnd.choice([0, len(text), rnd.randrange(len(text) + 1)]), rnd.choice([0, 1, 3, 50, 10**6 if rnd.random() < 0.1 else 2])
+            insert = rnd.choice(["", "'", "r", "e", "'re", " ", "\n", some_text(rnd, rnd.choice([1, 30]))])
+            tree, _ = tokens.edit_body(body, tree, start, length, insert, counter)
+            text = text[:start] + insert + text[start + length :]
+            assert str(body) == text and body.length == len(text)
+            a, b = sorted(rnd.randrange(len(text) + 1) for _ in range(2))
+            assert body.slice(a, b) == text[a:b]
+            check(tree, text, counter)
+
+
+def test_the_time_of_an_edit_does_not_follow_the_text(counter):
+    seconds = {}
+    for n in (100_000, 4_000_000):
+        text = ("word another thing here " * (n // 24 + 1))[:n]
+        body, (tree, _) = tokens.Body(text), tokens.build(text, counter)
+        began = time.perf_counter()
+        for k in range(200):
+            tree, _ = tokens.edit_body(body, tree, n // 2 + k * 7, 5, "other words", counter)
+        seconds[n] = time.perf_counter() - began
+    assert seconds[4_000_000] < 5 * seconds[100_000] + 0.05
+
+
 def test_small_edits_encode_little(counter):
     rnd = random.Random(3)
     text = " ".join(f"word{rnd.randrange(999)}" for _ in range(20_000))
