@@ -295,7 +295,9 @@ def edit_check(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -
     """Fingerprints of every text and of its edited form, and their likeness.
 
     Returns (id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
-    near_edited, near_next, n_signatures).  Null texts count as empty.
+    near_edited, near_next, n_signatures).  Null texts count as empty.  Ids are
+    integers (rows are dealt out by ranges of them); null ids come last, rows of
+    one id are ordered by their text.  An empty table gives no rows.
     """
     rows = docs.select(F.col(id_column).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     rows = with_next(rows, {"body": F.col("text"), "set": signatures("text")})
