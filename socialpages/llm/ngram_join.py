@@ -268,7 +268,7 @@ def distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     pairs, _ = staged(pairs)
     size = sets.selectExpr("node as a", "n")
     units = pairs.groupBy("a").count().join(size, "a").selectExpr("a", f"cast(ceil(count * n / {UNIT_SHINGLES}) as int) as units")
-    dealt = pairs.join(units, "a").selectExpr("a", "b", "cast(pmod(xxhash64(b), units) as int) as unit")
+    dealt, _ = staged(pairs.join(units, "a").selectExpr("a", "b", "cast(pmod(xxhash64(b), units) as int) as unit"))
     one = dealt.select("a", "unit").distinct().join(sets.selectExpr("node as a", "shingles"), "a")
     other = dealt.join(sets.selectExpr("node as b", "shingles"), "b")
     rows = one.selectExpr("a", "unit", "cast(null as long) as b", "shingles").unionByName(other.select("a", "unit", "b", "shingles"))
