@@ -89,6 +89,13 @@ def rake(
     without tokens take the factors of their categories (a category without
     any tokens: 1).
     """
+    return _raked(cells, targets, max_sweeps, tolerance)[0]
+
+
+def _raked(
+    cells: DataFrame, targets: dict, max_sweeps: int = MAX_SWEEPS, tolerance: float = TOLERANCE
+) -> tuple[DataFrame, float]:
+    """The raked cells and the largest difference of a share from its target."""
     names = list(targets)
     spark = cells.sparkSession
     state, path = staged(cells.select(*names, "tokens", F.lit(1.0).alias("factor")))
@@ -107,22 +114,32 @@ def rake(
         state = state.drop("before")
         if moved is None or moved <= tolerance:
             break
+    miss = _miss(state, {d: share for d, (share, _) in shares.items()})
     for _, share_path in shares.values():
         discard(spark, share_path)
-    return state
+    return state, miss
+
+
+def _miss(raked: DataFrame, shares: dict[str, DataFrame]) -> float:
+    """The largest difference between a raked share and its target (0 without
+    tokens): one job over the cells."""
+    if not shares:
+        return 0.0
+    cells = raked.where("tokens > 0").withColumn("weight", F.col("factor") * F.col("tokens"))
+    whole = cells.agg(F.sum("weight").alias("whole"))
+    parts = [
+        cells.groupBy(d).agg(F.sum("weight").alias("got")).join(share, d).select("got", "share") for d, share in shares.items()
+    ]
+    both = parts[0]
+    for part in parts[1:]:
+        both = both.unionByName(part)
+    return both.agg(F.max(F.abs(F.col("got") / whole.scalar() - F.col("share")))).first()[0] or 0.0
 
 
 def largest_miss(raked: DataFrame, targets: dict) -> float:
-    """The largest difference between a raked share and its target, over the
+    """The largest difference between a share of ``raked`` cells and its target, over the
     categories of all dimensions (0 without tokens)."""
-    misses = [0.0]
-    cells = raked.where("tokens > 0").withColumn("weight", F.col("factor") * F.col("tokens"))
-    whole = cells.agg(F.sum("weight")).first()[0]
-    for d, target in targets.items() if whole else ():
-        got = cells.groupBy(d).agg((F.sum("weight") / F.lit(float(whole))).alias("got"))
-        both = got.join(_shares(raked, d, target), d)
-        misses.append(both.agg(F.max(F.abs(F.col("got") - F.col("share")))).first()[0] or 0.0)
-    return max(misses)
+    return _miss(raked, {d: _shares(raked, d, target) for d, target in targets.items()})
 
 
 def _scale(raked: DataFrame, budget: float) -> float:
@@ -169,8 +186,7 @@ def mixed(
     keys = {d: fresh(docs, f"_key_{d}") for d in targets}
     rows = rows.withColumns({keys[d]: _key(topic_name if d == "topic" else d) for d in targets})
     cells = rows.groupBy(*keys.values()).agg(F.sum(t).alias("tokens"))
-    raked = rake(cells.toDF(*targets, "tokens"), targets, **options)
-    miss = largest_miss(raked, targets)
+    raked, miss = _raked(cells.toDF(*targets, "tokens"), targets, **options)
     if miss > max_miss:
         warnings.warn(f"the targets cannot be met together: a share misses its target by {miss:.3g}", stacklevel=2)
     scale = _scale(raked, budget)
