@@ -34,6 +34,8 @@ ANCHORS = (
 )
 PARTS_PER_TASK = 4
 BLOCK = 1024
+PARTS_PER_HASH = 0.7
+HOT_SAMPLE, HOT_LEAST, HOT_LIST = 4096, 8, 1024
 
 
 def signatures(text: Column | str, anchors: str = ANCHORS, chain: int = CHAIN) -> Column:
@@ -208,20 +210,90 @@ def _likely(member: DataFrame, threshold: float, block: int = BLOCK) -> DataFram
     return pair.select(F.col("a.print").alias("a"), F.col("b.print").alias("b"))
 
 
-def _not_alone(rows: DataFrame, threshold: float) -> DataFrame:
-    """``(print)`` of the sets of ``rows(print, set)`` that can be as alike as ``threshold`` to
-    another one (and some more).
+def _hot(rows: DataFrame, sample: int = HOT_SAMPLE) -> list[int]:
+    """The hashes (at most ``HOT_LIST``) that at least ``HOT_LEAST`` of about ``sample`` sets of
+    ``rows(print, set)`` hold, picked by their fingerprints.  They decide the order of
+    comparison only, never whether a pair is found."""
+    every = max(1, rows.count() // sample)
+    picked = rows.where(F.pmod(F.xxhash64("print"), F.lit(every)) == 0).groupBy("print").agg(F.first("set").alias("set"))
+    held = picked.select(F.explode("set").alias("sig")).groupBy("sig").agg(F.count(F.lit(1)).alias("held"))
+    most = held.where(F.col("held") >= HOT_LEAST).orderBy(F.desc("held"), "sig").limit(HOT_LIST)
+    return [r["sig"] for r in most.collect()]
+
+
+def _segments(rows: DataFrame, threshold: float, hot: list[int]) -> DataFrame:
+    """``(print, n, band, near, sure, sigs)``: hashes of parts of each set of ``rows(print, set)``, of which
+    two sets as alike as ``threshold`` share one, if one of them is ``sure``.
+
+    The range of the hashes is cut into parts of equal width, their number fixed by the
+    band of lengths.  What two sets differ in touches at most as many parts as it has
+    hashes, ``most``; all other parts are equal.  So the first part in any
+    common order that both hold alike is among the first ``most + 1`` of both.  The order is by
+    size, largest first: parts of several hashes, that only related texts have in common.  Hot hashes
+    are left out of the parts.  A set of no more than ``most`` parts has no part to be sure of.
+
+    A set is cut by its own band (``near`` 0) and, if it has longer partners there, by the next (1)."""
+    ratio = 3 * math.log(1 / threshold)
+
+    def band(n: Column) -> Column:
+        return F.floor(F.log(n) / F.lit(ratio)).cast("int")
+
+    def parts(r: Column) -> Column:
+        held, level, count = r["cool"], r["band"], r["count"]
+        # the hashes are sorted, so that each part is a run of them
+        numbers = F.transform(held, lambda h: F.shiftright((F.shiftright(h, 32) + F.lit(1 << 31)) * count, 32))
+        places = F.when(F.size(held) > 0, F.sequence(F.lit(0), F.size(held) - 1)).otherwise(F.array().cast("array<int>"))
+        cut = F.transform(F.array(numbers), lambda x: F.filter(places, lambda i: (i == 0) | (F.get(x, i) != F.get(x, i - 1))))
+
+        def runs(starts: Column) -> Column:
+            def run(at: Column, i: Column) -> Column:
+                long = F.coalesce(F.get(starts, i + 1), F.size(held)) - at
+                return F.struct((-long).alias("size"), F.xxhash64(level, F.slice(held, at + 1, long)).alias("sig"))
+
+            return F.sort_array(F.transform(starts, run))
+
+        return F.get(F.transform(cut, runs), 0)
 
-    Two such sets share at least that part of each, so the ``c`` least hashes that they
-    share are among the first ``n - ceil(threshold n) + c`` of both.  With ``c`` a tenth of
-    the smaller set, a set needs about a tenth of its size in hashes that the
-    prefix of another set holds too.  Only prefixes are moved."""
     n = F.size("set")
-    reach = (n - F.ceil(n * F.lit(threshold) - 1e-9) + F.ceil(n / 10)).cast("int")
-    first = rows.select("print", n.alias("n"), F.explode(F.slice("set", 1, reach)).alias("sig"))
-    shared = first.groupBy("sig").agg(F.min("print").alias("low"), F.max("print").alias("high")).where("low <> high").select("sig")
-    hits = first.join(shared, "sig").groupBy("print", "n").agg(F.count(F.lit(1)).alias("hits"))
-    return hits.where(F.col("hits") >= F.ceil(F.col("n") * F.lit(threshold / 10) - 1e-9)).select("print")
+    last = F.floor(n / F.lit(threshold) + 1e-9)
+    cool = F.array_except("set", F.lit(hot).cast("array<bigint>")) if hot else F.col("set")
+    bands = F.array(F.struct(band(n).alias("band"), F.lit(0).alias("near")), F.struct((band(n) + 1).alias("band"), F.lit(1).alias("near")))
+    bands = F.slice(bands, 1, F.when(band(last) > band(n), 2).otherwise(1))
+    most = F.floor(n * F.lit((1 - threshold) / threshold) + 1e-9).cast("int")
+    count = F.ceil(F.lit(PARTS_PER_HASH) * F.exp(F.col("at.band") * F.lit(ratio))).cast("long")
+    cuts = rows.select("print", n.alias("n"), most.alias("most"), cool.alias("cool"), bands.alias("bands"))
+    cuts = cuts.select("print", "n", "most", "cool", F.explode("bands").alias("at"))
+    cuts = cuts.select("print", "n", "most", "at.*", F.transform(F.array(F.struct("cool", "at.band", count.alias("count"))), parts)[0]["sig"].alias("sigs"))
+    sure = (F.size("sigs") > F.col("most")).alias("sure")
+    return cuts.select("print", "n", "band", "near", sure, F.slice("sigs", 1, F.col("most") + 1).alias("sigs"))
+
+
+def _not_alone(rows: DataFrame, cuts: DataFrame) -> DataFrame:
+    """The sets of ``rows(print, set)``, each once, that can be near another one (and some
+    more): those with a part, of ``cuts`` of all of them, that another set holds too, and those
+    that are not sure of their parts.  Only hashes of parts are moved to find them.  Two sets
+    count as one there if 64 bits of their fingerprints agree."""
+    mark = F.xxhash64("print").alias("mark")
+    parts = cuts.select(mark, F.explode("sigs").alias("sig"))
+    shared = parts.groupBy("sig").agg(F.min("mark").alias("low"), F.max("mark").alias("high")).where("low <> high").select("sig")
+    found = parts.join(shared, "sig", "left_semi").select("mark").unionByName(cuts.where("not sure").select(mark))
+    found = rows.withColumn("mark", mark).join(found.distinct(), "mark", "left_semi")
+    return found.groupBy("print").agg(F.first("set").alias("set"))
+
+
+def _buckets(sets: DataFrame, cuts: DataFrame, threshold: float) -> DataFrame:
+    """``(print, n, band, pos, sig, near, least)``: the buckets of more than one set, with their
+    least, in which two sets of ``sets(print, set)`` as alike as ``threshold`` meet: those of the parts
+    (``cuts`` of the same sets), and of the prefixes of the sets that are not sure of
+    their parts, rarest first over these."""
+    parts = cuts.select("print", "n", "band", F.lit(0).alias("pos"), F.explode("sigs").alias("sig"), "near")
+    unsure = cuts.where("not sure").select("print").distinct()
+    index = _prefixes(_rare_first(sets.join(unsure, "print", "left_semi")), threshold)
+    # a set is in the buckets of its band and, for longer partners, of the next
+    reach = index.withColumn("near", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("band", F.col("band") + F.col("near"))
+    reach = parts.unionByName(reach)
+    least = reach.groupBy("band", "sig").agg(F.min("print").alias("least"), F.max("print").alias("most")).where("least <> most")
+    return reach.join(least.drop("most"), ["band", "sig"])
 
 
 def near_duplicates(
@@ -231,10 +303,10 @@ def near_duplicates(
     Jaccard coefficient of at least ``threshold`` are linked, and ``class_id``
     is the least id reachable.
 
-    Equal sets count once.  Sets that share too little with all others together are
-    classes of their own and go no further.  The others are partitioned by length into bands whose
-    ends differ by the factor 1 / threshold, so that likely pairs are in one
-    band or in neighbouring ones; within a band a pair must share one of the
+    Equal sets count once.  Sets that share no part with another one (``_segments``) are classes
+    of their own and go no further.  The others are partitioned by length into bands so wide
+    that likely pairs are in one band or in neighbouring ones; within a band a pair must share
+    one of the first parts of both or, where neither has enough parts, one of the
     first hashes of both, the rarest over all these sets coming first (prefix filter:
     a hash that many sets hold is in the prefix of few), then pass the length
     and position bounds, then the exact coefficient.
@@ -249,14 +321,12 @@ def near_duplicates(
     rows = docs.select(F.col(id_column).alias("doc_id"), signatures(text, **options).alias("set"))
     rows, held = staged(rows.withColumn("print", F.unhex(digest("set"))))
     firsts, _ = staged(rows.groupBy("print").agg(F.min("doc_id").alias("first")))
-    sets = rows.select("print", "set").join(_not_alone(rows, threshold), "print", "left_semi")
-    sets, between = staged(sets.groupBy("print").agg(F.first("set").alias("set")))
-    ranked, order = staged(_rare_first(sets))
-    discard(spark, between)
-    sets = ranked
-    index = _prefixes(sets, threshold)
-    # a set is in the buckets of its band and, for longer partners, of the next
-    reach = index.withColumn("near", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("band", F.col("band") + F.col("near"))
+    hot = _hot(rows)
+    cuts, cut = staged(_segments(rows, threshold, hot))
+    sets, between = staged(_not_alone(rows.select("print", "set"), cuts))
+    discard(spark, cut)
+    cuts, cut = staged(_segments(sets, threshold, hot))
+    reach, order = staged(_buckets(sets, cuts, threshold))
 
     def verified(likely: DataFrame) -> DataFrame:
         x = sets.select(F.col("print").alias("a"), F.col("set").alias("sa"))
@@ -268,15 +338,14 @@ def near_duplicates(
         found = components(links).withColumnRenamed("node", "print")
         return staged(prints.select("print").join(found, "print", "left").select("print", F.coalesce("root", "print").alias("root")))[0]
 
-    least = reach.groupBy("band", "sig").agg(F.min("print").alias("a"))
-    stars, _ = staged(verified(reach.join(least, ["band", "sig"]).where("a <> print").select("a", F.col("print").alias("b"))))
-    member = reach.join(with_roots(sets, stars), "print")
+    stars, _ = staged(verified(reach.where("least <> print").select(F.col("least").alias("a"), F.col("print").alias("b"))))
+    member = reach.drop("least").join(with_roots(sets, stars), "print")
     rest, _ = staged(verified(_likely(member, threshold)))
     rooted = firsts.join(with_roots(firsts, stars.unionByName(rest)), "print")
     label = rooted.join(rooted.groupBy("root").agg(F.min("first").alias("class_id")), "root").select("print", "class_id")
     label, _ = staged(label)
     prints, _ = staged(rows.select("doc_id", "print"))
-    for path in (held, order):
+    for path in (held, between, cut, order):
         discard(spark, path)
     return prints.join(label, "print").select(
         F.col("doc_id").alias(id_column), F.lower(F.hex("print")).alias("fingerprint"), "class_id"

@@ -121,3 +121,73 @@ def test_a_long_text(spark):
     long = " ".join(f"the w{i}" for i in range(60_000))
     docs = spark.createDataFrame([(1, long), (2, "x"), (3, "the " * 60_000), (4, "of a w1 " + "the " * 60_000)], "doc_id long, text string")
     assert {r.doc_id: r.n_signatures for r in spotsigs.edit_check(docs).collect()} == {1: 59_999, 2: 1, 3: 1, 4: 1}
+
+
+def test_common_signatures_alone_do_not_bring_texts_to_comparison(spark, monkeypatch):
+    monkeypatch.setattr(spotsigs, "HOT_LEAST", 100, raising=False)
+    rnd = random.Random(7)
+    pool = [f"the x{i} y{i}" for i in range(6000)]  # each in about 6 texts
+    data = [(i, " ".join(rnd.sample(pool, 60))) for i in range(600)]
+    data += [(1000 + i, data[i][1] + " the last one") for i in range(5)]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    compared, plain = [], spotsigs.staged
+
+    def staged(df):
+        out = plain(df)
+        if df.columns == ["print", "set"]:
+            compared.append(out[0].count())
+        return out
+
+    monkeypatch.setattr(spotsigs, "staged", staged)
+    got = {r.doc_id: r.class_id for r in spotsigs.near_duplicates(docs).collect()}
+    assert got == {i: i % 1000 for i, _ in data}
+    assert len(compared) == 1 and 10 <= compared[0] < 300
+
+
+def test_alike_sets_share_a_part_if_one_is_sure(spark):
+    rnd = random.Random(8)
+
+    def hashes(k):
+        return [rnd.randrange(-(2**63), 2**63) for _ in range(k)]
+
+    hot, rows = hashes(40), []
+    for i in range(1500):
+        n = rnd.choice([4, 5, 8, 9, 12, 20, 31, 60, 125, 400])
+        common = hashes(n) + rnd.sample(hot, rnd.choice([0, 0, n // 10]))
+        gone = rnd.randrange(len(common) // 4 + 1)  # at most a fifth of both together is in one only
+        first = rnd.randrange(gone + 1)
+        for side, more in (("a", first), ("b", gone - first)):
+            rows.append((i, f"{side}{i}".encode(), sorted(common + hashes(more))))
+    sets = spark.createDataFrame(rows, "pair long, print binary, set array<bigint>")
+    for listed in (hot, []):
+        cuts = spotsigs._segments(sets, 0.8, listed).collect()
+        sure, held = {}, {}
+        for r in cuts:
+            p = bytes(r.print)
+            sure[p] = sure.get(p, True) and r.sure
+            held.setdefault(p, set()).update((r.band, s) for s in r.sigs)
+        pairs = [(f"a{i}".encode(), f"b{i}".encode()) for i in range(1500)]
+        known = [(a, b) for a, b in pairs if sure[a] or sure[b]]
+        assert len(known) > 1200 and all(held[a] & held[b] for a, b in known)
+
+
+def test_classes_of_sets_of_many_lengths_and_hot_signatures(spark, monkeypatch):
+    monkeypatch.setattr(spotsigs, "HOT_LEAST", 60)
+    rnd = random.Random(9)
+    fixed = [f"the h{k} i{k}" for k in range(12)]
+    data = []
+    for g in range(60):
+        base = [f"of g{g}a{k} g{g}b{k}" for k in range(rnd.choice([3, 4, 5, 7, 10, 16, 33, 80]))] + fixed[: rnd.choice([0, 4, 12])]
+        for _ in range(5):
+            mine = [s for s in base if rnd.random() > rnd.choice([0, 0.05, 0.12])] + [f"la n{rnd.random()} m" for _ in range(rnd.choice([0, 1, 2]))]
+            data.append((len(data), " ".join(mine)))
+    docs = spark.createDataFrame(data, "doc_id long, text string").repartition(5)
+    sets = [brute_set(t) for _, t in data]
+    group = list(range(len(data)))
+    for i in range(len(data)):
+        for j in range(i):
+            if jaccard(sets[i], sets[j]) >= 0.8 and group[i] != group[j]:
+                group = [group[j] if g == group[i] else g for g in group]
+    least = {g: group.index(g) for g in set(group)}
+    got = {r.doc_id: r.class_id for r in spotsigs.near_duplicates(docs).collect()}
+    assert got == {i: least[g] for i, g in enumerate(group)}
