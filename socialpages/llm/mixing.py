@@ -66,16 +66,26 @@ def _shares(cells: DataFrame, dimension: str, target) -> DataFrame:
     the dict lacks weighs its present share.
     """
     sums = cells.groupBy(dimension).agg(F.sum("tokens").alias("t")).where("t > 0")
-    whole = cells.agg(F.sum("tokens")).first()[0] or 1
-    share = F.col("t") / F.lit(float(whole))
+    whole = cells.agg(F.sum("tokens").cast("double")).scalar()
+    share = F.col("t") / whole
     if isinstance(target, dict):
         weight = share
         for category, w in target.items():
             weight = F.when(F.col(dimension) == ("-" if category is None else f"+{category}"), F.lit(float(w))).otherwise(weight)
     else:
         weight = F.pow(share, F.lit(float(target)))
-    total = sums.agg(F.sum(weight)).first()[0] or 1.0
-    return sums.select(dimension, (weight / F.lit(float(total))).alias("share"))
+    weights = sums.select(dimension, weight.alias("weight"))
+    total = weights.agg(F.coalesce(F.nullif(F.sum("weight"), F.lit(0.0)), F.lit(1.0))).scalar()
+    return weights.select(dimension, (F.col("weight") / total).alias("share"))
+
+
+def _step(state: DataFrame, dimension: str, share: str) -> DataFrame:
+    """``state`` with its factors scaled to the target shares of one dimension.  The
+    cells are read twice, and the scales are the only other side of a join."""
+    got = state.groupBy(dimension).agg(F.sum(F.col("factor") * F.col("tokens")).alias("got"), F.max(share).alias("share"))
+    scale = got.where("got > 0 and share is not null").select(dimension, (F.col("share") / F.col("got")).alias("scale"))
+    scaled = state.join(scale, dimension, "left")
+    return scaled.withColumn("factor", F.col("factor") * F.coalesce("scale", F.lit(1.0))).select(*state.columns)
 
 
 def rake(
@@ -97,49 +107,58 @@ def _raked(
 ) -> tuple[DataFrame, float]:
     """The raked cells and the largest difference of a share from its target."""
     names = list(targets)
-    spark = cells.sparkSession
     state, path = staged(cells.select(*names, "tokens", F.lit(1.0).alias("factor")))
-    shares = {d: staged(_shares(state, d, targets[d])) for d in names}
+    share_of = {d: fresh(state, f"_share_{d}") for d in names}
+    # every cell carries its targets, so that the steps need no other table
+    state, path = _restaged(_with_shares(state, targets, share_of), path)
     for _ in range(max_sweeps):
-        new = state.withColumn("before", F.col("factor"))
+        state = state.withColumn("before", F.col("factor"))
+        # a step is a table of its own: the plan of a whole sweep would hold the
+        # first step's twice in the second and four times in the third
         for d in names:
-            got = new.groupBy(d).agg(F.sum(F.col("factor") * F.col("tokens")).alias("got")).join(shares[d][0], d)
-            scale = got.where("got > 0").select(d, (F.col("share") / F.col("got")).alias("scale"))
-            new = new.join(scale, d, "left").withColumn("factor", F.col("factor") * F.coalesce("scale", F.lit(1.0))).drop("scale")
-        state, written = staged(new)
-        discard(spark, path)
-        path = written
+            state, path = _restaged(_step(state, d, share_of[d]), path)
         # the first sweep sets the scale, so it always moves
         moved = state.agg(F.max(F.abs(F.ln(F.col("factor") / F.col("before"))))).first()[0]
-        state = state.drop("before")
         if moved is None or moved <= tolerance:
             break
-    miss = _miss(state, {d: share for d, (share, _) in shares.items()})
-    for _, share_path in shares.values():
-        discard(spark, share_path)
-    return state, miss
+    return state.select(*names, "tokens", "factor"), _miss(state, share_of)
+
+
+def _restaged(df: DataFrame, path: str) -> tuple[DataFrame, str]:
+    """``df`` staged; the table at ``path``, which it read, goes."""
+    new = staged(df)
+    discard(df.sparkSession, path)
+    return new
+
+
+def _with_shares(cells: DataFrame, targets: dict, share_of: dict[str, str]) -> DataFrame:
+    """``cells`` with the target share of each dimension's category as a column (null
+    for a category without tokens)."""
+    out = cells
+    for d, name in share_of.items():
+        out = out.join(_shares(cells, d, targets[d]).withColumnRenamed("share", name), d, "left")
+    return out.select(*cells.columns, *share_of.values())
 
 
-def _miss(raked: DataFrame, shares: dict[str, DataFrame]) -> float:
+def _miss(cells: DataFrame, share_of: dict[str, str]) -> float:
     """The largest difference between a raked share and its target (0 without
     tokens): one job over the cells."""
-    if not shares:
+    if not share_of:
         return 0.0
-    cells = raked.where("tokens > 0").withColumn("weight", F.col("factor") * F.col("tokens"))
+    cells = cells.where("tokens > 0").withColumn("weight", F.col("factor") * F.col("tokens"))
     whole = cells.agg(F.sum("weight").alias("whole"))
-    parts = [
-        cells.groupBy(d).agg(F.sum("weight").alias("got")).join(share, d).select("got", "share") for d, share in shares.items()
-    ]
-    both = parts[0]
+    parts = [cells.groupBy(d).agg(F.sum("weight").alias("got"), F.max(s).alias("share")) for d, s in share_of.items()]
+    both = parts[0].select("got", "share")
     for part in parts[1:]:
-        both = both.unionByName(part)
+        both = both.unionByName(part.select("got", "share"))
     return both.agg(F.max(F.abs(F.col("got") / whole.scalar() - F.col("share")))).first()[0] or 0.0
 
 
 def largest_miss(raked: DataFrame, targets: dict) -> float:
     """The largest difference between a share of ``raked`` cells and its target, over the
     categories of all dimensions (0 without tokens)."""
-    return _miss(raked, {d: _shares(raked, d, target) for d, target in targets.items()})
+    share_of = {d: fresh(raked, f"_share_{d}") for d in targets}
+    return _miss(_with_shares(raked, targets, share_of), share_of)
 
 
 def _scale(raked: DataFrame, budget: float) -> float:

@@ -143,6 +143,29 @@ def test_empty_tables_and_texts(spark):
     assert {r.mix.n_tokens for r in mixing.mixed(blank, TARGETS).collect()} == {0}
 
 
+def test_a_step_of_a_sweep_is_a_small_plan(spark, monkeypatch):
+    """Each table that raking stages comes from one join with the scales of one
+    dimension, whatever the number of dimensions."""
+    joins = []
+
+    def counted(df):
+        joins.append(df._jdf.queryExecution().optimizedPlan().toString().count("Join "))
+        return staged(df)
+
+    staged = mixing.staged
+    monkeypatch.setattr(mixing, "staged", counted)
+    data = [(f"+s{i % 7}", f"+l{i % 5}", f"+t{i % 3}", f"+d{i % 2}", 10 + i) for i in range(200)]
+    names = ["source", "lang", "topic", "day"]
+    cells = spark.createDataFrame(data, ", ".join(f"{n} string" for n in names) + ", tokens long")
+    targets = {"source": 0.5, "lang": {"+l0": 0.5}, "topic": 0.8, "day": 0.0}
+    raked = mixing.rake(cells, targets)
+    assert raked.columns == [*names, "tokens", "factor"] and raked.count() == len(data)
+    assert mixing.largest_miss(raked, targets) < 1e-6
+    # the cells, the cells with their targets, then only steps
+    assert joins[:2] == [0, 4] and len(joins) > 6
+    assert set(joins[2:]) == {1}
+
+
 def test_words_match_the_common_definition():
     for text in ("a\x0bb\x0cc\rd\te f", " a ", "\x1fa\x85b"):
         assert re.findall(mixing.WORD_PATTERN, text) == [w.decode() for w in text.encode().split()]
